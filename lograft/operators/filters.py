@@ -19,18 +19,13 @@ def _anchored(entries: list[str]) -> str:
     return "^(?:" + "|".join(f"(?:{e})" for e in entries) + ")$"
 
 
-def include(
-    df: DataFrame,
+def include_condition(
     databases: str | list[str] | None = None,
     tables: str | list[str] | None = None,
     db_col: str = "db",
     table_col: str = "table",
-) -> DataFrame:
-    """Keep rows whose database matches ``databases`` and whose ``db.table``
-    matches ``tables`` (collections use the same form). Entries are regular
-    expressions matched against the whole name; ``None`` means no filter.
-    One ``rlike`` per list, so the filter stays a single codegen'd predicate.
-    """
+) -> Column | None:
+    """Predicate for ``include``; ``None`` when there is nothing to filter."""
     cond: Column | None = None
     dbs = _entries(databases)
     if dbs is not None:
@@ -39,4 +34,26 @@ def include(
     if tbls is not None:
         t = F.concat(F.col(db_col), F.lit("."), F.col(table_col)).rlike(_anchored(tbls))
         cond = t if cond is None else cond & t
-    return df if cond is None else df.filter(cond)
+    return cond
+
+
+def include(
+    df: DataFrame,
+    databases: str | list[str] | None = None,
+    tables: str | list[str] | None = None,
+    db_col: str = "db",
+    table_col: str = "table",
+    keep_rejects: bool = True,
+) -> DataFrame:
+    """Keep rows whose database matches ``databases`` and whose ``db.table``
+    matches ``tables`` (collections use the same form). Entries are regular
+    expressions matched against the whole name; ``None`` means no filter.
+    One ``rlike`` per list, so the filter stays a single codegen'd predicate.
+    Rejected rows (``reject_reason`` set) are kept so they reach the reject table.
+    """
+    cond = include_condition(databases, tables, db_col, table_col)
+    if cond is None:
+        return df
+    if keep_rejects and "reject_reason" in df.columns:
+        cond = cond | F.col("reject_reason").isNotNull()
+    return df.filter(cond)
