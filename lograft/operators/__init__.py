@@ -5,6 +5,7 @@ from lograft.operators.filters import include
 from lograft.operators.route import route, sink_frame, kinesis_frame
 from lograft.operators.order import order_by_key, ordering_report
 from lograft.operators.diff import snapshot_diff
+from lograft.operators.spread import rebalance
 
 __all__ = [
     "parse_relational",
@@ -17,4 +18,5 @@ __all__ = [
     "order_by_key",
     "ordering_report",
     "snapshot_diff",
+    "rebalance",
 ]

@@ -40,6 +40,27 @@ def _source_struct(position_field: str) -> str:
     return f"struct<db: string, `table`: string, {_q(position_field)}: string>"
 
 
+def _json_path(*names: str) -> str:
+    """JSON path for variant_get with bracket segments (any field name)."""
+    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
+
+
+def _key_text(raw: Column, variant_fallback: Column) -> tuple[Column, Column]:
+    """Key text and reject reason from the key read as a JSON *string* field.
+
+    Reading the key as string gives the right text for strings, numbers and
+    booleans in one pass. Only when that text is NULL or starts like an object
+    or array (``{``, ``[``) is the JSON type ambiguous; then, and only then,
+    ``variant_fallback`` (the key as VARIANT, evaluated lazily inside CASE)
+    decides.
+    """
+    ambiguous = raw.isNull() | raw.startswith("{") | raw.startswith("[")
+    fb_text, fb_reason = scalar_key_text(variant_fallback)
+    text = F.when(~ambiguous, raw).otherwise(fb_text)
+    reason = F.when(ambiguous, fb_reason)
+    return text, reason
+
+
 def parse_relational(
     df: DataFrame,
     pk: str = "id",
@@ -57,57 +78,86 @@ def parse_relational(
       table is absent).
     * ``stringify``: non-null ``before``/``after`` objects become JSON strings
       inside the re-serialized envelope. Otherwise ``value`` is the input text.
+
+    Built as a few narrow projections, each expensive expression referenced
+    once, so the whole chain stays in one whole-stage-codegen stage.
     """
     v = F.col(value_col)
+    src_t = _source_struct(position_field)
     if stringify:
-        schema = (
-            f"before string, after string, source string, op string, ts_ms string, "
-            f"transaction string, {_CORRUPT} string"
-        )
+        schema = (f"before string, after string, source string, op string, ts_ms string, "
+                  f"transaction string, {_CORRUPT} string")
     else:
-        img = f"struct<{_q(pk)}: variant>"
-        schema = f"before {img}, after {img}, source {_source_struct(position_field)}, op string, {_CORRUPT} string"
-    e = F.from_json(v, schema, _PARSE_OPTS)
-    parsed = df.withColumn("__e", e)
-    ec = F.col("__e")
+        img = f"struct<{_q(pk)}: string>"
+        schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
+    s1 = df.select(v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e"))
+    e = F.col("__e")
+    is_delete = e["op"] == "d"
 
     if stringify:
-        src = F.from_json(ec["source"], _source_struct(position_field))
-        db, table, pos_raw = src["db"], src["table"], src[position_field]
-        is_delete = ec["op"] == "d"
-        image = F.when(is_delete, ec["before"]).otherwise(ec["after"])
-        key_v = F.from_json(image, f"struct<{_q(pk)}: variant>")[pk]
+        # Stage 2: the chosen image text and the source struct, each parsed once.
+        s2 = s1.select(
+            "__v", "__e",
+            F.from_json(e["source"], src_t).alias("__s"),
+            F.when(is_delete, e["before"]).otherwise(e["after"]).alias("__img"),
+        )
+        s3 = s2.select(
+            "__v", "__e",
+            F.col("__s")["db"].alias("__db"), F.col("__s")["table"].alias("__table"),
+            F.col("__s")[position_field].alias("__pos"),
+            F.col("__img").isNull().alias("__img_null"),
+            F.from_json(F.col("__img"), f"struct<{_q(pk)}: string>")[pk].alias("__raw"),
+            F.col("__img"),
+        )
+        fallback = F.try_variant_get(F.try_parse_json(F.col("__img")), _json_path(pk), "variant")
     else:
-        db, table, pos_raw = ec["source"]["db"], ec["source"]["table"], ec["source"][position_field]
-        is_delete = ec["op"] == "d"
-        image = F.when(is_delete, ec["before"]).otherwise(ec["after"])
-        key_v = image[pk]
-
-    op = ec["op"]
-    pk_text, key_reason = scalar_key_text(key_v)
+        s3 = s1.select(
+            "__v", "__e",
+            e["source"]["db"].alias("__db"), e["source"]["table"].alias("__table"),
+            e["source"][position_field].alias("__pos"),
+            F.when(is_delete, e["before"].isNull()).otherwise(e["after"].isNull()).alias("__img_null"),
+            F.when(is_delete, e["before"][pk]).otherwise(e["after"][pk]).alias("__raw"),
+        )
+        doc = F.try_parse_json(F.col("__v"))
+        fallback = F.when(
+            F.col("__e")["op"] == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
+        ).otherwise(F.try_variant_get(doc, _json_path("after", pk), "variant"))
+
+    # Stage 4: key text and key-level reject reason.
+    text, key_reason = _key_text(F.col("__raw"), fallback)
+    keep = ["__v", "__e", "__db", "__table", "__pos", "__img_null"]
+    s4 = s3.select(*keep, text.alias("__pk"), key_reason.alias("__kr"))
+
+    e = F.col("__e")
+    db, table, op = F.col("__db"), F.col("__table"), e["op"]
     is_schema = op.isNull()
-    not_json = ec.isNull() | ec[_CORRUPT].isNotNull()
-    reason = (
-        F.when(not_json, F.lit(NOT_JSON))
-        .when(db.isNull(), F.lit(DB_MISSING))
-        .when(is_schema, F.lit(None).cast("string"))
-        .when(table.isNull(), F.lit(TABLE_MISSING))
-        .when(image.isNull(), F.lit(IMAGE_MISSING))
-        .otherwise(key_reason)
+    not_json = e.isNull() | e[_CORRUPT].isNotNull()
+    s5 = s4.select(
+        "*",
+        not_json.alias("__bad"),
+        (
+            F.when(not_json, F.lit(NOT_JSON))
+            .when(db.isNull(), F.lit(DB_MISSING))
+            .when(is_schema, F.lit(None).cast("string"))
+            .when(table.isNull(), F.lit(TABLE_MISSING))
+            .when(F.col("__img_null"), F.lit(IMAGE_MISSING))
+            .otherwise(F.col("__kr"))
+        ).alias("__reason"),
     )
+    reason = F.col("__reason")
     pkey = F.when(is_schema, key_string(db, F.coalesce(table, F.lit(NO_TABLE)), F.lit(NO_PK))).otherwise(
-        key_string(db, table, pk_text)
-    )
+        key_string(db, table, F.col("__pk")))
     # Schema changes carry no row images: their text passes unchanged.
-    out_value = F.when(is_schema, v).otherwise(_stringified_envelope(ec)) if stringify else v
-    return parsed.select(
+    out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e)) \
+        if stringify else F.col("__v")
+    return s5.select(
         db.alias("db"),
         table.alias("table"),
         op.alias("op"),
-        pos_raw.cast("bigint").alias("pos"),
-        F.when(is_schema & ~not_json, F.lit("schema")).otherwise(F.lit("row")).alias("event_kind"),
+        F.col("__pos").cast("bigint").alias("pos"),
+        F.when(is_schema & ~F.col("__bad"), F.lit("schema")).otherwise(F.lit("row")).alias("event_kind"),
         F.when(reason.isNull(), pkey).alias("partition_key"),
-        F.when(not_json, v).otherwise(out_value).alias("value"),
+        out_value.alias("value"),
         reason.alias("reject_reason"),
     )
 

@@ -13,6 +13,7 @@ from lograft import config as C
 from lograft.operators.envelope import parse_document, parse_relational
 from lograft.operators.filters import include
 from lograft.operators.route import route
+from lograft.operators.spread import rebalance
 
 
 def relational_job(
@@ -21,10 +22,11 @@ def relational_job(
     target: C.KafkaTarget,
     value_col: str = "value",
     hash_method: str = "reflect",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Envelope text -> routed records with ``topic`` and ``partition``."""
     parsed = parse_relational(
-        feed, pk=source.pk, stringify=source.stringify, value_col=value_col,
+        rebalance(feed, num_partitions), pk=source.pk, stringify=source.stringify, value_col=value_col,
         position_field=source.position_field,
     )
     parsed = include(parsed, databases=source.databases, tables=source.tables)
@@ -37,10 +39,11 @@ def document_job(
     target: C.KafkaTarget | None = None,
     value_col: str = "value",
     hash_method: str = "reflect",
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Document envelope text -> routed records (``topic``/``partition`` only
     for a Kafka target; Kinesis routes by ``partition_key`` alone)."""
-    parsed = parse_document(feed, value_col=value_col)
+    parsed = parse_document(rebalance(feed, num_partitions), value_col=value_col)
     parsed = include(parsed, databases=source.databases, tables=_collections(source.collections))
     return route(parsed, target, hash_method) if target is not None else parsed
 
