@@ -1,0 +1,96 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from lograft.operators import parse_document, parse_relational, split_rejects
+
+SRC = '"source":{"db":"d","table":"t","pos":5}'
+REL_CASES = [
+    # (envelope, expected key, expected reason)
+    ('{"before":{"id":"k1"},"after":null,' + SRC + ',"op":"d"}', "d.t.k1", None),
+    ('{"before":null,"after":{"id":{"scale":0,"value":"AQ=="}},' + SRC + ',"op":"c"}', None, "key_not_scalar"),
+    ('{"before":null,"after":{"id":null},' + SRC + ',"op":"c"}', None, "key_null"),
+    ('{"before":null,"after":{"n":1},' + SRC + ',"op":"c"}', None, "key_missing"),
+    ('{"before":null,"after":{"id":true},' + SRC + ',"op":"c"}', "d.t.true", None),
+    ('{"before":null,"after":{"id":42},' + SRC + ',"op":"u"}', "d.t.42", None),
+    ('{"before":null,"after":{"id":"{x"},' + SRC + ',"op":"c"}', "d.t.{x", None),
+    ('{"before":null,"after":{"id":[7]},' + SRC + ',"op":"c"}', "d.t.7", None),
+    ('{"before":null,"after":{"id":[7,8]},' + SRC + ',"op":"c"}', None, "key_not_scalar"),
+    ('{"op":"c", bad', None, "not_json"),
+    ('{"before":null,"after":{"id":1},"source":{"table":"t"},"op":"c"}', None, "db_missing"),
+    ('{"before":null,"after":{"id":1},"source":{"db":"d"},"op":"c"}', None, "table_missing"),
+    ('{"before":null,"after":null,' + SRC + ',"op":"c"}', None, "image_missing"),
+    ('{"source":{"db":"d","table":"t"},"ddl":"ALTER TABLE t ADD c INT"}', "d.t.no_pk", None),
+    ('{"source":{"db":"d"},"ddl":"CREATE INDEX"}', "d.no_table.no_pk", None),
+]
+
+
+@pytest.mark.parametrize("stringify", [False, True])
+def test_relational_edge_rows(spark, stringify):
+    df = spark.createDataFrame([(v,) for v, _, _ in REL_CASES], "value string")
+    rows = parse_relational(df, "id", stringify=stringify).collect()
+    assert len(rows) == len(REL_CASES)
+    for (value, key, reason), r in zip(REL_CASES, rows):
+        assert (r.partition_key, r.reject_reason) == (key, reason), value
+
+
+def test_schema_events_kind_and_value(spark):
+    v = '{"source":{"db":"d","table":"t"},"ddl":"ALTER TABLE t ADD c INT"}'
+    r = parse_relational(spark.createDataFrame([(v,)], "value string"), stringify=True).first()
+    assert r.event_kind == "schema" and r.value == v and r.op is None
+
+
+def test_custom_pk_name_and_position(spark):
+    v = '{"before":null,"after":{"ID":9,"id":1},"source":{"db":"d","table":"t","scn":"77"},"op":"c"}'
+    r = parse_relational(spark.createDataFrame([(v,)], "value string"), pk="ID", position_field="scn").first()
+    assert r.partition_key == "d.t.9" and r.pos == 77
+
+
+def test_stringify_round_trip(spark):
+    after = {"id": 3, "name": "a\"b\\c", "n": None, "nested": {"x": [1, 2]}}
+    before = {"id": 3, "name": "old"}
+    env = {"before": before, "after": after, "source": {"db": "d", "table": "t", "pos": 1}, "op": "u",
+           "ts_ms": 17, "transaction": None}
+    r = parse_relational(spark.createDataFrame([(json.dumps(env),)], "value string"), stringify=True).first()
+    out = json.loads(r.value)
+    assert isinstance(out["before"], str) and isinstance(out["after"], str)
+    assert json.loads(out["after"]) == after and json.loads(out["before"]) == before
+    assert out["source"] == env["source"] and out["op"] == "u" and out["ts_ms"] == 17
+    assert out["transaction"] is None
+
+
+def test_not_stringified_value_passes_unchanged(spark):
+    v = '{"before":null,"after":{"id":1,"v":1.50},"source":{"db":"d","table":"t"},"op":"c"}'
+    r = parse_relational(spark.createDataFrame([(v,)], "value string"), stringify=False).first()
+    assert r.value == v
+
+
+DOC_CASES = [
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":\\"abc\\"}"}', 'm.c."abc"', None),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":{\\"$oid\\":\\"65\\"}}"}', 'm.c.{"$oid":"65"}', None),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":5}"}', "m.c.5", None),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":null}"}', "m.c.null", None),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":null}', "m.c.no_pk", None),
+    ('{"ns":{"db":"m","coll":"c"}}', "m.c.no_pk", None),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"{}"}', None, "key_missing"),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":{"_id":1}}', None, "document_key_not_string"),
+    ('{"ns":{"db":"m","coll":"c"},"documentKey":"not json"}', None, "document_key_not_object"),
+    ('{"ns":{"db":"m"},"documentKey":"{\\"_id\\":1}"}', None, "table_missing"),
+    ('garbage', None, "not_json"),
+]
+
+
+def test_document_edge_rows(spark):
+    df = spark.createDataFrame([(v,) for v, _, _ in DOC_CASES], "value string")
+    rows = parse_document(df).collect()
+    for (value, key, reason), r in zip(DOC_CASES, rows):
+        assert (r.partition_key, r.reject_reason) == (key, reason), value
+        assert r.value == value
+
+
+def test_split_rejects(spark):
+    df = spark.createDataFrame([(v,) for v, _, _ in REL_CASES], "value string")
+    good, bad = split_rejects(parse_relational(df))
+    assert good.count() + bad.count() == len(REL_CASES)
+    assert bad.filter(F.col("partition_key").isNotNull()).count() == 0

@@ -1,0 +1,67 @@
+import json
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from lograft.functions import java_string_hash, json_quote, key_partition, key_string, topic_for_database
+from tests.conftest import java_hash
+
+FIXED = [
+    ("db.t.1", -1340063801, 6),
+    ("polygenelubricants", -2147483648, 2),
+    ("订单.表.😀", -271911484, 5),
+]
+
+
+@pytest.mark.parametrize("method", ["reflect", "sql", "pandas"])
+def test_hash_fixtures(spark, method):
+    df = spark.createDataFrame([(k,) for k, _, _ in FIXED] + [("",), (None,)], "k string")
+    rows = df.select("k", java_string_hash("k", method).alias("h"), key_partition("k", 7, method).alias("p")).collect()
+    got = {r.k: (r.h, r.p) for r in rows}
+    for k, h, p in FIXED:
+        assert got[k] == (h, p)
+    assert got[""] == (0, 0)
+    assert got[None] == (None, None)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=60))
+def test_hash_methods_agree_with_java(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    rows = df.select("k", *[java_string_hash("k", m).alias(m) for m in ("reflect", "sql", "pandas")]).collect()
+    for r in rows:
+        expect = java_hash(r.k)
+        assert r.reflect == r.sql == r.pandas == expect, r.k
+
+
+def test_partition_is_remainder_then_abs(spark):
+    # pmod would give 1 for hash -1340063801 and 7 partitions; Java gives 6.
+    df = spark.createDataFrame([("db.t.1",)], "k string")
+    assert df.select(key_partition("k", 7)).first()[0] == 6
+
+
+def test_topic_names(spark):
+    df = spark.createDataFrame([("A_b_C",), ("App_DB_signup",)], "db string")
+    rows = df.select(
+        topic_for_database(F.col("db"), "").alias("a"),
+        topic_for_database(F.col("db"), None).alias("b"),
+        topic_for_database(F.col("db"), "x.").alias("c"),
+    ).collect()
+    assert [r.a for r in rows] == ["cdc-a-b-c", "cdc-app-db-signup"]
+    assert rows[0].b == "cdc-a-b-c"
+    assert rows[0].c == "x.a-b-c"
+
+
+def test_key_string_never_prints_null(spark):
+    df = spark.createDataFrame([("d", "t", "1"), ("d", None, "1")], "db string, t string, k string")
+    assert [r[0] for r in df.select(key_string(F.col("db"), F.col("t"), F.col("k"))).collect()] == ["d.t.1", None]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(max_size=30), min_size=1, max_size=40))
+def test_json_quote_round_trips(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    for r in df.select("s", json_quote(F.col("s")).alias("q")).collect():
+        assert json.loads(r.q) == r.s
+        assert " " not in r.q and " " not in r.q
