@@ -45,20 +45,22 @@ def _json_path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
 
 
-def _key_text(raw: Column, variant_fallback: Column) -> tuple[Column, Column]:
-    """Key text and reject reason from the key read as a JSON *string* field.
-
-    Reading the key as string gives the right text for strings, numbers and
-    booleans in one pass. Only when that text is NULL or starts like an object
-    or array (``{``, ``[``) is the JSON type ambiguous; then, and only then,
-    ``variant_fallback`` (the key as VARIANT, evaluated lazily inside CASE)
-    decides.
+def _with_key_text(df: DataFrame, keep: list[str], variant_fallback: Column) -> DataFrame:
+    """Add ``__pk`` (key text) and ``__kr`` (key reject reason) from ``__raw``.
+
+    ``__raw`` is the key read as a JSON *string* field: the right text for
+    strings, numbers and booleans in the one parse. Only when it is NULL or
+    starts like an object or array (``{``, ``[``) is the JSON type ambiguous;
+    for those rows alone ``variant_fallback`` (the key as VARIANT) is computed,
+    in its own projection, and decides.
     """
-    ambiguous = raw.isNull() | raw.startswith("{") | raw.startswith("[")
-    fb_text, fb_reason = scalar_key_text(variant_fallback)
-    text = F.when(~ambiguous, raw).otherwise(fb_text)
-    reason = F.when(ambiguous, fb_reason)
-    return text, reason
+    raw = F.col("__raw")
+    s1 = df.select(*keep, "__raw", (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb"),
+                   *[c for c in df.columns if c in ("__img",)])
+    s2 = s1.select(*keep, "__raw", "__amb", F.when(F.col("__amb"), variant_fallback).alias("__fb"))
+    fb_text, fb_reason = scalar_key_text(F.col("__fb"))
+    amb = F.col("__amb")
+    return s2.select(*keep, F.when(~amb, raw).otherwise(fb_text).alias("__pk"), F.when(amb, fb_reason).alias("__kr"))
 
 
 def parse_relational(
@@ -124,9 +126,8 @@ def parse_relational(
         ).otherwise(F.try_variant_get(doc, _json_path("after", pk), "variant"))
 
     # Stage 4: key text and key-level reject reason.
-    text, key_reason = _key_text(F.col("__raw"), fallback)
     keep = ["__v", "__e", "__db", "__table", "__pos", "__img_null"]
-    s4 = s3.select(*keep, text.alias("__pk"), key_reason.alias("__kr"))
+    s4 = _with_key_text(s3, keep, fallback)
 
     e = F.col("__e")
     db, table, op = F.col("__db"), F.col("__table"), e["op"]

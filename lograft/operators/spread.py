@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def rebalance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -15,10 +16,14 @@ def rebalance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     inputs (one file, one row group, one Kafka partition). For a stream the
     count of a micro-batch is unknown up front; pass ``num_partitions`` to
     always redistribute.
+
+    Rows are hash-partitioned on ``xxhash64`` of all columns: deterministic
+    under task retries without the local sort a round-robin repartition
+    needs. Only fully identical rows share a task.
     """
     if df.isStreaming:
-        return df.repartition(num_partitions) if num_partitions else df
+        return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= n:
         return df
-    return df.repartition(n)
+    return df.repartition(n, F.xxhash64(*df.columns))
