@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame transforms; each works on batch and streaming input."""
 
-from lograft.operators.envelope import parse_document, parse_relational, split_rejects
+from lograft.operators.envelope import parse_document, parse_relational, split_rejects, unknown_root_fields
 from lograft.operators.filters import include
 from lograft.operators.route import route, sink_frame, kinesis_frame
 from lograft.operators.order import order_by_key, ordering_report
@@ -11,6 +11,7 @@ __all__ = [
     "parse_relational",
     "parse_document",
     "split_rejects",
+    "unknown_root_fields",
     "include",
     "route",
     "sink_frame",

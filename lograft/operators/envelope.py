@@ -13,6 +13,8 @@ known without a second parse of the whole envelope.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ _PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
 
 ROUTED_COLUMNS = ("db", "table", "op", "pos", "event_kind", "partition_key", "value", "reject_reason")
 
+# Root fields of the relational envelope, in envelope order.
+RELATIONAL_FIELDS = ("before", "after", "source", "op", "ts_ms", "transaction")
+
 
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -69,6 +74,7 @@ def parse_relational(
     stringify: bool = False,
     value_col: str = "value",
     position_field: str = "pos",
+    extra_fields: tuple[str, ...] = (),
 ) -> DataFrame:
     """Relational (insert / update / delete) envelopes to routed records.
 
@@ -80,6 +86,8 @@ def parse_relational(
       table is absent).
     * ``stringify``: non-null ``before``/``after`` objects become JSON strings
       inside the re-serialized envelope. Otherwise ``value`` is the input text.
+      Root fields outside the envelope are carried only when named in
+      ``extra_fields`` (see ``unknown_root_fields`` to find them).
 
     Built as a few narrow projections, each expensive expression referenced
     once, so the whole chain stays in one whole-stage-codegen stage.
@@ -87,8 +95,9 @@ def parse_relational(
     v = F.col(value_col)
     src_t = _source_struct(position_field)
     if stringify:
+        extras = "".join(f", {_q(x)} variant" for x in extra_fields)
         schema = (f"before string, after string, source string, op string, ts_ms string, "
-                  f"transaction string, {_CORRUPT} string")
+                  f"transaction string{extras}, {_CORRUPT} string")
     else:
         img = f"struct<{_q(pk)}: string>"
         schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
@@ -149,7 +158,7 @@ def parse_relational(
     pkey = F.when(is_schema, key_string(db, F.coalesce(table, F.lit(NO_TABLE)), F.lit(NO_PK))).otherwise(
         key_string(db, table, F.col("__pk")))
     # Schema changes carry no row images: their text passes unchanged.
-    out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e)) \
+    out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e, extra_fields)) \
         if stringify else F.col("__v")
     return s5.select(
         db.alias("db"),
@@ -167,7 +176,7 @@ def _raw_or_null(c: Column) -> Column:
     return F.coalesce(c, F.lit("null"))
 
 
-def _stringified_envelope(ec: Column) -> Column:
+def _stringified_envelope(ec: Column, extra_fields: tuple[str, ...] = ()) -> Column:
     """Re-serialize the envelope with ``before``/``after`` as JSON strings.
 
     ``before``/``after``/``source``/``transaction`` arrive as compact raw JSON
@@ -184,6 +193,8 @@ def _stringified_envelope(ec: Column) -> Column:
         F.lit(',"op":'), F.coalesce(json_quote(ec["op"]), F.lit("null")),
         F.lit(',"ts_ms":'), _raw_or_null(ec["ts_ms"]),
         F.lit(',"transaction":'), _raw_or_null(ec["transaction"]),
+        *[F.when(ec[x].isNotNull(), F.concat(F.lit("," + json.dumps(x) + ":"), F.to_json(ec[x]))).otherwise(F.lit(""))
+          for x in extra_fields],
         F.lit("}"),
     )
 
@@ -219,6 +230,20 @@ def parse_document(df: DataFrame, value_col: str = "value", position_field: str
     )
 
 
+def unknown_root_fields(df: DataFrame, value_col: str = "value",
+                        known: tuple[str, ...] = RELATIONAL_FIELDS) -> DataFrame:
+    """Add ``unknown_fields`` (root keys outside ``known``) and their count.
+
+    A fixed parse schema drops root fields it does not name; this finds them
+    so they can be added to ``extra_fields``. NULL for text that is not a
+    JSON object.
+    """
+    keys = F.json_object_keys(F.col(value_col))
+    unknown = F.filter(keys, lambda k: ~k.isin(*known))
+    return df.withColumn("unknown_fields", unknown).withColumn(
+        "n_unknown_fields", F.when(keys.isNotNull(), F.size(F.col("unknown_fields"))))
+
+
 def split_rejects(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, rejected rows). Persist ``routed`` first if both are written."""
     return (

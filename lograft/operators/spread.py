@@ -23,7 +23,11 @@ def rebalance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= n:
+    try:
+        n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
+        return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df
+    if current >= n:
         return df
     return df.repartition(n, F.xxhash64(*df.columns))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lograft.config import DocumentSource, KafkaTarget, RelationalSource
 from lograft.operators.diff import snapshot_diff
-from lograft.operators.envelope import parse_relational, parse_document
+from lograft.operators.envelope import parse_document, parse_relational, unknown_root_fields
 from lograft.operators.order import order_by_key, ordering_report
 from lograft.operators.route import kinesis_frame, route, sink_frame
 from lograft.operators.spread import rebalance
@@ -135,8 +135,9 @@ def snapshot_diff_query(spark, sf_dir):
     )
 
 
-def schema_events(spark, sf_dir):
-    events = _t(spark, sf_dir, "events")
+def _events_with_schema_changes(events: DataFrame) -> DataFrame:
+    """Feed B plus schema-change events: per event type one DDL on the table
+    and one without a table name."""
     types = events.select("event_type").distinct()
     db = F.concat(F.lit("App_DB_"), F.col("event_type"))
     ddl = types.select(F.to_json(F.struct(
@@ -147,11 +148,22 @@ def schema_events(spark, sf_dir):
         F.struct(db.alias("db")).alias("source"),
         F.concat(F.lit("CREATE INDEX i_"), F.col("event_type"), F.lit(" ON t(c)")).alias("ddl"),
     )).alias("value"))
-    feed = events_change_feed(events).unionByName(ddl).unionByName(db_ddl)
+    return events_change_feed(events).unionByName(ddl).unionByName(db_ddl)
+
+
+def schema_events(spark, sf_dir):
+    feed = _events_with_schema_changes(_t(spark, sf_dir, "events"))
     r = parse_relational(feed, pk="id", stringify=True)
     return r.select("event_kind", "db", "op", "partition_key")
 
 
+def unknown_root_fields_query(spark, sf_dir):
+    feed = _events_with_schema_changes(_t(spark, sf_dir, "events"))
+    r = unknown_root_fields(parse_relational(feed, pk="id", stringify=False))
+    return r.select("event_kind", "partition_key", "n_unknown_fields",
+                    F.array_join("unknown_fields", ",").alias("unknown_fields"))
+
+
 def rejected_events(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     rule = F.col("event_id") % 8
@@ -245,12 +257,12 @@ def stream_routed_files(spark, sf_dir):
     root = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="lograft-ckpt-"))
     run = f"{root}/stream_routed_files/{uuid.uuid4().hex}"
     write_feed(events_change_feed(_t(spark, sf_dir, "events")), f"{run}/feed")
-    stream = read_feed(spark, f"{run}/feed", streaming=True, max_files_per_trigger=4)
+    stream = read_feed(spark, f"{run}/feed", streaming=True)
     routed = relational_job(stream, MYSQL, PER_DB)
     q = start_file_job(routed, f"stream_routed_files_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects",
-                       f"{run}/checkpoint", available_now=True)
+                       f"{run}/checkpoint", available_now=True, fmt="parquet")
     q.awaitTermination()
-    out = spark.read.schema("topic string, partition_key string, partition int, pos bigint").json(f"{run}/out")
+    out = spark.read.parquet(f"{run}/out")
     return out.select("topic", "partition_key", "partition", "pos")
 
 
@@ -272,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "startup_snapshot": startup_snapshot,
     "snapshot_diff": snapshot_diff_query,
     "schema_events": schema_events,
+    "unknown_root_fields": unknown_root_fields_query,
     "rejected_events": rejected_events,
     "include_lists": include_lists,
     "key_by_operation": key_by_operation,
@@ -354,6 +367,12 @@ ORACLE_SQL: dict[str, str] = {
         "FROM (SELECT DISTINCT event_type FROM events) "
         f"UNION ALL SELECT 'schema', {_EV_DB}, CAST(NULL AS VARCHAR), {_EV_DB} || '.no_table.no_pk' "
         "FROM (SELECT DISTINCT event_type FROM events)"),
+    "unknown_root_fields": (
+        f"SELECT 'row' AS event_kind, {_EV_KEY} AS partition_key, 0 AS n_unknown_fields, '' AS unknown_fields "
+        "FROM events "
+        f"UNION ALL SELECT 'schema', {_EV_DB} || '.events.no_pk', 1, 'ddl' FROM (SELECT DISTINCT event_type FROM events) "
+        f"UNION ALL SELECT 'schema', {_EV_DB} || '.no_table.no_pk', 1, 'ddl' "
+        "FROM (SELECT DISTINCT event_type FROM events)"),
     "rejected_events": (
         f"SELECT CASE WHEN event_id % 8 <> 0 THEN {_EV_DB} END AS db, "
         "CASE WHEN event_id % 8 <> 0 THEN 'c' END AS op, "

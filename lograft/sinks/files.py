@@ -13,7 +13,7 @@ def write_batch_files(
     routed: DataFrame,
     output_path: str,
     reject_path: str | None,
-    batch_id: int,
+    batch_id: int | str,
     fmt: str = "json",
     num_partitions: int | None = None,
     partition_by: tuple[str, ...] = ("topic",),

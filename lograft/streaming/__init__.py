@@ -1,5 +1,17 @@
 """Structured Streaming jobs."""
 
-from lograft.streaming.job import checkpoint_root, ensure_checkpoint_dir, start_file_job, ordered_file_writer
+from lograft.streaming.job import (
+    checkpoint_root,
+    ensure_checkpoint_dir,
+    ordered_file_writer,
+    start_file_job,
+    start_initial_job,
+)
 
-__all__ = ["checkpoint_root", "ensure_checkpoint_dir", "start_file_job", "ordered_file_writer"]
+__all__ = [
+    "checkpoint_root",
+    "ensure_checkpoint_dir",
+    "start_file_job",
+    "start_initial_job",
+    "ordered_file_writer",
+]

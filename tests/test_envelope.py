@@ -94,3 +94,17 @@ def test_split_rejects(spark):
     good, bad = split_rejects(parse_relational(df))
     assert good.count() + bad.count() == len(REL_CASES)
     assert bad.filter(F.col("partition_key").isNotNull()).count() == 0
+
+
+def test_unknown_root_fields_and_extra_fields(spark):
+    from lograft.operators import unknown_root_fields
+
+    v = '{"before":null,"after":{"id":1},"source":{"db":"d","table":"t"},"op":"c","ts_ms":5,"x_tag":{"b":1},"n":"s"}'
+    df = spark.createDataFrame([(v,), ("nope",)], "value string")
+    rows = unknown_root_fields(df).collect()
+    assert sorted(rows[0].unknown_fields) == ["n", "x_tag"] and rows[0].n_unknown_fields == 2
+    assert rows[1].n_unknown_fields is None
+    out = parse_relational(df.limit(1), stringify=True, extra_fields=("x_tag", "n", "absent")).first()
+    doc = json.loads(out.value)
+    assert doc["x_tag"] == {"b": 1} and doc["n"] == "s" and "absent" not in doc
+    assert json.loads(doc["after"]) == {"id": 1}

@@ -59,3 +59,33 @@ def test_order_by_key_has_no_inversions(spark):
     rep = ordering_report(order_by_key(routed, 6))
     agg = rep.agg(F.sum("inversions").alias("inv"), F.max("n_tasks").alias("tasks"), F.sum("n_events").alias("n")).first()
     assert (agg.inv, agg.tasks, agg.n) == (0, 1, 1000)
+
+
+def test_initial_job_snapshot_then_stream(spark, scratch):
+    from lograft.operators import parse_relational
+    from lograft.sources import snapshot_events
+    from lograft.sources.tables import orders_change_log, orders_snapshots
+    from lograft.streaming import start_initial_job
+
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    old, _ = orders_snapshots(orders)
+    history, tail = orders_change_log(orders)
+    write_feed(history, f"{scratch}/feed/history")
+
+    def job(df):
+        return parse_relational(df, pk="o_orderkey").withColumn("topic", F.lit("t")).withColumn("partition", F.lit(0))
+
+    def run(name):
+        q = start_initial_job(spark, job, snapshot_events(old, "tpch", "orders"),
+                              read_feed(spark, f"{scratch}/feed/*"), read_feed(spark, f"{scratch}/feed/*", streaming=True),
+                              name, f"{scratch}/out", None, f"{scratch}/chk", available_now=True, fmt="parquet")
+        q.awaitTermination()
+
+    run("t_initial_1")
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.count() == old.count()  # snapshot only: the history is before the hand-off
+    write_feed(tail, f"{scratch}/feed/tail")
+    run("t_initial_2")  # restart: no second snapshot, only the new changes
+    out = spark.read.parquet(f"{scratch}/out")
+    assert out.count() == old.count() + tail.count()
+    assert out.filter("op = 'r'").count() == old.count()
