@@ -276,6 +276,13 @@ def ordered_per_key(spark, sf_dir):
     return ordering_report(order_by_key(routed, 8))
 
 
+def ordered_hot_key(spark, sf_dir):
+    """A third of all events on one key; range ordering splits that key over
+    tasks and the order still holds across them."""
+    routed = _events_routed(spark, sf_dir, hot_key=True)
+    return ordering_report(order_by_key(routed, 8, strategy="range")).select("partition_key", "n_events", "inversions")
+
+
 # --- registry ------------------------------------------------------------------
 
 QUERIES: dict[str, Query] = {
@@ -301,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "kinesis_record": kinesis_record,
     "stream_routed_files": stream_routed_files,
     "ordered_per_key": ordered_per_key,
+    "ordered_hot_key": ordered_hot_key,
 }
 
 
@@ -408,6 +416,9 @@ ORACLE_SQL: dict[str, str] = {
     "stream_routed_files": (
         f"SELECT {_EV_TOPIC} AS topic, {_EV_KEY} AS partition_key, {_partition_sql(_EV_KEY, '7')} AS partition, "
         "event_id AS pos FROM events"),
+    "ordered_hot_key": (
+        "SELECT 'App_DB_' || event_type || '.events.' || CAST(CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END "
+        "AS VARCHAR) AS partition_key, count(*) AS n_events, CAST(0 AS BIGINT) AS inversions FROM events GROUP BY 1"),
     "ordered_per_key": (
         f"SELECT {_EV_KEY} AS partition_key, count(*) AS n_events, CAST(0 AS BIGINT) AS inversions, "
         "CAST(1 AS BIGINT) AS n_tasks FROM events GROUP BY 1"),

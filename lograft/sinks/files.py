@@ -17,9 +17,13 @@ def write_batch_files(
     fmt: str = "json",
     num_partitions: int | None = None,
     partition_by: tuple[str, ...] = ("topic",),
+    strategy: str = "range",
 ) -> None:
     """Write one batch: good rows ordered per key, rejects aside.
 
+    Ordering uses the ``range`` strategy by default, so a hot key is spread
+    over several files in position order instead of loading one task.
+
     Each batch goes to its own ``batch_id=N`` directory in overwrite mode, so
     a batch replayed after a failure replaces its earlier partial output:
     exactly-once together with the stream checkpoint.
@@ -27,7 +31,7 @@ def write_batch_files(
     routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good, bad = split_rejects(routed)
-        ordered = order_by_key(good, num_partitions)
+        ordered = order_by_key(good, num_partitions, strategy=strategy)
         (ordered.write.mode("overwrite").partitionBy(*partition_by).format(fmt)
          .save(f"{output_path}/batch_id={batch_id}"))
         if reject_path is not None:

@@ -39,10 +39,22 @@ def events_op(event_id: Column) -> Column:
     return F.when(r == 0, "d").when(r.isin(1, 2), "u").when(r == 3, "r").otherwise("c")
 
 
-def events_change_feed(events: DataFrame, pk_as_string: bool = False) -> DataFrame:
-    """Relational change envelopes (``value``) from ``events``."""
+HOT_USER = -1  # key of the skewed feed's hot user
+
+
+def hot_user_id(events_event_id: Column, user_id: Column) -> Column:
+    """Skewed keys: every third event (``event_id % 3 = 0``) goes to one user."""
+    return F.when(events_event_id % 3 == 0, F.lit(HOT_USER).cast("bigint")).otherwise(user_id)
+
+
+def events_change_feed(events: DataFrame, pk_as_string: bool = False, hot_key: bool = False) -> DataFrame:
+    """Relational change envelopes (``value``) from ``events``.
+
+    ``hot_key``: a third of all events share one key (see ``hot_user_id``).
+    """
     op = events_op(F.col("event_id"))
-    pk = F.col("user_id").cast("string") if pk_as_string else F.col("user_id")
+    user = hot_user_id(F.col("event_id"), F.col("user_id")) if hot_key else F.col("user_id")
+    pk = user.cast("string") if pk_as_string else user
     image = F.struct(
         pk.alias("id"),
         F.col("event_id"),

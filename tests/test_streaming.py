@@ -89,3 +89,17 @@ def test_initial_job_snapshot_then_stream(spark, scratch):
     out = spark.read.parquet(f"{scratch}/out")
     assert out.count() == old.count() + tail.count()
     assert out.filter("op = 'r'").count() == old.count()
+
+
+def test_range_ordering_splits_hot_key(spark):
+    from lograft.sources.tables import events_change_feed as feed_of
+
+    feed = feed_of(spark.read.parquet(f"{SF001}/events.parquet"), hot_key=True)
+    routed = relational_job(feed.repartition(4), SRC, TGT)
+    rep = ordering_report(order_by_key(routed, 40, strategy="range"))
+    hot = rep.orderBy(F.desc("n_events")).first()
+    assert hot.partition_key.endswith(".events.-1") and hot.n_tasks > 1
+    assert rep.agg(F.sum("inversions")).first()[0] == 0
+    # Reversing the order inside tasks is caught.
+    bad = order_by_key(routed, 40, strategy="range").sortWithinPartitions(F.desc("pos"))
+    assert ordering_report(bad).agg(F.sum("inversions")).first()[0] > 0
