@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from lograft.config import SINK_TARGETS, KafkaTarget, KinesisTarget
 from lograft.operators.route import kinesis_frame, sink_frame
-from lograft.sinks.kafka import write_kafka
+from lograft.sinks.kafka import check_delivery, write_kafka
 from lograft.sinks.kinesis import write_kinesis
 
 
@@ -17,15 +17,29 @@ def make_sink(
     kafka: KafkaTarget | None = None,
     kinesis: KinesisTarget | None = None,
     kinesis_client_factory: Callable[[], object] | None = None,
-) -> Callable[[DataFrame], object]:
-    """Writer for routed records: ``msk`` (Kafka) or ``kds`` (Kinesis).
-    An unknown target raises instead of silently attaching no sink."""
+    reject_path: str | None = None,
+) -> Callable[[DataFrame], None]:
+    """Writer for a batch of routed records: ``msk`` (Kafka) or ``kds`` (Kinesis).
+
+    An unknown target raises instead of silently attaching no sink. Kinesis
+    records that still fail after retries are appended to ``reject_path``
+    (Parquet); without one they are only counted, which still runs the puts.
+    """
     if sink_target == "msk":
         if kafka is None:
             raise ValueError("sinkTarget 'msk' needs a Kafka target")
+        check_delivery(kafka)
         return lambda routed: write_kafka(sink_frame(routed, kafka.allow_duplicates), kafka)
     if sink_target == "kds":
         if kinesis is None:
             raise ValueError("sinkTarget 'kds' needs a Kinesis target")
-        return lambda routed: write_kinesis(kinesis_frame(routed, kinesis.stream_name), kinesis, kinesis_client_factory)
+
+        def write(routed: DataFrame) -> None:
+            rejects = write_kinesis(kinesis_frame(routed, kinesis.stream_name), kinesis, kinesis_client_factory)
+            if reject_path is None:
+                rejects.count()
+            else:
+                rejects.write.mode("append").parquet(reject_path)
+
+        return write
     raise ValueError(f"unknown sinkTarget {sink_target!r}; expected one of {SINK_TARGETS}")

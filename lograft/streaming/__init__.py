@@ -6,6 +6,7 @@ from lograft.streaming.job import (
     ordered_file_writer,
     start_file_job,
     start_initial_job,
+    start_sink_job,
 )
 
 __all__ = [
@@ -13,5 +14,6 @@ __all__ = [
     "ensure_checkpoint_dir",
     "start_file_job",
     "start_initial_job",
+    "start_sink_job",
     "ordered_file_writer",
 ]

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lograft.operators.envelope import split_rejects
+from lograft.operators.order import order_by_key
 from lograft.sinks.files import write_batch_files
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -116,3 +118,42 @@ def start_initial_job(
         spark.createDataFrame([(int(hand_off),)], "hand_off bigint").coalesce(1).write.mode("overwrite").json(marker)
     routed = job(feed_stream).filter(F.col(position) > F.lit(hand_off))
     return start_file_job(routed, name, output_path, reject_path, checkpoint_location, **start_kw)
+
+
+def start_sink_job(
+    routed_stream: DataFrame,
+    name: str,
+    writer: Callable[[DataFrame], None],
+    checkpoint_location: str,
+    reject_path: str | None = None,
+    available_now: bool = False,
+    processing_time: str | None = None,
+    num_partitions: int | None = None,
+) -> StreamingQuery:
+    """Start a routed stream into a message-log writer (``make_sink``).
+
+    Each micro-batch is ordered per key (``hash``: one writer task per key)
+    and handed to ``writer``; rejects go to ``reject_path``. Delivery is
+    at-least-once: a batch replayed after a failure is written again.
+    """
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location is required")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        from pyspark import StorageLevel
+
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = split_rejects(batch)
+            writer(order_by_key(good, num_partitions, strategy="hash"))
+            if reject_path is not None:
+                bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    w = routed_stream.writeStream.queryName(name).option("checkpointLocation", checkpoint_location).foreachBatch(write)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()

@@ -61,3 +61,28 @@ def test_include_lists(spark):
     assert include(df, databases="app, app2", keep_rejects=False).count() == 2
     assert include(df, databases="app,app2", keep_rejects=False).count() == 3
     assert include(df).count() == 4
+
+
+def test_relational_flavours_route_events(spark):
+    from lograft.plans.jobs import relational_job
+    from lograft.sources.tables import events_change_feed
+    from tests.conftest import SF001
+
+    feed = events_change_feed(spark.read.parquet(f"{SF001}/events.parquet"))
+    tgt = {"MSKTargetCDC": {"perDBTopicPrefix": "", "deliveryGuarantee": "at-least-once", "partitions": "5"}}
+    for kind, group in (("mysql", "MySQLSrcCDC"), ("postgres", "PgSrcCDC"), ("oracle", "OracleSrcCDC")):
+        props = {"db": "App_DB_(view|click)"}
+        if kind == "oracle":
+            props["pk"] = "id"  # the feed's key column is lower case
+        src, kafka = jobs_from_properties(kind, {group: props, **tgt})
+        out = relational_job(feed, src, kafka)
+        assert out.filter("reject_reason IS NOT NULL").count() == 0
+        assert {r.topic for r in out.select("topic").distinct().collect()} == {"cdc-app-db-view", "cdc-app-db-click"}
+        stringified = out.filter("op = 'c'").select(F.get_json_object("value", "$.after").alias("a")).first().a
+        assert stringified.startswith("{")
+        is_string = out.filter("op = 'c'").selectExpr("schema_of_variant(parse_json(value):after) AS t").first().t
+        assert (is_string == "STRING") == src.stringify
+    # Oracle's default key column is upper case: a lower-case feed is rejected, not dropped.
+    src, kafka = jobs_from_properties("oracle", {"OracleSrcCDC": {}, **tgt})
+    out = relational_job(feed, src, kafka)
+    assert out.filter("reject_reason = 'key_missing'").count() == out.count() == 1000

@@ -58,3 +58,31 @@ def test_write_kinesis_returns_rejects(spark):
     rejects = write_kinesis(df, KinesisTarget("s", max_retries=1), client_factory=FakeKinesis)
     rows = rejects.collect()
     assert [r.partition_key for r in rows] == ["bad"]
+
+
+def test_kinesis_stream_job_puts_everything_and_keeps_rejects(spark, scratch):
+    from lograft.config import DocumentSource
+    from lograft.plans.jobs import document_job
+    from lograft.sinks import make_sink
+    from lograft.sources import read_feed, write_feed
+    from lograft.sources.tables import conversation_change_feed
+    from lograft.streaming import start_sink_job
+    from tests.conftest import SF001
+
+    write_feed(conversation_change_feed(spark.read.parquet(f"{SF001}/conversations.parquet")), f"{scratch}/feed")
+    routed = document_job(read_feed(spark, f"{scratch}/feed", streaming=True), DocumentSource(sink_target="kds"))
+    writer = make_sink("kds", kinesis=KinesisTarget("s", max_retries=0), kinesis_client_factory=FailNoPk,
+                       reject_path=f"{scratch}/kinesis_rejects")
+    q = start_sink_job(routed, "t_kinesis", writer, f"{scratch}/chk", available_now=True)
+    q.awaitTermination()
+    rejects = spark.read.parquet(f"{scratch}/kinesis_rejects")
+    n_no_pk = spark.read.text(f"{scratch}/feed").filter("value NOT LIKE '%documentKey%'").count()
+    assert rejects.count() == n_no_pk > 0
+    assert rejects.filter("partition_key NOT LIKE '%.no_pk'").count() == 0
+
+
+class FailNoPk(FakeKinesis):
+    def put_records(self, StreamName, Records):
+        out = [{"ErrorCode": "X", "ErrorMessage": "no"} if r["PartitionKey"].endswith("no_pk") else {"ShardId": "0"}
+               for r in Records]
+        return {"FailedRecordCount": sum("ErrorCode" in o for o in out), "Records": out}
