@@ -14,6 +14,7 @@ known without a second parse of the whole envelope.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,22 @@ def _source_struct(position_field: str) -> str:
     return f"struct<db: string, `table`: string, {_q(position_field)}: string>"
 
 
+def _observed(df: DataFrame, kind: str) -> DataFrame:
+    """End the parse with ``observe``: per-query counts of events and rejects
+    (streaming progress reports them per micro-batch).
+
+    It is also a planning boundary: the optimizer does not push filters
+    through it, so a filter on parsed fields (include lists, rejects) stays
+    above the parse instead of being rewritten in terms of ``from_json`` and
+    parsing every event a second time.
+    """
+    return df.observe(
+        f"lograft_{kind}_{uuid.uuid4().hex[:12]}",
+        F.count(F.lit(1)).alias("events"),
+        F.count(F.col("reject_reason")).alias("rejects"),
+    )
+
+
 def _json_path(*names: str) -> str:
     """JSON path for variant_get with bracket segments (any field name)."""
     return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
@@ -160,7 +177,7 @@ def parse_relational(
     # Schema changes carry no row images: their text passes unchanged.
     out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e, extra_fields)) \
         if stringify else F.col("__v")
-    return s5.select(
+    return _observed(s5.select(
         db.alias("db"),
         table.alias("table"),
         op.alias("op"),
@@ -169,7 +186,7 @@ def parse_relational(
         F.when(reason.isNull(), pkey).alias("partition_key"),
         out_value.alias("value"),
         reason.alias("reject_reason"),
-    )
+    ), "relational")
 
 
 def _raw_or_null(c: Column) -> Column:
@@ -218,7 +235,7 @@ def parse_document(df: DataFrame, value_col: str = "value", position_field: str
         .when(coll.isNull(), F.lit(TABLE_MISSING))
         .otherwise(key_reason)
     )
-    return parsed.select(
+    return _observed(parsed.select(
         db.alias("db"),
         coll.alias("table"),
         F.lit(None).cast("string").alias("op"),
@@ -227,7 +244,7 @@ def parse_document(df: DataFrame, value_col: str = "value", position_field: str
         F.when(reason.isNull(), key_string(db, coll, pk_text)).alias("partition_key"),
         v.alias("value"),
         reason.alias("reject_reason"),
-    )
+    ), "document")
 
 
 def unknown_root_fields(df: DataFrame, value_col: str = "value",
