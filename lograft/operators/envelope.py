@@ -77,8 +77,10 @@ def _with_key_text(df: DataFrame, keep: list[str], variant_fallback: Column) ->
     in its own projection, and decides.
     """
     raw = F.col("__raw")
-    s1 = df.select(*keep, "__raw", (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb"),
-                   *[c for c in df.columns if c in ("__img",)])
+    # The fallback may read the chosen image text (stringify mode).
+    fallback_inputs = [c for c in ("__img",) if c in df.columns]
+    s1 = df.select(*keep, *fallback_inputs, "__raw",
+                   (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb"))
     s2 = s1.select(*keep, "__raw", "__amb", F.when(F.col("__amb"), variant_fallback).alias("__fb"))
     fb_text, fb_reason = scalar_key_text(F.col("__fb"))
     amb = F.col("__amb")
@@ -107,7 +109,8 @@ def parse_relational(
       ``extra_fields`` (see ``unknown_root_fields`` to find them).
 
     Built as a few narrow projections, each expensive expression referenced
-    once, so the whole chain stays in one whole-stage-codegen stage.
+    once, so everything after ``from_json`` (a codegen-fallback expression)
+    compiles into one whole-stage-codegen stage.
     """
     v = F.col(value_col)
     src_t = _source_struct(position_field)

@@ -102,14 +102,16 @@ def snapshot_time_zone(spark, sf_dir):
 
 
 def _orders_startup(spark, sf_dir, mode):
-    # Spread: the history side has no join left once its empty old snapshot
-    # is optimized away, so nothing else parallelizes its JSON work.
-    orders = _t(spark, sf_dir, "orders")
+    # Only the branches without a join are spread; the diff's join shuffles
+    # on the key and spreads its own work.
+    orders = _t(spark, sf_dir, "orders", spread=False)
     old, _ = orders_snapshots(orders)
-    history, tail = orders_change_log(orders)
-    log = history.unionByName(tail).select("value", "op", "pos")
-    snap = snapshot_events(old, ORDERS_DB, ORDERS_TABLE)
-    events = startup(mode, snapshot=snap, changes=log, start_position=highest_position(history))
+    history, tail = orders_change_log(orders, spread_history=True)
+    log = history.unionByName(tail)
+    snap = snapshot_events(rebalance(old), ORDERS_DB, ORDERS_TABLE)
+    # The hand-off from the unspread history: a pruned scan of the key column.
+    hand_off = highest_position(orders_change_log(orders)[0])
+    events = startup(mode, snapshot=snap, changes=log, start_position=hand_off)
     r = parse_relational(events, pk="o_orderkey", stringify=False)
     return r.select("op", "pos", "partition_key")
 

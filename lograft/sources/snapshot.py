@@ -43,9 +43,12 @@ def snapshot_events(
     time_zone: str | None = None,
     position: Column | None = None,
     ts_ms: Column | None = None,
+    op: str = "r",
 ) -> DataFrame:
     """Every row of a table as a read event (``op='r'``, ``before`` null).
 
+    ``op='c'`` gives create events instead, e.g. to replay a table into a log.
+
     Narrow transformation only: the scan's partitioning (file splits, or JDBC
     ranges from ``read_jdbc_snapshot``) carries straight through.
     Output: ``value`` (JSON envelope) and typed ``op``/``pos``.
@@ -58,12 +61,12 @@ def snapshot_events(
         F.lit(None).cast("string").alias("before"),
         after.alias("after"),
         F.struct(dbc.alias("db"), tc.alias("table"), pos.alias("pos")).alias("source"),
-        F.lit("r").alias("op"),
+        F.lit(op).alias("op"),
         (ts_ms if ts_ms is not None else F.lit(None).cast("bigint")).alias("ts_ms"),
     )
     return df.select(
         F.to_json(envelope, {"ignoreNullFields": "false"}).alias("value"),
-        F.lit("r").alias("op"),
+        F.lit(op).alias("op"),
         pos.alias("pos"),
     )
 

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lograft.operators.diff import snapshot_diff
-from lograft.sources.snapshot import epoch_micros
+from lograft.operators.spread import rebalance
+from lograft.sources.snapshot import epoch_micros, snapshot_events
 
 # Fixed values of the derived feeds.
 EVENTS_DB_PREFIX = "App_DB_"
@@ -109,15 +110,17 @@ def orders_snapshots(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def orders_change_log(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+def orders_change_log(orders: DataFrame, spread_history: bool = False) -> tuple[DataFrame, DataFrame]:
     """(history, tail) of a change log for ``orders``.
 
     history: creates that built the old snapshot, position ``o_orderkey``;
     tail: the net changes from old to new, position ``10^12 + o_orderkey``.
+    ``spread_history`` rebalances the history's rows (it has no shuffle of its
+    own); the tail is spread by its join.
     """
     old, new = orders_snapshots(orders)
-    empty = old.filter(F.lit(False))
-    history = snapshot_diff(empty, old, "o_orderkey", ORDERS_DB, ORDERS_TABLE, position=F.col("__k"))
+    src = rebalance(old) if spread_history else old
+    history = snapshot_events(src, ORDERS_DB, ORDERS_TABLE, position=F.col("o_orderkey"), op="c")
     tail = snapshot_diff(old, new, "o_orderkey", ORDERS_DB, ORDERS_TABLE,
                          position=F.col("__k") + F.lit(TAIL_POSITION_BASE))
-    return history, tail
+    return history, tail.select("value", "op", "pos")
