@@ -261,7 +261,11 @@ def stream_routed_files(spark, sf_dir):
     """Feed files -> readStream -> job -> ordered, per-batch idempotent files."""
     import tempfile
 
-    root = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="lograft-ckpt-"))
+    from lograft.streaming.job import configured_checkpoint_dir
+
+    configured = configured_checkpoint_dir(spark)
+    root = configured.rstrip("/") if configured else ensure_checkpoint_dir(
+        spark, tempfile.mkdtemp(prefix="lograft-ckpt-"))
     run = f"{root}/stream_routed_files/{uuid.uuid4().hex}"
     write_feed(events_change_feed(_t(spark, sf_dir, "events")), f"{run}/feed")
     stream = read_feed(spark, f"{run}/feed", streaming=True)

@@ -19,9 +19,19 @@ from lograft.sinks.files import write_batch_files
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def configured_checkpoint_dir(spark: SparkSession) -> str | None:
+    root = spark.conf.get(CHECKPOINT_CONF, None)
+    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            root = None
+    return root
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    root = configured_checkpoint_dir(spark)
     if not root:
         raise RuntimeError(f"{CHECKPOINT_CONF} is not set; jobs need a shared checkpoint folder")
     return root.rstrip("/")
@@ -29,10 +39,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only when unset (tests)."""
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    root = configured_checkpoint_dir(spark)
     if not root:
         spark.conf.set(CHECKPOINT_CONF, fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
+        try:
+            spark.sparkContext.setCheckpointDir(fallback)
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            pass
         root = fallback
     return root.rstrip("/")
 
