@@ -2,7 +2,7 @@
 
 from lograft.sources.snapshot import image_columns, snapshot_events, read_jdbc_snapshot, epoch_micros
 from lograft.sources.feeds import read_feed, read_kafka_feed, write_feed
-from lograft.sources.startup import startup, highest_position
+from lograft.sources.startup import highest_position, kafka_starting_offsets, startup
 
 __all__ = [
     "image_columns",
@@ -14,4 +14,5 @@ __all__ = [
     "write_feed",
     "startup",
     "highest_position",
+    "kafka_starting_offsets",
 ]

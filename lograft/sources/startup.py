@@ -56,3 +56,23 @@ def startup(
     if mode == "latest-offset":
         return after_start(need(changes, "a change feed"))
     return need(snapshot, "a snapshot").unionByName(after_start(need(changes, "a change feed")))
+
+
+def kafka_starting_offsets(mode: str, hand_off_offsets: str | None = None) -> str | None:
+    """``startingOffsets`` for ``read_kafka_feed`` under a startup mode.
+
+    ``earliest-offset`` reads the whole log, ``latest-offset`` only what
+    arrives after start, ``snapshot`` reads no log at all (``None``).
+    ``initial`` streams from the end offsets recorded *before* the snapshot
+    scan (a JSON map ``{"topic": {"0": 42, ...}}``), so changes that race the
+    scan arrive twice rather than never; without a recorded map it starts at
+    ``latest``, which can lose such changes.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown startup mode {mode!r}; expected one of {MODES}")
+    return {
+        "earliest-offset": "earliest",
+        "latest-offset": "latest",
+        "snapshot": None,
+        "initial": hand_off_offsets or "latest",
+    }[mode]

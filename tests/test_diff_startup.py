@@ -50,3 +50,14 @@ def test_time_zone_conversion(spark):
     assert '"t":788918400000000' in v  # 1995-01-01T00:00:00Z
     v = snapshot_events(df, "d", "x").first().value
     assert '"t":788947200000000' in v
+
+
+def test_kafka_starting_offsets():
+    from lograft.sources import kafka_starting_offsets
+
+    assert kafka_starting_offsets("earliest-offset") == "earliest"
+    assert kafka_starting_offsets("latest-offset") == "latest"
+    assert kafka_starting_offsets("snapshot") is None
+    assert kafka_starting_offsets("initial", '{"t":{"0":5}}') == '{"t":{"0":5}}'
+    with pytest.raises(ValueError):
+        kafka_starting_offsets("newest")
