@@ -69,3 +69,46 @@ def jobs_from_properties(kind: str, groups: Mapping[str, Mapping[str, str]]):
             return src, C.KafkaTarget.from_properties(groups[C.GROUP_KAFKA])
         return src, C.KinesisTarget.from_properties(groups[C.GROUP_KINESIS])
     raise ValueError(f"unknown job kind {kind!r}")
+
+
+def start_job(
+    spark,
+    kind: str,
+    groups: Mapping[str, Mapping[str, str]],
+    feed: DataFrame,
+    checkpoint_location: str,
+    reject_path: str | None = None,
+    output_path: str | None = None,
+    kinesis_client_factory=None,
+    **trigger,
+):
+    """One call per job, like a job's ``main``: property groups in, running stream out.
+
+    ``kind`` is ``mysql``, ``postgres``, ``oracle`` or ``mongo``; ``feed`` is a
+    streaming DataFrame of envelope text (``read_feed`` / ``read_kafka_feed``).
+    The sink follows the configuration: Kafka for relational jobs, Kafka or
+    Kinesis for document jobs (``sinkTarget``). ``output_path`` writes ordered
+    files instead of a message log. ``trigger``: ``available_now=True`` or
+    ``processing_time="10 seconds"``.
+    """
+    from lograft.sinks.select import make_sink
+    from lograft.streaming.job import start_file_job, start_sink_job
+
+    source, target = jobs_from_properties(kind, groups)
+    if kind == "mongo":
+        routed = document_job(feed, source, target if isinstance(target, C.KafkaTarget) else None)
+        sink_target = source.sink_target
+    else:
+        routed = relational_job(feed, source, target)
+        sink_target = "msk"
+    name = f"lograft-{kind}"
+    if output_path is not None:
+        return start_file_job(routed, name, output_path, reject_path, checkpoint_location, **trigger)
+    writer = make_sink(
+        sink_target,
+        kafka=target if isinstance(target, C.KafkaTarget) else None,
+        kinesis=target if isinstance(target, C.KinesisTarget) else None,
+        kinesis_client_factory=kinesis_client_factory,
+        reject_path=None if reject_path is None else f"{reject_path}/sink",
+    )
+    return start_sink_job(routed, name, writer, checkpoint_location, reject_path=reject_path, **trigger)

@@ -41,7 +41,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed settings of the registered queries.
 MYSQL = RelationalSource(kind="mysql", pk="id", stringify=True)
-ORACLE_STYLE = RelationalSource(kind="oracle", pk="id", stringify=False)
 PER_DB = KafkaTarget(per_db_topics=True, per_db_topic_prefix="", partitions=7,
                      delivery_guarantee="at-least-once")
 PER_DB_SIZED = KafkaTarget(per_db_topics=True, partitions=7, delivery_guarantee="at-least-once",

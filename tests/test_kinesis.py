@@ -86,3 +86,40 @@ class FailNoPk(FakeKinesis):
         out = [{"ErrorCode": "X", "ErrorMessage": "no"} if r["PartitionKey"].endswith("no_pk") else {"ShardId": "0"}
                for r in Records]
         return {"FailedRecordCount": sum("ErrorCode" in o for o in out), "Records": out}
+
+
+class CountingKinesis(FakeKinesis):
+    """Records everything it stores in a file, since workers run elsewhere."""
+
+    path = None
+
+    def put_records(self, StreamName, Records):
+        with open(self.path, "a") as f:
+            for r in Records:
+                f.write(r["PartitionKey"] + "\n")
+        return {"FailedRecordCount": 0, "Records": [{"ShardId": "0"} for _ in Records]}
+
+
+def test_start_job_from_property_groups(spark, scratch):
+
+    from lograft.plans import start_job
+    from lograft.sources import read_feed, write_feed
+    from lograft.sources.tables import conversation_change_feed
+    from tests.conftest import SF001
+
+    write_feed(conversation_change_feed(spark.read.parquet(f"{SF001}/conversations.parquet")), f"{scratch}/feed")
+    groups = {"MongoSrcCDC": {"sinkTarget": "kds", "collections": r"chat\.conversations"},
+              "KDSTargetCDC": {"streamName": "cdc", "region": "r"}}
+    log = f"{scratch}/puts.txt"
+
+    def factory():
+        c = CountingKinesis()
+        c.path = log
+        return c
+
+    q = start_job(spark, "mongo", groups, read_feed(spark, f"{scratch}/feed", streaming=True), f"{scratch}/chk",
+                  kinesis_client_factory=factory, available_now=True)
+    q.awaitTermination()
+    keys = open(log).read().split()
+    assert len(keys) == spark.read.text(f"{scratch}/feed").count()
+    assert all(k.startswith("chat.conversations.") for k in keys)
