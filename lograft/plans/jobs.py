@@ -90,6 +90,10 @@ def start_job(
     Kinesis for document jobs (``sinkTarget``). ``output_path`` writes ordered
     files instead of a message log. ``trigger``: ``available_now=True`` or
     ``processing_time="10 seconds"``.
+
+    This streams changes. The startup mode decides what ``feed`` should be:
+    ``kafka_starting_offsets(mode)`` for Kafka feeds, ``start_initial_job`` to
+    write the snapshot first, and ``startup`` for batch runs.
     """
     from lograft.sinks.select import make_sink
     from lograft.streaming.job import start_file_job, start_sink_job
