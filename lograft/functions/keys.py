@@ -41,19 +41,12 @@ def scalar_key_text(v: Column) -> tuple[Column, Column]:
     return text, reason
 
 
-def document_key(document_key_v: Column, document_key_raw: Column | None = None) -> tuple[Column, Column]:
-    """Key of a document change: the ``_id`` inside ``documentKey`` as JSON text.
-
-    ``documentKey`` holds a *string* of JSON. Its ``_id`` is rendered as JSON,
-    so a string keeps its quotes (``"abc"``), an object stays an object
-    (``{"$oid":"65"}``) and a number stays a number. A missing or null
-    ``documentKey`` gives ``no_pk``.
+def document_key_parts(dk_kind: Column, dk_parsed_kind: Column, id_v: Column, id_kind: Column,
+                       dk_text: Column) -> tuple[Column, Column]:
+    """Key text and reject reason of a document change from precomputed parts:
+    the JSON type of ``documentKey``, the JSON type of its parsed text, its
+    ``_id`` as VARIANT and that value's JSON type, and the ``documentKey`` text.
     """
-    kind = variant_kind(document_key_v)
-    dk_text = F.variant_get(document_key_v, "$", "string")
-    parsed = F.try_parse_json(dk_text)
-    id_v = F.try_variant_get(parsed, "$._id", "variant")
-    id_kind = variant_kind(id_v)
     id_text = (
         F.when(id_kind == "string", json_quote(F.variant_get(id_v, "$", "string")))
         .when(id_kind == "null", F.lit("null"))
@@ -61,17 +54,32 @@ def document_key(document_key_v: Column, document_key_raw: Column | None = None)
         # Objects and arrays: raw text in the original key order.
         .when(id_kind.isin("object", "array"), F.get_json_object(dk_text, "$._id"))
     )
-    no_key = kind.isNull() | (kind == "null")
-    key = F.when(no_key, F.lit(NO_PK)).otherwise(id_text)
+    no_key = dk_kind.isNull() | (dk_kind == "null")
     reason = (
         F.when(no_key, F.lit(None).cast("string"))
-        .when(kind != "string", F.lit(DOC_KEY_NOT_STRING))
-        .when(parsed.isNull() | (variant_kind(parsed) != "object"), F.lit(DOC_KEY_NOT_OBJECT))
+        .when(dk_kind != "string", F.lit(DOC_KEY_NOT_STRING))
+        .when(dk_parsed_kind.isNull() | (dk_parsed_kind != "object"), F.lit(DOC_KEY_NOT_OBJECT))
         .when(id_kind.isNull(), F.lit(KEY_MISSING))
     )
+    key = F.when(no_key, F.lit(NO_PK)).otherwise(id_text)
     return F.when(reason.isNull(), key), reason
 
 
+def document_key(document_key_v: Column) -> tuple[Column, Column]:
+    """Key of a document change: the ``_id`` inside ``documentKey`` as JSON text.
+
+    ``documentKey`` holds a *string* of JSON. Its ``_id`` is rendered as JSON,
+    so a string keeps its quotes (``"abc"``), an object stays an object
+    (``{"$oid":"65"}``) and a number stays a number. A missing or null
+    ``documentKey`` gives ``no_pk``. (Single expression; ``parse_document``
+    computes the same parts in separate projections so each is evaluated once.)
+    """
+    dk_text = F.try_variant_get(document_key_v, "$", "string")
+    parsed = F.try_parse_json(dk_text)
+    id_v = F.try_variant_get(parsed, "$._id", "variant")
+    return document_key_parts(variant_kind(document_key_v), variant_kind(parsed), id_v, variant_kind(id_v), dk_text)
+
+
 def key_string(db: Column, table: Column, pk: Column) -> Column:
     """``db.table.pk``; NULL when any part is NULL (never the text 'null')."""
     return F.concat(db, F.lit("."), table, F.lit("."), pk)

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograft.config import NO_PK, NO_TABLE
-from lograft.functions.jsonfn import json_quote
-from lograft.functions.keys import document_key, key_string, scalar_key_text
+from lograft.functions.jsonfn import json_quote, variant_kind
+from lograft.functions.keys import document_key_parts, key_string, scalar_key_text
 
 # Reject reasons (stable strings).
 NOT_JSON = "not_json"
@@ -224,28 +224,44 @@ def parse_document(df: DataFrame, value_col: str = "value", position_field: str
 
     ``db``/``table`` from ``ns.db``/``ns.coll``; key ``db.coll.<_id as JSON>``
     or ``db.coll.no_pk`` without a ``documentKey``. ``value`` is the input line.
+    Staged like ``parse_relational``: the envelope, the inner ``documentKey``
+    JSON and each JSON-type check are computed once, in their own projection.
     """
     v = F.col(value_col)
     schema = f"ns struct<db: string, coll: string>, documentKey variant, {_q(position_field)} string, {_CORRUPT} string"
-    parsed = df.withColumn("__e", F.from_json(v, schema, _PARSE_OPTS))
-    ec = F.col("__e")
-    db, coll = ec["ns"]["db"], ec["ns"]["coll"]
-    pk_text, key_reason = document_key(ec["documentKey"])
-    not_json = ec.isNull() | ec[_CORRUPT].isNotNull()
-    reason = (
-        F.when(not_json, F.lit(NOT_JSON))
-        .when(db.isNull(), F.lit(DB_MISSING))
-        .when(coll.isNull(), F.lit(TABLE_MISSING))
-        .otherwise(key_reason)
+    s1 = df.select(v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e"))
+    e = F.col("__e")
+    base = ["__v", "__e"]
+    s2 = s1.select(*base, variant_kind(e["documentKey"]).alias("__dkk"),
+                   F.try_variant_get(e["documentKey"], "$", "string").alias("__dkt"))
+    s3 = s2.select(*base, "__dkk", "__dkt", F.try_parse_json(F.col("__dkt")).alias("__dkp"))
+    s4 = s3.select(*base, "__dkk", "__dkt", variant_kind(F.col("__dkp")).alias("__dkpk"),
+                   F.try_variant_get(F.col("__dkp"), "$._id", "variant").alias("__id"))
+    s5 = s4.select(*base, "__dkk", "__dkt", "__dkpk", "__id", variant_kind(F.col("__id")).alias("__idk"))
+    pk_text, key_reason = document_key_parts(F.col("__dkk"), F.col("__dkpk"), F.col("__id"), F.col("__idk"),
+                                             F.col("__dkt"))
+    s6 = s5.select(*base, pk_text.alias("__pk"), key_reason.alias("__kr"))
+    e = F.col("__e")
+    db, coll = e["ns"]["db"], e["ns"]["coll"]
+    not_json = e.isNull() | e[_CORRUPT].isNotNull()
+    s7 = s6.select(
+        "*",
+        (
+            F.when(not_json, F.lit(NOT_JSON))
+            .when(db.isNull(), F.lit(DB_MISSING))
+            .when(coll.isNull(), F.lit(TABLE_MISSING))
+            .otherwise(F.col("__kr"))
+        ).alias("__reason"),
     )
-    return _observed(parsed.select(
+    reason = F.col("__reason")
+    return _observed(s7.select(
         db.alias("db"),
         coll.alias("table"),
         F.lit(None).cast("string").alias("op"),
-        ec[position_field].cast("bigint").alias("pos"),
+        e[position_field].cast("bigint").alias("pos"),
         F.lit("row").alias("event_kind"),
-        F.when(reason.isNull(), key_string(db, coll, pk_text)).alias("partition_key"),
-        v.alias("value"),
+        F.when(reason.isNull(), key_string(db, coll, F.col("__pk"))).alias("partition_key"),
+        F.col("__v").alias("value"),
         reason.alias("reject_reason"),
     ), "document")
 
