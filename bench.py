@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from lograft.plans.queries import QUERIES  # noqa: E402
+from lograft.session import recommended_conf  # noqa: E402
 
 HEADLINE = [
     "relational_feed",      # parse: envelope JSON -> db, table, op, key
@@ -53,13 +54,11 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("lograft-bench")
         .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
+    for k, v in recommended_conf(int(cpus)).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not spark.conf.get("spark.checkpoint.dir", None):
