@@ -13,6 +13,7 @@ known without a second parse of the whole envelope.
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 
@@ -67,8 +68,8 @@ def _json_path(*names: str) -> str:
     return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
 
 
-def _with_key_text(df: DataFrame, keep: list[str], variant_fallback: Column) -> DataFrame:
-    """Add ``__pk`` (key text) and ``__kr`` (key reject reason) from ``__raw``.
+def _key_text_stages(keep: list[str], has_img: bool, variant_fallback: Column) -> list[list[Column]]:
+    """Stages adding ``__pk`` (key text) and ``__kr`` (key reject reason) from ``__raw``.
 
     ``__raw`` is the key read as a JSON *string* field: the right text for
     strings, numbers and booleans in the one parse. Only when it is NULL or
@@ -77,14 +78,24 @@ def _with_key_text(df: DataFrame, keep: list[str], variant_fallback: Column) ->
     in its own projection, and decides.
     """
     raw = F.col("__raw")
+    kept = [F.col(c) for c in keep]
     # The fallback may read the chosen image text (stringify mode).
-    fallback_inputs = [c for c in ("__img",) if c in df.columns]
-    s1 = df.select(*keep, *fallback_inputs, "__raw",
-                   (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb"))
-    s2 = s1.select(*keep, "__raw", "__amb", F.when(F.col("__amb"), variant_fallback).alias("__fb"))
+    fallback_inputs = [F.col("__img")] if has_img else []
+    amb = (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb")
+    fb = F.when(F.col("__amb"), variant_fallback).alias("__fb")
     fb_text, fb_reason = scalar_key_text(F.col("__fb"))
-    amb = F.col("__amb")
-    return s2.select(*keep, F.when(~amb, raw).otherwise(fb_text).alias("__pk"), F.when(amb, fb_reason).alias("__kr"))
+    a = F.col("__amb")
+    return [
+        [*kept, *fallback_inputs, raw, amb],
+        [*kept, raw, a, fb],
+        [*kept, F.when(~a, raw).otherwise(fb_text).alias("__pk"), F.when(a, fb_reason).alias("__kr")],
+    ]
+
+
+def _gateway_id() -> int:
+    from pyspark import SparkContext
+
+    return id(SparkContext._gateway)
 
 
 def parse_relational(
@@ -112,6 +123,17 @@ def parse_relational(
     once, so everything after ``from_json`` (a codegen-fallback expression)
     compiles into one whole-stage-codegen stage.
     """
+    out = df
+    for cols in _relational_stages(_gateway_id(), pk, stringify, value_col, position_field, tuple(extra_fields)):
+        out = out.select(*cols)
+    return _observed(out, "relational")
+
+
+@functools.lru_cache(maxsize=64)
+def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str, position_field: str,
+                       extra_fields: tuple[str, ...]) -> tuple[list[Column], ...]:
+    """Column lists of the parse stages. They refer to columns by name only,
+    so they are built once per configuration (and JVM) and reused."""
     v = F.col(value_col)
     src_t = _source_struct(position_field)
     if stringify:
@@ -121,49 +143,49 @@ def parse_relational(
     else:
         img = f"struct<{_q(pk)}: string>"
         schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
-    s1 = df.select(v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e"))
+    stages: list[list[Column]] = [[v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e")]]
     e = F.col("__e")
     is_delete = e["op"] == "d"
+    base = [F.col("__v"), e]
 
     if stringify:
-        # Stage 2: the chosen image text and the source struct, each parsed once.
-        s2 = s1.select(
-            "__v", "__e",
+        # The chosen image text and the source struct, each parsed once.
+        stages.append([
+            *base,
             F.from_json(e["source"], src_t).alias("__s"),
             F.when(is_delete, e["before"]).otherwise(e["after"]).alias("__img"),
-        )
-        s3 = s2.select(
-            "__v", "__e",
-            F.col("__s")["db"].alias("__db"), F.col("__s")["table"].alias("__table"),
-            F.col("__s")[position_field].alias("__pos"),
-            F.col("__img").isNull().alias("__img_null"),
-            F.from_json(F.col("__img"), f"struct<{_q(pk)}: string>")[pk].alias("__raw"),
-            F.col("__img"),
-        )
-        fallback = F.try_variant_get(F.try_parse_json(F.col("__img")), _json_path(pk), "variant")
+        ])
+        src, img_col = F.col("__s"), F.col("__img")
+        stages.append([
+            *base,
+            src["db"].alias("__db"), src["table"].alias("__table"), src[position_field].alias("__pos"),
+            img_col.isNull().alias("__img_null"),
+            F.from_json(img_col, f"struct<{_q(pk)}: string>")[pk].alias("__raw"),
+            img_col,
+        ])
+        fallback = F.try_variant_get(F.try_parse_json(img_col), _json_path(pk), "variant")
     else:
-        s3 = s1.select(
-            "__v", "__e",
+        stages.append([
+            *base,
             e["source"]["db"].alias("__db"), e["source"]["table"].alias("__table"),
             e["source"][position_field].alias("__pos"),
             F.when(is_delete, e["before"].isNull()).otherwise(e["after"].isNull()).alias("__img_null"),
             F.when(is_delete, e["before"][pk]).otherwise(e["after"][pk]).alias("__raw"),
-        )
+        ])
         doc = F.try_parse_json(F.col("__v"))
         fallback = F.when(
-            F.col("__e")["op"] == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
+            e["op"] == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
         ).otherwise(F.try_variant_get(doc, _json_path("after", pk), "variant"))
 
-    # Stage 4: key text and key-level reject reason.
+    # Key text and key-level reject reason.
     keep = ["__v", "__e", "__db", "__table", "__pos", "__img_null"]
-    s4 = _with_key_text(s3, keep, fallback)
+    stages.extend(_key_text_stages(keep, stringify, fallback))
 
-    e = F.col("__e")
     db, table, op = F.col("__db"), F.col("__table"), e["op"]
     is_schema = op.isNull()
     not_json = e.isNull() | e[_CORRUPT].isNotNull()
-    s5 = s4.select(
-        "*",
+    stages.append([
+        F.col("*"),
         not_json.alias("__bad"),
         (
             F.when(not_json, F.lit(NOT_JSON))
@@ -173,14 +195,14 @@ def parse_relational(
             .when(F.col("__img_null"), F.lit(IMAGE_MISSING))
             .otherwise(F.col("__kr"))
         ).alias("__reason"),
-    )
+    ])
     reason = F.col("__reason")
     pkey = F.when(is_schema, key_string(db, F.coalesce(table, F.lit(NO_TABLE)), F.lit(NO_PK))).otherwise(
         key_string(db, table, F.col("__pk")))
     # Schema changes carry no row images: their text passes unchanged.
     out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e, extra_fields)) \
         if stringify else F.col("__v")
-    return _observed(s5.select(
+    stages.append([
         db.alias("db"),
         table.alias("table"),
         op.alias("op"),
@@ -189,7 +211,8 @@ def parse_relational(
         F.when(reason.isNull(), pkey).alias("partition_key"),
         out_value.alias("value"),
         reason.alias("reject_reason"),
-    ), "relational")
+    ])
+    return tuple(stages)
 
 
 def _raw_or_null(c: Column) -> Column:
