@@ -147,7 +147,9 @@ def start_sink_job(
 
     Each micro-batch is ordered per key (``hash``: one writer task per key)
     and handed to ``writer``; rejects go to ``reject_path``. Delivery is
-    at-least-once: a batch replayed after a failure is written again.
+    at-least-once: a batch replayed after a failure is written again. Bound
+    micro-batches on the source (``maxFilesPerTrigger`` /
+    ``maxOffsetsPerTrigger``) so a hot key's share of one task stays bounded.
     """
     if not checkpoint_location:
         raise ValueError("checkpoint_location is required")
