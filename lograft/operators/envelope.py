@@ -250,43 +250,49 @@ def parse_document(df: DataFrame, value_col: str = "value", position_field: str
     Staged like ``parse_relational``: the envelope, the inner ``documentKey``
     JSON and each JSON-type check are computed once, in their own projection.
     """
+    out = df
+    for cols in _document_stages(_gateway_id(), value_col, position_field):
+        out = out.select(*cols)
+    return _observed(out, "document")
+
+
+@functools.lru_cache(maxsize=16)
+def _document_stages(_gateway: int, value_col: str, position_field: str) -> tuple[list[Column], ...]:
     v = F.col(value_col)
     schema = f"ns struct<db: string, coll: string>, documentKey variant, {_q(position_field)} string, {_CORRUPT} string"
-    s1 = df.select(v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e"))
-    e = F.col("__e")
-    base = ["__v", "__e"]
-    s2 = s1.select(*base, variant_kind(e["documentKey"]).alias("__dkk"),
-                   F.try_variant_get(e["documentKey"], "$", "string").alias("__dkt"))
-    s3 = s2.select(*base, "__dkk", "__dkt", F.try_parse_json(F.col("__dkt")).alias("__dkp"))
-    s4 = s3.select(*base, "__dkk", "__dkt", variant_kind(F.col("__dkp")).alias("__dkpk"),
-                   F.try_variant_get(F.col("__dkp"), "$._id", "variant").alias("__id"))
-    s5 = s4.select(*base, "__dkk", "__dkt", "__dkpk", "__id", variant_kind(F.col("__id")).alias("__idk"))
-    pk_text, key_reason = document_key_parts(F.col("__dkk"), F.col("__dkpk"), F.col("__id"), F.col("__idk"),
-                                             F.col("__dkt"))
-    s6 = s5.select(*base, pk_text.alias("__pk"), key_reason.alias("__kr"))
     e = F.col("__e")
+    base = [F.col("__v"), e]
+    c = F.col
+    pk_text, key_reason = document_key_parts(c("__dkk"), c("__dkpk"), c("__id"), c("__idk"), c("__dkt"))
     db, coll = e["ns"]["db"], e["ns"]["coll"]
     not_json = e.isNull() | e[_CORRUPT].isNotNull()
-    s7 = s6.select(
-        "*",
-        (
+    reason = c("__reason")
+    return (
+        [v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e")],
+        [*base, variant_kind(e["documentKey"]).alias("__dkk"),
+         F.try_variant_get(e["documentKey"], "$", "string").alias("__dkt")],
+        [*base, c("__dkk"), c("__dkt"), F.try_parse_json(c("__dkt")).alias("__dkp")],
+        [*base, c("__dkk"), c("__dkt"), variant_kind(c("__dkp")).alias("__dkpk"),
+         F.try_variant_get(c("__dkp"), "$._id", "variant").alias("__id")],
+        [*base, c("__dkk"), c("__dkt"), c("__dkpk"), c("__id"), variant_kind(c("__id")).alias("__idk")],
+        [*base, pk_text.alias("__pk"), key_reason.alias("__kr")],
+        [c("*"), (
             F.when(not_json, F.lit(NOT_JSON))
             .when(db.isNull(), F.lit(DB_MISSING))
             .when(coll.isNull(), F.lit(TABLE_MISSING))
-            .otherwise(F.col("__kr"))
-        ).alias("__reason"),
+            .otherwise(c("__kr"))
+        ).alias("__reason")],
+        [
+            db.alias("db"),
+            coll.alias("table"),
+            F.lit(None).cast("string").alias("op"),
+            e[position_field].cast("bigint").alias("pos"),
+            F.lit("row").alias("event_kind"),
+            F.when(reason.isNull(), key_string(db, coll, c("__pk"))).alias("partition_key"),
+            c("__v").alias("value"),
+            reason.alias("reject_reason"),
+        ],
     )
-    reason = F.col("__reason")
-    return _observed(s7.select(
-        db.alias("db"),
-        coll.alias("table"),
-        F.lit(None).cast("string").alias("op"),
-        e[position_field].cast("bigint").alias("pos"),
-        F.lit("row").alias("event_kind"),
-        F.when(reason.isNull(), key_string(db, coll, F.col("__pk"))).alias("partition_key"),
-        F.col("__v").alias("value"),
-        reason.alias("reject_reason"),
-    ), "document")
 
 
 def unknown_root_fields(df: DataFrame, value_col: str = "value",

@@ -40,9 +40,11 @@ def read_kafka_feed(
     starting_offsets: str = "earliest",
     streaming: bool = True,
     extra_options: dict[str, str] | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
     """Envelopes from Kafka topics (needs the spark-sql-kafka package).
     Keeps the log coordinates for ordering and replay checks.
+    ``max_offsets_per_trigger`` bounds each micro-batch.
     """
     reader = spark.readStream if streaming else spark.read
     r = (
@@ -51,6 +53,8 @@ def read_kafka_feed(
         .option("subscribe", topics)
         .option("startingOffsets", starting_offsets)
     )
+    if streaming and max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in (extra_options or {}).items():
         r = r.option(k, v)
     return r.load().select(
