@@ -133,3 +133,20 @@ def test_crash_mid_batch_replays_without_duplicates(spark, scratch):
     out = spark.read.parquet(f"{scratch}/out")
     assert out.count() == 1000
     assert out.groupBy("pos").count().filter("count > 1").count() == 0
+
+
+def test_sink_job_hands_writer_key_ordered_batches(spark, scratch):
+    from lograft.streaming import start_sink_job
+
+    write_feed(_feed(spark).repartition(4), f"{scratch}/feed")
+    stream = relational_job(read_feed(spark, f"{scratch}/feed", streaming=True, max_files_per_trigger=2), SRC, TGT)
+
+    def writer(ordered):
+        ordering_report(ordered).write.mode("append").parquet(f"{scratch}/report")
+
+    q = start_sink_job(stream, "t_sink_order", writer, f"{scratch}/chk", reject_path=f"{scratch}/rej",
+                       available_now=True, num_partitions=5)
+    q.awaitTermination()
+    rep = spark.read.parquet(f"{scratch}/report")
+    agg = rep.agg(F.sum("n_events").alias("n"), F.sum("inversions").alias("inv"), F.max("n_tasks").alias("t")).first()
+    assert (agg.n, agg.inv, agg.t) == (1000, 0, 1)
