@@ -20,6 +20,17 @@ def json_quote(s: Column) -> Column:
     return F.when(s.isNotNull(), out)
 
 
+def json_quote_compact(s: Column) -> Column:
+    """``json_quote`` for text a JSON writer produced (e.g. a row image read
+    back as a string field): it holds no raw control characters, so escaping
+    backslash and quote (and U+2028 / U+2029) is enough, and much cheaper
+    than ``to_json``. Gives the same text as ``json_quote`` on such input.
+    """
+    esc = F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    esc = F.replace(F.replace(esc, F.lit("\u2028"), F.lit("\\u2028")), F.lit("\u2029"), F.lit("\\u2029"))
+    return F.concat(F.lit('"'), esc, F.lit('"'))
+
+
 def variant_kind(v: Column) -> Column:
     """JSON type of a VARIANT value: string, number, boolean, object, array, null.
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograft.config import NO_PK, NO_TABLE
-from lograft.functions.jsonfn import json_quote, variant_kind
+from lograft.functions.jsonfn import json_quote, json_quote_compact, variant_kind
 from lograft.functions.keys import document_key_parts, key_string, scalar_key_text
 
 # Reject reasons (stable strings).
@@ -227,7 +227,8 @@ def _stringified_envelope(ec: Column, extra_fields: tuple[str, ...] = ()) -> Col
     re-typing of row values.
     """
     def image(name: str) -> Column:
-        return F.when(ec[name].isNull(), F.lit("null")).otherwise(json_quote(ec[name]))
+        # Image text comes from the JSON parser's writer: compact quoting is exact.
+        return F.when(ec[name].isNull(), F.lit("null")).otherwise(json_quote_compact(ec[name]))
 
     return F.concat(
         F.lit('{"before":'), image("before"),

@@ -65,3 +65,17 @@ def test_json_quote_round_trips(spark, texts):
     for r in df.select("s", json_quote(F.col("s")).alias("q")).collect():
         assert json.loads(r.q) == r.s
         assert " " not in r.q and " " not in r.q
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.recursive(st.none() | st.booleans() | st.integers() | st.text(max_size=12),
+                             lambda ch: st.lists(ch, max_size=3) | st.dictionaries(st.text(max_size=5), ch, max_size=3),
+                             max_leaves=8), min_size=1, max_size=30))
+def test_compact_quote_matches_general_quote_on_json_text(spark, values):
+    from lograft.functions.jsonfn import json_quote_compact
+
+    df = spark.createDataFrame([(json.dumps({"x": v}, ensure_ascii=False),) for v in values], "j string")
+    # Image text as the parser's writer renders it, then both quotings.
+    img = df.select(F.from_json("j", "x string").alias("e")).select(F.col("e.x").alias("s")).filter("s IS NOT NULL")
+    for r in img.select("s", json_quote(F.col("s")).alias("a"), json_quote_compact(F.col("s")).alias("b")).collect():
+        assert r.a == r.b and json.loads(r.b) == r.s
