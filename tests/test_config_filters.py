@@ -86,3 +86,10 @@ def test_relational_flavours_route_events(spark):
     src, kafka = jobs_from_properties("oracle", {"OracleSrcCDC": {}, **tgt})
     out = relational_job(feed, src, kafka)
     assert out.filter("reject_reason = 'key_missing'").count() == out.count() == 1000
+
+
+def test_top_level_api():
+    import lograft
+
+    for name in lograft.__all__:
+        assert callable(getattr(lograft, name)), name
