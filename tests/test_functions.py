@@ -79,3 +79,11 @@ def test_compact_quote_matches_general_quote_on_json_text(spark, values):
     img = df.select(F.from_json("j", "x string").alias("e")).select(F.col("e.x").alias("s")).filter("s IS NOT NULL")
     for r in img.select("s", json_quote(F.col("s")).alias("a"), json_quote_compact(F.col("s")).alias("b")).collect():
         assert r.a == r.b and json.loads(r.b) == r.s
+
+
+def test_compact_quote_on_decoded_strings_with_control_characters(spark):
+    from lograft.functions.jsonfn import json_quote_compact
+
+    df = spark.createDataFrame([("\x1f",), ("a\nb",), ('{"x":"\\n"}',), ("plain",)], "s string")
+    for r in df.select("s", json_quote_compact(F.col("s")).alias("q")).collect():
+        assert json.loads(r.q) == r.s
