@@ -4,21 +4,137 @@ whole tables, and DuckDB SQL where SQL can express the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, quality, sharding, token_files, url_filter
+from .scratch import scratch_path
+
+#: The rules of op8.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+#: Scores from here on are of good quality.
+GOOD = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a vocabulary file of the installed public tokenizers is."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def held_out(doc_id):
+    """Rows that the quality classifier does not learn from."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == 2, F.lit(False))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
+    labels = _table(spark, sf_dir, "labels")
+    return quality.fit(docs, labels.filter(~held_out(F.col("doc_id"))))
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, Jaccard 0.85."""
-    from .jaccard_join import jaccard_components
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    digest = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
+    return exact_dedup.exact_duplicates(docs, carry={"text_sha256": digest})
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 3, 1, 2 over the sources, 150 % of all words, no source over twice its size."""
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts are control strings."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(text).alias("text"))
+    path, ranks = scratch_path(spark, "chat"), tokenizer_file("byte_bpe_50k.tiktoken")
+    chat_format.format_chat(turns.union(more), ranks, path)
+    return chat_format.chat_digests(chat_format.read_chat(spark, path), ranks)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), path, end_id=2, vocabulary=49408)
+    return token_files.read_token_files(spark, path)
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, quality_model(spark, docs, sf_dir), keep=["doc_id"])
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards with row counts at most one apart."""
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    docs = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    return (sharding.shuffle_into_shards(docs, shards=8)
+            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+                    F.lit(None).cast("int").alias("grown_shard")))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it has a passage."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
 
-    return jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join, op2_exact_dedup, op3_source_mixing, op4_chat_format, op5_license_scan,
+    op6_token_files, op7_quality_classifier, op8_url_filter, op9_sharding, op10_decontamination)}
 
+_OP2_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-}
+_OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
+             source_size * 2.0::DOUBLE AS cap FROM s),
+l AS (SELECT *,
+        sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER before, 0.0) AS rest,
+        sum(weight) OVER () - coalesce(sum(weight) OVER before, 0.0) AS rest_weight
+      FROM w WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT arg_min(rest / rest_weight, cap / weight) AS level FROM l WHERE cap * rest_weight > rest * weight),
+t AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap)) AS target FROM l, v),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size * 16777216 + 0.5)::BIGINT ELSE 0 END AS rate,
+             ('0x' || substr(md5('mix/offset/' || coalesce(source, '')), 1, 6))::BIGINT AS start FROM t),
+c AS (SELECT *, length(bin(size)) AS digits, md5('mix/' || coalesce(doc_id::VARCHAR, 'null')) AS draw FROM d),
+e AS (SELECT *, digits * 64 + (size >> greatest(digits - 6, 0)::INT) AS class, ('0x' || substr(draw, 1, 4))::BIGINT % 256 AS salt FROM c),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, salt, size, draw) AS place FROM e)
+SELECT doc_id, size, source_size, target,
+       (((start + rate * place) >> 24) - ((start + rate * (place - 1)) >> 24)) * size AS taken
+FROM p JOIN r ON p.source IS NOT DISTINCT FROM r.source
+"""
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op2_exact_dedup": _OP2_SQL, "op3_source_mixing": _OP3_SQL}

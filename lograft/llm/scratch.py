@@ -47,19 +47,21 @@ def let_workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
 
 
-def sieve(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
-    """Rows of ``df`` whose key may be among the wanted ones.
-
-    A Bloom filter with one hash, held as a table of at most ``SIEVE_WORDS``
-    rows: its size does not depend on the data, so it may be broadcast. It lets
-    some other rows through and drops no wanted one; an exact join has to
-    follow. Rows with a null key are dropped.
-    """
-    at = F.pmod(F.shiftrightunsigned("_h", 6), F.lit(SIEVE_WORDS))
-    bit = F.col("_h").bitwiseAND(63).cast("int")
-    cells = (wanted.filter(F.col(wanted_key).isNotNull()).select(F.xxhash64(wanted_key).alias("_h"))
-             .select(at.alias("_cell"), F.expr("shiftleft(1L, cast(_h & 63 as int))").alias("_b"))
-             .groupBy("_cell").agg(F.bit_or("_b").alias("_bits")))
-    return (df.filter(F.col(key).isNotNull()).withColumn("_h", F.xxhash64(key)).withColumn("_cell", at)
-            .join(F.broadcast(cells), "_cell").filter(F.getbit("_bits", bit) == 1)
-            .drop("_h", "_cell", "_bits"))
+def sieve_cells(wanted: DataFrame, *keys: str) -> DataFrame:
+    """A Bloom filter of the keys, with one hash, as a table of at most
+    ``SIEVE_WORDS`` rows: its size does not depend on the data."""
+    h = F.xxhash64(*keys)
+    return (wanted.select(F.pmod(F.shiftrightunsigned(h, 6), F.lit(SIEVE_WORDS)).alias("_cell"),
+                          F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int")).alias("_bit"))
+            .groupBy("_cell").agg(F.bit_or("_bit").alias("_bits")))
+
+
+def sieve_test(df: DataFrame, cells: DataFrame, *keys: str) -> DataFrame:
+    """``df`` with a column ``in_sieve``: false only where the keys are not among the
+    wanted ones. True for some others too, so an exact step has to follow. The
+    table of cells has a fixed size and is broadcast."""
+    h = F.xxhash64(*keys)
+    return (df.withColumn("_cell", F.pmod(F.shiftrightunsigned(h, 6), F.lit(SIEVE_WORDS)))
+            .join(F.broadcast(cells), "_cell", "left")
+            .withColumn("in_sieve", F.coalesce(F.getbit("_bits", h.bitwiseAND(63).cast("int")) == 1, F.lit(False)))
+            .drop("_cell", "_bits"))
