@@ -23,8 +23,6 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="lograft-scratch-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -34,9 +32,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the checkpoint folder, with its lineage cut."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once, as a table in the scratch folder. Cuts the lineage, and
+    unlike a checkpoint lets Spark plan what follows by the table's real size."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def let_workers_import(spark: SparkSession) -> None:

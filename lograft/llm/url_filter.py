@@ -19,7 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import settle
+from .scratch import discard, settle
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,7 +79,8 @@ def _spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) ->
         sent = (edges.join(rank.select("kind", F.col("host").alias("src"), "rank"), ["kind", "src"])
                 .select("kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * damping).alias("rank")))
         home = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-        rank = settle(sent.union(home).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        old, rank = rank, settle(sent.union(home).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        discard(old)
     return rank
 
 
