@@ -20,8 +20,8 @@ from lograft.operators import (
     split_rejects,
     unknown_root_fields,
 )
-from lograft.plans.jobs import document_job, relational_job, start_job
-from lograft.sources import read_feed, read_kafka_feed, snapshot_events, startup
+from lograft.plans.jobs import SnapshotTable, document_job, relational_job, snapshot_job, start_job
+from lograft.sources import read_feed, read_kafka_feed, snapshot_events, snapshot_records, startup
 from lograft.streaming import start_file_job, start_initial_job, start_sink_job
 
 __version__ = "0.1.0"
@@ -30,7 +30,7 @@ __all__ = [
     "DocumentSource", "KafkaTarget", "KinesisTarget", "RelationalSource",
     "include", "kinesis_frame", "order_by_key", "parse_document", "parse_relational", "rebalance",
     "route", "sink_frame", "snapshot_diff", "split_rejects", "unknown_root_fields",
-    "document_job", "relational_job", "start_job",
-    "read_feed", "read_kafka_feed", "snapshot_events", "startup",
+    "document_job", "relational_job", "snapshot_job", "SnapshotTable", "start_job",
+    "read_feed", "read_kafka_feed", "snapshot_events", "snapshot_records", "startup",
     "start_file_job", "start_initial_job", "start_sink_job",
 ]

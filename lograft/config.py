@@ -38,7 +38,7 @@ def _bool(value: str | None, default: bool) -> bool:
     # Java's Boolean.parseBoolean: only a case-insensitive "true" is true.
     if value is None:
         return default
-    return value.strip().lower() == "true"
+    return value.lower() == "true"
 
 
 def _masked_repr(obj) -> str:
@@ -68,6 +68,12 @@ class RelationalSource:
     user: str | None = None
     password: str | None = None
     position_field: str = "pos"
+    position_col: str | None = None
+
+    @property
+    def table_qualifier(self) -> str:
+        """What precedes the table in an include list: the database, or the schema."""
+        return "db" if self.kind == "mysql" else "schema"
 
     def __post_init__(self):
         if self.kind not in STARTUP_MODES:
@@ -93,6 +99,7 @@ class RelationalSource:
             user=props.get("dbUser"),
             password=props.get("dbPwd"),
             position_field=props.get("positionField", "pos"),
+            position_col=props.get("positionColumn"),
         )
         if kind == "mysql":
             return cls(
@@ -126,6 +133,8 @@ class DocumentSource:
     host: str | None = None
     user: str | None = None
     password: str | None = None
+    position_field: str = "pos"
+    position_col: str | None = None
 
     def __post_init__(self):
         if self.sink_target not in SINK_TARGETS:
@@ -147,6 +156,8 @@ class DocumentSource:
             host=props.get("host"),
             user=props.get("userName"),
             password=props.get("password"),
+            position_field=props.get("positionField", "pos"),
+            position_col=props.get("positionColumn"),
         )
 
 
@@ -159,7 +170,7 @@ class KafkaTarget:
     per_db_topic_prefix: str | None = None
     per_db_topics: bool = False
     delivery_guarantee: str = "exactly-once"
-    partitions: int = 1
+    partitions: int | None = None
     topic_partitions: Mapping[str, int] = field(default_factory=dict)
     acks: str = "all"
     allow_duplicates: bool = False
@@ -167,6 +178,9 @@ class KafkaTarget:
     def __post_init__(self):
         if not self.per_db_topics and not self.topic:
             raise ValueError("a fixed-topic Kafka target needs 'topic'")
+        if self.partitions is None:
+            # A default would send every event of a wider topic to partition 0.
+            raise ValueError("a Kafka target needs 'partitions', the number of partitions of its topics")
         if self.partitions < 1 or any(n < 1 for n in self.topic_partitions.values()):
             raise ValueError("partition counts must be positive")
 
@@ -190,7 +204,7 @@ class KafkaTarget:
             per_db_topic_prefix=props.get("perDBTopicPrefix"),
             per_db_topics=per_db,
             delivery_guarantee=dg,
-            partitions=int(props.get("partitions", "1")),
+            partitions=int(props["partitions"]) if "partitions" in props else None,
             topic_partitions=topic_partitions,
             allow_duplicates=_bool(props.get("allowDuplicates"), False),
         )

@@ -5,7 +5,7 @@ functions so Catalyst can fold them into one projection.
 """
 
 from lograft.functions.jsonfn import json_quote, variant_kind
-from lograft.functions.keys import document_key, key_string, scalar_key_text
+from lograft.functions.keys import key_string, scalar_key_text
 from lograft.functions.topics import fixed_topic, topic_for_database
 from lograft.functions.hashing import java_string_hash, key_partition
 from lograft.functions.encoding import to_bytes
@@ -13,7 +13,6 @@ from lograft.functions.encoding import to_bytes
 __all__ = [
     "json_quote",
     "variant_kind",
-    "document_key",
     "key_string",
     "scalar_key_text",
     "fixed_topic",

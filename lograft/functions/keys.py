@@ -12,33 +12,42 @@ from lograft.functions.jsonfn import json_quote, variant_kind
 KEY_MISSING = "key_missing"
 KEY_NULL = "key_null"
 KEY_NOT_SCALAR = "key_not_scalar"
+KEY_NOT_INTEGER = "key_not_integer"
 DOC_KEY_NOT_STRING = "document_key_not_string"
 DOC_KEY_NOT_OBJECT = "document_key_not_object"
 
+INTEGER = "^-?[0-9]+$"
+# Text that may be a JSON number with a fraction or an exponent (or a string that looks like one).
+MAYBE_FRACTION = "^-?[0-9]+[.eE]"
+
 _SCALARS = ("string", "number", "boolean")
 
 
-def scalar_key_text(v: Column) -> tuple[Column, Column]:
+def scalar_key_text(v: Column, kind: Column, first: Column, first_kind: Column, shape: Column) -> tuple[Column, Column]:
     """Text of a scalar key held in a VARIANT, plus a reject reason.
 
-    Strings give their content, numbers and booleans their JSON text. A
+    Strings give their content, integers and booleans their JSON text. A
     one-element array of a scalar gives that scalar. Absent, null, object and
-    other array values give a NULL key and a reason.
+    other array values give a NULL key and a reason. So do numbers with a fraction
+    or an exponent: the JSON reader respells them (``1.50``, ``1e3``), and another
+    spelling would be another key and partition.
+
+    From parts that callers compute in projections of their own: ``kind`` and
+    ``first_kind`` are ``variant_kind`` of the value and of ``first``, the only element of
+    an array (else NULL), and ``shape`` is ``schema_of_variant`` of the scalar.
     """
-    kind = variant_kind(v)
-    first = F.try_variant_get(v, "$[0]", "variant")
-    n_items = F.size(F.try_variant_get(v, "$", "array<variant>"))
-    text = (
-        F.when(kind.isin(*_SCALARS), F.variant_get(v, "$", "string"))
-        .when((kind == "array") & (n_items == 1) & variant_kind(first).isin(*_SCALARS),
-              F.variant_get(first, "$", "string"))
-    )
+    one = F.coalesce(first_kind.isin(*_SCALARS), F.lit(False))
+    text = F.when(kind.isin(*_SCALARS), F.variant_get(v, "$", "string")).when(one, F.variant_get(first, "$", "string"))
+    number = (kind == "number") | (one & (first_kind == "number"))
+    # 1.0 reads back as 1: its type tells, an integer of so few digits being no decimal.
+    odd = F.coalesce(number & (~text.rlike(INTEGER) | (shape.startswith("DECIMAL") & (F.length(text) < 19))), F.lit(False))
     reason = (
         F.when(kind.isNull(), F.lit(KEY_MISSING))
         .when(kind == "null", F.lit(KEY_NULL))
         .when(text.isNull(), F.lit(KEY_NOT_SCALAR))
+        .when(odd, F.lit(KEY_NOT_INTEGER))
     )
-    return text, reason
+    return F.when(~odd, text), reason
 
 
 def document_key_parts(dk_kind: Column, dk_parsed_kind: Column, id_v: Column, id_kind: Column,
@@ -60,26 +69,12 @@ def document_key_parts(dk_kind: Column, dk_parsed_kind: Column, id_v: Column, id
         .when(dk_kind != "string", F.lit(DOC_KEY_NOT_STRING))
         .when(dk_parsed_kind.isNull() | (dk_parsed_kind != "object"), F.lit(DOC_KEY_NOT_OBJECT))
         .when(id_kind.isNull(), F.lit(KEY_MISSING))
+        .when((id_kind == "number") & ~F.get_json_object(dk_text, "$._id").rlike(INTEGER), F.lit(KEY_NOT_INTEGER))
     )
     key = F.when(no_key, F.lit(NO_PK)).otherwise(id_text)
     return F.when(reason.isNull(), key), reason
 
 
-def document_key(document_key_v: Column) -> tuple[Column, Column]:
-    """Key of a document change: the ``_id`` inside ``documentKey`` as JSON text.
-
-    ``documentKey`` holds a *string* of JSON. Its ``_id`` is rendered as JSON,
-    so a string keeps its quotes (``"abc"``), an object stays an object
-    (``{"$oid":"65"}``) and a number stays a number. A missing or null
-    ``documentKey`` gives ``no_pk``. (Single expression; ``parse_document``
-    computes the same parts in separate projections so each is evaluated once.)
-    """
-    dk_text = F.try_variant_get(document_key_v, "$", "string")
-    parsed = F.try_parse_json(dk_text)
-    id_v = F.try_variant_get(parsed, "$._id", "variant")
-    return document_key_parts(variant_kind(document_key_v), variant_kind(parsed), id_v, variant_kind(id_v), dk_text)
-
-
 def key_string(db: Column, table: Column, pk: Column) -> Column:
     """``db.table.pk``; NULL when any part is NULL (never the text 'null')."""
     return F.concat(db, F.lit("."), table, F.lit("."), pk)

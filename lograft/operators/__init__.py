@@ -1,9 +1,9 @@
 """DataFrame -> DataFrame transforms; each works on batch and streaming input."""
 
 from lograft.operators.envelope import parse_document, parse_relational, split_rejects, unknown_root_fields
-from lograft.operators.filters import include
+from lograft.operators.filters import include, include_condition
 from lograft.operators.route import route, sink_frame, kinesis_frame
-from lograft.operators.order import order_by_key, ordering_report
+from lograft.operators.order import order_by_key, ordering_report, written_order_report
 from lograft.operators.diff import snapshot_diff
 from lograft.operators.spread import rebalance
 
@@ -13,11 +13,13 @@ __all__ = [
     "split_rejects",
     "unknown_root_fields",
     "include",
+    "include_condition",
     "route",
     "sink_frame",
     "kinesis_frame",
     "order_by_key",
     "ordering_report",
+    "written_order_report",
     "snapshot_diff",
     "rebalance",
 ]

@@ -14,7 +14,6 @@ known without a second parse of the whole envelope.
 from __future__ import annotations
 
 import functools
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -22,13 +21,14 @@ from pyspark.sql import functions as F
 
 from lograft.config import NO_PK, NO_TABLE
 from lograft.functions.jsonfn import json_quote, json_quote_compact, variant_kind
-from lograft.functions.keys import document_key_parts, key_string, scalar_key_text
+from lograft.functions.keys import MAYBE_FRACTION, document_key_parts, key_string, scalar_key_text
 
 # Reject reasons (stable strings).
 NOT_JSON = "not_json"
 DB_MISSING = "db_missing"
 TABLE_MISSING = "table_missing"
 IMAGE_MISSING = "image_missing"
+POSITION_INVALID = "position_invalid"
 
 _CORRUPT = "_corrupt_record"
 _PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
@@ -44,7 +44,32 @@ def _q(name: str) -> str:
 
 
 def _source_struct(position_field: str) -> str:
-    return f"struct<db: string, `table`: string, {_q(position_field)}: string>"
+    fields = "".join(f", {_q(f)}: string" for f in position_field.split(","))
+    return f"struct<db: string, `schema`: string, `table`: string{fields}>"
+
+
+#: Positions below this number fit in one log file when a position has two fields.
+LOG_FILE_SPAN = 1 << 40
+
+
+def _position_text(position_field: str, read) -> Column:
+    """The position's text: one field, or ``file,offset`` (a log file name that ends
+    in its number, and the offset in it) combined to one growing number."""
+    fields = position_field.split(",")
+    if len(fields) == 1:
+        return read(fields[0])
+    if len(fields) > 2:
+        raise ValueError(f"a position has one or two fields, not {position_field!r}")
+    number = F.try_to_number(F.regexp_extract(read(fields[0]), "([0-9]+)$", 1), F.lit("9" * 18)).cast("bigint")
+    offset = read(fields[1]).try_cast("bigint")
+    given = F.when(read(fields[0]).isNotNull() | read(fields[1]).isNotNull(), F.concat_ws(",", read(fields[0]), read(fields[1])))
+    return F.coalesce((number * LOG_FILE_SPAN + offset).cast("string"), given)
+
+
+def _counted(df: DataFrame, kind: str) -> DataFrame:
+    """All events before a filter on their names. Also the planning boundary
+    that keeps the filter above the parse (see ``_observed``)."""
+    return df.observe(f"lograft_{kind}_read_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("events"))
 
 
 def _observed(df: DataFrame, kind: str) -> DataFrame:
@@ -72,8 +97,9 @@ def _key_text_stages(keep: list[str], has_img: bool, variant_fallback: Column) -
     """Stages adding ``__pk`` (key text) and ``__kr`` (key reject reason) from ``__raw``.
 
     ``__raw`` is the key read as a JSON *string* field: the right text for
-    strings, numbers and booleans in the one parse. Only when it is NULL or
-    starts like an object or array (``{``, ``[``) is the JSON type ambiguous;
+    strings, integers and booleans in the one parse. Only when it is NULL, starts
+    like an object or array (``{``, ``[``) or reads like a number that is no integer
+    does the JSON type matter;
     for those rows alone ``variant_fallback`` (the key as VARIANT) is computed,
     in its own projection, and decides.
     """
@@ -81,14 +107,19 @@ def _key_text_stages(keep: list[str], has_img: bool, variant_fallback: Column) -
     kept = [F.col(c) for c in keep]
     # The fallback may read the chosen image text (stringify mode).
     fallback_inputs = [F.col("__img")] if has_img else []
-    amb = (raw.isNull() | raw.startswith("{") | raw.startswith("[")).alias("__amb")
-    fb = F.when(F.col("__amb"), variant_fallback).alias("__fb")
-    fb_text, fb_reason = scalar_key_text(F.col("__fb"))
-    a = F.col("__amb")
+    amb = (raw.isNull() | raw.startswith("{") | raw.startswith("[") | raw.rlike(MAYBE_FRACTION)).alias("__amb")
+    a, fb = F.col("__amb"), F.col("__fb")
+    kind, first, first_kind = F.col("__fk"), F.col("__f1"), F.col("__f1k")
+    only_one = F.size(F.try_variant_get(fb, "$", "array<variant>")) == 1
+    fb_text, fb_reason = scalar_key_text(fb, kind, first, first_kind, F.schema_of_variant(F.coalesce(first, fb)))
     return [
         [*kept, *fallback_inputs, raw, amb],
-        [*kept, raw, a, fb],
-        [*kept, F.when(~a, raw).otherwise(fb_text).alias("__pk"), F.when(a, fb_reason).alias("__kr")],
+        [*kept, raw, a, F.when(a, variant_fallback).alias("__fb")],
+        [*kept, raw, a, fb, variant_kind(fb).alias("__fk")],
+        [*kept, raw, a, fb, kind, F.when((kind == "array") & only_one, F.try_variant_get(fb, "$[0]", "variant")).alias("__f1")],
+        [*kept, raw, a, fb, kind, first, variant_kind(first).alias("__f1k")],
+        [*kept, raw, a, fb_text.alias("__ft"), fb_reason.alias("__fr")],
+        [*kept, F.when(~a, raw).otherwise(F.col("__ft")).alias("__pk"), F.when(a, F.col("__fr")).alias("__kr")],
     ]
 
 
@@ -104,7 +135,8 @@ def parse_relational(
     stringify: bool = False,
     value_col: str = "value",
     position_field: str = "pos",
-    extra_fields: tuple[str, ...] = (),
+    position_col: str | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Relational (insert / update / delete) envelopes to routed records.
 
@@ -114,82 +146,96 @@ def parse_relational(
     * Events without ``op`` are schema changes: they pass with
       ``event_kind='schema'`` and key ``db.table.no_pk`` (``no_table`` when the
       table is absent).
+    * ``pos`` from ``source.<position_field>`` (``file,offset`` for a log file name
+      and an offset), or from the column ``position_col`` of ``df`` (the offset of a
+      message log). A position that is no integer is a reject, not a failure.
     * ``stringify``: non-null ``before``/``after`` objects become JSON strings
-      inside the re-serialized envelope. Otherwise ``value`` is the input text.
-      Root fields outside the envelope are carried only when named in
-      ``extra_fields`` (see ``unknown_root_fields`` to find them).
+      inside the re-serialized envelope, which keeps every root field with its
+      JSON type and adds none. Otherwise, and for rejects, ``value`` is the input.
+    * ``only``: a condition over ``db``, ``schema`` and ``table`` (see
+      ``include_condition``). Events it is false for are dropped right after their
+      names are read, before any key or text work.
 
     Built as a few narrow projections, each expensive expression referenced
     once, so everything after ``from_json`` (a codegen-fallback expression)
     compiles into one whole-stage-codegen stage.
     """
     out = df
-    for cols in _relational_stages(_gateway_id(), pk, stringify, value_col, position_field, tuple(extra_fields)):
+    stages, names_read = _relational_stages(_gateway_id(), pk, stringify, value_col, position_field, position_col)
+    for i, cols in enumerate(stages):
         out = out.select(*cols)
+        if i == names_read and only is not None:
+            named = _counted(out, "relational").withColumns(
+                {"db": F.col("__db"), "schema": F.col("__schema"), "table": F.col("__table")})
+            out = named.filter(only).drop("db", "schema", "table")
     return _observed(out, "relational")
 
 
 @functools.lru_cache(maxsize=64)
 def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str, position_field: str,
-                       extra_fields: tuple[str, ...]) -> tuple[list[Column], ...]:
-    """Column lists of the parse stages. They refer to columns by name only,
-    so they are built once per configuration (and JVM) and reused."""
+                       position_col: str | None) -> tuple[tuple[list[Column], ...], int]:
+    """Column lists of the parse stages, and the stage after which the names are
+    known. They refer to columns by name only, so they are built once per
+    configuration (and JVM) and reused."""
     v = F.col(value_col)
     src_t = _source_struct(position_field)
-    if stringify:
-        extras = "".join(f", {_q(x)} variant" for x in extra_fields)
-        schema = (f"before string, after string, source string, op string, ts_ms string, "
-                  f"transaction string{extras}, {_CORRUPT} string")
-    else:
-        img = f"struct<{_q(pk)}: string>"
-        schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
-    stages: list[list[Column]] = [[v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e")]]
-    e = F.col("__e")
-    is_delete = e["op"] == "d"
-    base = [F.col("__v"), e]
+    carried = F.lit(None).cast("string") if position_col is None else F.col(position_col).cast("string")
+    first = [v.alias("__v"), carried.alias("__log_pos")]
+    stages: list[list[Column]] = []
+    names = [F.col(c) for c in ("__v", "__log_pos", "__db", "__schema", "__table", "__src_pos")]
+
+    def source_columns(src: Column) -> list[Column]:
+        return [src["db"].alias("__db"), src["schema"].alias("__schema"), src["table"].alias("__table"),
+                _position_text(position_field, lambda f: src[f]).alias("__src_pos")]
 
     if stringify:
-        # The chosen image text and the source struct, each parsed once.
-        stages.append([
-            *base,
-            F.from_json(e["source"], src_t).alias("__s"),
-            F.when(is_delete, e["before"]).otherwise(e["after"]).alias("__img"),
-        ])
-        src, img_col = F.col("__s"), F.col("__img")
-        stages.append([
-            *base,
-            src["db"].alias("__db"), src["table"].alias("__table"), src[position_field].alias("__pos"),
-            img_col.isNull().alias("__img_null"),
-            F.from_json(img_col, f"struct<{_q(pk)}: string>")[pk].alias("__raw"),
-            img_col,
-        ])
+        # All root fields as text; their JSON types come from a second reading.
+        stages.append([*first, F.from_json(v, "map<string,string>", {"mode": "PERMISSIVE"}).alias("__m")])
+        m = F.col("__m")
+        stages.append([F.col("__v"), F.col("__log_pos"), m, F.from_json(m["source"], src_t).alias("__s")])
+        stages.append([F.col("__v"), F.col("__log_pos"), m, *source_columns(F.col("__s"))])
+        names_read = len(stages) - 1
+        base = [*names, m]
+        op = m["op"]
+        stages.append([*base, op.alias("__op"), F.when(op == "d", m["before"]).otherwise(m["after"]).alias("__img")])
+        base = [*base, F.col("__op")]
+        img_col = F.col("__img")
+        stages.append([*base, m.isNull().alias("__bad"), img_col.isNull().alias("__img_null"),
+                       F.from_json(img_col, f"struct<{_q(pk)}: string>")[pk].alias("__raw"), img_col])
         fallback = F.try_variant_get(F.try_parse_json(img_col), _json_path(pk), "variant")
     else:
+        img = f"struct<{_q(pk)}: string>"
+        schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
+        stages.append([*first, F.from_json(v, schema, _PARSE_OPTS).alias("__e")])
+        e = F.col("__e")
+        stages.append([F.col("__v"), F.col("__log_pos"), e, *source_columns(e["source"])])
+        names_read = len(stages) - 1
+        op = e["op"]
+        is_delete = op == "d"
         stages.append([
-            *base,
-            e["source"]["db"].alias("__db"), e["source"]["table"].alias("__table"),
-            e["source"][position_field].alias("__pos"),
+            *names, op.alias("__op"), (e.isNull() | e[_CORRUPT].isNotNull()).alias("__bad"),
             F.when(is_delete, e["before"].isNull()).otherwise(e["after"].isNull()).alias("__img_null"),
             F.when(is_delete, e["before"][pk]).otherwise(e["after"][pk]).alias("__raw"),
         ])
         doc = F.try_parse_json(F.col("__v"))
         fallback = F.when(
-            e["op"] == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
+            F.col("__op") == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
         ).otherwise(F.try_variant_get(doc, _json_path("after", pk), "variant"))
 
     # Key text and key-level reject reason.
-    keep = ["__v", "__e", "__db", "__table", "__pos", "__img_null"]
+    keep = ["__v", "__log_pos", "__db", "__schema", "__table", "__src_pos", "__op", "__bad", "__img_null"] + (["__m"] if stringify else [])
     stages.extend(_key_text_stages(keep, stringify, fallback))
 
-    db, table, op = F.col("__db"), F.col("__table"), e["op"]
+    db, table, op, bad = F.col("__db"), F.col("__table"), F.col("__op"), F.col("__bad")
     is_schema = op.isNull()
-    not_json = e.isNull() | e[_CORRUPT].isNotNull()
+    pos_text = F.coalesce("__log_pos", "__src_pos")
+    stages.append([F.col("*"), pos_text.try_cast("bigint").alias("__pos"), pos_text.isNotNull().alias("__has_pos")])
     stages.append([
         F.col("*"),
-        not_json.alias("__bad"),
         (
-            F.when(not_json, F.lit(NOT_JSON))
+            F.when(bad, F.lit(NOT_JSON))
             .when(db.isNull(), F.lit(DB_MISSING))
+            .when(F.col("__has_pos") & F.col("__pos").isNull(), F.lit(POSITION_INVALID))
             .when(is_schema, F.lit(None).cast("string"))
             .when(table.isNull(), F.lit(TABLE_MISSING))
             .when(F.col("__img_null"), F.lit(IMAGE_MISSING))
@@ -199,77 +245,84 @@ def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str,
     reason = F.col("__reason")
     pkey = F.when(is_schema, key_string(db, F.coalesce(table, F.lit(NO_TABLE)), F.lit(NO_PK))).otherwise(
         key_string(db, table, F.col("__pk")))
-    # Schema changes carry no row images: their text passes unchanged.
-    out_value = F.when(is_schema | F.col("__bad"), F.col("__v")).otherwise(_stringified_envelope(e, extra_fields)) \
-        if stringify else F.col("__v")
+    out_value = F.col("__v")
+    if stringify:
+        # Schema changes carry no row images, rejects stay as they came.
+        stages.append([F.col("*"), F.when(is_schema | reason.isNotNull(), F.lit(None)).otherwise(
+            F.from_json(F.col("__v"), "map<string,variant>", {"mode": "PERMISSIVE"})).alias("__types")])
+        out_value = F.when(is_schema | reason.isNotNull(), out_value).otherwise(_stringified_envelope())
     stages.append([
         db.alias("db"),
         table.alias("table"),
         op.alias("op"),
-        F.col("__pos").cast("bigint").alias("pos"),
-        F.when(is_schema & ~F.col("__bad"), F.lit("schema")).otherwise(F.lit("row")).alias("event_kind"),
+        F.col("__pos").alias("pos"),
+        F.when(is_schema & ~bad, F.lit("schema")).otherwise(F.lit("row")).alias("event_kind"),
         F.when(reason.isNull(), pkey).alias("partition_key"),
         out_value.alias("value"),
         reason.alias("reject_reason"),
     ])
-    return tuple(stages)
-
+    return tuple(stages), names_read
 
-def _raw_or_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit("null"))
 
+def _stringified_envelope() -> Column:
+    """The envelope again, root field by root field in the order they came, with
+    ``before``/``after`` objects as JSON strings.
 
-def _stringified_envelope(ec: Column, extra_fields: tuple[str, ...] = ()) -> Column:
-    """Re-serialize the envelope with ``before``/``after`` as JSON strings.
-
-    ``before``/``after``/``source``/``transaction`` arrive as compact raw JSON
-    text, so the envelope is assembled by concatenation: no second parse and no
-    re-typing of row values.
+    ``__m`` has the text of each root value (compact raw JSON for objects) and
+    ``__types`` its JSON type: strings are quoted again, everything else is
+    spliced in as it is.
     """
-    def image(name: str) -> Column:
+    def field(key: Column, text: Column) -> Column:
+        typed = F.try_element_at(F.col("__types"), key)
+        kind = variant_kind(typed)
+        image = key.isin("before", "after")
         # Image text comes from the JSON parser's writer: compact quoting is exact.
-        return F.when(ec[name].isNull(), F.lit("null")).otherwise(json_quote_compact(ec[name]))
-
-    return F.concat(
-        F.lit('{"before":'), image("before"),
-        F.lit(',"after":'), image("after"),
-        F.lit(',"source":'), _raw_or_null(ec["source"]),
-        F.lit(',"op":'), F.coalesce(json_quote(ec["op"]), F.lit("null")),
-        F.lit(',"ts_ms":'), _raw_or_null(ec["ts_ms"]),
-        F.lit(',"transaction":'), _raw_or_null(ec["transaction"]),
-        *[F.when(ec[x].isNotNull(), F.concat(F.lit("," + json.dumps(x) + ":"), F.to_json(ec[x]))).otherwise(F.lit(""))
-          for x in extra_fields],
-        F.lit("}"),
-    )
+        shown = (F.when(text.isNull(), F.lit("null")).when(image & (kind == "object"), json_quote_compact(text))
+                 .when(kind == "string", json_quote(text)).otherwise(text))
+        return F.concat(json_quote(key), F.lit(":"), shown)
+
+    fields = F.transform(F.map_entries("__m"), lambda x: field(x["key"], x["value"]))
+    return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
 
 
-def parse_document(df: DataFrame, value_col: str = "value", position_field: str = "pos") -> DataFrame:
+def parse_document(df: DataFrame, value_col: str = "value", position_field: str = "pos",
+                   position_col: str | None = None, only: Column | None = None) -> DataFrame:
     """Document-store change events to routed records.
 
     ``db``/``table`` from ``ns.db``/``ns.coll``; key ``db.coll.<_id as JSON>``
     or ``db.coll.no_pk`` without a ``documentKey``. ``value`` is the input line.
+    ``pos`` is the root field ``position_field``, or the column ``position_col`` of
+    ``df`` (the offset of a message log). ``only``: as in ``parse_relational``, with
+    the collection as ``table``.
     Staged like ``parse_relational``: the envelope, the inner ``documentKey``
     JSON and each JSON-type check are computed once, in their own projection.
     """
     out = df
-    for cols in _document_stages(_gateway_id(), value_col, position_field):
+    for i, cols in enumerate(_document_stages(_gateway_id(), value_col, position_field, position_col)):
         out = out.select(*cols)
+        if i == 0 and only is not None:
+            ns = F.col("__e")["ns"]
+            named = _counted(out, "document").withColumns(
+                {"db": ns["db"], "schema": F.lit(None).cast("string"), "table": ns["coll"]})
+            out = named.filter(only).drop("db", "schema", "table")
     return _observed(out, "document")
 
 
 @functools.lru_cache(maxsize=16)
-def _document_stages(_gateway: int, value_col: str, position_field: str) -> tuple[list[Column], ...]:
+def _document_stages(_gateway: int, value_col: str, position_field: str, position_col: str | None) -> tuple[list[Column], ...]:
     v = F.col(value_col)
     schema = f"ns struct<db: string, coll: string>, documentKey variant, {_q(position_field)} string, {_CORRUPT} string"
     e = F.col("__e")
-    base = [F.col("__v"), e]
+    base = [F.col("__v"), F.col("__log_pos"), e]
+    carried = F.lit(None).cast("string") if position_col is None else F.col(position_col).cast("string")
     c = F.col
     pk_text, key_reason = document_key_parts(c("__dkk"), c("__dkpk"), c("__id"), c("__idk"), c("__dkt"))
     db, coll = e["ns"]["db"], e["ns"]["coll"]
     not_json = e.isNull() | e[_CORRUPT].isNotNull()
     reason = c("__reason")
+    pos_text = F.coalesce(c("__log_pos"), e[position_field])
     return (
-        [v.alias("__v"), F.from_json(v, schema, _PARSE_OPTS).alias("__e")],
+        [v.alias("__v"), carried.alias("__log_pos"), F.from_json(v, schema, _PARSE_OPTS).alias("__e")],
         [*base, variant_kind(e["documentKey"]).alias("__dkk"),
          F.try_variant_get(e["documentKey"], "$", "string").alias("__dkt")],
         [*base, c("__dkk"), c("__dkt"), F.try_parse_json(c("__dkt")).alias("__dkp")],
@@ -277,9 +330,11 @@ def _document_stages(_gateway: int, value_col: str, position_field: str) -> tupl
          F.try_variant_get(c("__dkp"), "$._id", "variant").alias("__id")],
         [*base, c("__dkk"), c("__dkt"), c("__dkpk"), c("__id"), variant_kind(c("__id")).alias("__idk")],
         [*base, pk_text.alias("__pk"), key_reason.alias("__kr")],
+        [c("*"), pos_text.try_cast("bigint").alias("__pos"), pos_text.isNotNull().alias("__has_pos")],
         [c("*"), (
             F.when(not_json, F.lit(NOT_JSON))
             .when(db.isNull(), F.lit(DB_MISSING))
+            .when(c("__has_pos") & c("__pos").isNull(), F.lit(POSITION_INVALID))
             .when(coll.isNull(), F.lit(TABLE_MISSING))
             .otherwise(c("__kr"))
         ).alias("__reason")],
@@ -287,7 +342,7 @@ def _document_stages(_gateway: int, value_col: str, position_field: str) -> tupl
             db.alias("db"),
             coll.alias("table"),
             F.lit(None).cast("string").alias("op"),
-            e[position_field].cast("bigint").alias("pos"),
+            c("__pos").alias("pos"),
             F.lit("row").alias("event_kind"),
             F.when(reason.isNull(), key_string(db, coll, c("__pk"))).alias("partition_key"),
             c("__v").alias("value"),
@@ -300,9 +355,8 @@ def unknown_root_fields(df: DataFrame, value_col: str = "value",
                         known: tuple[str, ...] = RELATIONAL_FIELDS) -> DataFrame:
     """Add ``unknown_fields`` (root keys outside ``known``) and their count.
 
-    A fixed parse schema drops root fields it does not name; this finds them
-    so they can be added to ``extra_fields``. NULL for text that is not a
-    JSON object.
+    They are carried in ``value`` like the others; this reports them. NULL for
+    text that is not a JSON object.
     """
     keys = F.json_object_keys(F.col(value_col))
     unknown = F.filter(keys, lambda k: ~k.isin(*known))

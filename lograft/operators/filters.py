@@ -22,19 +22,35 @@ def _anchored(entries: list[str]) -> str:
 def include_condition(
     databases: str | list[str] | None = None,
     tables: str | list[str] | None = None,
+    schemas: str | list[str] | None = None,
+    qualifier: str = "db",
     db_col: str = "db",
     table_col: str = "table",
+    schema_col: str = "schema",
 ) -> Column | None:
-    """Predicate for ``include``; ``None`` when there is nothing to filter."""
-    cond: Column | None = None
-    dbs = _entries(databases)
-    if dbs is not None:
-        cond = F.col(db_col).rlike(_anchored(dbs))
-    tbls = _entries(tables)
-    if tbls is not None:
-        t = F.concat(F.col(db_col), F.lit("."), F.col(table_col)).rlike(_anchored(tbls))
-        cond = t if cond is None else cond & t
-    return cond
+    """Predicate for an event's names; ``None`` when there is nothing to filter.
+
+    ``tables`` entries are ``db.table`` (``qualifier='db'``) or ``schema.table``
+    (``qualifier='schema'``). A name that an event does not have cannot exclude it:
+    an unreadable event stays, to become a reject, and so does a schema change of
+    an included database that names no table.
+    """
+    conds: list[Column] = []
+
+    def add(name: Column, entries: list[str] | None) -> None:
+        if entries is not None:
+            conds.append(name.isNull() | name.rlike(_anchored(entries)))
+
+    add(F.col(db_col), _entries(databases))
+    if schemas is not None:
+        add(F.col(schema_col), _entries(schemas))
+    if tables is not None:
+        prefix = F.col(schema_col if qualifier == "schema" else db_col)
+        add(F.concat(prefix, F.lit("."), F.col(table_col)), _entries(tables))
+    out: Column | None = None
+    for c in conds:
+        out = c if out is None else out & c
+    return out
 
 
 def include(
@@ -43,17 +59,18 @@ def include(
     tables: str | list[str] | None = None,
     db_col: str = "db",
     table_col: str = "table",
-    keep_rejects: bool = True,
+    keep_unknown: bool = True,
 ) -> DataFrame:
     """Keep rows whose database matches ``databases`` and whose ``db.table``
     matches ``tables`` (collections use the same form). Entries are regular
     expressions matched against the whole name; ``None`` means no filter.
-    One ``rlike`` per list, so the filter stays a single codegen'd predicate.
-    Rejected rows (``reject_reason`` set) are kept so they reach the reject table.
+    Rows without the name stay unless ``keep_unknown`` is off. Jobs filter inside the
+    parse instead (``only``), before key work.
     """
-    cond = include_condition(databases, tables, db_col, table_col)
+    cond = include_condition(databases, tables, db_col=db_col, table_col=table_col)
     if cond is None:
         return df
-    if keep_rejects and "reject_reason" in df.columns:
-        cond = cond | F.col("reject_reason").isNotNull()
+    if not keep_unknown:
+        known = F.col(db_col).isNotNull() & (F.col(table_col).isNotNull() if tables is not None else F.lit(True))
+        cond = cond & known
     return df.filter(cond)

@@ -14,13 +14,15 @@ def order_by_key(
     key: str = "partition_key",
     position: str = "pos",
     strategy: str = "hash",
+    within: tuple[str, ...] = (),
 ) -> DataFrame:
     """Put each key's events in source-position order before a sink.
 
     ``hash``: hash-partition on the key string, sort within partitions. Each
     key has one task, so one writer per key: the layout a message log needs.
     A hot key stays in one task; the sort is external and spills rather than
-    failing.
+    failing. Events without a position have no order to keep (documents without a
+    key, schema changes): those are spread by their text, not piled up on a key.
 
     ``range``: range-partition on (key, position), sort within partitions. A
     hot key is split into consecutive position ranges over several tasks, and
@@ -28,15 +30,23 @@ def order_by_key(
     may hold a large share of the rows. The range bounds come from a sample
     (one extra pass over the input).
 
+    ``within``: columns sorted by before the key, as the folder columns of a
+    file sink: a writer that is handed rows in another order sorts them again and
+    loses the key's. ``num_partitions`` is the job's choice, by its volume; without
+    it the width is left to Spark, which may merge small partitions.
+
     Works on a micro-batch inside ``foreachBatch``: sorting a streaming
     DataFrame directly is not allowed.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown ordering strategy {strategy!r}; expected one of {STRATEGIES}")
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = (num_partitions,) if num_partitions else ()
     if strategy == "range":
-        return df.repartitionByRange(n, F.col(key), F.col(position)).sortWithinPartitions(key, position)
-    return df.repartition(n, F.col(key)).sortWithinPartitions(key, position)
+        spread = df.repartitionByRange(*width, *within, F.col(key), F.col(position))
+    else:
+        salt = F.when(F.col(position).isNull(), F.xxhash64(*df.columns)) if position in df.columns else F.lit(None)
+        spread = df.repartition(*width, F.col(key), salt)
+    return spread.sortWithinPartitions(*within, key, position)
 
 
 def ordering_report(df: DataFrame, key: str = "partition_key", position: str = "pos") -> DataFrame:
@@ -71,3 +81,25 @@ def ordering_report(df: DataFrame, key: str = "partition_key", position: str = "
         (F.sum("_inv") + F.sum(F.when(F.col("_lo") < F.col("_prev_hi"), 1).otherwise(0))).alias("inversions"),
         F.count(F.lit(1)).alias("n_tasks"),
     )
+
+
+def written_order_report(files: DataFrame, key: str = "partition_key", position: str = "pos",
+                         batch: str = "batch_id") -> DataFrame:
+    """Per key: events and position inversions in written files (Parquet).
+
+    Rows go by batch, file name and row in the file, which is how a reader of the
+    files meets them. Files of one batch are named in task order.
+    """
+    tagged = files.select(key, position, F.col(batch).cast("string").alias("_batch"), F.col("_metadata.file_name").alias("_file"),
+                          F.col("_metadata.row_index").alias("_row"))
+    per_file = (
+        tagged.withColumn("_prev", F.lag(position).over(Window.partitionBy(key, "_batch", "_file").orderBy("_row")))
+        .groupBy(key, "_batch", "_file")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.col(position) < F.col("_prev"), 1).otherwise(0)).alias("_inv"),
+             F.min(position).alias("_lo"), F.max(position).alias("_hi"))
+    )
+    stepped = per_file.withColumn("_prev_hi", F.lag("_hi").over(Window.partitionBy(key, "_batch").orderBy("_file")))
+    return stepped.groupBy(key).agg(
+        F.sum("_n").alias("n_events"),
+        (F.sum("_inv") + F.sum(F.when(F.col("_lo") < F.col("_prev_hi"), 1).otherwise(0))).alias("inversions"),
+    )

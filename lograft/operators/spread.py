@@ -7,27 +7,16 @@ from pyspark.sql import functions as F
 
 
 def rebalance(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Round-robin rows over at least ``num_partitions`` tasks (default: the
-    cluster's parallelism) before CPU-heavy per-record work such as JSON
-    parsing.
+    """Spread rows over ``num_partitions`` tasks before CPU-heavy per-record work
+    such as JSON parsing; without a number, the input's own splits are used.
 
-    A no-op when the input already has that many partitions, which a large
-    scan always does, so the extra shuffle is paid only for small, unsplittable
-    inputs (one file, one row group, one Kafka partition). For a stream the
-    count of a micro-batch is unknown up front; pass ``num_partitions`` to
-    always redistribute.
+    Give a number where one reader feeds the whole job (a single file or log
+    partition), in a batch or a stream. A large scan is split already and needs
+    none. The choice is the caller's: nothing is run to find out, and it does not
+    depend on the size of the input.
 
     Rows are hash-partitioned on ``xxhash64`` of all columns: deterministic
     under task retries without the local sort a round-robin repartition
     needs. Only fully identical rows share a task.
     """
-    if df.isStreaming:
-        return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df
-    try:
-        n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
-        return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df
-    if current >= n:
-        return df
-    return df.repartition(n, F.xxhash64(*df.columns))
+    return df.repartition(num_partitions, F.xxhash64(*df.columns)) if num_partitions else df

@@ -5,15 +5,25 @@ Catalyst sees a single plan, and the same chain serves batch and stream.
 
 from __future__ import annotations
 
-from typing import Mapping
+import functools
+from typing import Mapping, NamedTuple, Sequence
 
 from pyspark.sql import DataFrame
 
 from lograft import config as C
 from lograft.operators.envelope import parse_document, parse_relational
-from lograft.operators.filters import include
+from lograft.operators.filters import include_condition
 from lograft.operators.route import route
 from lograft.operators.spread import rebalance
+from lograft.sources.snapshot import snapshot_records
+
+
+class SnapshotTable(NamedTuple):
+    """A table to load in full before its changes: typed rows and their names."""
+
+    rows: DataFrame
+    db: str
+    table: str
 
 
 def relational_job(
@@ -24,12 +34,16 @@ def relational_job(
     hash_method: str = "reflect",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Envelope text -> routed records with ``topic`` and ``partition``."""
+    """Envelope text -> routed records with ``topic`` and ``partition``.
+
+    ``num_partitions`` spreads a feed that one reader delivers (a single file or
+    log partition) before the per-event work, in a batch or a stream."""
+    only = include_condition(source.databases, source.tables, source.schemas if source.table_qualifier == "schema" else None,
+                             source.table_qualifier)
     parsed = parse_relational(
         rebalance(feed, num_partitions), pk=source.pk, stringify=source.stringify, value_col=value_col,
-        position_field=source.position_field,
+        position_field=source.position_field, position_col=source.position_col, only=only,
     )
-    parsed = include(parsed, databases=source.databases, tables=source.tables)
     return route(parsed, target, hash_method)
 
 
@@ -42,15 +56,22 @@ def document_job(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Document envelope text -> routed records (``topic``/``partition`` only
-    for a Kafka target; Kinesis routes by ``partition_key`` alone)."""
-    parsed = parse_document(rebalance(feed, num_partitions), value_col=value_col)
-    parsed = include(parsed, databases=source.databases, tables=_collections(source.collections))
+    for a Kafka target; Kinesis routes by ``partition_key`` alone). Collection
+    entries are ``db.collection`` names, matched like table entries."""
+    only = include_condition(source.databases, source.collections)
+    parsed = parse_document(rebalance(feed, num_partitions), value_col=value_col, position_field=source.position_field,
+                            position_col=source.position_col, only=only)
     return route(parsed, target, hash_method) if target is not None else parsed
 
 
-def _collections(spec: str | None) -> list[str] | None:
-    # Collection entries are "db.collection" names, matched like table entries.
-    return None if spec is None else spec.split(",")
+def snapshot_job(tables: Sequence[SnapshotTable], source: C.RelationalSource, target: C.KafkaTarget,
+                 hash_method: str = "reflect") -> DataFrame:
+    """Included tables as routed read events, from their typed columns; wall-clock
+    times are read in the source's time zone."""
+    only = include_condition(source.databases, source.tables if source.table_qualifier == "db" else None)
+    parts = [snapshot_records(t.rows, t.db, t.table, source.pk, source.stringify, source.time_zone) for t in tables]
+    records = functools.reduce(DataFrame.unionByName, parts)
+    return route(records if only is None else records.filter(only), target, hash_method)
 
 
 _RELATIONAL_GROUPS = {"mysql": C.GROUP_MYSQL, "oracle": C.GROUP_ORACLE, "postgres": C.GROUP_POSTGRES}
@@ -77,9 +98,13 @@ def start_job(
     groups: Mapping[str, Mapping[str, str]],
     feed: DataFrame,
     checkpoint_location: str,
-    reject_path: str | None = None,
+    reject_path: str,
     output_path: str | None = None,
+    snapshot: DataFrame | Sequence[SnapshotTable] | None = None,
+    feed_now: DataFrame | None = None,
+    num_partitions: int | None = None,
     kinesis_client_factory=None,
+    fmt: str = "json",
     **trigger,
 ):
     """One call per job, like a job's ``main``: property groups in, running stream out.
@@ -88,31 +113,40 @@ def start_job(
     streaming DataFrame of envelope text (``read_feed`` / ``read_kafka_feed``).
     The sink follows the configuration: Kafka for relational jobs, Kafka or
     Kinesis for document jobs (``sinkTarget``). ``output_path`` writes ordered
-    files instead of a message log. ``trigger``: ``available_now=True`` or
+    files instead of a message log. Events that cannot be routed are kept under
+    ``reject_path``. ``trigger``: ``available_now=True`` or
     ``processing_time="10 seconds"``.
 
-    This streams changes. The startup mode decides what ``feed`` should be:
-    ``kafka_starting_offsets(mode)`` for Kafka feeds, ``start_initial_job`` to
-    write the snapshot first, and ``startup`` for batch runs.
+    The startup mode (``startupMode``, or ``copyExisting`` for documents) is obeyed:
+    ``initial`` and ``snapshot`` load ``snapshot`` first: tables (``SnapshotTable``, read
+    in the source's ``timeZone``) or a DataFrame of read-event envelopes. For
+    ``initial`` and ``latest-offset``, ``feed_now`` is the same feed as a batch, from which
+    the hand-off position is taken; leave it out only for a message log that was
+    opened at the right offsets (``kafka_starting_offsets``). ``snapshot`` mode returns
+    None: the job is done when the load is. ``num_partitions`` spreads a feed that
+    one reader delivers.
     """
     from lograft.sinks.select import make_sink
-    from lograft.streaming.job import start_file_job, start_sink_job
+    from lograft.streaming.job import highest_routed, ordered_file_writer, sink_writer, start_after
 
     source, target = jobs_from_properties(kind, groups)
+    kafka = target if isinstance(target, C.KafkaTarget) else None
     if kind == "mongo":
-        routed = document_job(feed, source, target if isinstance(target, C.KafkaTarget) else None)
-        sink_target = source.sink_target
+        def job(events: DataFrame) -> DataFrame:
+            return document_job(events, source, kafka, num_partitions=num_partitions)
     else:
-        routed = relational_job(feed, source, target)
-        sink_target = "msk"
-    name = f"lograft-{kind}"
+        def job(events: DataFrame) -> DataFrame:
+            return relational_job(events, source, target, num_partitions=num_partitions)
+    if feed_now is None and source.startup_mode in ("initial", "latest-offset") and "log_offset" not in feed.columns:
+        raise ValueError(f"startup mode {source.startup_mode!r} needs feed_now, the same feed as a batch")
     if output_path is not None:
-        return start_file_job(routed, name, output_path, reject_path, checkpoint_location, **trigger)
-    writer = make_sink(
-        sink_target,
-        kafka=target if isinstance(target, C.KafkaTarget) else None,
-        kinesis=target if isinstance(target, C.KinesisTarget) else None,
-        kinesis_client_factory=kinesis_client_factory,
-        reject_path=None if reject_path is None else f"{reject_path}/sink",
-    )
-    return start_sink_job(routed, name, writer, checkpoint_location, reject_path=reject_path, **trigger)
+        emit = ordered_file_writer(output_path, reject_path, fmt)
+    else:
+        emit = sink_writer(make_sink(
+            source.sink_target if kind == "mongo" else "msk", kafka=kafka, kinesis=None if kafka else target,
+            kinesis_client_factory=kinesis_client_factory, reject_path=f"{reject_path}/sink"), reject_path)
+    loaded = None
+    if snapshot is not None and source.startup_mode in ("initial", "snapshot"):
+        loaded = job(snapshot) if isinstance(snapshot, DataFrame) else snapshot_job(snapshot, source, target)
+    hand_off = None if feed_now is None else lambda: highest_routed(job, feed_now, position_col=source.position_col)
+    return start_after(spark, source.startup_mode, emit, job, feed, f"lograft-{kind}", checkpoint_location, loaded, hand_off, **trigger)

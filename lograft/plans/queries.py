@@ -9,6 +9,7 @@ engines, only the values carried through it.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from typing import Callable
 
@@ -18,24 +19,28 @@ from pyspark.sql import functions as F
 from lograft.config import DocumentSource, KafkaTarget, RelationalSource
 from lograft.operators.diff import snapshot_diff
 from lograft.operators.envelope import parse_document, parse_relational, unknown_root_fields
-from lograft.operators.order import order_by_key, ordering_report
+from lograft.functions.jsonfn import variant_kind
+from lograft.operators.order import order_by_key, ordering_report, written_order_report
 from lograft.operators.route import kinesis_frame, route, sink_frame
 from lograft.operators.spread import rebalance
 from lograft.operators.filters import include
-from lograft.plans.jobs import document_job, relational_job
+from lograft.plans.jobs import SnapshotTable, document_job, relational_job, start_job
 from lograft.sources.feeds import read_feed, write_feed
-from lograft.sources.snapshot import snapshot_events
-from lograft.sources.startup import highest_position, startup
+from lograft.sources.snapshot import snapshot_events, snapshot_records
+from lograft.sources.startup import MODES, highest_position, startup
 from lograft.sources.tables import (
     ORDERS_DB,
     ORDERS_TABLE,
     TAIL_POSITION_BASE,
     conversation_change_feed,
     events_change_feed,
+    events_feed_with_faults,
+    events_feed_with_more_fields,
+    events_schema_feed,
     orders_change_log,
     orders_snapshots,
 )
-from lograft.streaming.job import ensure_checkpoint_dir, start_file_job
+from lograft.streaming.job import configured_checkpoint_dir, ensure_checkpoint_dir, start_file_job, start_initial_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,12 +56,24 @@ TIME_ZONE = "Asia/Shanghai"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A test table. The files are single row groups, so by default rows are
-    spread before the per-row JSON work (a no-op for a large, already split
-    scan). Plans that shuffle on a key right away (joins) pass ``spread=False``:
-    that shuffle spreads the work already."""
+    """A test table. The files are single row groups, one reader each, so by default
+    rows are spread over the cluster's cores before the per-row JSON work. Plans
+    that shuffle on a key right away (joins) pass ``spread=False``: that shuffle
+    spreads the work already."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return rebalance(df) if spread else df
+    return rebalance(df, _cores(spark)) if spread else df
+
+
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder (a temporary one only where none is set)."""
+    import tempfile
+
+    root = configured_checkpoint_dir(spark) or ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="lograft-ckpt-"))
+    return f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
 
 
 def _events_routed(spark, sf_dir, source=MYSQL, target=PER_DB, **kw) -> DataFrame:
@@ -75,14 +92,13 @@ def document_feed(spark, sf_dir):
     return r.select("db", "table", "partition_key", "pos")
 
 
-def _orders_snapshot_parsed(spark, sf_dir, time_zone=None):
+def _orders_snapshot(spark, sf_dir, time_zone=None):
     orders = _t(spark, sf_dir, "orders")
-    ev = snapshot_events(orders, ORDERS_DB, ORDERS_TABLE, time_zone=time_zone, position=F.col("o_orderkey"))
-    return parse_relational(ev, pk="o_orderkey", stringify=False)
+    return snapshot_records(orders, ORDERS_DB, ORDERS_TABLE, "o_orderkey", time_zone=time_zone, position=F.col("o_orderkey"))
 
 
 def snapshot_full_load(spark, sf_dir):
-    r = _orders_snapshot_parsed(spark, sf_dir)
+    r = _orders_snapshot(spark, sf_dir)
     after = F.get_json_object("value", "$.after")
     return r.select(
         "db", "table", "op", "pos", "partition_key",
@@ -93,7 +109,7 @@ def snapshot_full_load(spark, sf_dir):
 
 
 def snapshot_time_zone(spark, sf_dir):
-    r = _orders_snapshot_parsed(spark, sf_dir, time_zone=TIME_ZONE)
+    r = _orders_snapshot(spark, sf_dir, time_zone=TIME_ZONE)
     return r.select(
         "partition_key",
         F.get_json_object("value", "$.after.o_orderdate").cast("bigint").alias("o_orderdate_utc_us"),
@@ -105,9 +121,9 @@ def _orders_startup(spark, sf_dir, mode):
     # on the key and spreads its own work.
     orders = _t(spark, sf_dir, "orders", spread=False)
     old, _ = orders_snapshots(orders)
-    history, tail = orders_change_log(orders, spread_history=True)
+    history, tail = orders_change_log(orders, spread_history=_cores(spark))
     log = history.unionByName(tail)
-    snap = snapshot_events(rebalance(old), ORDERS_DB, ORDERS_TABLE)
+    snap = snapshot_events(rebalance(old, _cores(spark)), ORDERS_DB, ORDERS_TABLE)
     # The hand-off from the unspread history: a pruned scan of the key column.
     hand_off = highest_position(orders_change_log(orders)[0])
     events = startup(mode, snapshot=snap, changes=log, start_position=hand_off)
@@ -141,10 +157,11 @@ def snapshot_diff_query(spark, sf_dir):
     )
 
 
-def _events_with_schema_changes(events: DataFrame) -> DataFrame:
+def _events_with_schema_changes(spark, sf_dir) -> DataFrame:
     """Feed B plus schema-change events: per event type one DDL on the table
-    and one without a table name."""
-    types = events.select("event_type").distinct()
+    and one without a table name. The types come from a pruned scan."""
+    events = _t(spark, sf_dir, "events")
+    types = _t(spark, sf_dir, "events", spread=False).select("event_type").distinct()
     db = F.concat(F.lit("App_DB_"), F.col("event_type"))
     ddl = types.select(F.to_json(F.struct(
         F.struct(db.alias("db"), F.lit("events").alias("table")).alias("source"),
@@ -158,13 +175,13 @@ def _events_with_schema_changes(events: DataFrame) -> DataFrame:
 
 
 def schema_events(spark, sf_dir):
-    feed = _events_with_schema_changes(_t(spark, sf_dir, "events"))
+    feed = _events_with_schema_changes(spark, sf_dir)
     r = parse_relational(feed, pk="id", stringify=True)
     return r.select("event_kind", "db", "op", "partition_key")
 
 
 def unknown_root_fields_query(spark, sf_dir):
-    feed = _events_with_schema_changes(_t(spark, sf_dir, "events"))
+    feed = _events_with_schema_changes(spark, sf_dir)
     r = unknown_root_fields(parse_relational(feed, pk="id", stringify=False))
     return r.select("event_kind", "partition_key", "n_unknown_fields",
                     F.array_join("unknown_fields", ",").alias("unknown_fields"))
@@ -192,10 +209,42 @@ def include_lists(spark, sf_dir):
     return r.select("db", "table", "op", "pos", "partition_key")
 
 
+BEFORE_SHIFT = 10**6
+
+
 def key_by_operation(spark, sf_dir):
-    r = parse_relational(events_change_feed(_t(spark, sf_dir, "events"), pk_as_string=True), pk="id", stringify=True)
-    image = F.when(F.col("op") == "d", F.lit("before")).otherwise(F.lit("after"))
-    return r.select("op", "pos", "partition_key", image.alias("key_image"))
+    """``before`` and ``after`` have different keys, so the key shows which image it is from."""
+    feed = events_change_feed(_t(spark, sf_dir, "events"), pk_as_string=True, before_shift=BEFORE_SHIFT)
+    return parse_relational(feed, pk="id", stringify=True).select("op", "pos", "partition_key")
+
+
+def key_spelling(spark, sf_dir):
+    """Keys whose spelling matters: numbers with a fraction or exponent are rejects, the
+    same text in quotes is a key."""
+    ev = _t(spark, sf_dir, "events")
+    rule = F.col("event_id") % 6
+    spelled = F.when(rule == 1, F.lit('"1.50"')).when(rule == 2, F.lit("1.50")).when(rule == 3, F.lit("1e3")) \
+        .when(rule == 4, F.lit('"7e1"')).when(rule == 5, F.lit("true")).otherwise(F.col("user_id").cast("string"))
+    env = F.concat(F.lit('{"before":null,"after":{"id":'), spelled, F.lit('},"source":{"db":"d","table":"t","pos":'),
+                   F.col("event_id").cast("string"), F.lit('},"op":"c"}'))
+    r = parse_relational(ev.select(env.alias("value")), pk="id", stringify=False)
+    return r.select("pos", "partition_key", "reject_reason")
+
+
+def include_schemas(spark, sf_dir):
+    source = RelationalSource(kind="postgres", pk="id", stringify=True, databases="app", schemas="s_view,s_click,s_error",
+                              tables=r"s_view\.events,s_click\.ev.*,s_error\.none")
+    routed = relational_job(events_schema_feed(_t(spark, sf_dir, "events")), source, PER_DB)
+    return routed.select("db", "table", "pos", "partition_key", "topic")
+
+
+def envelope_fields(spark, sf_dir):
+    """Each root field of the envelope that goes out, with its JSON type and value."""
+    r = parse_relational(events_feed_with_more_fields(_t(spark, sf_dir, "events")), pk="id", stringify=True)
+    fields = r.select("pos", "value", F.explode(F.json_object_keys("value")).alias("field"))
+    typed = F.try_element_at(F.from_json("value", "map<string,variant>"), F.col("field"))
+    text = F.try_element_at(F.from_json("value", "map<string,string>"), F.col("field"))
+    return fields.select("pos", "field", variant_kind(typed).alias("kind"), text.alias("text"))
 
 
 def stringified_images(spark, sf_dir):
@@ -225,8 +274,7 @@ def topic_per_database(spark, sf_dir):
 def key_hash_partition(spark, sf_dir):
     ev = _events_routed(spark, sf_dir, target=PER_DB_SIZED).select("topic", "partition_key", "partition")
     li = _t(spark, sf_dir, "lineitem")
-    li_ev = snapshot_events(li, "tpch", "lineitem")
-    li_routed = route(parse_relational(li_ev, pk="l_orderkey", stringify=False), PER_DB_SIZED)
+    li_routed = route(snapshot_records(li, "tpch", "lineitem", "l_orderkey"), PER_DB_SIZED)
     return ev.unionByName(li_routed.select("topic", "partition_key", "partition"))
 
 
@@ -258,14 +306,7 @@ def kinesis_record(spark, sf_dir):
 
 def stream_routed_files(spark, sf_dir):
     """Feed files -> readStream -> job -> ordered, per-batch idempotent files."""
-    import tempfile
-
-    from lograft.streaming.job import configured_checkpoint_dir
-
-    configured = configured_checkpoint_dir(spark)
-    root = configured.rstrip("/") if configured else ensure_checkpoint_dir(
-        spark, tempfile.mkdtemp(prefix="lograft-ckpt-"))
-    run = f"{root}/stream_routed_files/{uuid.uuid4().hex}"
+    run = _folder(spark, "stream_routed_files")
     write_feed(events_change_feed(_t(spark, sf_dir, "events")), f"{run}/feed")
     stream = read_feed(spark, f"{run}/feed", streaming=True)
     routed = relational_job(stream, MYSQL, PER_DB)
@@ -276,6 +317,75 @@ def stream_routed_files(spark, sf_dir):
     return out.select("topic", "partition_key", "partition", "pos")
 
 
+def ordered_files(spark, sf_dir):
+    """The order in the files that a job writes: a feed in several files with positions
+    out of order and a hot key, read back by file name and row."""
+    run = _folder(spark, "ordered_files")
+    write_feed(events_change_feed(_t(spark, sf_dir, "events"), hot_key=True), f"{run}/feed")
+    routed = relational_job(read_feed(spark, f"{run}/feed", streaming=True), MYSQL, PER_DB)
+    q = start_file_job(routed, f"ordered_files_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects",
+                       f"{run}/checkpoint", available_now=True, fmt="parquet", num_partitions=8)
+    q.awaitTermination()
+    return written_order_report(spark.read.parquet(f"{run}/out"))
+
+
+def event_accounting(spark, sf_dir):
+    """What becomes of every event of a feed with faults, through a snapshot, a
+    hand-off and a restart: a row per event that was written or rejected. The first
+    half of the feed is there when the job starts, the second when it restarts."""
+    run = _folder(spark, "event_accounting")
+    events = _t(spark, sf_dir, "events")
+    top = F.broadcast(_t(spark, sf_dir, "events", spread=False).agg(F.max("event_id").alias("top")))  # one row
+    feed = events_feed_with_faults(events).join(top)
+    customers = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("event_id"))
+    source = RelationalSource(kind="mysql", pk="id", stringify=True, databases="App_DB_.*")
+
+    def start(part: int):
+        write_feed(feed.filter((F.col("event_id") * 2 < F.col("top")) if part == 0 else (F.col("event_id") * 2 >= F.col("top"))),
+                   f"{run}/feed/part={part}")
+        q = start_initial_job(
+            spark, lambda e: relational_job(e, source, PER_DB), snapshot_events(customers, "App_DB_all", "customer"),
+            read_feed(spark, f"{run}/feed/*"), read_feed(spark, f"{run}/feed/*", streaming=True),
+            f"event_accounting_{part}_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects", f"{run}/checkpoint",
+            fmt="parquet", available_now=True)
+        q.awaitTermination()
+
+    start(0)
+    start(1)
+    event_id = F.regexp_extract("value", r'event_id\\?":([0-9]+)', 1).cast("bigint").alias("event_id")
+    out = spark.read.parquet(f"{run}/out").select(F.when(F.col("op") == "r", "snapshot").otherwise("output").alias("outcome"), event_id)
+    rejects = spark.read.parquet(f"{run}/rejects").select(F.col("reject_reason").alias("outcome"), event_id)
+    return out.unionByName(rejects)
+
+
+def job_startup_modes(spark, sf_dir):
+    """``start_job`` in each startup mode: all orders as the snapshot, their creates in
+    the feed when the job starts, an update of each when it restarts."""
+    run = _folder(spark, "job_startup_modes")
+    orders = _t(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    history = snapshot_events(orders, ORDERS_DB, ORDERS_TABLE, position=key, op="c")
+    tail = snapshot_events(orders, ORDERS_DB, ORDERS_TABLE, position=key + TAIL_POSITION_BASE, op="u")
+    write_feed(history, f"{run}/log/history")
+    write_feed(tail, f"{run}/log/tail")
+
+    def events(mode: str) -> DataFrame:
+        groups = {"MySQLSrcCDC": {"db": ORDERS_DB, "tables": r"tpch\.orders", "pk": "o_orderkey", "startupMode": mode, "stringifyData": "false"},
+                  "MSKTargetCDC": {"topic": "orders", "partitions": "7", "deliveryGuarantee": "at-least-once"}}
+        out = f"{run}/{mode}"
+        for seen in ("{history}", "{history,tail}"):  # a glob: what is there at the start, and after
+            q = start_job(spark, "mysql", groups, read_feed(spark, f"{run}/log/{seen}", streaming=True), f"{out}/checkpoint",
+                          f"{out}/rejects", f"{out}/out", [SnapshotTable(orders, ORDERS_DB, ORDERS_TABLE)],
+                          read_feed(spark, f"{run}/log/{seen}"), fmt="parquet", available_now=True)
+            if q is not None:
+                q.awaitTermination()
+        return spark.read.parquet(f"{out}/out").select(
+            F.lit(mode).alias("mode"), "op", "pos", "partition_key",
+            F.when(F.col("op") == "r", F.get_json_object("value", "$.after.o_orderdate")).cast("bigint").alias("snapshot_date_us"))
+
+    return functools.reduce(DataFrame.unionByName, map(events, MODES))
+
+
 def ordered_per_key(spark, sf_dir):
     routed = _events_routed(spark, sf_dir)
     return ordering_report(order_by_key(routed, 8))
@@ -312,6 +422,12 @@ QUERIES: dict[str, Query] = {
     "sink_record": sink_record,
     "kinesis_record": kinesis_record,
     "stream_routed_files": stream_routed_files,
+    "key_spelling": key_spelling,
+    "include_schemas": include_schemas,
+    "envelope_fields": envelope_fields,
+    "ordered_files": ordered_files,
+    "event_accounting": event_accounting,
+    "job_startup_modes": job_startup_modes,
     "ordered_per_key": ordered_per_key,
     "ordered_hot_key": ordered_hot_key,
 }
@@ -399,8 +515,44 @@ ORACLE_SQL: dict[str, str] = {
         "WHEN 3 THEN 'key_missing' END AS reject_reason FROM events"),
     "include_lists": f"{_RELATIONAL_ROWS} WHERE event_type IN ('signup', 'purchase')",
     "key_by_operation": (
-        f"SELECT {_EV_OP} AS op, event_id AS pos, {_EV_KEY} AS partition_key, "
-        "CASE WHEN event_id % 10 = 0 THEN 'before' ELSE 'after' END AS key_image FROM events"),
+        f"SELECT {_EV_OP} AS op, event_id AS pos, {_EV_DB} || '.events.' || CAST(user_id + "
+        f"CASE WHEN event_id % 10 = 0 THEN {BEFORE_SHIFT} ELSE 0 END AS VARCHAR) AS partition_key FROM events"),
+    "key_spelling": (
+        "SELECT event_id AS pos, CASE event_id % 6 WHEN 0 THEN 'd.t.' || CAST(user_id AS VARCHAR) WHEN 1 THEN 'd.t.1.50' "
+        "WHEN 4 THEN 'd.t.7e1' WHEN 5 THEN 'd.t.true' END AS partition_key, "
+        "CASE WHEN event_id % 6 IN (2, 3) THEN 'key_not_integer' END AS reject_reason FROM events"),
+    "include_schemas": (
+        "SELECT 'app' AS db, 'events' AS \"table\", event_id AS pos, 'app.events.' || CAST(user_id AS VARCHAR) AS partition_key, "
+        "'cdc-app' AS topic FROM events WHERE event_type IN ('view', 'click')"),
+    "envelope_fields": (
+        "WITH e AS (SELECT *, event_id AS pos, CAST(event_id AS VARCHAR) AS i, '{\"id\":' || CAST(user_id AS VARCHAR) || '}' AS image, "
+        f"{_EV_OP} AS op FROM events) "
+        "SELECT pos, 'zone' AS field, 'string' AS kind, 'z' || i AS text FROM e "
+        "UNION ALL SELECT pos, 'before', CASE WHEN op IN ('u', 'd') THEN 'string' ELSE 'null' END, CASE WHEN op IN ('u', 'd') THEN image END FROM e "
+        "UNION ALL SELECT pos, 'after', CASE WHEN op <> 'd' THEN 'string' ELSE 'null' END, CASE WHEN op <> 'd' THEN image END FROM e "
+        "UNION ALL SELECT pos, 'source', 'object', '{\"db\":\"app\",\"table\":\"events\",\"pos\":' || i || '}' FROM e "
+        "UNION ALL SELECT pos, 'op', 'string', op FROM e "
+        "UNION ALL SELECT pos, 'ts_ms', 'number', i || '0' FROM e WHERE event_id % 3 <> 0 "
+        "UNION ALL SELECT pos, 'transaction', 'string', 'tx' || i FROM e "
+        "UNION ALL SELECT pos, 'tag', 'object', '{\"b\":[' || i || ',null]}' FROM e "
+        "UNION ALL SELECT pos, 'flag', 'boolean', 'true' FROM e"),
+    "ordered_files": (
+        "SELECT 'App_DB_' || event_type || '.events.' || CAST(CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END "
+        "AS VARCHAR) AS partition_key, count(*) AS n_events, CAST(0 AS BIGINT) AS inversions FROM events GROUP BY 1"),
+    "event_accounting": (
+        "WITH e AS (SELECT event_id, event_id % 12 AS rule, event_id * 2 < (SELECT max(event_id) FROM events) AS early FROM events) "
+        "SELECT 'snapshot' AS outcome, c_custkey AS event_id FROM customer "
+        "UNION ALL SELECT CASE rule WHEN 0 THEN 'not_json' WHEN 3 THEN 'position_invalid' ELSE 'output' END, event_id FROM e "
+        "WHERE rule < 4 OR (rule > 4 AND NOT early)"),
+    "job_startup_modes": (
+        "WITH s AS (SELECT 'r' AS op, CAST(NULL AS BIGINT) AS pos, o_orderkey AS k, "
+        f"epoch_us(o_orderdate AT TIME ZONE '{TIME_ZONE}') AS snapshot_date_us FROM orders), "
+        "h AS (SELECT 'c', o_orderkey, o_orderkey, CAST(NULL AS BIGINT) FROM orders), "
+        f"t AS (SELECT 'u', {TAIL_POSITION_BASE} + o_orderkey, o_orderkey, CAST(NULL AS BIGINT) FROM orders), "
+        "m AS (SELECT 'initial' AS mode, * FROM (FROM s UNION ALL FROM t) UNION ALL "
+        "SELECT 'earliest-offset', * FROM (FROM h UNION ALL FROM t) UNION ALL SELECT 'latest-offset', * FROM t "
+        "UNION ALL SELECT 'snapshot', * FROM s) "
+        "SELECT mode, op, pos, 'tpch.orders.' || CAST(k AS VARCHAR) AS partition_key, snapshot_date_us FROM m"),
     "stringified_images": (
         f"SELECT event_id AS pos, {_EV_OP} AS op, "
         "CASE WHEN event_id % 10 <> 0 THEN CAST(value AS DECIMAL(12,2)) END AS after_value, "

@@ -9,32 +9,44 @@ from lograft.operators.envelope import split_rejects
 from lograft.operators.order import order_by_key
 
 
+def require_reject_path(reject_path: str | None) -> str:
+    """Rejected events have to go somewhere: without a place they would vanish."""
+    if not reject_path:
+        raise ValueError("reject_path is required: events that cannot be routed are kept there")
+    return reject_path
+
+
 def write_batch_files(
     routed: DataFrame,
     output_path: str,
-    reject_path: str | None,
+    reject_path: str,
     batch_id: int | str,
     fmt: str = "json",
     num_partitions: int | None = None,
-    partition_by: tuple[str, ...] = ("topic",),
-    strategy: str = "range",
+    partition_by: tuple[str, ...] | None = None,
+    strategy: str | None = "range",
 ) -> None:
     """Write one batch: good rows ordered per key, rejects aside.
 
     Ordering uses the ``range`` strategy by default, so a hot key is spread
-    over several files in position order instead of loading one task.
+    over several files in position order instead of loading one task. The folder
+    columns (``topic``, or ``db`` for records without one) come first in the sort,
+    so the writer does not sort again and the order per key reaches the files.
+    ``strategy=None`` writes rows as they come, with no exchange: for a snapshot,
+    which has each key once.
 
     Each batch goes to its own ``batch_id=N`` directory in overwrite mode, so
     a batch replayed after a failure replaces its earlier partial output:
     exactly-once together with the stream checkpoint.
     """
-    routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+    require_reject_path(reject_path)
+    folders = partition_by or (("topic",) if "topic" in routed.columns else ("db",))
+    held = routed.persist(StorageLevel.MEMORY_AND_DISK) if strategy else None  # a micro-batch, read three times
     try:
         good, bad = split_rejects(routed)
-        ordered = order_by_key(good, num_partitions, strategy=strategy)
-        (ordered.write.mode("overwrite").partitionBy(*partition_by).format(fmt)
-         .save(f"{output_path}/batch_id={batch_id}"))
-        if reject_path is not None:
-            bad.write.mode("overwrite").format(fmt).save(f"{reject_path}/batch_id={batch_id}")
+        rows = order_by_key(good, num_partitions, strategy=strategy, within=folders) if strategy else good
+        rows.write.mode("overwrite").partitionBy(*folders).format(fmt).save(f"{output_path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").format(fmt).save(f"{reject_path}/batch_id={batch_id}")
     finally:
-        routed.unpersist()
+        if held is not None:
+            held.unpersist()

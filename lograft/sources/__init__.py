@@ -1,18 +1,20 @@
 """Sources: snapshots, change feeds (batch or stream), startup modes."""
 
-from lograft.sources.snapshot import image_columns, snapshot_events, read_jdbc_snapshot, epoch_micros
+from lograft.sources.snapshot import image_columns, snapshot_events, snapshot_records, read_jdbc_snapshot, epoch_micros
 from lograft.sources.feeds import read_feed, read_kafka_feed, write_feed
-from lograft.sources.startup import highest_position, kafka_starting_offsets, startup
+from lograft.sources.startup import after_position, highest_position, kafka_starting_offsets, startup
 
 __all__ = [
     "image_columns",
     "snapshot_events",
+    "snapshot_records",
     "read_jdbc_snapshot",
     "epoch_micros",
     "read_feed",
     "read_kafka_feed",
     "write_feed",
     "startup",
+    "after_position",
     "highest_position",
     "kafka_starting_offsets",
 ]

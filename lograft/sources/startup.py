@@ -17,6 +17,15 @@ def highest_position(changes: DataFrame, position: str = "pos") -> Column:
     return changes.select(F.max(position)).scalar()
 
 
+def after_position(df: DataFrame, start: Column | int, position: str = "pos") -> DataFrame:
+    """Events after a position. Those without one (unreadable text, schema changes)
+    cannot be placed: they pass, to the output or the rejects, and may arrive
+    twice but never get lost."""
+    start = start if isinstance(start, Column) else F.lit(start)
+    at = F.col(position)
+    return df.filter(at.isNull() | start.isNull() | (at > start))
+
+
 def startup(
     mode: str,
     snapshot: DataFrame | None = None,
@@ -47,7 +56,7 @@ def startup(
         if start_position is None:
             raise ValueError(f"startup mode {mode!r} needs start_position")
         sp = start_position if isinstance(start_position, Column) else F.lit(start_position)
-        return df.filter(F.col(position) > sp)
+        return after_position(df, sp, position)
 
     if mode == "snapshot":
         return need(snapshot, "a snapshot")
@@ -65,14 +74,16 @@ def kafka_starting_offsets(mode: str, hand_off_offsets: str | None = None) -> st
     arrives after start, ``snapshot`` reads no log at all (``None``).
     ``initial`` streams from the end offsets recorded *before* the snapshot
     scan (a JSON map ``{"topic": {"0": 42, ...}}``), so changes that race the
-    scan arrive twice rather than never; without a recorded map it starts at
-    ``latest``, which can lose such changes.
+    scan arrive twice rather than never. They are required: starting at
+    ``latest`` instead would lose such changes.
     """
     if mode not in MODES:
         raise ValueError(f"unknown startup mode {mode!r}; expected one of {MODES}")
+    if mode == "initial" and not hand_off_offsets:
+        raise ValueError("startup mode 'initial' needs the offsets recorded before the snapshot scan")
     return {
         "earliest-offset": "earliest",
         "latest-offset": "latest",
         "snapshot": None,
-        "initial": hand_off_offsets or "latest",
+        "initial": hand_off_offsets,
     }[mode]

@@ -48,25 +48,30 @@ def hot_user_id(events_event_id: Column, user_id: Column) -> Column:
     return F.when(events_event_id % 3 == 0, F.lit(HOT_USER).cast("bigint")).otherwise(user_id)
 
 
-def events_change_feed(events: DataFrame, pk_as_string: bool = False, hot_key: bool = False) -> DataFrame:
+def events_change_feed(events: DataFrame, pk_as_string: bool = False, hot_key: bool = False,
+                       before_shift: int = 0) -> DataFrame:
     """Relational change envelopes (``value``) from ``events``.
 
     ``hot_key``: a third of all events share one key (see ``hot_user_id``).
+    ``before_shift``: the key in ``before`` is that much larger than in ``after``.
     """
     op = events_op(F.col("event_id"))
     user = hot_user_id(F.col("event_id"), F.col("user_id")) if hot_key else F.col("user_id")
-    pk = user.cast("string") if pk_as_string else user
-    image = F.struct(
-        pk.alias("id"),
-        F.col("event_id"),
-        F.col("event_type"),
-        F.col("value").cast(T.DecimalType(12, 2)).alias("value"),
-        epoch_micros(F.col("ts"), T.TimestampNTZType()).alias("ts_us"),
-        F.col("props"),
-    )
+
+    def image(shift: int) -> Column:
+        pk = user + shift if shift else user
+        return F.struct(
+            (pk.cast("string") if pk_as_string else pk).alias("id"),
+            F.col("event_id"),
+            F.col("event_type"),
+            F.col("value").cast(T.DecimalType(12, 2)).alias("value"),
+            epoch_micros(F.col("ts"), T.TimestampNTZType()).alias("ts_us"),
+            F.col("props"),
+        )
+
     envelope = F.struct(
-        F.when(op.isin("u", "d"), image).alias("before"),
-        F.when(op != "d", image).alias("after"),
+        F.when(op.isin("u", "d"), image(before_shift)).alias("before"),
+        F.when(op != "d", image(0)).alias("after"),
         F.struct(
             F.concat(F.lit(EVENTS_DB_PREFIX), F.col("event_type")).alias("db"),
             F.lit(EVENTS_TABLE).alias("table"),
@@ -79,6 +84,45 @@ def events_change_feed(events: DataFrame, pk_as_string: bool = False, hot_key: b
     return events.select(F.to_json(envelope, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def _json_text(*parts: Column | str) -> Column:
+    return F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts))
+
+
+def events_feed_with_faults(events: DataFrame) -> DataFrame:
+    """Envelopes (``value``) of ``events``, by ``event_id % 12``: 0 is cut short, 1 is a
+    schema change, 2 has no position, 3 has a position that is no integer, 4 is of
+    another database, the others are creates with position ``event_id``."""
+    rule, eid = F.col("event_id") % 12, F.col("event_id")
+    db = F.when(rule == 4, F.lit("Other")).otherwise(F.concat(F.lit(EVENTS_DB_PREFIX), F.col("event_type")))
+    pos = (F.when(rule == 2, F.lit("")).when(rule == 3, F.lit(',"pos":"0/16B3748"'))
+           .otherwise(_json_text(',"pos":', eid)))
+    row = _json_text('{"before":null,"after":{"id":', F.col("user_id"), ',"event_id":', eid, '},"source":{"db":"', db,
+                     '","table":"events"', pos, '},"op":"c"}')
+    ddl = _json_text('{"source":{"db":"', db, '","table":"events"},"ddl":"ALTER TABLE events","event_id":', eid, "}")
+    value = F.when(rule == 0, row.substr(F.lit(1), F.length(row) - 1)).when(rule == 1, ddl).otherwise(row)
+    return events.select(value.alias("value"), eid.alias("event_id"))
+
+
+def events_schema_feed(events: DataFrame) -> DataFrame:
+    """Envelopes (``value``) of ``events`` in one database with a schema per event type."""
+    return events.select(_json_text(
+        '{"before":null,"after":{"id":', F.col("user_id"), '},"source":{"db":"app","schema":"s_', F.col("event_type"),
+        '","table":"events","pos":', F.col("event_id"), '},"op":"c"}').alias("value"))
+
+
+def events_feed_with_more_fields(events: DataFrame) -> DataFrame:
+    """Envelopes (``value``) of ``events`` with root fields of other kinds: text
+    ``transaction``, no ``ts_ms`` where ``event_id % 3 = 0``, and two unknown ones."""
+    eid, op = F.col("event_id"), events_op(F.col("event_id"))
+    image = _json_text('{"id":', F.col("user_id"), "}")
+    null = F.lit("null")
+    return events.select(_json_text(
+        '{"zone":"z', eid, '","before":', F.when(op.isin("u", "d"), image).otherwise(null),
+        ',"after":', F.when(op != "d", image).otherwise(null), ',"source":{"db":"app","table":"events","pos":', eid, '},"op":"', op, '"',
+        F.when(eid % 3 == 0, F.lit("")).otherwise(_json_text(',"ts_ms":', eid * 10)),
+        ',"transaction":"tx', eid, '","tag":{"b":[', eid, ',null]},"flag":true}').alias("value"))
+
+
 def conversation_change_feed(conversations: DataFrame) -> DataFrame:
     """Document change envelopes (``value``) from ``conversations``."""
     cid = F.col("conv_id")
@@ -110,16 +154,16 @@ def orders_snapshots(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def orders_change_log(orders: DataFrame, spread_history: bool = False) -> tuple[DataFrame, DataFrame]:
+def orders_change_log(orders: DataFrame, spread_history: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(history, tail) of a change log for ``orders``.
 
     history: creates that built the old snapshot, position ``o_orderkey``;
     tail: the net changes from old to new, position ``10^12 + o_orderkey``.
-    ``spread_history`` rebalances the history's rows (it has no shuffle of its
-    own); the tail is spread by its join.
+    ``spread_history`` spreads the history's rows over so many tasks (it has no
+    shuffle of its own); the tail is spread by its join.
     """
     old, new = orders_snapshots(orders)
-    src = rebalance(old) if spread_history else old
+    src = rebalance(old, spread_history)
     history = snapshot_events(src, ORDERS_DB, ORDERS_TABLE, position=F.col("o_orderkey"), op="c")
     tail = snapshot_diff(old, new, "o_orderkey", ORDERS_DB, ORDERS_TABLE,
                          position=F.col("__k") + F.lit(TAIL_POSITION_BASE))

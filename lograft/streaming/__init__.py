@@ -3,7 +3,10 @@
 from lograft.streaming.job import (
     checkpoint_root,
     ensure_checkpoint_dir,
+    highest_routed,
     ordered_file_writer,
+    sink_writer,
+    start_after,
     start_file_job,
     start_initial_job,
     start_sink_job,
@@ -16,4 +19,7 @@ __all__ = [
     "start_initial_job",
     "start_sink_job",
     "ordered_file_writer",
+    "sink_writer",
+    "start_after",
+    "highest_routed",
 ]

@@ -8,14 +8,17 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lograft.operators.envelope import split_rejects
 from lograft.operators.order import order_by_key
-from lograft.sinks.files import write_batch_files
+from lograft.sinks.files import require_reject_path, write_batch_files
+from lograft.sources.startup import MODES, after_position
 
+SNAPSHOT_BATCH = "snapshot"
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
@@ -50,41 +53,53 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return root.rstrip("/")
 
 
+Emit = Callable[[DataFrame, "int | str"], None]
+
+
 def ordered_file_writer(
     output_path: str,
-    reject_path: str | None,
+    reject_path: str,
     fmt: str = "json",
     num_partitions: int | None = None,
-) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch_files(batch, output_path, reject_path, batch_id, fmt, num_partitions)
+) -> Emit:
+    """Writes a batch as files, ordered per key; the batch ``snapshot`` as it comes
+    (it has each key once)."""
+    require_reject_path(reject_path)
+
+    def write(batch: DataFrame, batch_id: int | str) -> None:
+        write_batch_files(batch, output_path, reject_path, batch_id, fmt, num_partitions,
+                          strategy=None if batch_id == SNAPSHOT_BATCH else "range")
 
     return write
 
 
-def start_file_job(
-    routed_stream: DataFrame,
-    name: str,
-    output_path: str,
-    reject_path: str | None,
-    checkpoint_location: str,
-    available_now: bool = False,
-    processing_time: str | None = None,
-    num_partitions: int | None = None,
-    fmt: str = "json",
-) -> StreamingQuery:
-    """Start a routed stream into ordered, idempotent file output.
+def sink_writer(writer: Emit, reject_path: str, num_partitions: int | None = None) -> Emit:
+    """Hands a batch to ``writer`` (``make_sink``), ordered per key, and writes rejects."""
+    require_reject_path(reject_path)
 
-    ``checkpoint_location`` is required: it holds source offsets and the last
-    committed batch, so a restarted job resumes without gaps or duplicates.
-    """
+    def write(batch: DataFrame, batch_id: int | str) -> None:
+        from pyspark import StorageLevel
+
+        alone = batch_id == SNAPSHOT_BATCH
+        held = None if alone else batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = split_rejects(batch)
+            writer(good if alone else order_by_key(good, num_partitions, strategy="hash"), batch_id)
+            bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
+        finally:
+            if held is not None:
+                held.unpersist()
+
+    return write
+
+
+def _start(routed_stream: DataFrame, name: str, emit: Emit, checkpoint_location: str,
+           available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
+    """Start a routed stream. ``checkpoint_location`` holds source offsets and the last
+    committed batch, so a restarted job resumes without gaps."""
     if not checkpoint_location:
         raise ValueError("checkpoint_location is required")
-    w = (
-        routed_stream.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint_location)
-        .foreachBatch(ordered_file_writer(output_path, reject_path, fmt, num_partitions))
-    )
+    w = routed_stream.writeStream.queryName(name).option("checkpointLocation", checkpoint_location).foreachBatch(emit)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
@@ -92,53 +107,28 @@ def start_file_job(
     return w.start()
 
 
-def start_initial_job(
-    spark: SparkSession,
-    job: Callable[[DataFrame], DataFrame],
-    snapshot: DataFrame,
-    feed_now: DataFrame,
-    feed_stream: DataFrame,
+def start_file_job(
+    routed_stream: DataFrame,
     name: str,
     output_path: str,
-    reject_path: str | None,
+    reject_path: str,
     checkpoint_location: str,
-    position: str = "pos",
-    **start_kw,
+    available_now: bool = False,
+    processing_time: str | None = None,
+    num_partitions: int | None = None,
+    fmt: str = "json",
 ) -> StreamingQuery:
-    """Startup mode ``initial`` for a stream: snapshot, then changes after it.
-
-    1. Note the feed's highest position *before* the snapshot scan (events
-       racing the scan are then delivered twice, never lost).
-    2. Route the snapshot read events through ``job`` and write them as batch
-       ``snapshot``.
-    3. Stream ``job(feed_stream)`` from positions after the hand-off.
-
-    The hand-off is stored next to the stream checkpoint once the snapshot is
-    written, so a restarted job skips steps 1-2 and resumes the stream.
-    """
-    marker = f"{checkpoint_location.rstrip('/')}_hand_off"
-    hand_off = None
-    try:
-        row = spark.read.schema("hand_off bigint").json(marker).first()
-        hand_off = row.hand_off if row is not None else None
-    except Exception:  # noqa: BLE001 - no marker yet
-        hand_off = None
-    if hand_off is None:
-        # One scalar: the highest position routed so far (0 for an empty feed).
-        hand_off = job(feed_now).agg(F.coalesce(F.max(position), F.lit(-1)).alias("m")).first().m
-        write_batch_files(job(snapshot), output_path, reject_path, "snapshot", fmt=start_kw.get("fmt", "json"),
-                          num_partitions=start_kw.get("num_partitions"))
-        spark.createDataFrame([(int(hand_off),)], "hand_off bigint").coalesce(1).write.mode("overwrite").json(marker)
-    routed = job(feed_stream).filter(F.col(position) > F.lit(hand_off))
-    return start_file_job(routed, name, output_path, reject_path, checkpoint_location, **start_kw)
+    """Start a routed stream into ordered, idempotent file output."""
+    emit = ordered_file_writer(output_path, reject_path, fmt, num_partitions)
+    return _start(routed_stream, name, emit, checkpoint_location, available_now, processing_time)
 
 
 def start_sink_job(
     routed_stream: DataFrame,
     name: str,
-    writer: Callable[[DataFrame], None],
+    writer: Emit,
     checkpoint_location: str,
-    reject_path: str | None = None,
+    reject_path: str,
     available_now: bool = False,
     processing_time: str | None = None,
     num_partitions: int | None = None,
@@ -146,29 +136,102 @@ def start_sink_job(
     """Start a routed stream into a message-log writer (``make_sink``).
 
     Each micro-batch is ordered per key (``hash``: one writer task per key)
-    and handed to ``writer``; rejects go to ``reject_path``. Delivery is
+    and handed to ``writer`` with its id; rejects go to ``reject_path``. Delivery is
     at-least-once: a batch replayed after a failure is written again. Bound
     micro-batches on the source (``maxFilesPerTrigger`` /
     ``maxOffsetsPerTrigger``) so a hot key's share of one task stays bounded.
     """
+    return _start(routed_stream, name, sink_writer(writer, reject_path, num_partitions), checkpoint_location,
+                  available_now, processing_time)
+
+
+def _marker(spark: SparkSession, path: str) -> tuple[bool, int | None]:
+    """Whether the start was recorded before, and the position noted then."""
+    try:
+        row = spark.read.schema("hand_off bigint").json(path).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False, None
+    return row is not None, row.hand_off if row is not None else None
+
+
+def start_after(
+    spark: SparkSession,
+    mode: str,
+    emit: Emit,
+    job: Callable[[DataFrame], DataFrame],
+    feed_stream: DataFrame,
+    name: str,
+    checkpoint_location: str,
+    snapshot: DataFrame | None = None,
+    hand_off: Callable[[], int | None] | None = None,
+    position: str = "pos",
+    available_now: bool = False,
+    processing_time: str | None = None,
+) -> StreamingQuery | None:
+    """Start a stream by startup mode. ``snapshot`` holds routed records.
+
+    ``earliest-offset``  the whole feed
+    ``latest-offset``    events after the position ``hand_off()`` gives at the first start
+    ``snapshot``         the snapshot only; no stream, the result is None
+    ``initial``          notes ``hand_off()`` *before* the snapshot scan, writes the
+                         snapshot, then streams what comes after the hand-off
+
+    ``hand_off=None`` says that the feed begins at the right place itself (a message log
+    opened at offsets recorded before the scan). Events that race the scan arrive twice,
+    never not at all; so do events without a position (``after_position``). The start
+    is recorded next to the stream checkpoint: a restarted job resumes the stream
+    and neither writes the snapshot again nor moves the hand-off.
+    """
+    if mode not in MODES:
+        raise ValueError(f"unknown startup mode {mode!r}; expected one of {MODES}")
+    if mode in ("initial", "snapshot") and snapshot is None:
+        raise ValueError(f"startup mode {mode!r} needs a snapshot")
     if not checkpoint_location:
         raise ValueError("checkpoint_location is required")
+    routed = job(feed_stream)
+    if mode != "earliest-offset":
+        marker = f"{checkpoint_location.rstrip('/')}_hand_off"
+        known, at = _marker(spark, marker)
+        if not known:
+            at = hand_off() if hand_off is not None and mode != "snapshot" else None
+            if mode != "latest-offset":
+                emit(snapshot, SNAPSHOT_BATCH)
+            row = spark.range(1).select(F.lit(at).cast("bigint").alias("hand_off"))
+            row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(marker)
+        if mode == "snapshot":
+            return None
+        if hand_off is not None:
+            routed = after_position(routed, F.lit(at).cast("bigint"), position)
+    return _start(routed, name, emit, checkpoint_location, available_now, processing_time)
+
+
+def highest_routed(job: Callable[[DataFrame], DataFrame], feed_now: DataFrame, position: str = "pos",
+                   position_col: str | None = None) -> int | None:
+    """The highest position of a feed: one number. Read from the log's own column where
+    there is one, without parsing an event."""
+    rows = feed_now.select(F.col(position_col).cast("bigint").alias(position)) if position_col else job(feed_now)
+    return rows.agg(F.max(position).alias("m")).first().m
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        from pyspark import StorageLevel
-
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            good, bad = split_rejects(batch)
-            writer(order_by_key(good, num_partitions, strategy="hash"))
-            if reject_path is not None:
-                bad.write.mode("overwrite").parquet(f"{reject_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
 
-    w = routed_stream.writeStream.queryName(name).option("checkpointLocation", checkpoint_location).foreachBatch(write)
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+def start_initial_job(
+    spark: SparkSession,
+    job: Callable[[DataFrame], DataFrame],
+    snapshot: DataFrame,
+    feed_now: DataFrame,
+    feed_stream: DataFrame,
+    name: str,
+    output_path: str,
+    reject_path: str,
+    checkpoint_location: str,
+    position: str = "pos",
+    fmt: str = "json",
+    num_partitions: int | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Startup mode ``initial`` into files: ``snapshot`` (envelopes) through ``job``,
+    then the changes of ``feed_stream`` after the highest position of ``feed_now``."""
+    emit = ordered_file_writer(output_path, reject_path, fmt, num_partitions)
+    return start_after(spark, "initial", emit, job, feed_stream, name, checkpoint_location, job(snapshot),
+                       lambda: highest_routed(job, feed_now, position), position, **trigger)

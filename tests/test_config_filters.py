@@ -28,16 +28,16 @@ def test_secrets_masked():
 
 
 def test_kafka_target_modes():
-    fixed = KafkaTarget.from_properties({"kafkaBrokers": "b:9092", "topic": "t"})
+    fixed = KafkaTarget.from_properties({"kafkaBrokers": "b:9092", "topic": "t", "partitions": "6"})
     assert not fixed.per_db_topics and fixed.delivery_guarantee == "exactly-once"
-    per_db = KafkaTarget.from_properties({"perDBTopicPrefix": "", "deliveryGuarantee": "at-least-once"})
+    per_db = KafkaTarget.from_properties({"perDBTopicPrefix": "", "partitions": "6", "deliveryGuarantee": "at-least-once"})
     assert per_db.per_db_topics and per_db.topic_prefix == "cdc-"
     sized = KafkaTarget.from_properties({"topic": "t", "partitions": "4", "topicPartitions": "a:2, b:3"})
     assert sized.partitions == 4 and dict(sized.topic_partitions) == {"a": 2, "b": 3}
     with pytest.raises(ValueError):
         check_delivery(fixed)
     check_delivery(per_db)
-    check_delivery(KafkaTarget(topic="t", allow_duplicates=True))
+    check_delivery(KafkaTarget(topic="t", partitions=1, allow_duplicates=True))
 
 
 def test_sink_choice():
@@ -45,7 +45,7 @@ def test_sink_choice():
         DocumentSource.from_properties({"sinkTarget": "s3"})
     with pytest.raises(ValueError):
         make_sink("s3")
-    assert callable(make_sink("kds", kinesis=KinesisTarget("s")))
+    assert callable(make_sink("kds", kinesis=KinesisTarget("s"), reject_path="r"))
     src, tgt = jobs_from_properties("mongo", {"MongoSrcCDC": {"sinkTarget": "kds"},
                                                "KDSTargetCDC": {"streamName": "s", "region": "r"}})
     assert isinstance(tgt, KinesisTarget) and src.startup_mode == "initial"
@@ -53,14 +53,68 @@ def test_sink_choice():
 
 def test_include_lists(spark):
     df = spark.createDataFrame(
-        [("app", "orders", None), ("app", "users", None), ("app2", "orders", None), ("x", "y", "not_json")],
-        "db string, table string, reject_reason string")
+        [("app", "orders"), ("app", "users"), ("app2", "orders"), ("x", "y"), ("app", None), ("x", None), (None, None)],
+        "db string, table string")
     got = include(df, databases="app", tables=r"app\.ord.*")
-    assert [(r.db, r.table) for r in got.collect()] == [("app", "orders"), ("x", "y")]
+    # A name that is not there excludes nothing; an excluded database does, rejects too.
+    assert [(r.db, r.table) for r in got.collect()] == [("app", "orders"), ("app", None), (None, None)]
     # Entries are split on ',' without trimming.
-    assert include(df, databases="app, app2", keep_rejects=False).count() == 2
-    assert include(df, databases="app,app2", keep_rejects=False).count() == 3
-    assert include(df).count() == 4
+    assert include(df, databases="app, app2", keep_unknown=False).count() == 3
+    assert include(df, databases="app,app2", keep_unknown=False).count() == 4
+    assert include(df).count() == 7
+
+
+@pytest.mark.parametrize("kind", ["postgres", "oracle"])
+def test_schema_lists(spark, kind):
+    """``schema.table`` entries match the schema, not the database."""
+    from lograft.plans.jobs import relational_job
+
+    def env(db, schema, table, key="id"):
+        return ('{"before":null,"after":{"%s":1},"source":{"db":"%s","schema":"%s","table":"%s"},"op":"c"}' % (key, db, schema, table),)
+
+    rows = [env("app", "public", "orders"), env("app", "public", "users"), env("app", "audit", "orders"), env("other", "public", "orders"),
+            env("other", "public", "orders", "no_key"), env("app", "public", "orders", "no_key"), ("{bad",)]
+    src = RelationalSource(kind=kind, databases="app", schemas="public", tables=r"public\.orders")
+    tgt = KafkaTarget(topic="t", partitions=2, delivery_guarantee="at-least-once")
+    out = relational_job(spark.createDataFrame(rows, "value string"), src, tgt).collect()
+    assert [(r.db, r.table, r.reject_reason) for r in out] == [
+        ("app", "orders", None), ("app", "orders", "key_missing"), (None, None, "not_json")]
+
+
+def test_partitions_are_required():
+    with pytest.raises(ValueError, match="partitions"):
+        KafkaTarget(topic="t")
+    with pytest.raises(ValueError, match="partitions"):
+        KafkaTarget.from_properties({"topic": "t"})
+
+
+def test_kafka_options_in_both_topic_modes():
+    from lograft.sinks import kafka_options
+
+    for props in ({"topic": "t"}, {"perDBTopicPrefix": "x-"}):
+        t = KafkaTarget.from_properties({"kafkaBrokers": "b1:9092,b2:9092", "partitions": "3", **props})
+        assert kafka_options(t) == {"kafka.bootstrap.servers": "b1:9092,b2:9092", "kafka.acks": "all"}
+    with pytest.raises(ValueError):
+        kafka_options(KafkaTarget(topic="t", partitions=1))
+
+
+def test_booleans_read_like_java():
+    assert RelationalSource.from_properties("oracle", {"stringifyData": "TRUE"}).stringify is True
+    assert RelationalSource.from_properties("oracle", {"stringifyData": " true"}).stringify is False
+
+
+def test_jdbc_snapshot_options():
+    from lograft.sources import read_jdbc_snapshot
+
+    class Reader:
+        def jdbc(self, url, table, **kw):
+            return url, table, kw
+
+    class Session:
+        read = Reader()
+
+    assert read_jdbc_snapshot(Session(), "jdbc:x", "t", "id", 1, 100, 8, {"user": "u"}) == (
+        "jdbc:x", "t", {"column": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 8, "properties": {"user": "u"}})
 
 
 def test_relational_flavours_route_events(spark):

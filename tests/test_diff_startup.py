@@ -61,3 +61,30 @@ def test_kafka_starting_offsets():
     assert kafka_starting_offsets("initial", '{"t":{"0":5}}') == '{"t":{"0":5}}'
     with pytest.raises(ValueError):
         kafka_starting_offsets("newest")
+    with pytest.raises(ValueError, match="offsets"):
+        kafka_starting_offsets("initial")
+
+
+def test_events_without_position_pass_a_hand_off(spark):
+    from lograft.sources import after_position
+
+    df = spark.createDataFrame([(1,), (5,), (None,)], "pos bigint")
+    assert [r.pos for r in after_position(df, 3).collect()] == [5, None]
+    assert after_position(df, F.lit(None).cast("bigint")).count() == 3
+
+
+@pytest.mark.parametrize("stringify", [False, True])
+def test_snapshot_records_equal_parsed_events(spark, stringify):
+    """The typed path gives the records that parsing the events would give."""
+    from lograft.sources import snapshot_records
+
+    df = spark.sql("""SELECT * FROM VALUES
+        (1L, 'a"b', true, 1.5D, DECIMAL('7'), TIMESTAMP_NTZ'1995-01-01 08:00:00', NAMED_STRUCT('x', 1)),
+        (NULL, NULL, NULL, NULL, NULL, NULL, NULL) AS t(i, s, b, d, n, ts, o)""")
+    for pk in ("i", "s", "b", "n", "o"):
+        want = parse_relational(snapshot_events(df, "d", "t", "Asia/Shanghai", F.lit(7)), pk, stringify=stringify)
+        got = snapshot_records(df, "d", "t", pk, stringify, "Asia/Shanghai", F.lit(7))
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.select(*got.columns).collect())), pk
+    # Fractions are no keys on either path.
+    assert snapshot_records(df, "d", "t", "d").first().reject_reason == "key_not_integer"
+    assert parse_relational(snapshot_events(df, "d", "t"), "d").first().reject_reason == "key_not_integer"

@@ -96,15 +96,54 @@ def test_split_rejects(spark):
     assert bad.filter(F.col("partition_key").isNotNull()).count() == 0
 
 
-def test_unknown_root_fields_and_extra_fields(spark):
+def test_every_root_field_survives_with_its_type(spark):
     from lograft.operators import unknown_root_fields
 
-    v = '{"before":null,"after":{"id":1},"source":{"db":"d","table":"t"},"op":"c","ts_ms":5,"x_tag":{"b":1},"n":"s"}'
+    v = ('{"before":null,"after":{"id":1},"source":{"db":"d","table":"t"},"op":"c","ts_ms":"5","transaction":"tx1",'
+         '"x_tag":{"b":1,"a":[1.0,null]},"n":"s","flag":false,"gone":null,"q\\"uote":"{\\"x\\":1}"}')
     df = spark.createDataFrame([(v,), ("nope",)], "value string")
     rows = unknown_root_fields(df).collect()
-    assert sorted(rows[0].unknown_fields) == ["n", "x_tag"] and rows[0].n_unknown_fields == 2
+    assert sorted(rows[0].unknown_fields) == ["flag", "gone", "n", 'q"uote', "x_tag"] and rows[0].n_unknown_fields == 5
     assert rows[1].n_unknown_fields is None
-    out = parse_relational(df.limit(1), stringify=True, extra_fields=("x_tag", "n", "absent")).first()
-    doc = json.loads(out.value)
-    assert doc["x_tag"] == {"b": 1} and doc["n"] == "s" and "absent" not in doc
-    assert json.loads(doc["after"]) == {"id": 1}
+    doc = json.loads(parse_relational(df.limit(1), stringify=True).first().value)
+    want = json.loads(v)
+    want["after"] = '{"id":1}'
+    assert doc == want and list(doc) == list(want)
+
+
+@pytest.mark.parametrize("stringify", [False, True])
+def test_rejects_keep_their_text(spark, stringify):
+    rows = [v for v, _, reason in REL_CASES if reason]
+    df = spark.createDataFrame([(v,) for v in rows], "value string")
+    assert [r.value for r in parse_relational(df, stringify=stringify).collect()] == rows
+
+
+@pytest.mark.parametrize("stringify", [False, True])
+def test_positions(spark, stringify):
+    def env(source):
+        return ('{"before":null,"after":{"id":1},"source":{"db":"d","table":"t"%s},"op":"c"}' % source,)
+
+    df = spark.createDataFrame([env(',"pos":"0/16B3748"'), env(""), env(',"pos":"12"'), env(',"pos":null')], "value string")
+    got = [(r.pos, r.reject_reason) for r in parse_relational(df, stringify=stringify).collect()]
+    assert got == [(None, "position_invalid"), (None, None), (12, None), (None, None)]
+    df = spark.createDataFrame([env(',"file":"bin.000002","pos":7'), env(',"file":"bin.000010","pos":3'), env(',"file":"x","pos":3'), env("")], "value string")
+    got = [(r.pos, r.reject_reason) for r in parse_relational(df, stringify=stringify, position_field="file,pos").collect()]
+    assert got[0][0] < got[1][0] and got[2:] == [(None, "position_invalid"), (None, None)]
+    df = spark.createDataFrame([(*env(',"pos":5'), 99)], "value string, log_offset bigint")
+    assert parse_relational(df, stringify=stringify, position_col="log_offset").first().pos == 99
+    doc = '{"ns":{"db":"m","coll":"c"},"documentKey":null,"at":"%s"}'
+    df = spark.createDataFrame([(doc % "8", 1), (doc % "x", 2)], "value string, log_offset bigint")
+    assert [(r.pos, r.reject_reason) for r in parse_document(df, position_field="at").collect()] == [(8, None), (None, "position_invalid")]
+    assert [r.pos for r in parse_document(df, position_col="log_offset").collect()] == [1, 2]
+
+
+def test_numbers_that_are_no_integers_are_no_keys(spark):
+    env = '{"before":null,"after":{"id":%s},' + SRC + ',"op":"c"}'
+    cases = {"1.50": None, "1e3": None, "1.0": None, '"1.50"': "d.t.1.50", '"1e3"': "d.t.1e3", "-7": "d.t.-7", "123456789012345678901": "d.t.123456789012345678901"}
+    for stringify in (False, True):
+        rows = parse_relational(spark.createDataFrame([(env % c,) for c in cases], "value string"), stringify=stringify).collect()
+        assert [r.partition_key for r in rows] == list(cases.values())
+        assert {r.reject_reason for r in rows if r.partition_key is None} == {"key_not_integer"}
+    doc = '{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":%s}"}'
+    rows = parse_document(spark.createDataFrame([(doc % c,) for c in ("1.0", "12", "1e2")], "value string")).collect()
+    assert [(r.partition_key, r.reject_reason) for r in rows] == [(None, "key_not_integer"), ("m.c.12", None), (None, "key_not_integer")]

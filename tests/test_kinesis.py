@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def test_putter_retries_then_rejects():
     fake = FakeKinesis()
-    p = KinesisPutter("s", lambda: fake, max_retries=2)
+    p = KinesisPutter("s", lambda: fake, max_retries=2, sleep=lambda s: None)
     pdf = pd.DataFrame({"partition_key": ["ok1", "flaky1", "bad1"], "data": [b"a", b"b", b"c"]})
     rejects = pd.concat(list(p(iter([pdf]))))
     assert list(rejects.partition_key) == ["bad1"]
@@ -73,7 +73,7 @@ def test_kinesis_stream_job_puts_everything_and_keeps_rejects(spark, scratch):
     routed = document_job(read_feed(spark, f"{scratch}/feed", streaming=True), DocumentSource(sink_target="kds"))
     writer = make_sink("kds", kinesis=KinesisTarget("s", max_retries=0), kinesis_client_factory=FailNoPk,
                        reject_path=f"{scratch}/kinesis_rejects")
-    q = start_sink_job(routed, "t_kinesis", writer, f"{scratch}/chk", available_now=True)
+    q = start_sink_job(routed, "t_kinesis", writer, f"{scratch}/chk", f"{scratch}/rej", available_now=True)
     q.awaitTermination()
     rejects = spark.read.parquet(f"{scratch}/kinesis_rejects")
     n_no_pk = spark.read.text(f"{scratch}/feed").filter("value NOT LIKE '%documentKey%'").count()
@@ -117,9 +117,73 @@ def test_start_job_from_property_groups(spark, scratch):
         c.path = log
         return c
 
-    q = start_job(spark, "mongo", groups, read_feed(spark, f"{scratch}/feed", streaming=True), f"{scratch}/chk",
+    # copyExisting is on by default: what is there is loaded, then streamed from the hand-off on.
+    q = start_job(spark, "mongo", groups, read_feed(spark, f"{scratch}/feed", streaming=True), f"{scratch}/chk", f"{scratch}/rej",
+                  snapshot=read_feed(spark, f"{scratch}/feed"), feed_now=read_feed(spark, f"{scratch}/feed"),
                   kinesis_client_factory=factory, available_now=True)
     q.awaitTermination()
     keys = open(log).read().split()
     assert len(keys) == spark.read.text(f"{scratch}/feed").count()
     assert all(k.startswith("chat.conversations.") for k in keys)
+
+
+class Flaky:
+    """Fails each record the first time; keeps the order in which records arrive."""
+
+    def __init__(self, fail=lambda k, d: True):
+        self.fail, self.tried, self.stored, self.calls = fail, set(), [], []
+
+    def put_records(self, StreamName, Records):
+        self.calls.append([(r["PartitionKey"], r["Data"]) for r in Records])
+        out = []
+        for r in Records:
+            item = (r["PartitionKey"], r["Data"])
+            if self.fail(*item) and item not in self.tried:
+                self.tried.add(item)
+                out.append({"ErrorCode": "Throttled", "ErrorMessage": "slow down"})
+            else:
+                self.stored.append(item)
+                out.append({"ShardId": "0"})
+        return {"FailedRecordCount": sum("ErrorCode" in o for o in out), "Records": out}
+
+
+def _run(putter, rows):
+    return pd.concat(list(putter(iter([pd.DataFrame(rows, columns=["partition_key", "data"])]))))
+
+
+def test_key_order_is_kept_across_retries():
+    fake = Flaky(lambda k, d: int(d) % 3 == 0)
+    rows = [(f"k{i % 4}", str(i).encode()) for i in range(60)]
+    assert len(_run(KinesisPutter("s", lambda: fake, sleep=lambda s: None), rows)) == 0
+    for k in {k for k, _ in rows}:
+        assert [d for key, d in fake.stored if key == k] == [d for key, d in rows if key == k]
+    assert all(len({k for k, _ in call}) == len(call) for call in fake.calls)
+
+
+def test_calls_are_bound_in_bytes():
+    from lograft.sinks.kinesis import MAX_BYTES_PER_CALL
+
+    fake = Flaky(lambda k, d: False)
+    big = b"x" * 900_000
+    rejects = _run(KinesisPutter("s", lambda: fake), [(f"k{i}", big) for i in range(13)] + [("huge", b"y" * (1 << 20))])
+    assert [len(c) for c in fake.calls] == [5, 5, 3]
+    assert all(sum(len(k) + len(d) for k, d in c) <= MAX_BYTES_PER_CALL for c in fake.calls)
+    assert rejects.error_code.tolist() == ["RecordTooLarge"]
+
+
+def test_pauses_grow_and_start_again():
+    waits = []
+    fake = Flaky(lambda k, d: k == "bad")
+    fake.tried = type("Never", (set,), {"__contains__": lambda self, x: False})()
+    rejects = _run(KinesisPutter("s", lambda: fake, max_retries=3, pause=1, max_pause=3, sleep=waits.append), [("bad", b"1"), ("bad", b"2")])
+    assert len(rejects) == 2 and waits[:3] == [1, 2, 3]
+
+
+def test_replayed_batch_replaces_its_rejects(spark, scratch):
+    from lograft.sinks import make_sink
+
+    rows = spark.createDataFrame([("bad", "v"), ("ok", "v")], "partition_key string, value string")
+    write = make_sink("kds", kinesis=KinesisTarget("s", max_retries=0), kinesis_client_factory=FakeKinesis, reject_path=f"{scratch}/r")
+    for _ in range(2):
+        write(rows, 5)
+    assert spark.read.parquet(f"{scratch}/r").count() == 1

@@ -33,7 +33,32 @@ def test_routing_path_is_narrow_on_a_split_input(spark):
 def test_filtered_job_parses_each_event_once(spark):
     plan = _plan(relational_job(_split_feed(spark), SRC, TGT).filter("reject_reason IS NULL"))
     assert plan.split("InMemoryTableScan")[0].count("from_json(") == 1
-    assert "CollectMetrics" in plan
+    assert plan.count("CollectMetrics") == 2
+
+
+def test_excluded_events_are_dropped_before_key_and_text_work(spark):
+    src = RelationalSource(kind="postgres", pk="id", stringify=True, databases="app", schemas="s_view", tables=r"s_view\.events")
+    lines = _plan(relational_job(_split_feed(spark), src, TGT)).split("InMemoryTableScan")[0].split("\n")
+    row = {what: next(i for i, line in enumerate(lines) if what in line) for what in ("Filter", "AS __raw", "AS __types", "AS __m")}
+    # A plan is read from the bottom up.
+    assert row["AS __types"] < row["AS __raw"] < row["Filter"] < row["AS __m"]
+    assert sum("from_json(MapType(StringType,StringType" in line for line in lines) == 1
+
+
+def test_snapshot_records_parse_nothing(spark):
+    from lograft.sources import snapshot_records
+
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    plan = _plan(snapshot_records(orders, "d", "t", "o_orderkey", stringify=True))
+    assert "from_json" not in plan and "Exchange" not in plan
+
+
+def test_rebalance_only_when_asked(spark):
+    from lograft.operators import rebalance
+
+    df = spark.range(10)
+    assert rebalance(df) is df
+    assert "Exchange" in _plan(rebalance(df, 3))
 
 
 def test_parse_after_observe_stays_small(spark):

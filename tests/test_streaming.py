@@ -40,7 +40,7 @@ def test_restart_from_checkpoint_no_duplicates(spark, scratch):
 
     def run(name):
         s = relational_job(read_feed(spark, src, streaming=True), SRC, TGT)
-        q = start_file_job(s, name, f"{scratch}/out", None, f"{scratch}/chk", available_now=True)
+        q = start_file_job(s, name, f"{scratch}/out", f"{scratch}/rej", f"{scratch}/chk", available_now=True)
         q.awaitTermination()
 
     run("t_restart_1")
@@ -76,7 +76,7 @@ def test_initial_job_snapshot_then_stream(spark, scratch):
     def run(name):
         q = start_initial_job(spark, job, snapshot_events(old, "tpch", "orders"),
                               read_feed(spark, f"{scratch}/feed/*"), read_feed(spark, f"{scratch}/feed/*", streaming=True),
-                              name, f"{scratch}/out", None, f"{scratch}/chk", available_now=True, fmt="parquet")
+                              name, f"{scratch}/out", f"{scratch}/rej", f"{scratch}/chk", available_now=True, fmt="parquet")
         q.awaitTermination()
 
     run("t_initial_1")
@@ -112,7 +112,7 @@ def test_crash_mid_batch_replays_without_duplicates(spark, scratch):
 
     feed = _feed(spark)
     write_feed(feed.repartition(3), f"{scratch}/feed")
-    real = ordered_file_writer(f"{scratch}/out", None, fmt="parquet")
+    real = ordered_file_writer(f"{scratch}/out", f"{scratch}/rej", fmt="parquet")
 
     def crashing(batch, batch_id):
         real(batch, batch_id)
@@ -139,7 +139,7 @@ def test_sink_job_hands_writer_key_ordered_batches(spark, scratch):
     write_feed(_feed(spark).repartition(4), f"{scratch}/feed")
     stream = relational_job(read_feed(spark, f"{scratch}/feed", streaming=True, max_files_per_trigger=2), SRC, TGT)
 
-    def writer(ordered):
+    def writer(ordered, batch_id):
         ordering_report(ordered).write.mode("append").parquet(f"{scratch}/report")
 
     q = start_sink_job(stream, "t_sink_order", writer, f"{scratch}/chk", reject_path=f"{scratch}/rej",
@@ -148,3 +148,86 @@ def test_sink_job_hands_writer_key_ordered_batches(spark, scratch):
     rep = spark.read.parquet(f"{scratch}/report")
     agg = rep.agg(F.sum("n_events").alias("n"), F.sum("inversions").alias("inv"), F.max("n_tasks").alias("t")).first()
     assert (agg.n, agg.inv, agg.t) == (1000, 0, 1)
+
+
+def test_key_order_reaches_the_files(spark, scratch):
+    """The folder column sorts first, so the writer adds no sort of its own."""
+    from lograft.operators import written_order_report
+    from lograft.sinks import write_batch_files
+    from lograft.sources.tables import events_change_feed as feed_of
+
+    feed = feed_of(spark.read.parquet(f"{SF001}/events.parquet"), hot_key=True).repartition(5)
+    routed = relational_job(feed, SRC, TGT)
+    for strategy in ("range", "hash"):
+        write_batch_files(routed, f"{scratch}/{strategy}", f"{scratch}/rej-{strategy}", 0, "parquet", 4, strategy=strategy)
+        rep = written_order_report(spark.read.parquet(f"{scratch}/{strategy}"))
+        assert rep.agg(F.sum("inversions"), F.sum("n_events")).first() == (0, 1000)
+    # Without the folder column in front the order is lost, and the report sees it.
+    order_by_key(routed, 4).write.partitionBy("topic").parquet(f"{scratch}/lost/batch_id=0")
+    lost = written_order_report(spark.read.parquet(f"{scratch}/lost"))
+    assert lost.agg(F.sum("inversions")).first()[0] > 0
+
+
+def test_events_without_position_are_spread(spark):
+    df = spark.range(4000).select(F.lit("d.c.no_pk").alias("partition_key"), F.lit(None).cast("bigint").alias("pos"),
+                                  F.col("id").cast("string").alias("value"))
+    assert order_by_key(df, 8).select(F.spark_partition_id()).distinct().count() == 8
+
+
+def test_one_file_stream_is_spread_through_the_job(spark, scratch):
+    from lograft.plans import start_job
+
+    write_feed(_feed(spark).coalesce(1), f"{scratch}/feed")
+    groups = {"MySQLSrcCDC": {"startupMode": "earliest-offset"},
+              "MSKTargetCDC": {"topic": "t", "partitions": "3", "deliveryGuarantee": "at-least-once"}}
+    for n in (None, 6):
+        q = start_job(spark, "mysql", groups, read_feed(spark, f"{scratch}/feed", streaming=True), f"{scratch}/chk{n}", f"{scratch}/rej{n}",
+                      f"{scratch}/out{n}", num_partitions=n, available_now=True)
+        q.awaitTermination()
+        plan = q._jsq.explainInternal(True) if hasattr(q._jsq, "explainInternal") else ""
+        assert spark.read.json(f"{scratch}/out{n}").count() == 1000
+        if plan:
+            assert ("REPARTITION_BY_NUM" in plan or "repartition" in plan.lower()) == bool(n)
+
+
+def test_rejects_need_a_place(spark, scratch):
+    import pytest
+
+    from lograft.sinks import make_sink, write_batch_files
+    from lograft.config import KinesisTarget
+    from lograft.streaming import start_sink_job
+
+    stream = relational_job(read_feed(spark, SF001, streaming=True), SRC, TGT)
+    for start in (lambda: start_file_job(stream, "t", f"{scratch}/o", None, f"{scratch}/c"),
+                  lambda: start_sink_job(stream, "t", lambda df, b: None, f"{scratch}/c", None),
+                  lambda: write_batch_files(stream, f"{scratch}/o", "", 0),
+                  lambda: make_sink("kds", kinesis=KinesisTarget("s"))):
+        with pytest.raises(ValueError, match="reject_path"):
+            start()
+
+
+def test_hand_off_marker_errors_are_not_swallowed(spark, scratch):
+    import os
+
+    import pytest
+
+    from lograft.streaming.job import _marker
+
+    assert _marker(spark, f"{scratch}/none") == (False, None)
+    os.makedirs(f"{scratch}/marker")
+    with open(f"{scratch}/marker/part-0.json.gz", "wb") as f:
+        f.write(b"not gzip")
+    with pytest.raises(Exception):
+        _marker(spark, f"{scratch}/marker")
+
+
+def test_startup_modes_need_their_inputs(spark, scratch):
+    import pytest
+
+    from lograft.plans import start_job
+
+    feed = read_feed(spark, SF001, streaming=True)
+    kafka = {"MSKTargetCDC": {"topic": "t", "partitions": "3", "deliveryGuarantee": "at-least-once"}}
+    for mode, match in (("initial", "feed_now"), ("latest-offset", "feed_now"), ("snapshot", "snapshot")):
+        with pytest.raises(ValueError, match=match):
+            start_job(spark, "mysql", {"MySQLSrcCDC": {"startupMode": mode}, **kafka}, feed, f"{scratch}/c", f"{scratch}/r", f"{scratch}/o")
