@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import let_workers_import
+from .scratch import ready_workers
 
 #: The template's control strings; their ids follow the vocabulary in this order.
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE>>", "<</ROLE>>"]
@@ -120,7 +120,7 @@ def format_chat(turns: DataFrame, ranks_path: str, path: str, conv_col: str = "c
     system is written out between reserved ids. Null conversation ids are one
     conversation. Repeated rows are turns of their own. No rows give an empty table.
     """
-    let_workers_import(turns.sparkSession)
+    ready_workers(turns.sparkSession)
     rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
                         F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     ids = rows.mapInArrow(partial(_format, ranks_path=ranks_path),
@@ -194,7 +194,7 @@ def chat_digests(chat: DataFrame, ranks_path: str) -> DataFrame:
     """What formatted conversations say, read back from their ids: conv_id, n_turns,
     turns_sha256 (of role, newline, text, newline per turn), loss_chars and loss_sha256
     (of the text under the loss mask, unescaped), formatted_chars."""
-    let_workers_import(chat.sparkSession)
+    ready_workers(chat.sparkSession)
     return (chat.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
             .mapInArrow(partial(_digests, ranks_path=ranks_path),
                         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"))

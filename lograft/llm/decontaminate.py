@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import SIEVE_WORDS, let_workers_import, settle
+from .scratch import SIEVE_WORDS, ready_workers, settle
 from .words import mix, word_hashes
 
 #: The masks; 1 counts, 0 is ignored.
@@ -144,7 +144,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_W
     rows on either side give no pairs. Other columns are not read.
     """
     spark = docs.sparkSession
-    let_workers_import(spark)
+    ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     seeds = settle(items.mapInArrow(_item_seeds, "item_id long, at long, seed long"))

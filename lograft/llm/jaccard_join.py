@@ -40,14 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, Window
 
 from .components import connected_components
-from .scratch import let_workers_import, settle
+from .scratch import ready_workers, settle
 from .words import mix, shingles, word_hashes
 
 _U = np.uint64
 _K1 = 0xA0761D6478BD642F
 
 #: N-grams of a batch, and of one fragment when the fragments are first cut.
-BATCH_GRAMS, FRAGMENT_GRAMS = 1 << 21, 1 << 20
+BATCH_GRAMS, FRAGMENT_GRAMS = 1 << 20, 1 << 20
 #: Documents of a batch that make an n-gram popular.
 POPULAR = 64
 #: A unit holds two blocks of at most so many n-grams and sets (or one larger set).
@@ -364,7 +364,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     N-grams are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
-    let_workers_import(spark)
+    ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = rows.filter("text is not null")
     own = settle(rows.mapInArrow(partial(_classes, size=words), "doc_id long, cls long, n long"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import let_workers_import
+from .scratch import ready_workers
 from .words import text_bytes
 
 #: Labelled rows that the classifier is fitted on, at most.
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     Several labels of one id count as their mean; null labels and ids, and labels
     without a document, are left out. The driver receives a vector per sampled
     row, never a text."""
-    let_workers_import(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     chosen = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("label")).dropna()
               .groupBy("_id").agg(F.avg("label").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(sample))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
@@ -142,7 +142,7 @@ def score_quality(docs: DataFrame, model: Model, keep: list[str] | None = None,
     score alike; repeated rows are scored each. A column named score is replaced.
     """
     spark = docs.sparkSession
-    let_workers_import(spark)
+    ready_workers(spark)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "score"]
     kinds = dict((f.name, f.dataType.simpleString()) for f in docs.schema.fields)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "score double"])

@@ -48,12 +48,21 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it."""
+#: Rows and bytes that a Python worker is handed at once, where the session sets nothing else.
+#: Texts are long: Spark's own default of 10,000 rows has no bound in bytes.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2500", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it, and get texts in
+    batches of bounded size."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+    for key, value in ARROW_BATCH.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
 
 
 def sieve_cells(wanted: DataFrame, *keys: str) -> DataFrame:

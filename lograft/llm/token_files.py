@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .scratch import let_workers_import
+from .scratch import ready_workers
 
 #: Ids of a block, unless one document has more.
 BLOCK_IDS = 1 << 20
@@ -203,7 +203,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     columns are not read.
     """
     spark = docs.sparkSession
-    let_workers_import(spark)
+    ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     width = 2 if vocabulary <= 1 << 16 else 4
     blocks = (rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -234,6 +234,6 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """A row per document, read back from the blocks: doc_id, start (ids of all
     documents before it), n_tokens (with the end id), ids_crc32 (of the ids as
     little-endian unsigned 32-bit integers)."""
-    let_workers_import(spark)
+    ready_workers(spark)
     blocks = spark.read.parquet(f"{path}/blocks").join(spark.read.parquet(f"{path}/starts"), ["part", "seq"])
     return blocks.select("start", "block").mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
