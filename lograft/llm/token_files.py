@@ -21,18 +21,20 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import ready_workers
+from .words import text_bytes
 
 #: Ids of a block, unless one document has more.
 BLOCK_IDS = 1 << 20
 #: Ones between two samples of select.
 SAMPLE = 64
-#: Words kept with their ids by each Python worker.
-CACHE_WORDS = 1 << 20
+#: Words kept with their ids by each Python worker, and bytes of text split at once.
+CACHE_WORDS, SLICE_BYTES = 1 << 20, 8 << 20
 _MAGIC = b"EFT1"
 
 
@@ -124,11 +126,17 @@ class Block:
         return [None] * self.nulls + [self.base + int(x) for x in self.names.all()]
 
 
+#: Characters that end a word's letters, as a token run of their own.
+_TAIL = ".,;:!?$%&*#|"
+
+
 class _Words:
-    """Encodes white-space separated words with the tokenizers library, each word once.
+    """Encodes texts word by word with the tokenizers library, each word once.
 
-    For a tokenizer that drops white space and works on each word alone, the ids
-    of a text are those of its words in order."""
+    For a tokenizer that lower-cases, drops white space and works on runs of
+    letters and of other characters alone, a text's ids are those of its words in
+    order, and those of an ASCII word with punctuation after it are those of the
+    lower-cased letters and of the punctuation."""
 
     def __init__(self, path: str, width: int):
         import os
@@ -138,21 +146,54 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kind, self.known = np.dtype(f"<u{width}"), {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split(" ") if "\n" not in t else t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {}
-                new = list({w for ws in split for w in ws})
-            for i in range(0, len(new), 4096):
-                part = new[i: i + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    self.known[w] = np.array(e.ids, self.kind).tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), self.kind) for ws in split]
+        self.model = self.tokenizer.model
+        self.kind, self.known, self.parts = np.dtype(f"<u{width}"), {}, {}
+
+    def _learn(self, parts: set[str]) -> None:
+        new = []
+        for p in parts:  # a run of a-z is normal already and one token run: straight to the model
+            if p.isascii() and p.isalpha() and p.islower():
+                self.parts[p] = np.array([t.id for t in self.model.tokenize(p)], self.kind).tobytes()
+            else:
+                new.append(p)
+        for i in range(0, len(new), 4096):
+            some = new[i: i + 4096]
+            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
+                self.parts[w] = np.array(e.ids, self.kind).tobytes()
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
+        out = list(map(self.known.get, words))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        if not new:
+            return out
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known, self.parts = {}, {}
+        cut = []
+        for i in new:
+            letters = words[i].rstrip(_TAIL)
+            plain = letters.isascii() and letters.isalpha()
+            cut.append((letters.lower(), words[i][len(letters):]) if plain else (words[i], ""))
+        parts = self.parts
+        self._learn({p for pair in cut for p in pair if p not in parts})
+        for i, (a, b) in zip(new, cut):
+            out[i] = self.known[words[i]] = parts[a] + parts[b] if b else parts[a]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the n + 1 offsets into them."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        each = self._ids(coded.dictionary.to_pylist())
+        length = np.fromiter(map(len, each), np.int64, len(each)) // self.kind.itemsize
+        start = np.cumsum(length) - length
+        pool = np.frombuffer(b"".join(each), self.kind)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        count = length[at] if len(at) else np.empty(0, np.int64)
+        ends = np.concatenate(([0], np.cumsum(count)))
+        ids = pool[np.repeat(start[at] - ends[:-1], count) + np.arange(ends[-1])] if len(at) else np.empty(0, self.kind)
+        offsets = lists.offsets.to_numpy()
+        return ids, ends[offsets - offsets[0]]
 
 
 def _encoder(path: str, width: int) -> _Words:
@@ -178,15 +219,20 @@ def _blocks(batches, path: str, end_id: int, width: int, block_ids: int):
 
     for batch in batches:
         docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-        for i in range(0, len(docs), 64):
-            for d, x in zip(docs[i: i + 64], words.encode([t or "" for t in texts.slice(i, 64).to_pylist()])):
-                x = np.concatenate((x, end))
+        at = text_bytes(texts)[1]
+        i = 0
+        while i < len(docs):  # so many texts at a time that their words fit in memory
+            j = min(len(docs), max(i + 1, int(np.searchsorted(at, at[i] + SLICE_BYTES, "right")) - 1))
+            flat, ends = words.encode(texts.slice(i, j - i))
+            for d, a, b in zip(docs[i:j], ends[:-1], ends[1:]):
+                x = np.concatenate((flat[a:b], end))
                 if held and held + len(x) > block_ids:
                     yield out()
                     names, ids, held, seq = [], [], 0, seq + 1
                 names.append(d)
                 ids.append(x)
                 held += len(x)
+            i = j
     if names:
         yield out()
 
