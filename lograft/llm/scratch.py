@@ -48,18 +48,22 @@ def discard(*tables: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-#: Rows and bytes that a Python worker is handed at once, where the session sets nothing else.
-#: Texts are long: Spark's own default of 10,000 rows has no bound in bytes.
+#: Workers that live on after a task give large arrays back to the system.
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+#: Rows and bytes that a Python worker is handed at once, where the session sets nothing else:
+#: texts are long.
 ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2500", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
 def ready_workers(spark: SparkSession) -> None:
-    """Python workers find this package where the driver found it, and get texts in
-    batches of bounded size."""
+    """Python workers find this package where the driver found it, get texts in batches
+    of bounded size, and do not hold on to memory."""
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
+    for key, value in WORKER_ENV.items():
+        env.setdefault(key, value)
     for key, value in ARROW_BATCH.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
@@ -83,3 +87,17 @@ def sieve_test(df: DataFrame, cells: DataFrame, *keys: str) -> DataFrame:
             .join(F.broadcast(cells), "_cell", "left")
             .withColumn("in_sieve", F.coalesce(F.getbit("_bits", h.bitwiseAND(63).cast("int")) == 1, F.lit(False)))
             .drop("_cell", "_bits"))
+
+
+def join_hot(many: DataFrame, one: DataFrame, keys: list[str], hot: str, salts: int = 64) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has a row per key, where a key may hold a
+    large part of all rows. Rows of keys for which the condition ``hot`` is true in
+    ``one`` are dealt by a salt, and those rows of ``one`` are there once per salt; the
+    others are joined as ever. Which keys are hot reaches ``many`` as a filter of
+    fixed size; a key it lets through by chance is salted on both sides alike."""
+    cells = sieve_cells(one.filter(hot), *keys)
+    spread = F.when(F.col("in_sieve"), F.pmod(F.xxhash64(*many.columns), F.lit(salts))).otherwise(0).cast("int")
+    copies = F.when(F.col("in_sieve"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = sieve_test(many, cells, *keys).withColumn("_salt", spread).drop("in_sieve")
+    right = sieve_test(one, cells, *keys).withColumn("_salt", F.explode(copies)).drop("in_sieve")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15  # odd
