@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lograft.sources.snapshot import image_columns
 
 
+def _once(side: DataFrame, image: str) -> DataFrame:
+    """Rows with a key, each key once; the window shares the join's exchange and sort."""
+    times = F.count(F.lit(1)).over(Window.partitionBy("__k"))
+    seen = side.filter("__k IS NOT NULL").withColumn("__n", times)
+    again = F.raise_error(F.concat(F.lit("snapshot_diff: key occurs more than once: "), F.col("__k").cast("string")))
+    return seen.select("__k", F.when(F.col("__n") > 1, again.cast(side.schema[image].dataType)).otherwise(F.col(image)).alias(image))
+
+
 def snapshot_diff(
     old: DataFrame,
     new: DataFrame,
@@ -25,11 +33,17 @@ def snapshot_diff(
     JSON envelope) and the typed ``op``/``pos``. Intermediate changes between
     the two snapshots are not visible, only the net change per key.
 
+    Rows without a key cannot be matched: they pass beside the join, old ones as
+    deletes and new ones as creates, and a parse rejects them as ``key_null``. A key
+    that occurs more than once on a side is an error of the input and fails the job.
+
     ``position`` is an expression over the key column ``__k`` (default NULL).
     """
     o = old.select(F.col(pk).alias("__k"), F.struct(*image_columns(old, time_zone)).alias("o"))
     n = new.select(F.col(pk).alias("__k"), F.struct(*image_columns(new, time_zone)).alias("n"))
-    j = o.join(n, "__k", "full_outer")
+    j = _once(o, "o").join(_once(n, "n"), "__k", "full_outer")
+    for df in (o, n):
+        j = j.unionByName(df.filter("__k IS NULL"), allowMissingColumns=True)
     op = (
         F.when(F.col("o").isNull(), F.lit("c"))
         .when(F.col("n").isNull(), F.lit("d"))

@@ -120,10 +120,9 @@ def _orders_startup(spark, sf_dir, mode):
     # Only the branches without a join are spread; the diff's join shuffles
     # on the key and spreads its own work.
     orders = _t(spark, sf_dir, "orders", spread=False)
-    old, _ = orders_snapshots(orders)
     history, tail = orders_change_log(orders, spread_history=_cores(spark))
     log = history.unionByName(tail)
-    snap = snapshot_events(rebalance(old, _cores(spark)), ORDERS_DB, ORDERS_TABLE)
+    snap = snapshot_events(rebalance(orders, _cores(spark)), ORDERS_DB, ORDERS_TABLE)  # a full load
     # The hand-off from the unspread history: a pruned scan of the key column.
     hand_off = highest_position(orders_change_log(orders)[0])
     events = startup(mode, snapshot=snap, changes=log, start_position=hand_off)
@@ -465,7 +464,7 @@ _ORDERS_DIFF = f"""(
 _DIFF_EVENTS = (f"SELECT op, {TAIL_POSITION_BASE} + o_orderkey AS pos, 'tpch.orders.' || CAST(o_orderkey AS VARCHAR) "
                 f"AS partition_key FROM {_ORDERS_DIFF}")
 _SNAPSHOT_EVENTS = ("SELECT 'r' AS op, CAST(NULL AS BIGINT) AS pos, 'tpch.orders.' || CAST(o_orderkey AS VARCHAR) "
-                    f"AS partition_key FROM {_ORDERS_OLD}")
+                    "AS partition_key FROM orders")
 _HISTORY_EVENTS = ("SELECT 'c' AS op, o_orderkey AS pos, 'tpch.orders.' || CAST(o_orderkey AS VARCHAR) "
                    f"AS partition_key FROM {_ORDERS_OLD}")
 

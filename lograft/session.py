@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 
-def recommended_conf(cores: int | None = None) -> dict[str, str]:
+#: Shuffled bytes that one task sorts in memory.
+TASK_BYTES = 128 << 20
+
+
+def recommended_conf(cores: int | None = None, shuffle_bytes: int | None = None) -> dict[str, str]:
     """Settings the jobs are tuned for; apply with ``builder.config(k, v)``.
 
     * AQE re-plans joins at run time and splits skewed join partitions.
     * ``dataFrameDebugging`` off: no Python call-site capture per column
       function, which speeds up building the parse plan noticeably.
-    * ``shuffle.partitions``: about the core count (a multiple of it on a
-      cluster), so each ordering shuffle task fits in memory.
+    * ``shuffle.partitions``: by the volume of the largest shuffle, ``TASK_BYTES`` a
+      task, and at least one per core. The number of cores alone says nothing about
+      the size of a task; AQE merges partitions that turn out small.
     """
     conf = {
         "spark.sql.adaptive.enabled": "true",
@@ -19,6 +24,6 @@ def recommended_conf(cores: int | None = None) -> dict[str, str]:
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
-    if cores:
-        conf["spark.sql.shuffle.partitions"] = str(cores)
+    if cores or shuffle_bytes:
+        conf["spark.sql.shuffle.partitions"] = str(max(cores or 1, -(-(shuffle_bytes or 0) // TASK_BYTES)))
     return conf

@@ -24,6 +24,18 @@ def test_diff_counts_and_replay(spark):
     assert replayed.exceptAll(new).count() == 0 and new.exceptAll(replayed).count() == 0
 
 
+def test_diff_of_odd_keys(spark):
+    cols = "k long, v string"
+    old = spark.createDataFrame([(1, "a"), (None, "x"), (None, "y")], cols)
+    new = spark.createDataFrame([(1, "b"), (None, "x"), (2, "c")], cols)
+    d = snapshot_diff(old, new, "k", "d", "t")
+    assert sorted((r.op, r.k or 0) for r in d.collect()) == [("c", 0), ("c", 2), ("d", 0), ("d", 0), ("u", 1)]
+    rejects = parse_relational(d, "k").filter("reject_reason IS NOT NULL")
+    assert [r.reject_reason for r in rejects.collect()] == ["key_null"] * 3
+    with pytest.raises(Exception, match="more than once: 1"):
+        snapshot_diff(old.union(old), new, "k", "d", "t").collect()
+
+
 def test_startup_modes(spark):
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     old, _ = orders_snapshots(orders)
