@@ -1,8 +1,8 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
 A text is a vector of counts of its byte trigrams (hashed, case kept, so it sees
-words as well as shouting, symbol runs and tables in any language), damped,
-weighted by rarity and projected on the main axes of the labelled sample (latent
+words as well as shouting, symbol runs and tables in any language) and of words
+that repeat the one before, damped, weighted by rarity and projected on the main axes of the labelled sample (latent
 semantic analysis). Every document is compared with every labelled vector, by
 blocked matrix products; its ``NEIGHBOURS`` nearest vote with their labels, weighted
 by similarity.
@@ -21,12 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import ready_workers
-from .words import text_bytes
+from .words import text_bytes, word_hashes
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 4000
 #: Cells that trigrams are hashed to, axes kept, neighbours that vote.
 CELLS, AXES, NEIGHBOURS = 2048, 64, 25
+#: Trigrams that a repeated word counts as.
+REPEAT = 6
 #: Bytes of text, and documents, of one block.
 BLOCK_BYTES, BLOCK_DOCS = 1 << 20, 256
 
@@ -37,11 +39,17 @@ def trigram_counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     for i in range(len(at) - 1):
         for low in range(int(at[i]), int(at[i + 1]) - 2, BLOCK_BYTES):  # pieces of a long text
             b = raw[low: min(low + BLOCK_BYTES + 2, int(at[i + 1]))].astype(np.uint32)
-            cell = ((b[:-2] * np.uint32(2654435761) + b[1:-1] * np.uint32(2246822519) + b[2:] * np.uint32(3266489917)) >> np.uint32(15)) % CELLS
+            cell = ((b[:-2] * np.uint32(2654435761) + b[1:-1] * np.uint32(2246822519) + b[2:] * np.uint32(3266489917)) >> np.uint32(15)) % (CELLS - 1)
             out[i] += np.bincount(cell, minlength=CELLS)
     return out
 
 
+def _add_repeats(counts: np.ndarray, texts: pa.Array) -> None:
+    """In the last cell: words that repeat the word before, in units of trigrams."""
+    for row, words in zip(counts, word_hashes(texts)):
+        row[-1] = REPEAT * np.count_nonzero(words[1:] == words[:-1])
+
+
 def _damped(counts: np.ndarray) -> np.ndarray:
     """Shares of a text's trigrams, damped: its length does not count."""
     total = counts.sum(axis=1, keepdims=True)
@@ -54,7 +62,9 @@ def _blocks(texts: pa.Array):
     i, n = 0, len(at) - 1
     while i < n:
         j = min(n, i + BLOCK_DOCS, max(i + 1, int(np.searchsorted(at, at[i] + BLOCK_BYTES, "right")) - 1))
-        yield _damped(trigram_counts(raw, at[i: j + 1]))
+        counts = trigram_counts(raw, at[i: j + 1])
+        _add_repeats(counts, texts.slice(i, j - i))
+        yield _damped(counts)
         i = j
 
 
