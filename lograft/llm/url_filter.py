@@ -7,12 +7,14 @@ and enough of it, is blocked.
 
 Edges are links between hosts found in the pages (weight: number of links), and
 between a host and its parent domain, both ways (weight 1), so that hosts of one
-domain share their standing even where pages link only within their site.
+domain share their standing even where pages link only within their site. Names
+of one label (``org``) are no parents: their hosts have nothing to do with each other.
 Everything is joins and sums over one row per edge; the number of rounds is fixed.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -63,9 +65,9 @@ def _host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     # A host and all its parent domains, each with the next one.
     labels = F.split("host", "\\.")
     chain = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(".", F.slice(labels, i, F.size(labels))))
-    up = (hosts.select(chain.alias("c")).filter("size(c) > 1")
-          .select(F.explode(F.expr("transform(sequence(1, size(c) - 1), i -> struct(c[i - 1] as low, c[i] as high))")).alias("e"))
-          .select("e.low", "e.high").filter("low <> '' and high <> ''").distinct())
+    up = (hosts.select(chain.alias("c")).filter("size(c) > 2")
+          .select(F.explode(F.expr("transform(sequence(1, size(c) - 2), i -> struct(c[i - 1] as low, c[i] as high))")).alias("e"))
+          .select("e.low", "e.high").filter("low <> ''").distinct())
     both = up.select(F.col("low").alias("src"), F.col("high").alias("dst")).union(up.select("high", "low"))
     return (links.unionByName(both.withColumn("weight", F.lit(1.0)))
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
@@ -85,15 +87,16 @@ def _spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) ->
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] | None = None, blocked: Sequence[str] | None = None,
-               damping: float = 0.85, rounds: int = 10, margin: float = 1.0, least: float = 1e-9,
+               damping: float = 0.85, rounds: int = 10, margin: float = 1.0, least: float = 0.02,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A verdict per row of ``pages``: page_id, host, path, rule, verdict.
 
     The longest fitting rule decides; ``rule`` is its host and path, else null.
     Else the host decides: blocked where distrust exceeds ``margin`` times trust
     and is at least ``least``, allowed otherwise. ``trusted`` and ``blocked`` are the
-    hosts that trust and distrust come from; by default those of the allowing rules,
-    and of the blocking rules that cover a whole host (path ``/``). Null urls and
+    hosts that trust and distrust come from, with all their subdomains that pages
+    name, 1 each; by default those of the allowing rules, and of the blocking rules
+    that cover a whole host (path ``/``). Null urls and
     urls without :// have an empty host and path and are allowed unless a rule
     fits. Null html has no links. Repeated pages count their links again. Null
     ids are returned as they are; no rows give no rows; other columns are not read.
@@ -109,10 +112,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
             .union(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("weight"))))
     sums = ways.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
     ways = settle(ways.join(sums, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("out")).alias("share")))
-    listed = [("trust", h, 1 / len(trusted)) for h in trusted] + [("distrust", h, 1 / len(blocked)) for h in blocked]
-    seeds = pages.sparkSession.range(1).select(F.explode(F.array(*(
-        F.struct(F.lit(k).alias("kind"), F.lit(h).alias("host"), F.lit(s).alias("seed")) for k, h, s in
-        listed or [("trust", "", 0.0)]))).alias("s")).select("s.*")
+    known = settle(ways.select(F.col("src").alias("host")).union(pages.select("host")).distinct())
+
+    def seeds_of(kind: str, hosts: Sequence[str]) -> DataFrame:
+        under = functools.reduce(lambda a, h: a | (F.col("host") == h) | F.col("host").endswith("." + h), hosts, F.lit(False))
+        return known.filter(under).select(F.lit(kind).alias("kind"), "host", F.lit(1.0).alias("seed"))
+
+    seeds = settle(seeds_of("trust", trusted).union(seeds_of("distrust", blocked)))
     rank = _spread(ways, seeds, damping, rounds)
     standing = (rank.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
                                          F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust")))
