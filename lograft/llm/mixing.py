@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import settle
+
 #: Cells of one size class.
 SALTS = 256
 #: Expected copies and offsets are whole multiples of 1 / GRID: sums are exact at any length.
@@ -72,18 +74,23 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
                        word_count(F.col(text_col).cast("string")).alias("size"), *(F.col(f"`{k}`").alias(f"_keep_{k}") for k in keep))
     # Null and other names as one key that joins.
     rows = rows.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
-    return _mix(rows, targets(rows, weights, share, most), seed, keep)
+    # Sizes are counted once where nothing else is kept; texts that are kept are read again, not stored.
+    sizes = settle(rows.select("doc_id", "source", "size", "_key"))
+    return _mix(rows if keep else sizes, sizes, targets(sizes, weights, share, most), seed, keep)
 
 
-def _mix(rows: DataFrame, goals: DataFrame, seed: str, keep: Sequence[str]) -> DataFrame:
+def _mix(rows: DataFrame, sizes: DataFrame, goals: DataFrame, seed: str, keep: Sequence[str]) -> DataFrame:
     # The length of the size in bits and its six leading bits: 32 classes for each power of two.
     digits = F.length(F.conv(F.col("size").cast("string"), 10, 2))
     coarse = F.call_function("shiftright", F.col("size"), F.greatest(digits - 6, F.lit(0)))
     draw = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    rows = (rows.withColumn("_class", digits * 64 + coarse).withColumn("_draw", draw)
-            .withColumn("_salt", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int") % SALTS))
+    def placed(df: DataFrame) -> DataFrame:
+        return (df.withColumn("_class", digits * 64 + coarse).withColumn("_draw", draw)
+                .withColumn("_salt", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int") % SALTS))
+
+    rows = placed(rows)
     cell = ["_key", "_class", "_salt"]
-    counts = rows.groupBy(*cell).agg(F.count("*").alias("n"))
+    counts = placed(sizes).groupBy(*cell).agg(F.count("*").alias("n"))
     line = Window.partitionBy("_key").orderBy("_class", "_salt")  # rows: the cells of a source
     counts = counts.withColumn("before", F.sum("n").over(line) - F.col("n")).drop("n")
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * GRID + 0.5)).otherwise(0).cast("long")
