@@ -14,10 +14,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import settle, sieve_cells, sieve_test
+from .scratch import join_hot, settle, sieve_cells, sieve_test
 
 #: Bytes of a text that the second step hashes.
 PREFIX_BYTES = 256
+#: Copies of a text beyond which they are dealt over several tasks.
+HOT_GROUP = 1000
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise=None,
@@ -50,7 +52,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     again = keyed.filter("_whole is not null")
     groups = (again.groupBy("_size", "_whole").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    found = (again.join(groups, ["_size", "_whole"])
+    found = (join_hot(again, groups, ["_size", "_whole"], f"group_size > {HOT_GROUP}")
              .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), *carry))
     alone = keyed.filter("_whole is null").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), *carry)
