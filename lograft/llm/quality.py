@@ -2,7 +2,7 @@
 
 A text is a vector of counts of its byte trigrams (hashed, case kept, so it sees
 words as well as shouting, symbol runs and tables in any language) and of words
-that repeat the one before, damped, weighted by rarity and projected on the main axes of the labelled sample (latent
+that repeat the two before, damped, weighted by rarity and projected on the main axes of the labelled sample (latent
 semantic analysis). Every document is compared with every labelled vector, by
 blocked matrix products; its ``NEIGHBOURS`` nearest vote with their labels, weighted
 by similarity.
@@ -45,9 +45,11 @@ def trigram_counts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _add_repeats(counts: np.ndarray, texts: pa.Array) -> None:
-    """In the last cell: words that repeat the word before, in units of trigrams."""
+    """In the last cell: words that repeat the two before, in units of trigrams. (Two of
+    a kind happen in any text.)"""
     for row, words in zip(counts, word_hashes(texts)):
-        row[-1] = REPEAT * np.count_nonzero(words[1:] == words[:-1])
+        same = words[1:] == words[:-1]
+        row[-1] = REPEAT * np.count_nonzero(same[1:] & same[:-1])
 
 
 def _damped(counts: np.ndarray) -> np.ndarray:
