@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, Window
 
 from .components import connected_components
-from .scratch import ready_workers, settle
+from .scratch import join_hot, ready_workers, settle
 from .words import mix, shingles, word_hashes
 
 _U = np.uint64
@@ -327,11 +327,11 @@ def _units(members: DataFrame, percent: int) -> DataFrame:
     sized = members.withColumn("level", level)
     whole = sized.groupBy("grp").agg(F.sum("n").alias("grams_all"), F.count("*").alias("sets_all"))
     blocks = (sized.groupBy("grp", "level").agg(F.sum("n").alias("g"), F.count("*").alias("s"))
-              .select("grp", "level", F.ceil(F.greatest(F.col("g") / BLOCK_GRAMS, F.col("s") / BLOCK_SETS)).alias("salts")))
+              .select("grp", "level", "s", F.ceil(F.greatest(F.col("g") / BLOCK_GRAMS, F.col("s") / BLOCK_SETS)).alias("salts")))
     near = lambda step, name: blocks.select("grp", (F.col("level") - step).alias("level"), F.col("salts").alias(name))
     blocks = (blocks.join(near(1, "above"), ["grp", "level"], "left").join(near(-1, "below"), ["grp", "level"], "left")
-              .na.fill(0, ["above", "below"]))
-    rows = sized.join(whole, "grp").join(blocks, ["grp", "level"]).withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")))
+              .na.fill(0, ["above", "below"]).join(whole, "grp"))
+    rows = join_hot(sized, settle(blocks), ["grp", "level"], f"s > {BLOCK_SETS}").withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")))
 
     def over(blocks_of: str, low: str, up: int, first: str, second: str, side: str) -> str:
         """A unit with each block: level of the first, whether the second is of the next level, their salts."""
