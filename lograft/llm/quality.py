@@ -24,7 +24,7 @@ from .scratch import ready_workers
 from .words import text_bytes, word_hashes
 
 #: Labelled rows that the classifier is fitted on, at most.
-SAMPLE = 4000
+SAMPLE = 3000
 #: Cells that trigrams are hashed to, axes kept, neighbours that vote.
 CELLS, AXES, NEIGHBOURS = 2048, 64, 25
 #: Trigrams that a repeated word counts as.
@@ -87,7 +87,8 @@ class Model:
         self.prior = float(labels.mean()) if len(labels) else 1.0
         seen = (shares > 0).sum(axis=0)
         self.weight = np.log((1 + len(shares)) / (1 + seen)).astype(np.float32) + np.float32(1)
-        x = self._weighted(shares)
+        x = shares * self.weight
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)  # in place: the sample is the largest array of a driver
         # Main axes by randomised subspace iteration.
         axes = min(AXES, *x.shape) if len(x) else 0
         basis = np.random.default_rng(seed).standard_normal((CELLS, axes + 16 if axes else 0)).astype(np.float32)
@@ -133,8 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     rows = (texts.join(F.broadcast(chosen), "_id").select("label", "text")  # ``sample`` rows of two numbers
             .mapInArrow(_sample_rows, "label double, vector binary").orderBy("vector", "label").limit(sample).toArrow())
-    shares = np.array([np.frombuffer(v, np.float32) for v in rows.column("vector").to_pylist()], np.float32).reshape(-1, CELLS)
-    return Model(shares, rows.column("label").to_numpy())
+    vectors = rows.column("vector").combine_chunks()
+    raw = text_bytes(vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors)[0]
+    return Model(raw.view(np.float32).reshape(-1, CELLS), rows.column("label").to_numpy())
 
 
 def _scores(batches, model, keep: list[str]):
