@@ -45,9 +45,9 @@ def test_kafka_paths_fail_clearly_without_connector(spark):
 
     r = _routed(spark, KafkaTarget(topic="t", partitions=2, delivery_guarantee="at-least-once", brokers="b:9092"))
     with pytest.raises(Exception, match="(?i)kafka"):
-        write_kafka(sink_frame(r), KafkaTarget(topic="t", brokers="b:9092", delivery_guarantee="at-least-once"))
+        write_kafka(sink_frame(r), KafkaTarget(topic="t", partitions=2, brokers="b:9092", delivery_guarantee="at-least-once"))
     with pytest.raises(Exception, match="(?i)kafka"):
         read_kafka_feed(spark, "b:9092", "t", streaming=False)
     # Exactly-once is refused before anything is written.
     with pytest.raises(ValueError, match="exactly-once"):
-        write_kafka(sink_frame(r), KafkaTarget(topic="t", brokers="b:9092"))
+        write_kafka(sink_frame(r), KafkaTarget(topic="t", partitions=2, brokers="b:9092"))
