@@ -14,9 +14,11 @@ after it, where they stay.
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 import zlib
+from array import array
 from functools import partial
 
 import numpy as np
@@ -33,8 +35,8 @@ from .words import text_bytes
 BLOCK_IDS = 1 << 20
 #: Ones between two samples of select.
 SAMPLE = 64
-#: Words kept with their ids by each Python worker, and bytes of text split at once.
-CACHE_WORDS, SLICE_BYTES = 1 << 20, 8 << 20
+#: Words of a generation kept with their ids by each Python worker, and bytes of text split at once.
+CACHE_WORDS, SLICE_BYTES = 1 << 19, 8 << 20
 _MAGIC = b"EFT1"
 
 
@@ -128,6 +130,17 @@ class Block:
 
 #: Characters that end a word's letters, as a token run of their own.
 _TAIL = ".,;:!?$%&*#|"
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+#: Byte-level models show bytes as characters: printable ones of Latin-1 as they are, the
+#: others, in order, from 256 on.
+_HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+_BYTE_SHOWN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+
+
+def _plain(word: str) -> bool:
+    """Letters of ASCII or Latin-1 alone: one run, whose lower case and normal form are
+    those of its characters."""
+    return word.isalpha() and (word.isascii() or _LATIN.fullmatch(word) is not None)
 
 
 class _Words:
@@ -135,7 +148,7 @@ class _Words:
 
     For a tokenizer that lower-cases, drops white space and works on runs of
     letters and of other characters alone, a text's ids are those of its words in
-    order, and those of an ASCII word with punctuation after it are those of the
+    order, and those of a Latin word with punctuation after it are those of the
     lower-cased letters and of the punctuation."""
 
     def __init__(self, path: str, width: int):
@@ -147,37 +160,42 @@ class _Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
-        self.kind, self.known, self.parts = np.dtype(f"<u{width}"), {}, {}
-
-    def _learn(self, parts: set[str]) -> None:
-        new = []
-        for p in parts:  # a run of a-z is normal already and one token run: straight to the model
-            if p.isascii() and p.isalpha() and p.islower():
-                self.parts[p] = np.array([t.id for t in self.model.tokenize(p)], self.kind).tobytes()
+        self.kind, self.known, self.older = np.dtype(f"<u{width}"), {}, {}
+
+    def _learn(self, words: set[str]) -> None:
+        new, known, code = [], self.known, self.kind.char
+        for w in words:  # lower-case letters are normal already and one token run: straight to the model
+            if w.islower() and _plain(w):
+                shown = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_SHOWN)
+                known[w] = array(code, [t.id for t in self.model.tokenize(shown)]).tobytes()
             else:
-                new.append(p)
+                new.append(w)
         for i in range(0, len(new), 4096):
             some = new[i: i + 4096]
             for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.parts[w] = np.array(e.ids, self.kind).tobytes()
+                known[w] = array(code, e.ids).tobytes()
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word."""
-        out = list(map(self.known.get, words))
-        new = [i for i, ids in enumerate(out) if ids is None]
-        if not new:
-            return out
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, self.parts = {}, {}
-        cut = []
-        for i in new:
-            letters = words[i].rstrip(_TAIL)
-            plain = letters.isascii() and letters.isalpha()
-            cut.append((letters.lower(), words[i][len(letters):]) if plain else (words[i], ""))
-        parts = self.parts
-        self._learn({p for pair in cut for p in pair if p not in parts})
+        """The ids of each word. Words are kept in two generations: those that come up
+        again move to the newer one, and the older one goes when that is full."""
+        if len(self.known) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        out = list(map(known.get, words))
+        new, cut = [], []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            w = words[i]
+            if w in older:
+                out[i] = known[w] = older[w]
+                continue
+            letters = w.rstrip(_TAIL)
+            new.append(i)
+            cut.append((letters.lower(), w[len(letters):]) if _plain(letters) else (w, ""))
+        parts = {p for pair in cut for p in pair if p not in known}
+        known.update((p, older[p]) for p in parts if p in older)
+        self._learn({p for p in parts if p not in known})
         for i, (a, b) in zip(new, cut):
-            out[i] = self.known[words[i]] = parts[a] + parts[b] if b else parts[a]
+            out[i] = known[words[i]] = known[a] + known[b] if b else known[a]
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
