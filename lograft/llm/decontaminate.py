@@ -91,14 +91,16 @@ def _regions(batches, cells):
                  pa.array(cols[3], pa.list_(pa.int64())), pa.array(cols[4], pa.list_(pa.int64()))], ["doc_id", "low", "words", "ats", "seeds"])
 
 
-def best_overlap(agree: np.ndarray, share: float) -> tuple[int, int]:
-    """Start and end of the stretch with the most agreement: a word that agrees
-    counts 1 - share, one that does not -share, so the stretch has that share."""
+def best_overlap(agree: np.ndarray, share: float, least: int = LEAST_WORDS) -> tuple[int, int]:
+    """Start and end of the stretch with the most agreement among those of ``least``
+    words or more (the whole, if shorter): a word that agrees counts 1 - share, one that
+    does not -share. If any such stretch has that share, so does this one."""
+    least = max(0, min(least, len(agree)))
     gain = np.where(agree, 1 - share, -share)
     total = np.concatenate(([0.0], np.cumsum(gain)))
-    floor = np.minimum.accumulate(total)
-    end = int(np.argmax(total - floor + np.arange(len(total)) * 1e-12))
-    start = int(np.flatnonzero(total[: end + 1] == floor[end])[-1])
+    floor = np.minimum.accumulate(total[: len(total) - least])  # for each end, starts that leave room
+    end = least + int(np.argmax(total[least:] - floor + np.arange(len(floor)) * 1e-12))
+    start = int(np.flatnonzero(total[: end - least + 1] == floor[end - least])[-1])
     return start, end
 
 
@@ -110,9 +112,9 @@ def _verify(batches, least: int, share: float):
             text, item = np.frombuffer(words, np.uint64), np.frombuffer(item, np.uint64)
             a, b = max(0, -shift), min(len(item), len(text) - shift)
             agree = text[a + shift: b + shift] == item[a:b]
-            start, end = best_overlap(agree, share)
+            start, end = best_overlap(agree, share, least)
             same = int(agree[start:end].sum())
-            if end - start >= min(least, len(item)) and same >= share * (end - start):
+            if end - start >= min(least, len(item)) and same >= share * (end - start) - 1e-9:
                 rows.append((doc, item_id, same, end - start, low + a + start + shift, a + start))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], names)
 

@@ -269,3 +269,29 @@ def test_leaks_of_the_tables(spark, sf001):
         for i, item in items:
             if f" {item} " in text:
                 assert (d.doc_id, i) in got
+
+
+def any_stretch(agree, need, share=0.8):
+    """Whether ``need`` words in a row or more have the share, by counting in all of them."""
+    n = len(agree)
+    return any(10 * sum(agree[s:e]) >= round(10 * share) * (e - s) for s in range(n) for e in range(s + need, n + 1))
+
+
+def test_longer_stretches_than_the_one_with_most_agreement():
+    rng = random.Random(3)
+    for n in (13, 14, 15, 19, 24, 31):
+        for _ in range(300):
+            agree = np.array([rng.random() < rng.choice((0.7, 0.8, 0.9)) for _ in range(n)])
+            s, e = best_overlap(agree, 0.8)
+            assert (e - s >= 13 and 10 * agree[s:e].sum() >= 8 * (e - s)) == any_stretch(agree.tolist(), 13)
+
+
+def test_leaks_with_a_changed_word_anywhere(docs, spark):
+    """(12 of 13, 13 of 15, 15 of 16 words agree; each was lost.)"""
+    items, rows = [], []
+    for i, (n, changed) in enumerate([(13, (10,)), (15, (2, 12)), (20, (3, 16))]):
+        w = [f"i{i}w{k}" for k in range(n)]
+        items.append((i, " ".join(w)))
+        rows.append((i, "some words before " + " ".join("changed" if k in changed else x for k, x in enumerate(w)) + " and after it"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(map(tuple, find_leaks(docs(rows), bench).collect())) == [(0, 0, 12, 13, 3, 0), (1, 1, 13, 15, 3, 0), (2, 2, 15, 16, 7, 4)]
