@@ -1,9 +1,11 @@
 """URL filter: rules first, then trust and distrust spread over the host graph.
 
 A page's url is judged by the longest rule that fits. Where none fits, its host
-is judged: personalised PageRank runs from trusted hosts along the edges and
-from blocked hosts against them, and a host with more distrust than trust,
-and enough of it, is blocked.
+is judged by its own links, whoever else links to the same hosts: its distrust is the
+damped average, over its links, of the distrust of the hosts they lead to; its trust
+is that over the links that lead to it, of the trust of where they come from.
+Blocked and trusted hosts have 1. A host with more distrust than trust, and
+enough of it, is blocked.
 
 Edges are links between hosts found in the pages (weight: number of links), and
 between a host and its parent domain, both ways (weight 1), so that hosts of one
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 
 from .scratch import discard, settle
 
+#: Trust and distrust as near as this are alike: sums are not exact.
+ROUNDING = 1e-9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,17 +77,20 @@ def _host_edges(pages: DataFrame, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def _spread(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """Personalised PageRank of both kinds at once: edges (kind, src, dst, share) with
-    shares that sum to 1 per (kind, src); seeds (kind, host, seed)."""
-    rank = settle(seeds.select("kind", "host", F.col("seed").alias("rank")))
+def _spread(ways: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
+    """(kind, host, value): 1 for seeds (kind, host), for others ``damping`` times the average
+    over ways (kind, host, via, share), with shares that sum to 1 per (kind, host), of the
+    value at ``via``. ``more`` is what the last round added."""
+    ways = settle(ways.join(seeds, ["kind", "host"], "left_anti"))
+    state = settle(seeds.select("kind", "host", F.lit(1.0).alias("value"), F.lit(1.0).alias("more")))
     for _ in range(rounds):
-        sent = (edges.join(rank.select("kind", F.col("host").alias("src"), "rank"), ["kind", "src"])
-                .select("kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * damping).alias("rank")))
-        home = seeds.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank"))
-        old, rank = rank, settle(sent.union(home).groupBy("kind", "host").agg(F.sum("rank").alias("rank")))
+        got = (ways.join(state.filter("more > 0").select("kind", F.col("host").alias("via"), "more"), ["kind", "via"])
+               .select("kind", "host", F.lit(0.0).alias("value"), (F.col("share") * F.col("more") * damping).alias("more")))
+        old, state = state, settle(got.union(state.select("kind", "host", "value", F.lit(0.0))).groupBy("kind", "host")
+                                   .agg(F.sum("value").alias("value"), F.sum("more").alias("more"))
+                                   .select("kind", "host", (F.col("value") + F.col("more")).alias("value"), "more"))
         discard(old)
-    return rank
+    return state.select("kind", "host", "value")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] | None = None, blocked: Sequence[str] | None = None,
@@ -92,10 +99,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
     """A verdict per row of ``pages``: page_id, host, path, rule, verdict.
 
     The longest fitting rule decides; ``rule`` is its host and path, else null.
-    Else the host decides: blocked where distrust exceeds ``margin`` times trust
-    and is at least ``least``, allowed otherwise. ``trusted`` and ``blocked`` are the
+    Else the host decides: blocked where distrust (0 to 1) exceeds ``margin`` times trust
+    (0 to 1) and is at least ``least``, allowed otherwise. ``trusted`` and ``blocked`` are the
     hosts that trust and distrust come from, with all their subdomains that pages
-    name, 1 each; by default those of the allowing rules, and of the blocking rules
+    name; by default those of the allowing rules, and of the blocking rules
     that cover a whole host (path ``/``). Null urls and
     urls without :// have an empty host and path and are allowed unless a rule
     fits. Null html has no links. Repeated pages count their links again. Null
@@ -107,22 +114,23 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
     blocked = sorted({r.host for r in rules if r.verdict == "block" and r.path == "/"}) if blocked is None else list(blocked)
 
     edges = settle(_host_edges(pages, "html"))
-    # Trust goes along an edge, distrust against it.
-    ways = (edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight")
-            .union(edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), F.col("weight"))))
-    sums = ways.groupBy("kind", "src").agg(F.sum("weight").alias("out"))
-    ways = settle(ways.join(sums, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("out")).alias("share")))
-    known = settle(ways.select(F.col("src").alias("host")).union(pages.select("host")).distinct())
+    # Trust goes along an edge, distrust against it. Shares are of the links of the host that
+    # is judged: what a seed gives does not shrink with the number of hosts that link to it.
+    ways = (edges.select(F.lit("trust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("via"), "weight")
+            .union(edges.select(F.lit("distrust"), F.col("src"), F.col("dst"), F.col("weight"))))
+    sums = ways.groupBy("kind", "host").agg(F.sum("weight").alias("all"))
+    ways = settle(ways.join(sums, ["kind", "host"]).select("kind", "host", "via", (F.col("weight") / F.col("all")).alias("share")))
+    known = settle(ways.select("host").union(pages.select("host")).distinct())
 
     def seeds_of(kind: str, hosts: Sequence[str]) -> DataFrame:
         under = functools.reduce(lambda a, h: a | (F.col("host") == h) | F.col("host").endswith("." + h), hosts, F.lit(False))
-        return known.filter(under).select(F.lit(kind).alias("kind"), "host", F.lit(1.0).alias("seed"))
+        return known.filter(under).select(F.lit(kind).alias("kind"), "host")
 
     seeds = settle(seeds_of("trust", trusted).union(seeds_of("distrust", blocked)))
-    rank = _spread(ways, seeds, damping, rounds)
-    standing = (rank.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
-                                         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust")))
-    bad = standing.filter((F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin)).select("host", F.lit(True).alias("bad"))
+    values = _spread(ways, seeds, damping, rounds)
+    standing = (values.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("value")).otherwise(0.0)).alias("trust"),
+                                           F.sum(F.when(F.col("kind") == "distrust", F.col("value")).otherwise(0.0)).alias("distrust")))
+    bad = standing.filter((F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)).select("host", F.lit(True).alias("bad"))
 
     judged = pages.select("page_id", "host", "path", _longest(rules, lambda r: r.host + r.path).alias("rule"),
                           _longest(rules, lambda r: r.verdict).alias("ruled"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lograft.llm import license_scan, quality, queries
 from lograft.llm.decontaminate import best_overlap, find_leaks
 from lograft.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
-from lograft.llm.url_filter import judge_urls
+from lograft.llm.url_filter import Rule, judge_urls
 from tests.conftest import SF001, SF01
 from tests.llm import brute
 
@@ -205,6 +205,23 @@ def test_url_rules_of_the_tables(spark, sf001):
         assert rule is None or r.verdict == rule.verdict
 
 
+def verdicts_of(spark, pages):
+    """pages: (host, hosts it links to). Verdicts with ``bad.net`` blocked and ``good.org`` trusted."""
+    rows = [(i, f"http://{h}/", "".join(f'<a href="http://{d}/">' for d in to)) for i, (h, to) in enumerate(pages)]
+    rules = [Rule("block", "bad.net", "/"), Rule("allow", "good.org", "/en/")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.host: r.verdict for r in judge_urls(df, rules).collect()}
+
+
+def test_verdicts_of_a_link_farm_whatever_its_size(spark):
+    for k in (3, 7, 60):
+        farm = [(f"farm{i}.com", ["bad.net"] * (i % 2 + 1)) for i in range(k)]
+        fair = [("fair.com", ["bad.net"] + ["fine.com"] * 49), ("fine.com", []), ("good.org", ["known.com"]), ("known.com", ["bad.net", "fine.com"])]
+        got = verdicts_of(spark, farm + fair)
+        assert {got[h] for h, _ in farm} == {"block"}
+        assert {got[h] for h, _ in fair} == {"allow"}
+
+
 # --- leaks --------------------------------------------------------------------
 
 def plain_leaks(docs, items, least=13, share=0.8):
