@@ -11,7 +11,8 @@ Edges are links between hosts found in the pages (weight: number of links), and
 between a host and its parent domain, both ways (weight 1), so that hosts of one
 domain share their standing even where pages link only within their site. Names
 of one label (``org``) are no parents: their hosts have nothing to do with each other.
-Everything is joins and sums over one row per edge; the number of rounds is fixed.
+Everything is joins and sums over one row per edge, in rounds until what is still to come
+is under a tolerance.
 """
 
 from __future__ import annotations
@@ -77,13 +78,14 @@ def _host_edges(pages: DataFrame, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def _spread(ways: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
+def _spread(ways: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """(kind, host, value): 1 for seeds (kind, host), for others ``damping`` times the average
     over ways (kind, host, via, share), with shares that sum to 1 per (kind, host), of the
-    value at ``via``. ``more`` is what the last round added."""
+    value at ``via``. ``more`` is what the last round added; those to come add at most
+    damping / (1 - damping) times the largest of it, and end where that is under ``tolerance``."""
     ways = settle(ways.join(seeds, ["kind", "host"], "left_anti"))
     state = settle(seeds.select("kind", "host", F.lit(1.0).alias("value"), F.lit(1.0).alias("more")))
-    for _ in range(rounds):
+    while (state.agg(F.max("more")).first()[0] or 0.0) * damping >= tolerance * (1 - damping):
         got = (ways.join(state.filter("more > 0").select("kind", F.col("host").alias("via"), "more"), ["kind", "via"])
                .select("kind", "host", F.lit(0.0).alias("value"), (F.col("share") * F.col("more") * damping).alias("more")))
         old, state = state, settle(got.union(state.select("kind", "host", "value", F.lit(0.0))).groupBy("kind", "host")
@@ -94,13 +96,14 @@ def _spread(ways: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> D
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] | None = None, blocked: Sequence[str] | None = None,
-               damping: float = 0.85, rounds: int = 10, margin: float = 1.0, least: float = 0.02,
+               damping: float = 0.85, tolerance: float = 1e-4, margin: float = 1.0, least: float = 0.02,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A verdict per row of ``pages``: page_id, host, path, rule, verdict.
 
     The longest fitting rule decides; ``rule`` is its host and path, else null.
     Else the host decides: blocked where distrust (0 to 1) exceeds ``margin`` times trust
-    (0 to 1) and is at least ``least``, allowed otherwise. ``trusted`` and ``blocked`` are the
+    (0 to 1) and is at least ``least``, allowed otherwise; both are known up to
+    ``tolerance``. ``trusted`` and ``blocked`` are the
     hosts that trust and distrust come from, with all their subdomains that pages
     name; by default those of the allowing rules, and of the blocking rules
     that cover a whole host (path ``/``). Null urls and
@@ -127,7 +130,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
         return known.filter(under).select(F.lit(kind).alias("kind"), "host")
 
     seeds = settle(seeds_of("trust", trusted).union(seeds_of("distrust", blocked)))
-    values = _spread(ways, seeds, damping, rounds)
+    values = _spread(ways, seeds, damping, tolerance)
     standing = (values.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("value")).otherwise(0.0)).alias("trust"),
                                            F.sum(F.when(F.col("kind") == "distrust", F.col("value")).otherwise(0.0)).alias("distrust")))
     bad = standing.filter((F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)).select("host", F.lit(True).alias("bad"))

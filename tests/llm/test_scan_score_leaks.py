@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lograft.llm import license_scan, quality, queries
+from lograft.llm import license_scan, quality, queries, url_filter
 from lograft.llm.decontaminate import best_overlap, find_leaks
 from lograft.llm.license_scan import PHRASES, TEMPLATES, scan_licenses
 from lograft.llm.url_filter import Rule, judge_urls
@@ -222,6 +222,29 @@ def test_verdicts_of_a_link_farm_whatever_its_size(spark):
         assert {got[h] for h, _ in fair} == {"allow"}
 
 
+def test_verdicts_far_from_the_blocked_host(spark):
+    """0.85 ** 23 is 0.0238, 0.85 ** 25 is 0.0172; hosts over ten links away were never reached."""
+    chain = [("hop1.com", ["bad.net"])] + [(f"hop{i}.com", [f"hop{i - 1}.com"]) for i in range(2, 27)]
+    got = verdicts_of(spark, chain)
+    assert [got[h] for h, _ in chain] == ["block"] * 24 + ["allow"] * 2
+
+
+def test_values_are_those_of_endless_rounds(spark):
+    """A cycle of hosts, each with a link to the next and some with one to the seed."""
+    n, out = 6, (0, 3)
+    ways = [("distrust", f"h{i}", f"h{(i + 1) % n}", 0.75 if i in out else 1.0) for i in range(n)] + [("distrust", f"h{i}", "seed", 0.25) for i in out]
+    a, b = np.eye(n), np.zeros(n)
+    for _, host, via, share in ways:
+        if via == "seed":
+            b[int(host[1:])] = 0.85 * share
+        else:
+            a[int(host[1:]), int(via[1:])] -= 0.85 * share
+    got = url_filter._spread(spark.createDataFrame(ways, "kind string, host string, via string, share double"),
+                             spark.createDataFrame([("distrust", "seed")], "kind string, host string"), 0.85, 1e-4)
+    got = {r.host: r.value for r in got.collect()}
+    assert got.pop("seed") == 1 and np.allclose([got[f"h{i}"] for i in range(n)], np.linalg.solve(a, b), rtol=0, atol=1e-4)
+
+
 # --- leaks --------------------------------------------------------------------
 
 def plain_leaks(docs, items, least=13, share=0.8):
