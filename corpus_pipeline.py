@@ -19,10 +19,16 @@ from lograft.llm.scratch import scratch_path, settle, sieve_cells, sieve_test
 from lograft.llm.token_files import read_token_files, write_token_files
 
 
-def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose id is surely not among ``ids``, and the others: texts of the first
+def _with_row_key(docs: DataFrame) -> DataFrame:
+    """With a column ``_row``, a 64-bit hash of id and text: decisions are about rows, and
+    ids may be missing or stand on several texts."""
+    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+
+
+def _split(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is surely not among ``keys``, and the others: texts of the first
     need not move for an exact join."""
-    marked = sieve_test(docs, sieve_cells(ids, "doc_id"), "doc_id")
+    marked = sieve_test(docs, sieve_cells(keys, "_row"), "_row")
     return marked.filter(~F.col("in_sieve")).drop("in_sieve"), marked.filter("in_sieve").drop("in_sieve")
 
 
@@ -35,24 +41,29 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 over five-word shingles, the
-    one with the smallest id, and one row of it. Documents without words stay, and so
-    do rows without an id, which cannot be told apart."""
-    found = settle(jaccard_components(docs, words=5, percent=80))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    again = (found.filter("doc_id = component_id and n_links > 0").groupBy("doc_id").count()
-             .filter("count > 1").select("doc_id"))
-    sure, maybe = _split(docs, gone.union(again))
-    left = maybe.join(gone, "doc_id", "left_anti").join(again.withColumn("_again", F.lit(True)), "doc_id", "left")
-    once = left.filter("_again").dropDuplicates(["doc_id"])
-    return sure.unionByName(left.filter("_again is null").unionByName(once).select(*docs.columns))
+    one with the smallest id (rows without an id last), and one row of it. Documents
+    without words stay."""
+    rows = _with_row_key(docs)
+    found = settle(jaccard_components(rows, words=5, percent=80, id_col="_row"))
+    linked = found.filter("n_links > 0").groupBy(F.col("doc_id").alias("_row"), "component_id").count()
+    ids = rows.groupBy("_row").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
+    first = (linked.join(ids, "_row").groupBy("component_id")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("f")).select("f._row"))
+    gone = settle(linked.select("_row").join(first, "_row", "left_anti"))
+    again = linked.filter("count > 1").select("_row")
+    sure, maybe = _split(rows, gone.union(again))
+    left = maybe.join(gone, "_row", "left_anti").join(again.withColumn("_again", F.lit(True)), "_row", "left")
+    once = left.filter("_again").dropDuplicates(["_row"])
+    return sure.select(*docs.columns).unionByName(left.filter("_again is null").unionByName(once).select(*docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    gone = settle(find_leaks(docs, benchmark).filter("doc_id is not null").select("doc_id").distinct())
-    sure, maybe = _split(docs, gone)
-    return sure.unionByName(maybe.join(gone, "doc_id", "left_anti").select(*docs.columns))
+    rows = _with_row_key(docs)
+    gone = settle(find_leaks(rows, benchmark, id_col="_row").select(F.col("doc_id").alias("_row")).distinct())
+    sure, maybe = _split(rows, gone)
+    return sure.select(*docs.columns).unionByName(maybe.join(gone, "_row", "left_anti").select(*docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

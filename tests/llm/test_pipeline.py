@@ -88,3 +88,24 @@ def test_each_operator_has_one_query():
 
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
     assert numbers == list(range(1, 11))
+
+
+def test_rows_without_an_id_and_ids_on_several_texts(spark, tmp_path):
+    """Decisions are about rows: no null id slips through, no other text of an id goes."""
+    def text(name):
+        return " ".join(f"{name}{k}" for k in range(40))
+
+    item, near = text("item"), text("near")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def left(stage, rows):
+        docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        return sorted(((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect()), key=repr)
+
+    rows = [(None, item), (None, text("a")), (7, "so " + item), (7, text("b")), (8, None), (None, None)]
+    assert left(pipeline.drop_leaks, rows) == sorted([(None, text("a")), (7, text("b")), (8, None), (None, None)], key=repr)
+    rows = [(5, near), (9, near + " more"), (9, text("c")), (None, near), (None, text("d")), (None, text("d") + " more"), (None, None), (8, None), (5, near)]
+    got = left(pipeline.drop_near_duplicates, rows)
+    d = [t for i, t in got if i is None and t is not None]
+    assert len(d) == 1 and d[0] in (text("d"), text("d") + " more")
+    assert got == sorted([(5, near), (9, text("c")), (None, d[0]), (None, None), (8, None)], key=repr)
