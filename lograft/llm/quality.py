@@ -17,7 +17,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import ready_workers
@@ -72,10 +72,10 @@ def _blocks(texts: pa.Array):
 
 def _sample_rows(batches):
     for batch in batches:
-        label, done = batch.column("label").to_pylist(), 0
+        done, rest = 0, ["label", "turn", "draw"]
         for block in _blocks(batch.column("text")):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(label[done: done + len(block)], pa.float64()), pa.array([r.tobytes() for r in block], pa.binary())], ["label", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in block], pa.binary()), *(batch.column(c).slice(done, len(block)) for c in rest)],
+                                             ["vector", *rest])
             done += len(block)
 
 
@@ -126,14 +126,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
     """Fit on the labelled documents, ``sample`` of them at most (by a hash of the id).
 
     Several labels of one id count as their mean; null labels and ids, and labels
-    without a document, are left out. The driver receives a vector per sampled
-    row, never a text."""
+    without a document, are left out, and take no room in the sample. Where an id stands
+    on several rows, all its rows count; if they are too many, each id's first row (by a
+    hash of the text) goes before any second one. The driver receives a vector per
+    sampled row, never a text."""
     ready_workers(docs.sparkSession)
-    chosen = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("label")).dropna()
-              .groupBy("_id").agg(F.avg("label").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(sample))
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "_id").select("label", "text")  # ``sample`` rows of two numbers
-            .mapInArrow(_sample_rows, "label double, vector binary").orderBy("vector", "label").limit(sample).toArrow())
+    chosen = (labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("double").alias("label")).dropna()
+              .groupBy("_id").agg(F.avg("label").alias("label")).join(texts.select("_id").distinct(), "_id", "left_semi")
+              .withColumn("draw", F.xxhash64("_id")).orderBy("draw", "_id").limit(sample))
+    turn = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64("text")))
+    rows = (texts.join(F.broadcast(chosen), "_id")  # ``sample`` rows of a few numbers
+            .withColumn("turn", turn).filter(F.col("turn") <= sample).select("text", "label", "turn", "draw")
+            .mapInArrow(_sample_rows, "vector binary, label double, turn int, draw long")
+            .orderBy("turn", "draw").limit(sample).select("label", "vector").sortWithinPartitions("vector", "label").toArrow())
     vectors = rows.column("vector").combine_chunks()
     raw = text_bytes(vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors)[0]
     return Model(raw.view(np.float32).reshape(-1, CELLS), rows.column("label").to_numpy())

@@ -105,6 +105,14 @@ def test_quality_edges(docs, spark):
     assert {r.score for r in quality.score_quality(df, none).collect()} == {1.0}
 
 
+def test_the_sample_is_of_labels_with_documents(docs, spark):
+    """Labels of a far larger corpus, and an id on many rows, take no other row's place."""
+    df = docs([(i, f"text number {i} of the few " * 3) for i in range(5)] + [(2, f"copy {i} of another text") for i in range(40)])
+    labels = spark.createDataFrame([(i, int(i != 2)) for i in range(2000)], "doc_id long, quality int")
+    assert sorted(quality.fit(df, labels, sample=5).labels.tolist()) == [0, 1, 1, 1, 1]
+    assert sorted(quality.fit(df, labels, sample=8).labels.tolist()) == [0, 0, 0, 0, 1, 1, 1, 1]
+
+
 def test_scores_are_exact_whatever_the_blocks(monkeypatch):
     rng = np.random.default_rng(0)
     shares = np.abs(rng.standard_normal((90, quality.CELLS))).astype(np.float32)
