@@ -5,7 +5,7 @@ ignored, so a substituted word spoils only the seeds that look at it. Test
 items and documents are hashed under every mask at every position, and the
 hashes are joined. Around each hit the texts are laid over each other and the words
 compared in place; an overlap counts if enough words in a row agree but for a
-share of substitutions.
+share of substitutions. Short items, which masks may not fit, are also hashed as a whole.
 
 Documents are hashed where they are read. A filter of fixed size, made from the
 test hashes, holds back windows that cannot hit; the join after it is exact. Only
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from .words import mix, word_hashes
 MASKS = ("11101011", "1101001011", "11011000111")
 #: An overlap has so many words at least (or the whole item), of which this share agrees.
 LEAST_WORDS, LEAST_SHARE = 13, 0.8
+#: Items of so many words at most are also searched for as a whole; of so many at least, one word changed leaves the share.
+SHORT, SPARE = 12, 5
 #: Words kept on either side of hits.
 CONTEXT = 64
 _U = np.uint64
@@ -47,13 +50,32 @@ def _seeds(words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield len(mask), mix(h)
 
 
+def _whole(words: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """n and the hash of n words in a row at every position; from ``SPARE`` words on, a hash
+    without each one of them, all of which a true copy has."""
+    count = len(words) - n + 1
+    if count < 1:
+        return
+
+    def part(j):
+        return words[j: j + count] * _U(0xD6E8FEB86659FD93 * (2 * j + 1) & ((1 << 64) - 1))
+
+    total = np.zeros(count, np.uint64)
+    for j in range(n):
+        total += part(j)
+    for j in range(n) if n >= SPARE else (None,):
+        kind = _U(0x9E3779B97F4A7C15 * (100 + 16 * n + (j or 0)) & ((1 << 64) - 1))
+        yield n, mix((total if j is None else total - part(j)) + kind)
+
+
 def _item_seeds(batches):
     for batch in batches:
         ids = batch.column("item_id").to_pylist()
         for item, words in zip(ids, word_hashes(batch.column("text"), "alnum")):
-            for _, h in _seeds(words):
-                yield pa.RecordBatch.from_arrays([pa.array([item] * len(h), pa.int64()), pa.array(np.arange(len(h))), pa.array(h.view(np.int64))],
-                                                 ["item_id", "at", "seed"])
+            whole = len(words) if len(words) <= SHORT else 0
+            for _, h in chain(_seeds(words), _whole(words, whole) if whole else ()):
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(h), pa.int64()), pa.array(np.arange(len(h))), pa.array(h.view(np.int64)),
+                                                  pa.array([whole] * len(h), pa.int32())], ["item_id", "at", "seed", "whole"])
 
 
 def _item_words(batches):
@@ -62,14 +84,15 @@ def _item_words(batches):
             [batch.column("item_id"), pa.array([w.tobytes() for w in word_hashes(batch.column("text"), "alnum")], pa.binary())], ["item_id", "item"])
 
 
-def _regions(batches, cells):
-    """Stretches of words around windows that may hit: their words, and the hits."""
+def _regions(batches, cells, lengths):
+    """Stretches of words around windows that may hit: their words, and the hits.
+    ``lengths`` are those of items that are searched for as a whole."""
     bits = cells.value
     for batch in batches:
         rows: list = []
         for i, words in enumerate(word_hashes(batch.column("text"), "alnum")):
             at, end, seed = [], [], []
-            for length, h in _seeds(words):
+            for length, h in chain(_seeds(words), *(_whole(words, n) for n in lengths)):
                 cell = (h >> _U(6)) & _U(SIEVE_WORDS - 1)
                 hit = np.flatnonzero((bits[cell] >> (h & _U(63))) & _U(1))
                 at.append(hit)
@@ -149,10 +172,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_W
     ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    seeds = settle(items.mapInArrow(_item_seeds, "item_id long, at long, seed long"))
+    seeds = settle(items.mapInArrow(_item_seeds, "item_id long, at long, seed long, whole int"))
+    lengths = sorted(r.whole for r in seeds.filter("whole > 0").select("whole").distinct().collect())  # at most SHORT
     cells = spark.sparkContext.broadcast(_sieve_bits(seeds))
     regions = settle(rows.filter("text is not null")
-                     .mapInArrow(partial(_regions, cells=cells), "doc_id long, low long, words binary, ats array<long>, seeds array<long>")
+                     .mapInArrow(partial(_regions, cells=cells, lengths=lengths), "doc_id long, low long, words binary, ats array<long>, seeds array<long>")
                      .withColumn("region", F.xxhash64("doc_id", "low", "words")))
     hits = (regions.select("region", F.explode(F.arrays_zip("ats", "seeds")).alias("h"))
             .select("region", F.col("h.ats").alias("here"), F.col("h.seeds").alias("seed")))

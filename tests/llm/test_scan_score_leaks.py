@@ -343,3 +343,19 @@ def test_leaks_with_a_changed_word_anywhere(docs, spark):
         rows.append((i, "some words before " + " ".join("changed" if k in changed else x for k, x in enumerate(w)) + " and after it"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert sorted(map(tuple, find_leaks(docs(rows), bench).collect())) == [(0, 0, 12, 13, 3, 0), (1, 1, 13, 15, 3, 0), (2, 2, 15, 16, 7, 4)]
+
+
+def test_leaks_of_short_items(docs, spark):
+    """Copies of items of 1 to 12 words, and of 5 to 12 words with any one word changed."""
+    items, rows, want = [], [], set()
+    for n in range(1, 13):
+        w = [f"n{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(w)))
+        for j in range(-1, n):
+            d = 100 * n + j + 1
+            rows.append((d, "before it " + " ".join("changed" if k == j else x for k, x in enumerate(w)) + " and after"))
+            if j < 0 or n >= 5:
+                want.add((d, n, n - (j >= 0), n, 2, 0))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in find_leaks(docs(rows), bench).collect()}
+    assert got == want
