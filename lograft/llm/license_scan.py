@@ -1,8 +1,9 @@
 """License scan: phrases, and an exact set-similarity join with license templates.
 
 A template is a set of words. A text block matches it if the block contains a
-share of ``containment`` of the template's words or more. Blocks are windows of
-2 * ``step`` words every ``step`` words, so any ``step`` words in a row lie in one.
+share of ``containment`` of the template's words or more. Blocks are all
+windows of 2 * ``step`` words. Only those that start at a template word are looked at:
+any other has no more template words than the next one of them.
 
 The join is exact and prunes in this order:
 - Words of templates are ordered by the number of documents they occur in, over
@@ -102,10 +103,12 @@ def scan_licenses(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templat
         rows = rows.withColumn(f"_p{k}", F.when(F.col("_has") & (F.size("_w") >= len(p.split())), _places(p)).otherwise(F.array().cast("array<int>")))
     # Blocks: the ranks of a window's template words, in order; only windows with a word of a prefix.
     numbers = "map(" + ", ".join(f"'{w}', {i}" for w, i in sorted(rank.items())) + ")"
-    blocks = F.expr(f"""filter(transform(sequence(0, size(_w) - 1, {step}),
-        s -> array_sort(array_distinct(filter(transform(slice(_w, s + 1, {2 * step}), w -> {numbers}[w]), r -> r is not null)))),
-        b -> arrays_overlap(b, {_ints(starters)}))""")
-    rows = rows.withColumn("_blocks", F.when(F.col("_can"), blocks).otherwise(F.array().cast("array<array<int>>")))
+    rows = rows.withColumn("_r", F.when(F.col("_can"), F.expr(f"transform(_w, w -> {numbers}[w])")).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("_first", F.expr(f"""array_distinct(flatten(transform(
+        filter(transform(_r, (r, i) -> if(array_contains({_ints(starters)}, r), i, null)), i -> i is not null),
+        i -> filter(sequence(greatest(0, i - {2 * step - 1}), i), s -> _r[s] is not null))))"""))
+    blocks = F.expr(f"transform(_first, s -> array_sort(array_distinct(filter(slice(_r, s + 1, {2 * step}), r -> r is not null))))")
+    rows = rows.withColumn("_blocks", F.array_distinct(blocks))
     shares = []
     for label, s in sets.items():
         k, n = need[label], len(s)

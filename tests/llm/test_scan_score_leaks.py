@@ -66,6 +66,13 @@ def test_licenses_of_the_tables(spark, sf001):
     assert license_scan.scan_licenses(sf001("documents"))._jdf.queryExecution().executedPlan().toString().count("Python") == 0
 
 
+def test_license_words_spread_over_a_block_at_any_offset(docs):
+    """A notice spread over 53 words or so is found wherever it starts."""
+    notice = "permission x is x hereby x x x granted x x x free x x of x x charge x x to x x any x x person x x obtaining x x a x x copy x x of this x x software and associated documentation files"
+    got = scan_licenses(docs([(i, "x " * i + notice + " x" * 40) for i in range(34)])).collect()
+    assert len(notice.split()) <= 64 and {(r.labels, r.score) for r in got} == {("mit-grant", 1.0)}
+
+
 # --- quality ------------------------------------------------------------------
 
 def test_held_out_accuracy(spark):
