@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, quality, sharding, token_files, url_filter
+from . import centroids, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, quality, repair, sharding, token_files, url_filter
 from .scratch import scratch_path
-from .sql import centroid_sql
+from .sql import centroid_sql, repair_sql
 
 #: The rules of op8.
 URL_RULES = [
@@ -105,6 +105,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged conversations; those that lose all rows count too."""
+    rows = _table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(repair.damage_turns(rows), rows)
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forty centroids, five rounds, components times 256."""
     return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
@@ -113,7 +119,7 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_exact_dedup, op3_source_mixing, op4_chat_format, op5_license_scan,
     op6_token_files, op7_quality_classifier, op8_url_filter, op9_sharding, op10_decontamination,
-    op12_centroid_clustering)}
+    op11_conversation_repair, op12_centroid_clustering)}
 
 _OP2_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -223,4 +229,4 @@ FROM p LEFT JOIN (SELECT host AS h, t, d FROM s) ON p.host = h
 
 
 ORACLE_SQL = {"op2_exact_dedup": _OP2_SQL, "op3_source_mixing": _OP3_SQL, "op5_license_scan": _op5_sql(), "op8_url_filter": _op8_sql(),
-              "op12_centroid_clustering": centroid_sql()}
+              "op11_conversation_repair": repair_sql(), "op12_centroid_clustering": centroid_sql()}
