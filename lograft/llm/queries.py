@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, chat_format, decontaminate, exact_dedup, jaccard_join, license_scan, mixing, quality, repair, sharding, token_files, url_filter
+from . import centroids, chat_format, decontaminate, exact_dedup, jaccard_join, language, license_scan, mixing, quality, repair, sharding, token_files, url_filter
 from .scratch import scratch_path
 from .sql import centroid_sql, repair_sql
 
@@ -116,10 +116,19 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_languages(docs.filter(~language.held_out(F.col("doc_id"))))
+    found = language.identify_languages(docs, model, keep=["doc_id"])
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_exact_dedup, op3_source_mixing, op4_chat_format, op5_license_scan,
     op6_token_files, op7_quality_classifier, op8_url_filter, op9_sharding, op10_decontamination,
-    op11_conversation_repair, op12_centroid_clustering)}
+    op11_conversation_repair, op12_centroid_clustering,
+    op13_language_id)}
 
 _OP2_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
