@@ -6,70 +6,50 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lograft.config import NO_PK
-from lograft.functions.jsonfn import json_quote, variant_kind
+from lograft.functions.jsonfn import json_quote, raw_compact, raw_text
 
 # Reject reasons (stable strings, used as values of ``reject_reason``).
 KEY_MISSING = "key_missing"
 KEY_NULL = "key_null"
 KEY_NOT_SCALAR = "key_not_scalar"
-KEY_NOT_INTEGER = "key_not_integer"
 DOC_KEY_NOT_STRING = "document_key_not_string"
 DOC_KEY_NOT_OBJECT = "document_key_not_object"
 
-INTEGER = "^-?[0-9]+$"
-# Text that may be a JSON number with a fraction or an exponent (or a string that looks like one).
-MAYBE_FRACTION = "^-?[0-9]+[.eE]"
+# Text that a JSON parser may have made of a number spelled otherwise (1.50, 1e3, -0, 1E400).
+MAYBE_RESPELLED = '^-?[0-9]+[.eE]|^0$|^"?-?Infinity|^"?NaN'
 
-_SCALARS = ("string", "number", "boolean")
 
+def scalar_key_text(raw: Column, only: Column) -> tuple[Column, Column]:
+    """Text of a scalar key given as raw JSON, plus a reject reason.
 
-def scalar_key_text(v: Column, kind: Column, first: Column, first_kind: Column, shape: Column) -> tuple[Column, Column]:
-    """Text of a scalar key held in a VARIANT, plus a reject reason.
-
-    Strings give their content, integers and booleans their JSON text. A
-    one-element array of a scalar gives that scalar. Absent, null, object and
-    other array values give a NULL key and a reason. So do numbers with a fraction
-    or an exponent: the JSON reader respells them (``1.50``, ``1e3``), and another
-    spelling would be another key and partition.
-
-    From parts that callers compute in projections of their own: ``kind`` and
-    ``first_kind`` are ``variant_kind`` of the value and of ``first``, the only element of
-    an array (else NULL), and ``shape`` is ``schema_of_variant`` of the scalar.
+    Strings give their content, numbers and booleans their text as it is written:
+    another spelling would be another key and partition. ``only`` is the raw scalar that is
+    the only element of an array (``raw_only_element``), which counts like that scalar.
+    Absent, null, object and other array values give a NULL key and a reason.
     """
-    one = F.coalesce(first_kind.isin(*_SCALARS), F.lit(False))
-    text = F.when(kind.isin(*_SCALARS), F.variant_get(v, "$", "string")).when(one, F.variant_get(first, "$", "string"))
-    number = (kind == "number") | (one & (first_kind == "number"))
-    # 1.0 reads back as 1: its type tells, an integer of so few digits being no decimal.
-    odd = F.coalesce(number & (~text.rlike(INTEGER) | (shape.startswith("DECIMAL") & (F.length(text) < 19))), F.lit(False))
+    scalar = F.when(raw.rlike(r"^[\[{]"), F.when(only != "null", only)).otherwise(raw)
     reason = (
-        F.when(kind.isNull(), F.lit(KEY_MISSING))
-        .when(kind == "null", F.lit(KEY_NULL))
-        .when(text.isNull(), F.lit(KEY_NOT_SCALAR))
-        .when(odd, F.lit(KEY_NOT_INTEGER))
+        F.when(raw.isNull(), F.lit(KEY_MISSING))
+        .when(raw == "null", F.lit(KEY_NULL))
+        .when(scalar.isNull(), F.lit(KEY_NOT_SCALAR))
     )
-    return F.when(~odd, text), reason
+    return F.when(reason.isNull(), raw_text(scalar)), reason
 
 
-def document_key_parts(dk_kind: Column, dk_parsed_kind: Column, id_v: Column, id_kind: Column,
-                       dk_text: Column) -> tuple[Column, Column]:
-    """Key text and reject reason of a document change from precomputed parts:
-    the JSON type of ``documentKey``, the JSON type of its parsed text, its
-    ``_id`` as VARIANT and that value's JSON type, and the ``documentKey`` text.
+def document_key_parts(dk_kind: Column, dk_parsed_kind: Column, raw_id: Column) -> tuple[Column, Column]:
+    """Key text and reject reason of a document change from precomputed parts: the JSON
+    type of ``documentKey``, the JSON type of its parsed text, and its raw ``_id``.
+
+    Strings keep their quotes, numbers their spelling, objects and arrays the order and
+    spelling of what they hold; only spaces between their parts go.
     """
-    id_text = (
-        F.when(id_kind == "string", json_quote(F.variant_get(id_v, "$", "string")))
-        .when(id_kind == "null", F.lit("null"))
-        .when(id_kind.isin("number", "boolean"), F.variant_get(id_v, "$", "string"))
-        # Objects and arrays: raw text in the original key order.
-        .when(id_kind.isin("object", "array"), F.get_json_object(dk_text, "$._id"))
-    )
+    id_text = F.when(raw_id.startswith('"'), json_quote(raw_text(raw_id))).otherwise(raw_compact(raw_id))
     no_key = dk_kind.isNull() | (dk_kind == "null")
     reason = (
         F.when(no_key, F.lit(None).cast("string"))
         .when(dk_kind != "string", F.lit(DOC_KEY_NOT_STRING))
         .when(dk_parsed_kind.isNull() | (dk_parsed_kind != "object"), F.lit(DOC_KEY_NOT_OBJECT))
-        .when(id_kind.isNull(), F.lit(KEY_MISSING))
-        .when((id_kind == "number") & ~F.get_json_object(dk_text, "$._id").rlike(INTEGER), F.lit(KEY_NOT_INTEGER))
+        .when(raw_id.isNull(), F.lit(KEY_MISSING))
     )
     key = F.when(no_key, F.lit(NO_PK)).otherwise(id_text)
     return F.when(reason.isNull(), key), reason

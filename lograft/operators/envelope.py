@@ -7,8 +7,9 @@ cannot be keyed are never dropped and never fail the job: they carry a reason
 and ``split_rejects`` sends them to a reject table.
 
 Each event is parsed once with ``from_json`` and a fixed schema holding only
-the fields the routing needs; the key is read as VARIANT so its JSON type is
-known without a second parse of the whole envelope.
+the fields the routing needs. Where the spelling of the text counts (images that go
+out as JSON strings, keys that a parser may respell), the raw text of fields is cut out
+of the event (``raw_fields``), so numbers, repeated names and spaces stay as they came.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lograft.config import NO_PK, NO_TABLE
-from lograft.functions.jsonfn import json_quote, json_quote_compact, variant_kind
-from lograft.functions.keys import MAYBE_FRACTION, document_key_parts, key_string, scalar_key_text
+from lograft.functions.jsonfn import json_quote_compact, raw_fields, raw_only_element, raw_rest, raw_value, variant_kind
+from lograft.functions.keys import MAYBE_RESPELLED, document_key_parts, key_string, scalar_key_text
 
 # Reject reasons (stable strings).
 NOT_JSON = "not_json"
@@ -29,9 +30,11 @@ DB_MISSING = "db_missing"
 TABLE_MISSING = "table_missing"
 IMAGE_MISSING = "image_missing"
 POSITION_INVALID = "position_invalid"
+TOO_DEEP = "too_deep"
 
 _CORRUPT = "_corrupt_record"
-_PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+# JSON and nothing looser: the raw text of fields is only looked for in JSON.
+_PARSE_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 ROUTED_COLUMNS = ("db", "table", "op", "pos", "event_kind", "partition_key", "value", "reject_reason")
 
@@ -88,38 +91,28 @@ def _observed(df: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def _json_path(*names: str) -> str:
-    """JSON path for variant_get with bracket segments (any field name)."""
-    return "$" + "".join("['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n in names)
-
-
-def _key_text_stages(keep: list[str], has_img: bool, variant_fallback: Column) -> list[list[Column]]:
+def _key_text_stages(keep: list[str], pk: str) -> list[list[Column]]:
     """Stages adding ``__pk`` (key text) and ``__kr`` (key reject reason) from ``__raw``.
 
-    ``__raw`` is the key read as a JSON *string* field: the right text for
-    strings, integers and booleans in the one parse. Only when it is NULL, starts
-    like an object or array (``{``, ``[``) or reads like a number that is no integer
-    does the JSON type matter;
-    for those rows alone ``variant_fallback`` (the key as VARIANT) is computed,
-    in its own projection, and decides.
+    ``__raw`` is the key read as a JSON *string* field: the right text for strings,
+    integers and booleans in the one parse. Only when it is NULL, starts like an object or
+    array (``{``, ``[``) or may be a number spelled otherwise is it ambiguous; for those
+    rows alone the key's raw text is cut out of the event, step by step, and decides.
     """
-    raw = F.col("__raw")
+    raw, v = F.col("__raw"), F.col("__v")
     kept = [F.col(c) for c in keep]
-    # The fallback may read the chosen image text (stringify mode).
-    fallback_inputs = [F.col("__img")] if has_img else []
-    amb = (raw.isNull() | raw.startswith("{") | raw.startswith("[") | raw.rlike(MAYBE_FRACTION)).alias("__amb")
-    a, fb = F.col("__amb"), F.col("__fb")
-    kind, first, first_kind = F.col("__fk"), F.col("__f1"), F.col("__f1k")
-    only_one = F.size(F.try_variant_get(fb, "$", "array<variant>")) == 1
-    fb_text, fb_reason = scalar_key_text(fb, kind, first, first_kind, F.schema_of_variant(F.coalesce(first, fb)))
+    amb = (raw.isNull() | raw.startswith("{") | raw.startswith("[") | raw.rlike(MAYBE_RESPELLED)).alias("__amb")
+    a, text, only = F.col("__amb"), F.col("__kt"), F.col("__ko")
+    fields = F.col("__kf")
+    image = F.when(F.col("__op") == "d", raw_value(fields, "before")).otherwise(raw_value(fields, "after"))
+    key_text, reason = scalar_key_text(text, only)
     return [
-        [*kept, *fallback_inputs, raw, amb],
-        [*kept, raw, a, F.when(a, variant_fallback).alias("__fb")],
-        [*kept, raw, a, fb, variant_kind(fb).alias("__fk")],
-        [*kept, raw, a, fb, kind, F.when((kind == "array") & only_one, F.try_variant_get(fb, "$[0]", "variant")).alias("__f1")],
-        [*kept, raw, a, fb, kind, first, variant_kind(first).alias("__f1k")],
-        [*kept, raw, a, fb_text.alias("__ft"), fb_reason.alias("__fr")],
-        [*kept, F.when(~a, raw).otherwise(F.col("__ft")).alias("__pk"), F.when(a, F.col("__fr")).alias("__kr")],
+        [*kept, raw, amb],
+        [*kept, raw, a, F.when(a, raw_fields(v)).alias("__kf")],
+        [*kept, raw, a, F.when(a, image).alias("__ki")],
+        [*kept, raw, a, F.when(a, raw_value(raw_fields(F.col("__ki")), pk)).alias("__kt")],
+        [*kept, raw, a, text, F.when(a, raw_only_element(text)).alias("__ko")],
+        [*kept, F.when(~a, raw).otherwise(key_text).alias("__pk"), F.when(a, reason).alias("__kr")],
     ]
 
 
@@ -149,9 +142,12 @@ def parse_relational(
     * ``pos`` from ``source.<position_field>`` (``file,offset`` for a log file name
       and an offset), or from the column ``position_col`` of ``df`` (the offset of a
       message log). A position that is no integer is a reject, not a failure.
-    * ``stringify``: non-null ``before``/``after`` objects become JSON strings
-      inside the re-serialized envelope, which keeps every root field with its
-      JSON type and adds none. Otherwise, and for rejects, ``value`` is the input.
+    * ``stringify``: ``before``/``after`` objects become JSON strings that hold their
+      raw text; all else of the event stays byte for byte. Otherwise, and for rejects
+      and schema changes, ``value`` is the input. An event with a value nested deeper than
+      ``DEPTH`` levels cannot be rewritten and is a reject (``too_deep``).
+    * Keys are read as they are written: ``1.50`` and ``1.5`` are two keys. Of a field that
+      is there twice, the last one counts.
     * ``only``: a condition over ``db``, ``schema`` and ``table`` (see
       ``include_condition``). Events it is false for are dropped right after their
       names are read, before any key or text work.
@@ -188,43 +184,22 @@ def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str,
         return [src["db"].alias("__db"), src["schema"].alias("__schema"), src["table"].alias("__table"),
                 _position_text(position_field, lambda f: src[f]).alias("__src_pos")]
 
-    if stringify:
-        # All root fields as text; their JSON types come from a second reading.
-        stages.append([*first, F.from_json(v, "map<string,string>", {"mode": "PERMISSIVE"}).alias("__m")])
-        m = F.col("__m")
-        stages.append([F.col("__v"), F.col("__log_pos"), m, F.from_json(m["source"], src_t).alias("__s")])
-        stages.append([F.col("__v"), F.col("__log_pos"), m, *source_columns(F.col("__s"))])
-        names_read = len(stages) - 1
-        base = [*names, m]
-        op = m["op"]
-        stages.append([*base, op.alias("__op"), F.when(op == "d", m["before"]).otherwise(m["after"]).alias("__img")])
-        base = [*base, F.col("__op")]
-        img_col = F.col("__img")
-        stages.append([*base, m.isNull().alias("__bad"), img_col.isNull().alias("__img_null"),
-                       F.from_json(img_col, f"struct<{_q(pk)}: string>")[pk].alias("__raw"), img_col])
-        fallback = F.try_variant_get(F.try_parse_json(img_col), _json_path(pk), "variant")
-    else:
-        img = f"struct<{_q(pk)}: string>"
-        schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
-        stages.append([*first, F.from_json(v, schema, _PARSE_OPTS).alias("__e")])
-        e = F.col("__e")
-        stages.append([F.col("__v"), F.col("__log_pos"), e, *source_columns(e["source"])])
-        names_read = len(stages) - 1
-        op = e["op"]
-        is_delete = op == "d"
-        stages.append([
-            *names, op.alias("__op"), (e.isNull() | e[_CORRUPT].isNotNull()).alias("__bad"),
-            F.when(is_delete, e["before"].isNull()).otherwise(e["after"].isNull()).alias("__img_null"),
-            F.when(is_delete, e["before"][pk]).otherwise(e["after"][pk]).alias("__raw"),
-        ])
-        doc = F.try_parse_json(F.col("__v"))
-        fallback = F.when(
-            F.col("__op") == "d", F.try_variant_get(doc, _json_path("before", pk), "variant")
-        ).otherwise(F.try_variant_get(doc, _json_path("after", pk), "variant"))
+    img = f"struct<{_q(pk)}: string>"
+    schema = f"before {img}, after {img}, source {src_t}, op string, {_CORRUPT} string"
+    stages.append([*first, F.from_json(v, schema, _PARSE_OPTS).alias("__e")])
+    e = F.col("__e")
+    stages.append([F.col("__v"), F.col("__log_pos"), e, *source_columns(e["source"])])
+    names_read = len(stages) - 1
+    is_delete = e["op"] == "d"
+    stages.append([
+        *names, e["op"].alias("__op"), (e.isNull() | e[_CORRUPT].isNotNull()).alias("__bad"),
+        F.when(is_delete, e["before"].isNull()).otherwise(e["after"].isNull()).alias("__img_null"),
+        F.when(is_delete, e["before"][pk]).otherwise(e["after"][pk]).alias("__raw"),
+    ])
 
     # Key text and key-level reject reason.
-    keep = ["__v", "__log_pos", "__db", "__schema", "__table", "__src_pos", "__op", "__bad", "__img_null"] + (["__m"] if stringify else [])
-    stages.extend(_key_text_stages(keep, stringify, fallback))
+    keep = ["__v", "__log_pos", "__db", "__schema", "__table", "__src_pos", "__op", "__bad", "__img_null"]
+    stages.extend(_key_text_stages(keep, pk))
 
     db, table, op, bad = F.col("__db"), F.col("__table"), F.col("__op"), F.col("__bad")
     is_schema = op.isNull()
@@ -248,9 +223,14 @@ def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str,
     out_value = F.col("__v")
     if stringify:
         # Schema changes carry no row images, rejects stay as they came.
-        stages.append([F.col("*"), F.when(is_schema | reason.isNotNull(), F.lit(None)).otherwise(
-            F.from_json(F.col("__v"), "map<string,variant>", {"mode": "PERMISSIVE"})).alias("__types")])
-        out_value = F.when(is_schema | reason.isNotNull(), out_value).otherwise(_stringified_envelope())
+        fields, rest = F.col("__f"), F.col("__rest")
+        stages.append([F.col("*"), F.when(~is_schema & reason.isNull(), raw_fields(F.col("__v"))).alias("__f")])
+        stages.append([F.col("*"), raw_rest(F.col("__v"), fields).alias("__rest")])
+        unread = F.when(fields.isNull() | rest.rlike(r"^\s*\}\s*$"), reason).when(rest.rlike(r"^\s*\}"), F.lit(NOT_JSON)).otherwise(F.lit(TOO_DEEP))
+        others = [c for c in (*keep, "__pk", "__kr", "__pos", "__has_pos")]
+        stages.append([*(F.col(c) for c in others), fields, rest, unread.alias("__reason")])
+        out_value = F.when(fields.isNull() | reason.isNotNull(), out_value).otherwise(
+            F.concat(F.array_join(F.transform(fields, _with_quoted_image), ""), rest))
     stages.append([
         db.alias("db"),
         table.alias("table"),
@@ -264,25 +244,10 @@ def _relational_stages(_gateway: int, pk: str, stringify: bool, value_col: str,
     return tuple(stages), names_read
 
 
-def _stringified_envelope() -> Column:
-    """The envelope again, root field by root field in the order they came, with
-    ``before``/``after`` objects as JSON strings.
-
-    ``__m`` has the text of each root value (compact raw JSON for objects) and
-    ``__types`` its JSON type: strings are quoted again, everything else is
-    spliced in as it is.
-    """
-    def field(key: Column, text: Column) -> Column:
-        typed = F.try_element_at(F.col("__types"), key)
-        kind = variant_kind(typed)
-        image = key.isin("before", "after")
-        # Image text comes from the JSON parser's writer: compact quoting is exact.
-        shown = (F.when(text.isNull(), F.lit("null")).when(image & (kind == "object"), json_quote_compact(text))
-                 .when(kind == "string", json_quote(text)).otherwise(text))
-        return F.concat(json_quote(key), F.lit(":"), shown)
-
-    fields = F.transform(F.map_entries("__m"), lambda x: field(x["key"], x["value"]))
-    return F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
+def _with_quoted_image(field: Column) -> Column:
+    """A raw field; if it is ``before`` or ``after`` and an object, as a JSON string of its text."""
+    head = F.regexp_extract(field, r'(?s)^\s*+[{,]\s*+"(?:before|after)"\s*+:\s*+(?=\{)', 0)
+    return F.when(head == "", field).otherwise(F.concat(head, json_quote_compact(F.substr(field, F.length(head) + 1))))
 
 
 def parse_document(df: DataFrame, value_col: str = "value", position_field: str = "pos",
@@ -316,7 +281,7 @@ def _document_stages(_gateway: int, value_col: str, position_field: str, positio
     base = [F.col("__v"), F.col("__log_pos"), e]
     carried = F.lit(None).cast("string") if position_col is None else F.col(position_col).cast("string")
     c = F.col
-    pk_text, key_reason = document_key_parts(c("__dkk"), c("__dkpk"), c("__id"), c("__idk"), c("__dkt"))
+    pk_text, key_reason = document_key_parts(c("__dkk"), c("__dkpk"), c("__id"))
     db, coll = e["ns"]["db"], e["ns"]["coll"]
     not_json = e.isNull() | e[_CORRUPT].isNotNull()
     reason = c("__reason")
@@ -326,9 +291,8 @@ def _document_stages(_gateway: int, value_col: str, position_field: str, positio
         [*base, variant_kind(e["documentKey"]).alias("__dkk"),
          F.try_variant_get(e["documentKey"], "$", "string").alias("__dkt")],
         [*base, c("__dkk"), c("__dkt"), F.try_parse_json(c("__dkt")).alias("__dkp")],
-        [*base, c("__dkk"), c("__dkt"), variant_kind(c("__dkp")).alias("__dkpk"),
-         F.try_variant_get(c("__dkp"), "$._id", "variant").alias("__id")],
-        [*base, c("__dkk"), c("__dkt"), c("__dkpk"), c("__id"), variant_kind(c("__id")).alias("__idk")],
+        [*base, c("__dkk"), c("__dkt"), variant_kind(c("__dkp")).alias("__dkpk")],
+        [*base, c("__dkk"), c("__dkpk"), F.when(c("__dkpk") == "object", raw_value(raw_fields(c("__dkt")), "_id")).alias("__id")],
         [*base, pk_text.alias("__pk"), key_reason.alias("__kr")],
         [c("*"), pos_text.try_cast("bigint").alias("__pos"), pos_text.isNotNull().alias("__has_pos")],
         [c("*"), (

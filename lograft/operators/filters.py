@@ -24,11 +24,11 @@ def include_condition(
     tables: str | list[str] | None = None,
     schemas: str | list[str] | None = None,
     qualifier: str = "db",
-    db_col: str = "db",
-    table_col: str = "table",
-    schema_col: str = "schema",
+    db_col: str | Column = "db",
+    table_col: str | Column = "table",
+    schema_col: str | Column = "schema",
 ) -> Column | None:
-    """Predicate for an event's names; ``None`` when there is nothing to filter.
+    """Predicate for an event's names (columns, or constants); ``None`` when there is nothing to filter.
 
     ``tables`` entries are ``db.table`` (``qualifier='db'``) or ``schema.table``
     (``qualifier='schema'``). A name that an event does not have cannot exclude it:
@@ -36,17 +36,18 @@ def include_condition(
     an included database that names no table.
     """
     conds: list[Column] = []
+    db_col, table_col, schema_col = (c if isinstance(c, Column) else F.col(c) for c in (db_col, table_col, schema_col))
 
     def add(name: Column, entries: list[str] | None) -> None:
         if entries is not None:
             conds.append(name.isNull() | name.rlike(_anchored(entries)))
 
-    add(F.col(db_col), _entries(databases))
+    add(db_col, _entries(databases))
     if schemas is not None:
-        add(F.col(schema_col), _entries(schemas))
+        add(schema_col, _entries(schemas))
     if tables is not None:
-        prefix = F.col(schema_col if qualifier == "schema" else db_col)
-        add(F.concat(prefix, F.lit("."), F.col(table_col)), _entries(tables))
+        prefix = schema_col if qualifier == "schema" else db_col
+        add(F.concat(prefix, F.lit("."), table_col), _entries(tables))
     out: Column | None = None
     for c in conds:
         out = c if out is None else out & c

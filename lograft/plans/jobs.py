@@ -9,6 +9,7 @@ import functools
 from typing import Mapping, NamedTuple, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lograft import config as C
 from lograft.operators.envelope import parse_document, parse_relational
@@ -19,11 +20,20 @@ from lograft.sources.snapshot import snapshot_records
 
 
 class SnapshotTable(NamedTuple):
-    """A table to load in full before its changes: typed rows and their names."""
+    """A table to load in full before its changes: typed rows and their names. Tables of
+    sources whose include lists name schemas (PostgreSQL, Oracle) need theirs."""
 
     rows: DataFrame
     db: str
     table: str
+    schema: str | None = None
+
+
+def _included(source: C.RelationalSource, db="db", schema="schema", table="table"):
+    """The condition of a source's include lists over names, the same for its feed and its snapshots."""
+    by_schema = source.table_qualifier == "schema"
+    return include_condition(source.databases, source.tables, source.schemas if by_schema else None, source.table_qualifier,
+                             db_col=db, schema_col=schema, table_col=table)
 
 
 def relational_job(
@@ -38,8 +48,7 @@ def relational_job(
 
     ``num_partitions`` spreads a feed that one reader delivers (a single file or
     log partition) before the per-event work, in a batch or a stream."""
-    only = include_condition(source.databases, source.tables, source.schemas if source.table_qualifier == "schema" else None,
-                             source.table_qualifier)
+    only = _included(source)
     parsed = parse_relational(
         rebalance(feed, num_partitions), pk=source.pk, stringify=source.stringify, value_col=value_col,
         position_field=source.position_field, position_col=source.position_col, only=only,
@@ -67,11 +76,19 @@ def document_job(
 def snapshot_job(tables: Sequence[SnapshotTable], source: C.RelationalSource, target: C.KafkaTarget,
                  hash_method: str = "reflect") -> DataFrame:
     """Included tables as routed read events, from their typed columns; wall-clock
-    times are read in the source's time zone."""
-    only = include_condition(source.databases, source.tables if source.table_qualifier == "db" else None)
-    parts = [snapshot_records(t.rows, t.db, t.table, source.pk, source.stringify, source.time_zone) for t in tables]
-    records = functools.reduce(DataFrame.unionByName, parts)
-    return route(records if only is None else records.filter(only), target, hash_method)
+    times are read in the source's time zone. A table's names are constants, so one that
+    is not included is not read: Spark folds its filter to an empty relation."""
+    if source.table_qualifier == "schema" and (source.schemas is not None or source.tables is not None):
+        nameless = [f"{t.db}.{t.table}" for t in tables if t.schema is None]
+        if nameless:
+            raise ValueError(f"include lists of {source.kind} name schemas; snapshot tables without one: {nameless}")
+
+    def part(t: SnapshotTable) -> DataFrame:
+        only = _included(source, F.lit(t.db), F.lit(t.schema).cast("string"), F.lit(t.table))
+        return snapshot_records(t.rows if only is None else t.rows.filter(only), t.db, t.table, source.pk, source.stringify, source.time_zone,
+                                schema=t.schema)
+
+    return route(functools.reduce(DataFrame.unionByName, map(part, tables)), target, hash_method)
 
 
 _RELATIONAL_GROUPS = {"mysql": C.GROUP_MYSQL, "oracle": C.GROUP_ORACLE, "postgres": C.GROUP_POSTGRES}

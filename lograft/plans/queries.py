@@ -24,7 +24,7 @@ from lograft.operators.order import order_by_key, ordering_report, written_order
 from lograft.operators.route import kinesis_frame, route, sink_frame
 from lograft.operators.spread import rebalance
 from lograft.operators.filters import include
-from lograft.plans.jobs import SnapshotTable, document_job, relational_job, start_job
+from lograft.plans.jobs import SnapshotTable, document_job, relational_job, snapshot_job, start_job
 from lograft.sources.feeds import read_feed, write_feed
 from lograft.sources.snapshot import snapshot_events, snapshot_records
 from lograft.sources.startup import MODES, highest_position, startup
@@ -35,6 +35,7 @@ from lograft.sources.tables import (
     conversation_change_feed,
     events_change_feed,
     events_feed_with_faults,
+    events_feed_spelled,
     events_feed_with_more_fields,
     events_schema_feed,
     orders_change_log,
@@ -218,8 +219,7 @@ def key_by_operation(spark, sf_dir):
 
 
 def key_spelling(spark, sf_dir):
-    """Keys whose spelling matters: numbers with a fraction or exponent are rejects, the
-    same text in quotes is a key."""
+    """Keys whose spelling matters: numbers with a fraction or exponent are keys as they are written."""
     ev = _t(spark, sf_dir, "events")
     rule = F.col("event_id") % 6
     spelled = F.when(rule == 1, F.lit('"1.50"')).when(rule == 2, F.lit("1.50")).when(rule == 3, F.lit("1e3")) \
@@ -231,10 +231,17 @@ def key_spelling(spark, sf_dir):
 
 
 def include_schemas(spark, sf_dir):
+    """The include lists of a source with schemas, on its feed and on its snapshots: of two
+    schemas and three tables, one table is loaded."""
     source = RelationalSource(kind="postgres", pk="id", stringify=True, databases="app", schemas="s_view,s_click,s_error",
                               tables=r"s_view\.events,s_click\.ev.*,s_error\.none")
-    routed = relational_job(events_schema_feed(_t(spark, sf_dir, "events")), source, PER_DB)
-    return routed.select("db", "table", "pos", "partition_key", "topic")
+    events = _t(spark, sf_dir, "events")
+    routed = relational_job(events_schema_feed(events), source, PER_DB)
+    rows = events.select(F.col("user_id").alias("id"), "event_id")
+    tables = [SnapshotTable(rows, "app", "events", "s_click"), SnapshotTable(rows, "app", "none", "s_view"),
+              SnapshotTable(rows, "app", "events", "s_signup")]
+    loaded = snapshot_job(tables, source, PER_DB)
+    return routed.unionByName(loaded).select("db", "table", "op", "pos", "partition_key", "topic", F.get_json_object("value", "$.source.schema").alias("schema"))
 
 
 def envelope_fields(spark, sf_dir):
@@ -260,6 +267,13 @@ def stringified_images(spark, sf_dir):
     )
 
 
+def exact_envelope(spark, sf_dir):
+    """What goes out of events with numbers, spaces and repeated fields of all spellings: their
+    text, byte for byte, but for the images, which are strings of theirs."""
+    r = parse_relational(events_feed_spelled(_t(spark, sf_dir, "events")), pk="id", stringify=True)
+    return r.select("pos", "op", "partition_key", "value", "reject_reason")
+
+
 # --- routing and sinks -----------------------------------------------------------
 
 def topic_fixed(spark, sf_dir):
@@ -422,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "kinesis_record": kinesis_record,
     "stream_routed_files": stream_routed_files,
     "key_spelling": key_spelling,
+    "exact_envelope": exact_envelope,
     "include_schemas": include_schemas,
     "envelope_fields": envelope_fields,
     "ordered_files": ordered_files,
@@ -517,12 +532,24 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_EV_OP} AS op, event_id AS pos, {_EV_DB} || '.events.' || CAST(user_id + "
         f"CASE WHEN event_id % 10 = 0 THEN {BEFORE_SHIFT} ELSE 0 END AS VARCHAR) AS partition_key FROM events"),
     "key_spelling": (
-        "SELECT event_id AS pos, CASE event_id % 6 WHEN 0 THEN 'd.t.' || CAST(user_id AS VARCHAR) WHEN 1 THEN 'd.t.1.50' "
-        "WHEN 4 THEN 'd.t.7e1' WHEN 5 THEN 'd.t.true' END AS partition_key, "
-        "CASE WHEN event_id % 6 IN (2, 3) THEN 'key_not_integer' END AS reject_reason FROM events"),
+        "SELECT event_id AS pos, CASE event_id % 6 WHEN 0 THEN 'd.t.' || CAST(user_id AS VARCHAR) WHEN 1 THEN 'd.t.1.50' WHEN 2 THEN 'd.t.1.50' "
+        "WHEN 3 THEN 'd.t.1e3' WHEN 4 THEN 'd.t.7e1' WHEN 5 THEN 'd.t.true' END AS partition_key, "
+        "CAST(NULL AS VARCHAR) AS reject_reason FROM events"),
+    "exact_envelope": (
+        "WITH e AS (SELECT *, CAST(event_id AS VARCHAR) AS i, " f"{_EV_OP} AS op, event_id % 7 AS rule, "
+        "CASE event_id % 7 WHEN 0 THEN '1.50' WHEN 1 THEN '1e3' WHEN 2 THEN '1E400' WHEN 3 THEN '-0' WHEN 4 THEN repeat('1234567890', 5) "
+        "WHEN 5 THEN '\"' || props || '\"' ELSE 'null' END AS n FROM (SELECT * REPLACE (replace(replace(props, '\\', '\\\\'), '\"', '\\\"') AS props) FROM events)), "
+        "k AS (SELECT *, CASE WHEN event_id % 5 = 0 THEN CAST(user_id AS VARCHAR) || '.50' ELSE CAST(user_id AS VARCHAR) END AS k FROM e), "
+        "m AS (SELECT *, '{\"id\":' || k || ',\"v\": ' || n || ' ,\"l\":[' || n || ',{\"w\":[]}]}' AS image FROM k), "
+        "q AS (SELECT *, '\"' || replace(replace(image, '\\', '\\\\'), '\"', '\\\"') || '\"' AS quoted FROM m) "
+        "SELECT event_id AS pos, op, 'd.t.' || k AS partition_key, CAST(NULL AS VARCHAR) AS reject_reason, "
+        "'{ \"x\":' || n || ', \"before\" : ' || CASE WHEN op IN ('u', 'd') THEN quoted ELSE 'null' END || ',\"x\":\"two\",\"after\":' || "
+        "CASE WHEN op <> 'd' THEN quoted ELSE 'null' END || ' ,\"source\":{\"db\":\"d\", \"table\":\"t\",\"pos\":' || i || '},\"op\":\"' || op || '\"} ' AS value FROM q"),
     "include_schemas": (
-        "SELECT 'app' AS db, 'events' AS \"table\", event_id AS pos, 'app.events.' || CAST(user_id AS VARCHAR) AS partition_key, "
-        "'cdc-app' AS topic FROM events WHERE event_type IN ('view', 'click')"),
+        "WITH e AS (SELECT 'app' AS db, 'events' AS \"table\", event_id AS pos, 'app.events.' || CAST(user_id AS VARCHAR) AS partition_key, "
+        "'cdc-app' AS topic, event_type FROM events) "
+        "SELECT db, \"table\", 'c' AS op, pos, partition_key, topic, 's_' || event_type AS schema FROM e WHERE event_type IN ('view', 'click') "
+        "UNION ALL SELECT db, \"table\", 'r', CAST(NULL AS BIGINT), partition_key, topic, 's_click' FROM e"),
     "envelope_fields": (
         "WITH e AS (SELECT *, event_id AS pos, CAST(event_id AS VARCHAR) AS i, '{\"id\":' || CAST(user_id AS VARCHAR) || '}' AS image, "
         f"{_EV_OP} AS op FROM events) "

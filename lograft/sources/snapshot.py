@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lograft.functions.keys import KEY_NOT_INTEGER, KEY_NOT_SCALAR, KEY_NULL, key_string
+from lograft.functions.keys import KEY_NOT_SCALAR, KEY_NULL, key_string
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -77,12 +77,13 @@ def _typed_key(df: DataFrame, pk: str) -> tuple[Column, Column]:
     """A key column's text, as its JSON text would be, and a reject reason."""
     kind = {f.name: f.dataType for f in df.schema.fields}[pk]
     c = F.col(f"`{pk}`")
-    whole = isinstance(kind, (T.StringType, T.IntegralType, T.BooleanType)) or (isinstance(kind, T.DecimalType) and kind.scale == 0)
-    bad = KEY_NOT_INTEGER if isinstance(kind, T.NumericType) else KEY_NOT_SCALAR
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.lit(None).cast("string"), F.when(c.isNull(), F.lit(KEY_NULL)).otherwise(F.lit(bad))
     reason = F.when(c.isNull(), F.lit(KEY_NULL))
-    return (c.cast("string"), reason) if whole else (F.lit(None).cast("string"), reason.otherwise(F.lit(bad)))
+    if isinstance(kind, (T.StringType, T.IntegralType, T.BooleanType)):
+        return c.cast("string"), reason
+    if isinstance(kind, T.NumericType):
+        written = F.regexp_extract(F.to_json(F.struct(c.alias("v"))), '^\\{"v":"?(.*?)"?\\}$', 1)
+        return F.when(c.isNotNull(), written), reason
+    return F.lit(None).cast("string"), reason.otherwise(F.lit(KEY_NOT_SCALAR))
 
 
 def snapshot_records(
@@ -93,20 +94,24 @@ def snapshot_records(
     stringify: bool = False,
     time_zone: str | None = None,
     position: Column | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
     """Every row of a table as a routed read event, straight from its typed columns.
 
     The same records as ``parse_relational(snapshot_events(...))``, without writing
     each row as JSON and reading it again: names and position are known, the key
-    is a column, and JSON is only written, for ``value``. Narrow.
+    is a column, and JSON is only written, for ``value``. Narrow. ``schema``: named in the
+    envelope's source, as the feeds of databases with schemas do.
     """
     pos = (position if position is not None else F.lit(None)).cast("bigint")
     key, reason = _typed_key(df, pk)
     image = F.struct(*image_columns(df, time_zone))
+    names = [F.lit(db).alias("db"), *([F.lit(schema).alias("schema")] if schema is not None else []), F.lit(table).alias("table")]
+
     def envelope(after: Column) -> Column:
         return F.to_json(F.struct(
             F.lit(None).cast("string").alias("before"), after.alias("after"),
-            F.struct(F.lit(db).alias("db"), F.lit(table).alias("table"), pos.alias("pos")).alias("source"),
+            F.struct(*names, pos.alias("pos")).alias("source"),
             F.lit("r").alias("op"), F.lit(None).cast("bigint").alias("ts_ms")), {"ignoreNullFields": "false"})
 
     as_is = envelope(image)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lograft.functions.jsonfn import json_quote
 from lograft.operators.diff import snapshot_diff
 from lograft.operators.spread import rebalance
 from lograft.sources.snapshot import epoch_micros, snapshot_events
@@ -123,6 +124,20 @@ def events_feed_with_more_fields(events: DataFrame) -> DataFrame:
         ',"transaction":"tx', eid, '","tag":{"b":[', eid, ',null]},"flag":true}').alias("value"))
 
 
+def events_feed_spelled(events: DataFrame) -> DataFrame:
+    """Envelopes (``value``) of ``events`` spelled in many ways: numbers by ``event_id % 7``,
+    every fifth key with a fraction, a root field that is there twice, spaces."""
+    eid, op, rule = F.col("event_id"), events_op(F.col("event_id")), F.col("event_id") % 7
+    n = (F.when(rule == 0, "1.50").when(rule == 1, "1e3").when(rule == 2, "1E400").when(rule == 3, "-0").when(rule == 4, "1234567890" * 5)
+         .when(rule == 5, json_quote(F.col("props"))).otherwise("null"))
+    key = F.when(eid % 5 == 0, _json_text(F.col("user_id"), ".50")).otherwise(F.col("user_id").cast("string"))
+    image = _json_text('{"id":', key, ',"v": ', n, ' ,"l":[', n, ',{"w":[]}]}')
+    null = F.lit("null")
+    return events.select(_json_text(
+        '{ "x":', n, ', "before" : ', F.when(op.isin("u", "d"), image).otherwise(null), ',"x":"two","after":', F.when(op != "d", image).otherwise(null),
+        ' ,"source":{"db":"d", "table":"t","pos":', eid, '},"op":"', op, '"} ').alias("value"))
+
+
 def conversation_change_feed(conversations: DataFrame) -> DataFrame:
     """Document change envelopes (``value``) from ``conversations``."""
     cid = F.col("conv_id")

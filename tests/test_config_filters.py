@@ -81,6 +81,24 @@ def test_schema_lists(spark, kind):
         ("app", "orders", None), ("app", "orders", "key_missing"), (None, None, "not_json")]
 
 
+@pytest.mark.parametrize("kind", ["postgres", "oracle"])
+def test_schema_lists_hold_for_snapshots(spark, kind):
+    """A table that a feed's lists leave out is not loaded either, and not read."""
+    from lograft.plans.jobs import SnapshotTable, snapshot_job
+
+    tgt = KafkaTarget(topic="t", partitions=2, delivery_guarantee="at-least-once")
+    rows = spark.createDataFrame([(1, "x")], "id int, schema string")  # a column named like what is matched
+    unread = rows.withColumn("boom", F.raise_error(F.lit("read")).cast("string"))
+    src = RelationalSource(kind=kind, databases="app", schemas="public", tables=r"public\.orders")
+    tables = [SnapshotTable(rows, "app", "orders", "public"), SnapshotTable(unread, "app", "secrets", "public"),
+              SnapshotTable(unread, "app", "orders", "audit"), SnapshotTable(unread, "other", "orders", "public")]
+    out = snapshot_job(tables, src, tgt).select("db", "table", "value").collect()
+    assert [(r.db, r.table) for r in out] == [("app", "orders")] and '"schema":"public","table":"orders"' in out[0].value
+    with pytest.raises(ValueError, match="app.orders"):
+        snapshot_job([SnapshotTable(rows, "app", "orders")], src, tgt)
+    assert snapshot_job([SnapshotTable(rows, "app", "orders")], RelationalSource(kind=kind, databases="app"), tgt).count() == 1
+
+
 def test_partitions_are_required():
     with pytest.raises(ValueError, match="partitions"):
         KafkaTarget(topic="t")

@@ -137,13 +137,68 @@ def test_positions(spark, stringify):
     assert [r.pos for r in parse_document(df, position_col="log_offset").collect()] == [1, 2]
 
 
-def test_numbers_that_are_no_integers_are_no_keys(spark):
-    env = '{"before":null,"after":{"id":%s},' + SRC + ',"op":"c"}'
-    cases = {"1.50": None, "1e3": None, "1.0": None, '"1.50"': "d.t.1.50", '"1e3"': "d.t.1e3", "-7": "d.t.-7", "123456789012345678901": "d.t.123456789012345678901"}
+def test_keys_keep_their_spelling(spark):
+    env = '{"before":null,"after":{"n":{"id":3},"id": %s },' + SRC + ',"op":"c"}'
+    digits = "12345678901234567890123456789012345678901234567890"
+    cases = {"1.50": "1.50", "1e3": "1e3", "1.0": "1.0", "1E400": "1E400", "-1e-400": "-1e-400", "-0": "-0", "0": "0", digits: digits, "-7": "-7",
+             '"1.50"': "1.50", '"1e3"': "1e3", '"Infinity"': "Infinity", '"a\\u00e9\\n\\""': 'aé\n"', '""': "", "[1.50]": "1.50", '[ "x" ]': "x", "true": "true"}
+    bad = {"[]": "key_not_scalar", "[null]": "key_not_scalar", "[[1]]": "key_not_scalar", "[1,2]": "key_not_scalar", '{"a":1}': "key_not_scalar", "null": "key_null"}
     for stringify in (False, True):
-        rows = parse_relational(spark.createDataFrame([(env % c,) for c in cases], "value string"), stringify=stringify).collect()
-        assert [r.partition_key for r in rows] == list(cases.values())
-        assert {r.reject_reason for r in rows if r.partition_key is None} == {"key_not_integer"}
-    doc = '{"ns":{"db":"m","coll":"c"},"documentKey":"{\\"_id\\":%s}"}'
-    rows = parse_document(spark.createDataFrame([(doc % c,) for c in ("1.0", "12", "1e2")], "value string")).collect()
-    assert [(r.partition_key, r.reject_reason) for r in rows] == [(None, "key_not_integer"), ("m.c.12", None), (None, "key_not_integer")]
+        df = spark.createDataFrame([(env % c,) for c in [*cases, *bad]], "value string")
+        rows = parse_relational(df, stringify=stringify).collect()
+        assert [r.partition_key for r in rows] == [f"d.t.{k}" for k in cases.values()] + [None] * len(bad)
+        assert [r.reject_reason for r in rows] == [None] * len(cases) + list(bad.values())
+
+
+def test_document_keys_keep_their_spelling(spark):
+    doc = '{"ns":{"db":"m","coll":"c"},"documentKey":%s}'
+    cases = {"1.0": "1.0", "12": "12", "1e2": "1e2", '{"$n": 1.50, "s": "a  b"}': '{"$n":1.50,"s":"a  b"}', "[1.0 , 2]": "[1.0,2]", "true": "true", '"a b"': '"a b"'}
+    df = spark.createDataFrame([(doc % json.dumps('{"x":{"_id":9},"_id": %s}' % c),) for c in cases], "value string")
+    assert [(r.partition_key, r.reject_reason) for r in parse_document(df).collect()] == [(f"m.c.{k}", None) for k in cases.values()]
+
+
+EXACT = [
+    # (what stands where the images are, before and after, each as it came)
+    ('{"before":%s,"after":%s,"source":{"db":"d","table":"t","pos":1},"op":"u"}', '{"id":1,"v":1.50}', '{"id":1,"v":1e3,"w":1E400,"z":[-0,{"y":{}}]}'),
+    ('{"x":1,"before":%s,"x":"two","after":%s,"source":{"db":"d","table":"t"},"op":"u","x":[1.0]}', '{"id":2}', '{"id":2,"id":2}'),
+    (' {\n"op" : "u" , "source" : { "db":"d", "table" : "t" } ,\t"before":%s , "n":12345678901234567890123456789012345678901234567890, "after" : %s } \n',
+     '{ "id" : 3 , "s":"a\\"b\\\\c\\u00e9\\/" }', '{\n"id":3,"q":"}{][\\",:"\t}'),
+    ('{"source":{"before":{"id":9},"db":"d","table":"t"},"before":%s,"after":%s,"op":"u","after ":{"id":1}}', '{"id":4,"after":{"a":1}}', '{"id":4,"u":"  \U0001F600"}'),
+]
+
+
+def quoted(text):
+    out = json.dumps(text, ensure_ascii=False).replace(" ", "\\u2028")
+    return out
+
+
+def test_stringified_events_keep_every_byte_but_the_images(spark):
+    df = spark.createDataFrame([(frame % (b, a),) for frame, b, a in EXACT], "value string")
+    rows = parse_relational(df, stringify=True).collect()
+    for (frame, before, after), r in zip(EXACT, rows):
+        assert r.reject_reason is None
+        assert r.value == frame % (quoted(before), quoted(after))
+        assert json.loads(json.loads(r.value)["after"]) == json.loads(after)
+
+
+def test_odd_images(spark):
+    """A repeated image: both are quoted, the last one has the key. Text behind the event, single quotes
+    and NaN are no JSON. Depth has a limit, past which an event is kept as a reject."""
+    env = '{"before":null,"after":%s,' + SRC + ',"op":"c"}'
+    deep = lambda n: '{"id":1,"x":' + "[" * n + "]" * n + "}"
+    cases = [(env % '{"id":1},"after":{"id":2.0}', "d.t.2.0", None), (env % '{"id":1}' + " x", None, "not_json"),
+             (env % "{'id':1}", None, "not_json"), (env % '{"id":1,"v":NaN}', None, "not_json"),
+             (env % deep(99), "d.t.1", None), (env % deep(101), None, "too_deep"), (env % '[1]', None, "not_json")]
+    rows = parse_relational(spark.createDataFrame([(v,) for v, _, _ in cases], "value string"), stringify=True).collect()
+    assert [(r.partition_key, r.reject_reason) for r in rows] == [(k, why) for _, k, why in cases]
+    assert json.loads(rows[0].value)["after"] == '{"id":2.0}' and rows[0].value.count('{\\"id\\"') == 2
+    assert json.loads(json.loads(rows[4].value)["after"]) == json.loads(deep(99))
+    assert all(r.value == v for r, (v, _, why) in zip(rows, cases) if why)
+
+
+def test_long_events(spark):
+    """Spans are found in time linear in the text, whatever it holds."""
+    image = json.dumps({"id": 1, "s": 'x\n"' * 100_000, "a": [{"b": [i]} for i in range(50_000)]})
+    v = '{"before":null,"after":%s,' % image + SRC + ',"op":"c"}'
+    r = parse_relational(spark.createDataFrame([(v,)], "value string"), stringify=True).first()
+    assert json.loads(r.value)["after"] == image

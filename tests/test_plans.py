@@ -39,10 +39,15 @@ def test_filtered_job_parses_each_event_once(spark):
 def test_excluded_events_are_dropped_before_key_and_text_work(spark):
     src = RelationalSource(kind="postgres", pk="id", stringify=True, databases="app", schemas="s_view", tables=r"s_view\.events")
     lines = _plan(relational_job(_split_feed(spark), src, TGT)).split("InMemoryTableScan")[0].split("\n")
-    row = {what: next(i for i, line in enumerate(lines) if what in line) for what in ("Filter", "AS __raw", "AS __types", "AS __m")}
+    row = {what: next(i for i, line in enumerate(lines) if what in line) for what in ("Filter", "AS __raw", "AS __f#", "AS __e")}
     # A plan is read from the bottom up.
-    assert row["AS __types"] < row["AS __raw"] < row["Filter"] < row["AS __m"]
-    assert sum("from_json(MapType(StringType,StringType" in line for line in lines) == 1
+    assert row["AS __f#"] < row["AS __raw"] < row["Filter"] < row["AS __e"]
+
+
+def test_rewritten_events_are_parsed_once(spark):
+    src = RelationalSource(kind="mysql", pk="id", stringify=True)
+    plan = _plan(relational_job(_split_feed(spark), src, TGT).filter("reject_reason IS NULL")).split("InMemoryTableScan")[0]
+    assert plan.count("from_json(") == 1 and "parse_json" not in plan
 
 
 def test_snapshot_records_parse_nothing(spark):
