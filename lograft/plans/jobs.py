@@ -137,10 +137,11 @@ def start_job(
     The startup mode (``startupMode``, or ``copyExisting`` for documents) is obeyed:
     ``initial`` and ``snapshot`` load ``snapshot`` first: tables (``SnapshotTable``, read
     in the source's ``timeZone``) or a DataFrame of read-event envelopes. For
-    ``initial`` and ``latest-offset``, ``feed_now`` is the same feed as a batch, from which
-    the hand-off position is taken; leave it out only for a message log that was
-    opened at the right offsets (``kafka_starting_offsets``). ``snapshot`` mode returns
-    None: the job is done when the load is. ``num_partitions`` spreads a feed that
+    ``initial`` and ``latest-offset``, a feed of files starts behind the files that it has
+    at the first start, none of which is read; a message log is opened at the right
+    offsets instead (``kafka_starting_offsets``). ``feed_now``, the same feed as a batch, asks
+    for a hand-off by position: the feed is read for its highest one, and later
+    files too start after it. ``snapshot`` mode returns None: the job is done when the load is. ``num_partitions`` spreads a feed that
     one reader delivers.
     """
     from lograft.sinks.select import make_sink
@@ -154,8 +155,6 @@ def start_job(
     else:
         def job(events: DataFrame) -> DataFrame:
             return relational_job(events, source, target, num_partitions=num_partitions)
-    if feed_now is None and source.startup_mode in ("initial", "latest-offset") and "log_offset" not in feed.columns:
-        raise ValueError(f"startup mode {source.startup_mode!r} needs feed_now, the same feed as a batch")
     if output_path is not None:
         emit = ordered_file_writer(output_path, reject_path, fmt)
     else:
@@ -166,4 +165,5 @@ def start_job(
     if snapshot is not None and source.startup_mode in ("initial", "snapshot"):
         loaded = job(snapshot) if isinstance(snapshot, DataFrame) else snapshot_job(snapshot, source, target)
     hand_off = None if feed_now is None else lambda: highest_routed(job, feed_now, position_col=source.position_col)
-    return start_after(spark, source.startup_mode, emit, job, feed, f"lograft-{kind}", checkpoint_location, loaded, hand_off, **trigger)
+    return start_after(spark, source.startup_mode, emit, job, feed, f"lograft-{kind}", checkpoint_location, loaded, hand_off,
+                       at_end=feed_now is None and "log_offset" not in feed.columns, **trigger)

@@ -13,8 +13,9 @@ import functools
 import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lograft.config import DocumentSource, KafkaTarget, RelationalSource
 from lograft.operators.diff import snapshot_diff
@@ -31,6 +32,8 @@ from lograft.sources.startup import MODES, highest_position, startup
 from lograft.sources.tables import (
     ORDERS_DB,
     ORDERS_TABLE,
+    RACE_BASE,
+    RACE_SPAN,
     TAIL_POSITION_BASE,
     conversation_change_feed,
     events_change_feed,
@@ -38,10 +41,20 @@ from lograft.sources.tables import (
     events_feed_spelled,
     events_feed_with_more_fields,
     events_schema_feed,
+    orders_as_of,
     orders_change_log,
+    orders_race_log,
     orders_snapshots,
 )
-from lograft.streaming.job import configured_checkpoint_dir, ensure_checkpoint_dir, start_file_job, start_initial_job
+from lograft.sources.splits import split_of, split_points, split_predicates
+from lograft.streaming.job import (
+    configured_checkpoint_dir,
+    ensure_checkpoint_dir,
+    ordered_file_writer,
+    start_chunked_job,
+    start_file_job,
+    start_initial_job,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -389,7 +402,7 @@ def job_startup_modes(spark, sf_dir):
         for seen in ("{history}", "{history,tail}"):  # a glob: what is there at the start, and after
             q = start_job(spark, "mysql", groups, read_feed(spark, f"{run}/log/{seen}", streaming=True), f"{out}/checkpoint",
                           f"{out}/rejects", f"{out}/out", [SnapshotTable(orders, ORDERS_DB, ORDERS_TABLE)],
-                          read_feed(spark, f"{run}/log/{seen}"), fmt="parquet", available_now=True)
+                          fmt="parquet", available_now=True)
             if q is not None:
                 q.awaitTermination()
         return spark.read.parquet(f"{out}/out").select(
@@ -399,6 +412,76 @@ def job_startup_modes(spark, sf_dir):
     return functools.reduce(DataFrame.unionByName, map(events, MODES))
 
 
+LOAD_RANGES, LOAD_WAVES = 8, 4
+
+
+def chunked_initial(spark, sf_dir):
+    """A load of orders that are created, updated and deleted while it runs, in four waves,
+    merged with their log; then the stream, stopped and started again. Each key is loaded
+    once, as it was at its wave's end, and each event behind that comes once."""
+    run = _folder(spark, "chunked_initial")
+    orders = _t(spark, sf_dir, "orders")
+    log = orders_race_log(orders)
+    early = F.col("pos") <= RACE_BASE + RACE_SPAN
+    ends = orders.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
+    points = [(ends.low + (ends.high - ends.low) * i // LOAD_RANGES,) for i in range(1, LOAD_RANGES)]
+    clock = {"now": RACE_BASE}  # the database's log end; it moves while a wave is read
+
+    def read(conditions: list[str]) -> DataFrame:
+        clock["now"] += RACE_SPAN // LOAD_WAVES // 2
+        rows = orders_as_of(orders, clock["now"]).where(" OR ".join(f"({c})" for c in conditions))
+        clock["now"] += RACE_SPAN // LOAD_WAVES // 2
+        return rows
+
+    source = RelationalSource(kind="mysql", pk="o_orderkey", databases=ORDERS_DB)
+    for part, some in (("early", early), ("late", ~early)):
+        write_feed(log.filter(some), f"{run}/feed/part={part}")
+        q = start_chunked_job(
+            spark, ordered_file_writer(f"{run}/out", f"{run}/rejects", "parquet"), lambda e: relational_job(e, source, FIXED),
+            lambda rows: snapshot_records(rows, ORDERS_DB, ORDERS_TABLE, "o_orderkey"), read, ORDERS_DB, ORDERS_TABLE, "o_orderkey", T.LongType(),
+            points, LOAD_WAVES, lambda: clock["now"], lambda low, high: read_feed(spark, f"{run}/feed/*"), read_feed(spark, f"{run}/feed/*", streaming=True),
+            f"chunked_initial_{part}_{uuid.uuid4().hex[:8]}", f"{run}/checkpoint", route_load=lambda r: route(r, FIXED), at_end=False, quote="`",
+            available_now=True)
+        q.awaitTermination()
+    status = F.coalesce(F.get_json_object("value", "$.after.o_orderstatus"), F.get_json_object("value", "$.before.o_orderstatus"))
+    return spark.read.parquet(f"{run}/out").select("op", "pos", "partition_key", status.alias("status"))
+
+
+SPLITS = 16
+
+
+def split_ranges(spark, sf_dir):
+    """Sixteen ranges of lineitem by keys of several kinds, all skewed and some NULL: rows, rows
+    in exactly one range, and whether the largest range has at most twice the median's rows."""
+    li = _t(spark, sf_dir, "lineitem")
+    last = F.col("l_linenumber") == 7
+    square = F.col("l_orderkey") * F.col("l_orderkey")
+    name = F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit("'"), F.col("l_orderkey").cast("string"))
+    kinds = {
+        "integer": [F.when(~last, square)],
+        "text": [F.when(~last, name)],
+        "decimal": [F.when(~last, (square * F.lit(1.25).cast("decimal(3,2)")).cast("decimal(30,2)"))],
+        "date": [F.when(~last, F.date_add(F.lit("1970-01-01").cast("date"), F.sqrt("l_orderkey").cast("int")))],
+        "composite": [F.when(~last, F.col("l_returnflag")), F.col("l_orderkey"), F.col("l_linenumber")],
+    }
+
+    def report(kind: str, key: list) -> DataFrame:
+        names = [f"k{i}" for i in range(len(key))]
+        keys = li.select(*(c.alias(n) for c, n in zip(key, names)))
+        points = split_points(keys, names, SPLITS)
+        inside = [F.expr(f"coalesce({p}, false)").cast("int") for p in split_predicates(names, points, quote="`")]
+        number = F.coalesce(split_of([F.col(n) for n in names], [f.dataType for f in keys.schema], points), F.lit(len(points) + 1))
+        rows = keys.select(number.alias("split"), functools.reduce(Column.__add__, inside).alias("ranges"),
+                           F.get(F.array(*inside), number).alias("same"))
+        per = rows.groupBy("split").agg(F.count("*").alias("n"), F.sum(((F.col("ranges") == 1) & (F.col("same") == 1)).cast("long")).alias("once"))
+        known = F.when(F.col("split") <= len(points), F.col("n"))
+        return per.agg(F.lit(kind).alias("kind"), F.sum("n").alias("n_rows"), F.sum("once").alias("n_once"),
+                       F.sum(F.when(F.col("split") > len(points), F.col("n"))).alias("n_null"), F.count(known).alias("n_ranges"),
+                       (F.max(known) <= F.median(known) * 2).alias("balanced"))
+
+    return functools.reduce(DataFrame.unionByName, (report(kind, key) for kind, key in kinds.items()))
+
+
 def ordered_per_key(spark, sf_dir):
     routed = _events_routed(spark, sf_dir)
     return ordering_report(order_by_key(routed, 8))
@@ -442,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "ordered_files": ordered_files,
     "event_accounting": event_accounting,
     "job_startup_modes": job_startup_modes,
+    "chunked_initial": chunked_initial,
+    "split_ranges": split_ranges,
     "ordered_per_key": ordered_per_key,
     "ordered_hot_key": ordered_hot_key,
 }
@@ -579,6 +664,22 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT 'earliest-offset', * FROM (FROM h UNION ALL FROM t) UNION ALL SELECT 'latest-offset', * FROM t "
         "UNION ALL SELECT 'snapshot', * FROM s) "
         "SELECT mode, op, pos, 'tpch.orders.' || CAST(k AS VARCHAR) AS partition_key, snapshot_date_us FROM m"),
+    "chunked_initial": (
+        f"WITH o AS (SELECT *, {RACE_BASE} + o_orderkey * 7919 % {RACE_SPAN} AS spot, (SELECT min(o_orderkey) FROM orders) AS low, "
+        "(SELECT max(o_orderkey) FROM orders) AS top FROM orders), "
+        f"p AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN spot ELSE o_orderkey END AS c, CASE WHEN o_orderkey % 3 = 0 THEN spot + {RACE_SPAN // 8} END AS u, "
+        f"CASE WHEN o_orderkey % 5 = 0 THEN spot + {RACE_SPAN // 4} END AS d, "
+        + " + ".join(f"(o_orderkey >= low + (top - low) * {i} // {LOAD_RANGES})::INT" for i in range(1, LOAD_RANGES)) + " AS split FROM o), "
+        f"w AS (SELECT *, {RACE_BASE} + (split // {LOAD_RANGES // LOAD_WAVES} + 1) * {RACE_SPAN // LOAD_WAVES} AS high, "
+        "'tpch.orders.' || CAST(o_orderkey AS VARCHAR) AS partition_key FROM p) "
+        "SELECT 'r' AS op, high AS pos, partition_key, CASE WHEN u <= high THEN 'X' ELSE o_orderstatus END AS status FROM w "
+        "WHERE c <= high AND (d IS NULL OR d > high) "
+        "UNION ALL SELECT 'c', c, partition_key, o_orderstatus FROM w WHERE c > high UNION ALL SELECT 'u', u, partition_key, 'X' FROM w WHERE u > high "
+        "UNION ALL SELECT 'd', d, partition_key, CASE WHEN u IS NULL THEN o_orderstatus ELSE 'X' END FROM w WHERE d > high"),
+    "split_ranges": (
+        "SELECT kind, count(*) AS n_rows, count(*) AS n_once, count(*) FILTER (l_linenumber = 7) AS n_null, "
+        f"CAST({SPLITS} AS BIGINT) AS n_ranges, true AS balanced "
+        "FROM lineitem, (SELECT unnest(['integer', 'text', 'decimal', 'date', 'composite']) AS kind) GROUP BY kind"),
     "stringified_images": (
         f"SELECT event_id AS pos, {_EV_OP} AS op, "
         "CASE WHEN event_id % 10 <> 0 THEN CAST(value AS DECIMAL(12,2)) END AS after_value, "

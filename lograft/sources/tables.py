@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from lograft.functions.jsonfn import json_quote
 from lograft.operators.diff import snapshot_diff
 from lograft.operators.spread import rebalance
-from lograft.sources.snapshot import epoch_micros, snapshot_events
+from lograft.sources.snapshot import epoch_micros, image_columns, snapshot_events
 
 # Fixed values of the derived feeds.
 EVENTS_DB_PREFIX = "App_DB_"
@@ -183,3 +183,45 @@ def orders_change_log(orders: DataFrame, spread_history: int | None = None) -> t
     tail = snapshot_diff(old, new, "o_orderkey", ORDERS_DB, ORDERS_TABLE,
                          position=F.col("__k") + F.lit(TAIL_POSITION_BASE))
     return history, tail.select("value", "op", "pos")
+
+
+# Fixed values of the table that changes while it is loaded.
+RACE_BASE = 10**12
+RACE_SPAN = 400_000
+
+
+def racing_orders(orders: DataFrame) -> DataFrame:
+    """``orders`` with the log positions of their events: ``c_pos`` (during the load where
+    ``o_orderkey % 7 = 0``, else long before), ``u_pos`` (``% 3``, sets status X), ``d_pos`` (``% 5``)."""
+    k = F.col("o_orderkey")
+    at = F.lit(RACE_BASE) + k * 7919 % RACE_SPAN
+    return orders.withColumns({"c_pos": F.when(k % 7 == 0, at).otherwise(k), "u_pos": F.when(k % 3 == 0, at + RACE_SPAN // 8),
+                               "d_pos": F.when(k % 5 == 0, at + RACE_SPAN // 4)})
+
+
+_POSITIONS = ("c_pos", "u_pos", "d_pos")
+
+
+def orders_as_of(orders: DataFrame, position: int) -> DataFrame:
+    """The table of ``racing_orders`` as it was at a log position."""
+    there = (F.col("c_pos") <= position) & ~F.coalesce(F.col("d_pos") <= position, F.lit(False))
+    status = F.when(F.col("u_pos") <= position, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    return racing_orders(orders).filter(there).withColumn("o_orderstatus", status).drop(*_POSITIONS)
+
+
+def orders_race_log(orders: DataFrame) -> DataFrame:
+    """The log of ``racing_orders``: (value, pos)."""
+    rows = racing_orders(orders)
+    fields = image_columns(orders)
+    old = F.struct(*fields)
+    new = F.struct(*(F.lit("X").alias("o_orderstatus") if c == "o_orderstatus" else f for c, f in zip(orders.columns, fields)))
+    none = F.lit(None).cast(rows.select(old.alias("r")).schema["r"].dataType)
+
+    def events(op: str, before: Column, after: Column) -> DataFrame:
+        pos = F.col(f"{op}_pos")
+        source = F.struct(F.lit(ORDERS_DB).alias("db"), F.lit(ORDERS_TABLE).alias("table"), pos.alias("pos"))
+        value = F.to_json(F.struct(before.alias("before"), after.alias("after"), source.alias("source"), F.lit(op).alias("op")), {"ignoreNullFields": "false"})
+        return rows.filter(pos.isNotNull()).select(value.alias("value"), pos.alias("pos"))
+
+    last = F.when(F.col("u_pos").isNotNull(), new).otherwise(old)
+    return events("c", none, old).unionByName(events("u", old, new)).unionByName(events("d", last, none))

@@ -6,7 +6,9 @@ from lograft.streaming.job import (
     highest_routed,
     ordered_file_writer,
     sink_writer,
+    skip_to_end,
     start_after,
+    start_chunked_job,
     start_file_job,
     start_initial_job,
     start_sink_job,
@@ -21,5 +23,7 @@ __all__ = [
     "ordered_file_writer",
     "sink_writer",
     "start_after",
+    "start_chunked_job",
+    "skip_to_end",
     "highest_routed",
 ]

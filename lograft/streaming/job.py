@@ -6,16 +6,20 @@ and exactly-once file output are handled per micro-batch in ``foreachBatch``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lograft.operators.envelope import split_rejects
 from lograft.operators.order import order_by_key
 from lograft.sinks.files import require_reject_path, write_batch_files
+from lograft.sources.chunked import after_waves, merge_waves, read_in_waves, read_waves
+from lograft.sources.splits import Point
 from lograft.sources.startup import MODES, after_position
 
 SNAPSHOT_BATCH = "snapshot"
@@ -156,6 +160,23 @@ def _marker(spark: SparkSession, path: str) -> tuple[bool, int | None]:
     return row is not None, row.hand_off if row is not None else None
 
 
+def _mark(spark: SparkSession, path: str, at: int | None) -> None:
+    row = spark.range(1).select(F.lit(at).cast("bigint").alias("hand_off"))
+    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def skip_to_end(feed_stream: DataFrame, checkpoint_location: str) -> None:
+    """Commit all that a feed holds now to a stream's checkpoint, without reading it: a
+    stream that starts from there begins behind it.
+
+    The source lists its files (or asks for its end offsets) and writes them to its offset
+    log; the batches themselves are never run, so no file is opened and no event parsed.
+    """
+    q = (feed_stream.writeStream.option("checkpointLocation", checkpoint_location).trigger(availableNow=True)
+         .foreachBatch(lambda batch, batch_id: None).start())
+    q.awaitTermination()
+
+
 def start_after(
     spark: SparkSession,
     mode: str,
@@ -167,6 +188,7 @@ def start_after(
     snapshot: DataFrame | None = None,
     hand_off: Callable[[], int | None] | None = None,
     position: str = "pos",
+    at_end: bool = False,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery | None:
@@ -178,8 +200,11 @@ def start_after(
     ``initial``          notes ``hand_off()`` *before* the snapshot scan, writes the
                          snapshot, then streams what comes after the hand-off
 
-    ``hand_off=None`` says that the feed begins at the right place itself (a message log
-    opened at offsets recorded before the scan). Events that race the scan arrive twice,
+    ``at_end`` takes the feed's own offsets instead of a position: what the feed holds at the
+    first start is passed over in the stream's checkpoint (``skip_to_end``), before the
+    snapshot is read and without reading an event. ``hand_off=None`` without it says
+    that the feed begins at the right place itself (a message log opened at offsets
+    recorded before the scan). Events that race the scan arrive twice,
     never not at all; so do events without a position (``after_position``). The start
     is recorded next to the stream checkpoint: a restarted job resumes the stream
     and neither writes the snapshot again nor moves the hand-off.
@@ -196,10 +221,11 @@ def start_after(
         known, at = _marker(spark, marker)
         if not known:
             at = hand_off() if hand_off is not None and mode != "snapshot" else None
+            if at_end and mode != "snapshot":
+                skip_to_end(feed_stream, checkpoint_location)
             if mode != "latest-offset":
                 emit(snapshot, SNAPSHOT_BATCH)
-            row = spark.range(1).select(F.lit(at).cast("bigint").alias("hand_off"))
-            row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(marker)
+            _mark(spark, marker, at)
         if mode == "snapshot":
             return None
         if hand_off is not None:
@@ -235,3 +261,54 @@ def start_initial_job(
     emit = ordered_file_writer(output_path, reject_path, fmt, num_partitions)
     return start_after(spark, "initial", emit, job, feed_stream, name, checkpoint_location, job(snapshot),
                        lambda: highest_routed(job, feed_now, position), position, **trigger)
+
+
+def start_chunked_job(
+    spark: SparkSession,
+    emit: Emit,
+    job: Callable[[DataFrame], DataFrame],
+    records: Callable[[DataFrame], DataFrame],
+    read: Callable[[list[str]], DataFrame],
+    db: str,
+    table: str,
+    key: str,
+    kind: T.DataType,
+    points: Sequence[Point],
+    waves: int,
+    position_now: Callable[[], int],
+    feed_between: Callable[[int, int], DataFrame],
+    feed_stream: DataFrame,
+    name: str,
+    checkpoint_location: str,
+    route_load: Callable[[DataFrame], DataFrame] = lambda records: records,
+    at_end: bool = True,
+    quote: str = '"',
+    **trigger,
+) -> StreamingQuery:
+    """Startup mode ``initial`` for a table that changes while it is loaded: the load gives
+    each key once, and the stream goes on behind it with no event twice (``sources.chunked``).
+
+    ``read`` and ``position_now`` as in ``read_in_waves``; ``records`` makes routed records of
+    the rows read (``snapshot_records``) and ``route_load`` routes the load (``route``);
+    ``feed_between(low, high)`` is the feed as a batch, with at least the events after
+    ``low`` up to ``high``. ``at_end`` passes over, unread, what
+    the feed stream holds before the first wave (``skip_to_end``): it is in the rows read.
+    Waves, load and hand-off are recorded next to the checkpoint: a restart repeats none that
+    is done, and then resumes the stream.
+    """
+    if not checkpoint_location:
+        raise ValueError("checkpoint_location is required")
+    base = f"{checkpoint_location.rstrip('/')}_load"
+    begun, _ = _marker(spark, f"{base}/begun")
+    if not begun:
+        if at_end:
+            skip_to_end(feed_stream, checkpoint_location)
+        _mark(spark, f"{base}/begun", None)
+    done = read_in_waves(spark, read, key, points, waves, position_now, f"{base}/waves", quote)
+    loaded, _ = _marker(spark, f"{base}/done")
+    if not loaded:
+        rows = read_waves(spark, f"{base}/waves", done, records)
+        events = job(feed_between(done[0].low, done[-1].high))
+        emit(route_load(merge_waves(rows, events, db, table, kind, points, done)), SNAPSHOT_BATCH)
+        _mark(spark, f"{base}/done", done[-1].high)
+    return _start(after_waves(job(feed_stream), db, table, kind, points, done), name, emit, checkpoint_location, **trigger)
