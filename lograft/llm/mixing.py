@@ -7,9 +7,13 @@ emitted once for each integer crossed. The line goes by size class, so
 every stretch of it, and thus the sample, has documents of all sizes in proportion.
 
 The running sum needs no global sort: documents are dealt to cells of a source
-(size class and a random salt), the cells of a source are counted and summed up,
-and a document adds its place within its cell. A cell of a hot source or of
-thousands of equal texts holds a small part of them.
+(size class and a salt), the cells of a source are counted and summed up, and a
+document adds its place within its cell. A document's salt and place follow from a hash
+of its id, text and whatever else is kept of it, so they are the same in every run and
+partitioning. Rows equal in all of that are counted before they are placed, and take
+places side by side: one cell row stands for any number of them. A cell of a hot source
+or of thousands of equal texts holds a small part of them. Decisions are made on narrow
+rows; what is kept joins them at the end, by the hash.
 """
 
 from __future__ import annotations
@@ -19,10 +23,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import settle
+from .scratch import settle, sieve_cells, sieve_test
 
 #: Cells of one size class.
 SALTS = 256
+#: Equal rows that are told apart in one row of the plan, at most.
+RUN = 1024
 #: Expected copies and offsets are whole multiples of 1 / GRID: sums are exact at any length.
 GRID = 1 << 24
 
@@ -63,44 +69,72 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
 
     A document's size is its number of words (null: 0). Returns a row per row of
     ``docs``: doc_id, source, size, source_size, target, copies, and the columns
-    ``keep`` names (those whose names are taken are left out). Copies are 0, 1 or 2 at most for the default ``most``: never more than
-    that times the document. The same rows and seed give the same result. Sources
-    of size 0 take nothing. A null source is a source. Null ids and repeated
-    rows are documents of their own; among rows equal in all that the line goes
-    by, which one is taken is open. No rows give no rows.
+    ``keep`` names (those whose names are taken are left out). Copies are 0, 1 or 2 at most for the
+    default ``most``: never more than that times the document. The same rows and seed give the same result in any
+    partitioning. Sources of size 0 take nothing. A null source is a source. Null ids
+    and repeated rows are documents of their own; rows equal in id, source, text and
+    everything kept cannot be told apart, and some of them are taken. No rows give no rows.
     """
-    name = F.col(source_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), name.alias("source"),
-                       word_count(F.col(text_col).cast("string")).alias("size"), *(F.col(f"`{k}`").alias(f"_keep_{k}") for k in keep))
+    taken = ("source", "size", "source_size", "target", "copies")
+    kept = {f"_keep_{k}": k for k in keep if k not in taken}
+    name, text = F.col(source_col).cast("string"), F.col(text_col).cast("string")
+    none = F.lit("null")
+    draw = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col(id_col).cast("long").cast("string"), none), F.coalesce(F.md5(F.encode(text, "UTF-8")), none)))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), name.alias("source"), word_count(text).alias("size"), draw.alias("_draw"),
+                       *(F.col(f"`{k}`").alias(c) for c, k in kept.items()))
     # Null and other names as one key that joins.
     rows = rows.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
-    # Sizes are counted once where nothing else is kept; texts that are kept are read again, not stored.
-    sizes = settle(rows.select("doc_id", "source", "size", "_key"))
-    return _mix(rows if keep else sizes, sizes, targets(sizes, weights, share, most), seed, keep)
-
-
-def _mix(rows: DataFrame, sizes: DataFrame, goals: DataFrame, seed: str, keep: Sequence[str]) -> DataFrame:
+    rows = rows.withColumn("_rest", F.xxhash64(*kept) if kept else F.lit(0).cast("long"))
+    same = ["_key", "_draw", "_rest", "source", "size", "doc_id"]
+    # Sizes are counted once; texts that are kept are read again, not stored.
+    alike = settle(rows.groupBy(*same).agg(F.count("*").alias("n")))
+    plan = _planned(alike, targets(alike.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most), seed)
+    out = ["doc_id", "source", "size", "source_size", "target"]
+    if not kept:
+        return _told_apart(plan).select(*out, "copies")
+    plan = settle(plan)
+    by = ["_key", "_draw", "_rest"]
+    held = rows.select(*by, *kept)
+    several = plan.filter("n > 1")
+    alone = _with_copies(plan.filter("n = 1"), F.lit(0)).join(held, by)
+    once = sieve_test(held, sieve_cells(several, *by), *by).filter("in_sieve").dropDuplicates(by).drop("in_sieve")
+    cols = [*out, "copies", *(F.col(c).alias(k) for c, k in kept.items())]
+    return alone.select(*cols).unionByName(_told_apart(several.join(once, by)).select(*cols))
+
+
+def _planned(alike: DataFrame, goals: DataFrame, seed: str) -> DataFrame:
+    """``alike`` with source_size, target, rate, and ``at``: where the line is before its first row."""
     # The length of the size in bits and its six leading bits: 32 classes for each power of two.
     digits = F.length(F.conv(F.col("size").cast("string"), 10, 2))
     coarse = F.call_function("shiftright", F.col("size"), F.greatest(digits - 6, F.lit(0)))
-    draw = F.md5(F.concat_ws("/", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    def placed(df: DataFrame) -> DataFrame:
-        return (df.withColumn("_class", digits * 64 + coarse).withColumn("_draw", draw)
-                .withColumn("_salt", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int") % SALTS))
-
-    rows = placed(rows)
+    placed = (alike.withColumn("_class", digits * 64 + coarse)
+              .withColumn("_salt", F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int") % SALTS))
     cell = ["_key", "_class", "_salt"]
-    counts = placed(sizes).groupBy(*cell).agg(F.count("*").alias("n"))
+    counts = placed.groupBy(*cell).agg(F.sum("n").alias("m"))
     line = Window.partitionBy("_key").orderBy("_class", "_salt")  # rows: the cells of a source
-    counts = counts.withColumn("before", F.sum("n").over(line) - F.col("n")).drop("n")
+    counts = counts.withColumn("before", F.sum("m").over(line) - F.col("m")).drop("m")
     rate = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") * GRID + 0.5)).otherwise(0).cast("long")
     offset = F.md5(F.concat_ws("/", F.lit(seed), F.lit("offset"), F.coalesce(F.col("source"), F.lit(""))))
     goals = (goals.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
              .withColumn("rate", rate).withColumn("start", F.conv(F.substring(offset, 1, 6), 16, 10).cast("long")).drop("source"))
-    plan = counts.join(goals, "_key")
-    place = F.row_number().over(Window.partitionBy(*cell).orderBy("size", "_draw")).cast("long")
-    at = F.col("start") + F.col("rate") * (F.col("before") + F.col("place"))
-    crossed = F.call_function("shiftright", at, F.lit(24)) - F.call_function("shiftright", at - F.col("rate"), F.lit(24))
-    return (rows.withColumn("place", place).join(plan, cell)
-            .select("doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"),
-                    *(F.col(f"`_keep_{k}`").alias(k) for k in keep if k not in ("source", "size", "source_size", "target", "copies"))))
+    inside = F.sum("n").over(Window.partitionBy(*cell).orderBy("size", "_draw", "_rest")) - F.col("n")
+    return (placed.withColumn("_inside", inside).join(counts.join(goals, "_key"), cell)
+            .withColumn("at", F.col("start") + F.col("rate") * (F.col("before") + F.col("_inside")))
+            .select("_key", "_draw", "_rest", "doc_id", "source", "size", "n", "source_size", "target", "rate", "at"))
+
+
+def _with_copies(plan: DataFrame, nth) -> DataFrame:
+    """``plan`` with the copies of the ``nth`` (from 0) of each row's equal documents."""
+    at = F.col("at") + F.col("rate") * nth
+    copies = F.call_function("shiftright", at + F.col("rate"), F.lit(24)) - F.call_function("shiftright", at, F.lit(24))
+    return plan.withColumn("copies", copies.cast("long"))
+
+
+def _told_apart(plan: DataFrame) -> DataFrame:
+    """A row per document, with its copies. Many equal rows are told apart in runs, which
+    are dealt over tasks."""
+    runs = F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(RUN).cast("long"))
+    many = plan.filter(F.col("n") > RUN).withColumn("_i", F.explode(runs)).repartition(F.xxhash64("_key", "_draw", "_rest", "_i"))
+    each = many.unionByName(plan.filter(F.col("n") <= RUN).withColumn("_i", F.lit(0).cast("long")))
+    last = F.least(F.col("n"), F.col("_i") + RUN) - 1
+    return _with_copies(each.withColumn("_i", F.explode(F.sequence("_i", last))), F.col("_i"))

@@ -139,7 +139,8 @@ FROM d JOIN g USING (t)
 
 _OP3_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix/' || coalesce(doc_id::VARCHAR, 'null') || '/' || coalesce(md5(text), 'null')) AS draw FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight,
              source_size * 2.0::DOUBLE AS cap FROM s),
@@ -151,7 +152,7 @@ v AS (SELECT arg_min(rest / rest_weight, cap / weight) AS level FROM l WHERE cap
 t AS (SELECT source, source_size, least(cap, coalesce(level * weight, cap)) AS target FROM l, v),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size * 16777216 + 0.5)::BIGINT ELSE 0 END AS rate,
              ('0x' || substr(md5('mix/offset/' || coalesce(source, '')), 1, 6))::BIGINT AS start FROM t),
-c AS (SELECT *, length(bin(size)) AS digits, md5('mix/' || coalesce(doc_id::VARCHAR, 'null')) AS draw FROM d),
+c AS (SELECT *, length(bin(size)) AS digits FROM d),
 e AS (SELECT *, digits * 64 + (size >> greatest(digits - 6, 0)::INT) AS class, ('0x' || substr(draw, 1, 4))::BIGINT % 256 AS salt FROM c),
 p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY class, salt, size, draw) AS place FROM e)
 SELECT doc_id, size, source_size, target,

@@ -121,6 +121,34 @@ def test_mix(docs):
     assert mix_sources(df.limit(0)).collect() == []
 
 
+def test_the_mix_is_the_same_in_any_partitioning_without_ids(spark):
+    """Half of the rows without an id, many of them equal: the same sample of texts each time,
+    and cells that all of them share out."""
+    rng = random.Random(3)
+    rows = [(None, f"text {i} " * rng.randint(1, 6), "s", i % 3) for i in range(2000)] + [(None, "the same", "s", 1)] * 1500
+    rows += [(i, f"text {i} " * rng.randint(1, 6), "s", 0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    keep = ["text", "source", "n_chars"]
+
+    def sample(parts):
+        return Counter(map(tuple, mix_sources(df.repartition(parts), share=1.3, keep=keep).select("doc_id", "text", "n_chars", "copies").collect()))
+
+    got = sample(4)
+    assert got == sample(7) and sum(got.values()) == len(rows)
+    assert Counter({(d, t, n): 0 for d, t, _, n in rows}).keys() == {(d, t, n) for d, t, n, _ in got}
+    same = Counter({c: n for (_, t, _, c), n in got.items() if t == "the same"})
+    assert sum(same.values()) == 1500 and set(same) == {1, 2} and abs(same[2] - 450) <= 1
+    narrow = mix_sources(df, share=1.3).groupBy("doc_id", "size").sum("copies").collect()
+    assert sum(r["sum(copies)"] for r in narrow) == sum(c * n for (*_, c), n in got.items())
+
+
+def test_equal_rows_are_told_apart_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 16)
+    df = spark.createDataFrame([(1, "a b", "s")] * 1000, "doc_id long, text string, source string")
+    got = Counter(r.copies for r in mix_sources(df, share=1.25, keep=["text"]).collect())
+    assert got == {1: 750, 2: 250}
+
+
 def test_a_document_is_taken_once_per_integer_crossed(docs, monkeypatch):
     """One source, so the rate is share * size / size: every document as often as its step crosses integers."""
     monkeypatch.setattr(mixing, "SALTS", 4)
