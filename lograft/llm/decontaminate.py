@@ -32,8 +32,6 @@ MASKS = ("11101011", "1101001011", "11011000111")
 LEAST_WORDS, LEAST_SHARE = 13, 0.8
 #: Items of so many words at most are also searched for as a whole; of so many at least, one word changed leaves the share.
 SHORT, SPARE = 12, 5
-#: Words kept on either side of hits.
-CONTEXT = 64
 _U = np.uint64
 
 
@@ -84,9 +82,10 @@ def _item_words(batches):
             [batch.column("item_id"), pa.array([w.tobytes() for w in word_hashes(batch.column("text"), "alnum")], pa.binary())], ["item_id", "item"])
 
 
-def _regions(batches, cells, lengths):
-    """Stretches of words around windows that may hit: their words, and the hits.
-    ``lengths`` are those of items that are searched for as a whole."""
+def _regions(batches, cells, lengths, longest):
+    """Stretches of words around windows that may hit, by ``longest`` words (of any item) on
+    either side: their words, and the hits. ``lengths`` are those of items that are
+    searched for as a whole."""
     bits = cells.value
     for batch in batches:
         rows: list = []
@@ -103,9 +102,9 @@ def _regions(batches, cells, lengths):
             at, end, seed = np.concatenate(at), np.concatenate(end), np.concatenate(seed)
             order = np.argsort(at, kind="stable")
             at, end, seed = at[order], end[order], seed[order]
-            cut = np.flatnonzero(at[1:] - np.maximum.accumulate(end)[:-1] > 2 * CONTEXT) + 1
+            cut = np.flatnonzero(at[1:] - np.maximum.accumulate(end)[:-1] > 2 * longest) + 1
             for a, b in zip([0, *cut], [*cut, len(at)]):
-                low, high = max(0, int(at[a]) - CONTEXT), min(len(words), int(end[a:b].max()) + CONTEXT)
+                low, high = max(0, int(at[a]) - longest), min(len(words), int(end[a:b].max()) + longest)
                 rows.append((i, low, words[low:high].tobytes(), at[a:b] - low, seed[a:b].view(np.int64)))
         if rows:
             cols = list(zip(*rows))
@@ -159,8 +158,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_W
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z as a-z. A
     passage counts from ``least_words`` words in a row (or all of a shorter item) of
-    which ``least_share`` agree in place. Items shorter than the shortest mask (8
-    words) are too common to be leaks and are not searched for.
+    which ``least_share`` agree in place. Items of up to 12 words are also searched for as a
+    whole, from 5 words on with any one word changed; an item of one word is found
+    wherever the word stands, so callers may want only pairs of so many ``n_words``.
+    Longer overlaps are found if a seed hits them: those of 13 or more words with few
+    substitutions have one, some with every third or fourth word changed have none.
 
     Returns a row per pair of document and item, with the largest overlap: doc_id,
     item_id, n_agree, n_words (of the overlap), doc_word and item_word (where it
@@ -174,14 +176,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_W
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     seeds = settle(items.mapInArrow(_item_seeds, "item_id long, at long, seed long, whole int"))
     lengths = sorted(r.whole for r in seeds.filter("whole > 0").select("whole").distinct().collect())  # at most SHORT
+    words = settle(items.mapInArrow(_item_words, "item_id long, item binary"))
+    longest = (words.agg(F.max(F.length("item"))).first()[0] or 0) // 8
     cells = spark.sparkContext.broadcast(_sieve_bits(seeds))
     regions = settle(rows.filter("text is not null")
-                     .mapInArrow(partial(_regions, cells=cells, lengths=lengths), "doc_id long, low long, words binary, ats array<long>, seeds array<long>")
+                     .mapInArrow(partial(_regions, cells=cells, lengths=lengths, longest=longest), "doc_id long, low long, words binary, ats array<long>, seeds array<long>")
                      .withColumn("region", F.xxhash64("doc_id", "low", "words")))
     hits = (regions.select("region", F.explode(F.arrays_zip("ats", "seeds")).alias("h"))
             .select("region", F.col("h.ats").alias("here"), F.col("h.seeds").alias("seed")))
     laid = (hits.join(seeds, "seed").select("region", "item_id", (F.col("here") - F.col("at")).alias("shift")).distinct())
-    words = items.mapInArrow(_item_words, "item_id long, item binary")
     pairs = (laid.join(regions.select("region", "doc_id", "low", "words").dropDuplicates(["region"]), "region")
              .join(words.withColumnRenamed("item_id", "_item"), F.col("item_id").eqNullSafe(F.col("_item")))
              .select("doc_id", "low", "words", "item_id", "item", "shift"))

@@ -44,14 +44,14 @@ TEMPLATES = {
     "gpl-program": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
     "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
 }
-#: Runs of anything but digits, a-z and characters beyond ASCII, in lower-cased text.
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Runs of anything but digits, a-z and characters beyond ASCII, in text with A-Z as a-z.
 _GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 def _words(text: Column) -> Column:
-    """Lower-casing goes beyond A-Z here; it makes and breaks no word, and none of
-    the letters it could turn into one of A-Z is in a phrase."""
-    return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), _GAPS), lambda w: w != "")
+    folded = F.translate(F.coalesce(text.cast("string"), F.lit("")), _UPPER, _UPPER.lower())
+    return F.filter(F.split(folded, _GAPS), lambda w: w != "")
 
 
 def _places(phrase: str) -> Column:

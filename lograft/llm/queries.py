@@ -162,8 +162,8 @@ FROM p JOIN r ON p.source IS NOT DISTINCT FROM r.source
 
 
 
-def _op5_sql(containment: float = 0.9, step: int = 32) -> str:
-    """The license scan over word lists; templates against every window of every text."""
+def _op5_sql(containment: float = 0.9, window: int = 64) -> str:
+    """The license scan over word lists; templates against the window at every offset of every text."""
     phrases = [(p.split(), label) for p, label in license_scan.PHRASES.items()]
     templates = [(sorted(set(t.split())), label) for label, t in license_scan.TEMPLATES.items()]
 
@@ -173,18 +173,19 @@ def _op5_sql(containment: float = 0.9, step: int = 32) -> str:
     places = ", ".join(
         f"list_filter(range(len(w) - {len(p) - 1}), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(p)) + f") AS p{j}"
         for j, (p, _) in enumerate(phrases))
+    need = [-(-int(round(containment * 1000)) * len(t) // 1000) for t, _ in templates]
     best = ", ".join(
-        f"coalesce(list_max(list_transform(range(0, len(w), {step}), lambda s: len(list_intersect(w[s + 1 : s + {2 * step}], {words(t)})))), 0) AS b{j}"
+        f"CASE WHEN len(list_intersect(w, {words(t)})) >= {need[j]} THEN list_max(list_transform(range(0, greatest(1, len(w) - {window - 1})), "
+        f"lambda s: len(list_intersect(w[s + 1 : s + {window}], {words(t)})))) ELSE 0 END AS b{j}"
         for j, (t, _) in enumerate(templates))
     base = "[" + ", ".join(f"CASE WHEN len(p{j}) > 0 THEN '{label}' END" for j, (_, label) in enumerate(phrases)) + "]"
-    need = [-(-int(round(containment * 1000)) * len(t) // 1000) for t, _ in templates]
     more = "[" + ", ".join(f"CASE WHEN b{j} >= {need[j]} THEN '{label}' END" for j, (_, label) in enumerate(templates)) + "]"
     share = "greatest(0.0, " + ", ".join(f"CASE WHEN b{j} >= {need[j]} THEN b{j} / {len(t)} ELSE 0.0 END" for j, (t, _) in enumerate(templates)) + ")"
     at = "list_concat(" * (len(phrases) - 1) + "p0" + "".join(f", p{j})" for j in range(1, len(phrases)))
     known = "lambda x: x IS NOT NULL"
     return f"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
 f AS (SELECT doc_id, len(w) AS n_words, {places}, {best} FROM d),
 g AS (SELECT *, {at} AS places, list_filter({base}, {known}) AS base, list_filter({more}, {known}) AS more FROM f)
 SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
@@ -195,8 +196,9 @@ FROM g
 """
 
 
-def _op8_sql(damping: float = 0.85, rounds: int = 10, least: float = 0.02) -> str:
-    """Rules by a chain of cases, trust and distrust by as many steps as the operator takes."""
+def _op8_sql(damping: float = 0.85, rounds: int = 120, least: float = 0.1) -> str:
+    """Rules by a chain of cases; trust and distrust by the operator's recurrence, for so many
+    steps that what is left out is far below its tolerance."""
     fits = {r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in URL_RULES}
     longest = sorted(URL_RULES, key=lambda r: (len(r.host + r.path), r), reverse=True)
 
@@ -209,12 +211,8 @@ def _op8_sql(damping: float = 0.85, rounds: int = 10, least: float = 0.02) -> st
     trusted = sorted({r.host for r in URL_RULES if r.verdict == "allow"})
     blocked = sorted({r.host for r in URL_RULES if r.verdict == "block" and r.path == "/"})
     fold = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    steps = "".join(f"""
-r{k + 1} AS (SELECT kind, host, sum(rank) AS rank FROM (
-  SELECT w.kind, w.dst AS host, w.share * r.rank * {damping} AS rank FROM ways w JOIN r{k} r ON r.kind = w.kind AND r.host = w.src
-  UNION ALL SELECT kind, host, {1 - damping} FROM r0) GROUP BY kind, host),""" for k in range(rounds))
     return f"""
-WITH p AS (SELECT page_id, html, {fold.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
+WITH RECURSIVE p AS (SELECT page_id, html, {fold.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
              coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 l AS (SELECT src, {fold.format('dst')} AS dst FROM (SELECT host AS src,
         unnest(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/"''?#\\s>]+)', 1)) AS dst FROM p)),
@@ -225,15 +223,16 @@ u AS (SELECT c, unnest(range(1, len(c) - 1)) AS i FROM c WHERE len(c) > 2),
 up AS (SELECT DISTINCT array_to_string(c[i:], '.') AS low, array_to_string(c[i + 1:], '.') AS high FROM u),
 edges AS (SELECT src, dst, sum(weight) AS weight FROM (SELECT * FROM links UNION ALL SELECT low, high, 1.0 FROM up WHERE low <> ''
           UNION ALL SELECT high, low, 1.0 FROM up WHERE low <> '') GROUP BY ALL),
-two AS (SELECT 'trust' AS kind, src, dst, weight FROM edges UNION ALL SELECT 'distrust', dst, src, weight FROM edges),
-ways AS (SELECT *, weight / sum(weight) OVER (PARTITION BY kind, src) AS share FROM two),
-known AS (SELECT src AS host FROM ways UNION SELECT host FROM p),
-r0 AS (SELECT 'trust' AS kind, host, 1.0::DOUBLE AS rank FROM known WHERE {under(trusted)}
-       UNION ALL SELECT 'distrust', host, 1.0::DOUBLE FROM known WHERE {under(blocked)}),{steps}
-s AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END) AS t, sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END) AS d
-      FROM r{rounds} GROUP BY host)
+shared AS (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS share FROM edges),
+ways AS MATERIALIZED (SELECT 'trust' AS kind, dst AS host, src AS via, share FROM shared UNION ALL SELECT 'distrust', src, dst, share FROM shared),
+known AS (SELECT host FROM ways UNION SELECT host FROM p),
+r(kind, host, k, more) AS (
+  (SELECT 'trust', host, 0, 1.0::DOUBLE FROM known WHERE {under(trusted)} UNION ALL SELECT 'distrust', host, 0, 1.0::DOUBLE FROM known WHERE {under(blocked)})
+  UNION ALL SELECT w.kind, w.host, any_value(r.k) + 1, {damping} * sum(w.share * r.more) FROM ways w JOIN r ON r.kind = w.kind AND r.host = w.via
+            WHERE r.k < {rounds} GROUP BY w.kind, w.host),
+s AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN more ELSE 0 END) AS t, sum(CASE WHEN kind = 'distrust' THEN more ELSE 0 END) AS d FROM r GROUP BY host)
 SELECT page_id, p.host, path, {case(lambda r: r.host + r.path)} AS rule,
-       coalesce({case(lambda r: r.verdict)}, CASE WHEN d >= {least} AND d > t THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce({case(lambda r: r.verdict)}, CASE WHEN d >= {least} AND d > t + {url_filter.ROUNDING} THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN (SELECT host AS h, t, d FROM s) ON p.host = h
 """
 

@@ -1,18 +1,21 @@
 """URL filter: rules first, then trust and distrust spread over the host graph.
 
-A page's url is judged by the longest rule that fits. Where none fits, its host
-is judged by its own links, whoever else links to the same hosts: its distrust is the
-damped average, over its links, of the distrust of the hosts they lead to; its trust
-is that over the links that lead to it, of the trust of where they come from.
-Blocked and trusted hosts have 1. A host with more distrust than trust, and
-enough of it, is blocked.
+A page's url is judged by the longest rule that fits. Where none fits, its host is
+judged by two personalised PageRanks over links between hosts, where a host passes on
+its rank along its links, by their weights, with restarts at the seeds. Trust goes
+along the links: the rank that reaches a host from the trusted ones. Distrust goes
+against them, from the blocked hosts: the rank that a walk from a host brings to
+the blocked ones. Both are in units of one restart, so a seed without links has 1.
+So distrust is about where a host's own links lead, and does not shrink with the number of
+hosts that link to the same place; one bad link among many good ones is little. A host
+with more distrust than trust, and enough of it, is blocked.
 
 Edges are links between hosts found in the pages (weight: number of links), and
 between a host and its parent domain, both ways (weight 1), so that hosts of one
 domain share their standing even where pages link only within their site. Names
 of one label (``org``) are no parents: their hosts have nothing to do with each other.
 Everything is joins and sums over one row per edge, in rounds until what is still to come
-is under a tolerance.
+is under a tolerance; a few rounds at a time are written down.
 """
 
 from __future__ import annotations
@@ -24,10 +27,14 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import discard, settle
+from .scratch import discard, join_hot, settle
 
 #: Trust and distrust as near as this are alike: sums are not exact.
 ROUNDING = 1e-9
+#: Rounds between two written tables.
+STEPS = 4
+#: Pages of a host beyond which they are dealt over several tasks.
+HOT_HOST = 1000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,31 +86,45 @@ def _host_edges(pages: DataFrame, html_col: str) -> DataFrame:
 
 
 def _spread(ways: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """(kind, host, value): 1 for seeds (kind, host), for others ``damping`` times the average
-    over ways (kind, host, via, share), with shares that sum to 1 per (kind, host), of the
-    value at ``via``. ``more`` is what the last round added; those to come add at most
-    damping / (1 - damping) times the largest of it, and end where that is under ``tolerance``."""
-    ways = settle(ways.join(seeds, ["kind", "host"], "left_anti"))
+    """The ranks (kind, host, value) with value = 1 at seeds (kind, host), plus ``damping`` times
+    the sum over ways (kind, host, via, share) of share times the value at ``via``: the sum
+    of what a restart brings after 0, 1, 2, ... steps. ``more`` is what the last
+    step brought. Where shares sum to 1 per host (distrust), the steps to come add at most
+    damping / (1 - damping) times the largest of it; where they do per via (trust), that times
+    the sum of it. The steps end where both are under ``tolerance``."""
     state = settle(seeds.select("kind", "host", F.lit(1.0).alias("value"), F.lit(1.0).alias("more")))
-    while (state.agg(F.max("more")).first()[0] or 0.0) * damping >= tolerance * (1 - damping):
+
+    def step(state: DataFrame) -> DataFrame:
         got = (ways.join(state.filter("more > 0").select("kind", F.col("host").alias("via"), "more"), ["kind", "via"])
                .select("kind", "host", F.lit(0.0).alias("value"), (F.col("share") * F.col("more") * damping).alias("more")))
-        old, state = state, settle(got.union(state.select("kind", "host", "value", F.lit(0.0))).groupBy("kind", "host")
-                                   .agg(F.sum("value").alias("value"), F.sum("more").alias("more"))
-                                   .select("kind", "host", (F.col("value") + F.col("more")).alias("value"), "more"))
+        return (got.union(state.select("kind", "host", "value", F.lit(0.0))).groupBy("kind", "host")
+                .agg(F.sum("value").alias("value"), F.sum("more").alias("more"))
+                .select("kind", "host", (F.col("value") + F.col("more")).alias("value"), "more"))
+
+    def to_come() -> float:
+        left = state.agg(F.max(F.when(F.col("kind") == "distrust", F.col("more"))).alias("most"),
+                         F.sum(F.when(F.col("kind") == "trust", F.col("more"))).alias("all")).first()
+        return max(left.most or 0.0, left.all or 0.0) * damping / (1 - damping)
+
+    while to_come() >= tolerance:
+        old, new = state, state
+        for _ in range(STEPS):
+            new = step(new)
+        state = settle(new)
         discard(old)
     return state.select("kind", "host", "value")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] | None = None, blocked: Sequence[str] | None = None,
-               damping: float = 0.85, tolerance: float = 1e-4, margin: float = 1.0, least: float = 0.02,
+               damping: float = 0.85, tolerance: float = 1e-3, margin: float = 1.0, least: float = 0.1,
                id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A verdict per row of ``pages``: page_id, host, path, rule, verdict.
 
     The longest fitting rule decides; ``rule`` is its host and path, else null.
-    Else the host decides: blocked where distrust (0 to 1) exceeds ``margin`` times trust
-    (0 to 1) and is at least ``least``, allowed otherwise; both are known up to
-    ``tolerance``. ``trusted`` and ``blocked`` are the
+    Else the host decides: blocked where distrust exceeds ``margin`` times trust and is at
+    least ``least``, allowed otherwise; both are known up to ``tolerance``. (A host whose
+    links all lead to blocked ones has ``damping``; the default takes one such link in
+    eight, or a chain of 14 hosts.) ``trusted`` and ``blocked`` are the
     hosts that trust and distrust come from, with all their subdomains that pages
     name; by default those of the allowing rules, and of the blocking rules
     that cover a whole host (path ``/``). Null urls and
@@ -117,26 +138,26 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
     blocked = sorted({r.host for r in rules if r.verdict == "block" and r.path == "/"}) if blocked is None else list(blocked)
 
     edges = settle(_host_edges(pages, "html"))
-    # Trust goes along an edge, distrust against it. Shares are of the links of the host that
-    # is judged: what a seed gives does not shrink with the number of hosts that link to it.
-    ways = (edges.select(F.lit("trust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("via"), "weight")
-            .union(edges.select(F.lit("distrust"), F.col("src"), F.col("dst"), F.col("weight"))))
-    sums = ways.groupBy("kind", "host").agg(F.sum("weight").alias("all"))
-    ways = settle(ways.join(sums, ["kind", "host"]).select("kind", "host", "via", (F.col("weight") / F.col("all")).alias("share")))
-    known = settle(ways.select("host").union(pages.select("host")).distinct())
+    # A host's rank goes along its links by weight: trust to where they lead, distrust back from there.
+    sums = edges.groupBy("src").agg(F.sum("weight").alias("all"))
+    shared = edges.join(sums, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share"))
+    ways = settle(shared.select(F.lit("trust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("via"), "share")
+                  .union(shared.select(F.lit("distrust"), "src", "dst", "share")))
+    of_pages = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    known = settle(ways.select("host", F.lit(0).cast("long").alias("pages")).union(of_pages).groupBy("host").agg(F.sum("pages").alias("pages")))
 
     def seeds_of(kind: str, hosts: Sequence[str]) -> DataFrame:
         under = functools.reduce(lambda a, h: a | (F.col("host") == h) | F.col("host").endswith("." + h), hosts, F.lit(False))
         return known.filter(under).select(F.lit(kind).alias("kind"), "host")
 
-    seeds = settle(seeds_of("trust", trusted).union(seeds_of("distrust", blocked)))
-    values = _spread(ways, seeds, damping, tolerance)
+    values = _spread(ways, seeds_of("trust", trusted).union(seeds_of("distrust", blocked)), damping, tolerance)
     standing = (values.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("value")).otherwise(0.0)).alias("trust"),
                                            F.sum(F.when(F.col("kind") == "distrust", F.col("value")).otherwise(0.0)).alias("distrust")))
-    bad = standing.filter((F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)).select("host", F.lit(True).alias("bad"))
+    bad = (F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)
+    hosts = known.filter("pages > 0").join(standing, "host", "left").select("host", "pages", F.coalesce(bad, F.lit(False)).alias("bad"))
 
     judged = pages.select("page_id", "host", "path", _longest(rules, lambda r: r.host + r.path).alias("rule"),
                           _longest(rules, lambda r: r.verdict).alias("ruled"))
-    return (judged.join(bad, "host", "left")
+    return (join_hot(judged, settle(hosts), ["host"], f"pages > {HOT_HOST}")
             .select("page_id", "host", "path", "rule",
                     F.coalesce("ruled", F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict")))
