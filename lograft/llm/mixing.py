@@ -23,12 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import settle, sieve_cells, sieve_test
+from .scratch import settle, sieve_cells, sieve_test, tell_apart
 
 #: Cells of one size class.
 SALTS = 256
-#: Equal rows that are told apart in one row of the plan, at most.
-RUN = 1024
 #: Expected copies and offsets are whole multiples of 1 / GRID: sums are exact at any length.
 GRID = 1 << 24
 
@@ -91,7 +89,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     plan = _planned(alike, targets(alike.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, most), seed)
     out = ["doc_id", "source", "size", "source_size", "target"]
     if not kept:
-        return _told_apart(plan).select(*out, "copies")
+        return _with_copies(tell_apart(plan, "n", "_i"), F.col("_i")).select(*out, "copies")
     plan = settle(plan)
     by = ["_key", "_draw", "_rest"]
     held = rows.select(*by, *kept)
@@ -99,7 +97,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     alone = _with_copies(plan.filter("n = 1"), F.lit(0)).join(held, by)
     once = sieve_test(held, sieve_cells(several, *by), *by).filter("in_sieve").dropDuplicates(by).drop("in_sieve")
     cols = [*out, "copies", *(F.col(c).alias(k) for c, k in kept.items())]
-    return alone.select(*cols).unionByName(_told_apart(several.join(once, by)).select(*cols))
+    return alone.select(*cols).unionByName(_with_copies(tell_apart(several.join(once, by), "n", "_i"), F.col("_i")).select(*cols))
 
 
 def _planned(alike: DataFrame, goals: DataFrame, seed: str) -> DataFrame:
@@ -128,13 +126,3 @@ def _with_copies(plan: DataFrame, nth) -> DataFrame:
     at = F.col("at") + F.col("rate") * nth
     copies = F.call_function("shiftright", at + F.col("rate"), F.lit(24)) - F.call_function("shiftright", at, F.lit(24))
     return plan.withColumn("copies", copies.cast("long"))
-
-
-def _told_apart(plan: DataFrame) -> DataFrame:
-    """A row per document, with its copies. Many equal rows are told apart in runs, which
-    are dealt over tasks."""
-    runs = F.sequence(F.lit(0).cast("long"), (F.col("n") - 1).cast("long"), F.lit(RUN).cast("long"))
-    many = plan.filter(F.col("n") > RUN).withColumn("_i", F.explode(runs)).repartition(F.xxhash64("_key", "_draw", "_rest", "_i"))
-    each = many.unionByName(plan.filter(F.col("n") <= RUN).withColumn("_i", F.lit(0).cast("long")))
-    last = F.least(F.col("n"), F.col("_i") + RUN) - 1
-    return _with_copies(each.withColumn("_i", F.explode(F.sequence("_i", last))), F.col("_i"))

@@ -36,16 +36,17 @@ def settle(df: DataFrame) -> DataFrame:
     unlike a checkpoint lets Spark plan what follows by the table's real size."""
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.settled_at = path
+    return out
 
 
 def discard(*tables: DataFrame) -> None:
     """Delete settled tables that nothing reads any more."""
     for df in tables:
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+        path = jvm.org.apache.hadoop.fs.Path(df.settled_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 #: Workers that live on after a task give large arrays back to the system.
@@ -101,3 +102,17 @@ def join_hot(many: DataFrame, one: DataFrame, keys: list[str], hot: str, salts:
     left = sieve_test(many, cells, *keys).withColumn("_salt", spread).drop("in_sieve")
     right = sieve_test(one, cells, *keys).withColumn("_salt", F.explode(copies)).drop("in_sieve")
     return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
+#: Numbers that one row is exploded to at once.
+RUN = 1024
+
+
+def tell_apart(counted: DataFrame, count: str, number: str) -> DataFrame:
+    """A row of ``counted`` as often as its column ``count`` says, numbered from 0. Rows that
+    stand for very many are exploded in runs, which are dealt over tasks."""
+    run = F.lit(RUN).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), (F.col(count) - 1).cast("long"), run)
+    many = counted.filter(F.col(count) > RUN).withColumn(number, F.explode(starts)).repartition(F.xxhash64(*counted.columns, number))
+    each = many.unionByName(counted.filter(F.col(count) <= RUN).withColumn(number, F.lit(0).cast("long")))
+    return each.withColumn(number, F.explode(F.sequence(F.col(number), F.least(F.col(count), F.col(number) + run) - 1)))

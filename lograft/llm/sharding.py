@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import settle
+from .scratch import settle, tell_apart
 
 #: Blocks that rows are dealt to, and parts of a shard that permute on their own.
 BLOCKS, PARTS = 1024, 256
@@ -64,17 +64,20 @@ def shuffle_into_shards(rows: DataFrame, shards: int = 8, seed: int = 7, blocks:
 
     Shard sizes differ by one row at most. The same rows and seed give the same
     result. A row's random numbers are hashes of all its columns, so it does not
-    matter where it is read; rows equal in every column are interchangeable.
+    matter where it is read; rows equal in every column are interchangeable, and are
+    counted and numbered first, so that they too go to all blocks.
     Nulls in any column are values like others; no rows give no rows. A column
     named shard or slot is replaced. Rows travel as they are: pass ids
     and what is needed of the content.
     """
-    cols = [F.col(f"`{c}`") for c in rows.columns if c not in ("shard", "slot")]
+    names = [c for c in rows.columns if c not in ("shard", "slot")]
+    cols = [F.col(f"`{c}`") for c in names]
 
     def draw(n: int):
-        return F.xxhash64(F.lit(seed * 8 + n), *cols)
+        return F.xxhash64(F.lit(seed * 8 + n), *cols, "_nth")
 
-    dealt = rows.select(*cols, F.pmod(draw(0), F.lit(blocks)).alias("_block"), draw(1).alias("_r1"), draw(2).alias("_r2"))
+    each = settle(tell_apart(rows.select(*cols).groupBy(*cols).agg(F.count("*").alias("_times")), "_times", "_nth"))
+    dealt = each.select(*cols, F.pmod(draw(0), F.lit(blocks)).alias("_block"), draw(1).alias("_r1"), draw(2).alias("_r2"))
     counts = {r["_block"]: r["count"] for r in dealt.groupBy("_block").count().collect()}  # one count per block
     sizes = [counts.get(b, 0) for b in range(blocks)]
     total = sum(sizes)

@@ -270,7 +270,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: i
     ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     width = 2 if vocabulary <= 1 << 16 else 4
-    blocks = (rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    by_id = F.col("doc_id").asc_nulls_first()
+    # An id, or none, on many rows is cut by the beginnings of their texts, which go in the order of the texts.
+    blocks = (rows.repartitionByRange(by_id, F.substring("text", 1, 32)).sortWithinPartitions(by_id, "text")
               .mapInArrow(partial(_blocks, path=tokenizer_path, end_id=end_id, width=width, block_ids=block_ids),
                           "part long, seq long, n_docs long, n_ids long, block binary"))
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")

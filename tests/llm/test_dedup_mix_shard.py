@@ -1,16 +1,18 @@
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lograft.llm import mixing, scratch
+from lograft.llm import mixing, queries, scratch
 from lograft.llm.exact_dedup import exact_duplicates
 from lograft.llm.mixing import mix_sources, targets
 from lograft.llm.sharding import communication_matrix, shuffle_into_shards
+from tests.conftest import SF001
 from tests.llm import brute
 
 
@@ -143,7 +145,7 @@ def test_the_mix_is_the_same_in_any_partitioning_without_ids(spark):
 
 
 def test_equal_rows_are_told_apart_in_runs(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RUN", 16)
+    monkeypatch.setattr(scratch, "RUN", 16)
     df = spark.createDataFrame([(1, "a b", "s")] * 1000, "doc_id long, text string, source string")
     got = Counter(r.copies for r in mix_sources(df, share=1.25, keep=["text"]).collect())
     assert got == {1: 750, 2: 250}
@@ -205,3 +207,21 @@ def test_sha_of_query(sf001, spark):
 
     want = {r.doc_id: hashlib.sha256((r.text or "").encode()).hexdigest() for r in sf001("documents").collect()}
     assert {r.doc_id: r.text_sha256 for r in op2_exact_dedup(spark, SF001).collect()} == want
+
+
+def test_shards_of_the_tables(spark, sf001):
+    rows = queries.op9_sharding(spark, SF001).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in sf001("documents").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    assert all((r.size, r.text_crc32, r.law, r.grown_shard) == (len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id]), "rows", None) for r in rows)
+    slots = {s: sorted(r.slot for r in rows if r.shard == s) for s in range(8)}
+    assert sum(map(len, slots.values())) == len(rows) and all(v == list(range(len(v))) for v in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_equal_rows_go_to_all_shards_and_blocks(spark):
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    got = shuffle_into_shards(df, shards=8)
+    assert [r["count"] for r in got.groupBy("shard").count().collect()] == [2500] * 8
+    spread = scratch.tell_apart(df.groupBy("doc_id", "text").agg(F.count("*").alias("n")), "n", "i")
+    assert spread.select(F.pmod(F.xxhash64("doc_id", "text", "i"), F.lit(1024)).alias("b")).distinct().count() == 1024
