@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .scratch import discard, settle
@@ -13,25 +13,30 @@ def connected_components(edges: DataFrame) -> DataFrame:
     being the smallest node of its component.
 
     Each round points every node at its smallest neighbour, follows the pointer
-    once more, and contracts the edges to the nodes pointed at; a path halves at
-    least, a star takes one round. All tables stay distributed; each round is
-    written to the scratch folder, so lost executors do not replay the rounds
-    before. Self-loops, repeated edges and null ends are allowed and ignored.
+    once more, and contracts the edges to the nodes pointed at. A star takes one round;
+    where nodes are numbered by hashes, as here, a round leaves a fixed part of any
+    path. All tables stay distributed; each round is written to the scratch folder, so
+    lost executors do not replay the rounds before, and counts its edges as it
+    writes them. Self-loops, repeated edges and null ends are allowed and ignored.
     """
-    edges = settle(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-                   .filter("a <> b").distinct())
+    def counted(df: DataFrame) -> tuple[DataFrame, int]:
+        rows = Observation()
+        return settle(df.observe(rows, F.count(F.lit(1)).alias("n"))), rows.get["n"]
+
+    edges, left = counted(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+                          .filter("a <> b").distinct())
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     roots = settle(nodes.select("node", F.col("node").alias("root")))
-    while not edges.isEmpty():
-        near = settle(edges.union(edges.select("b", "a")).groupBy("a").agg(F.min("b").alias("b"))
-                      .select(F.col("a").alias("node"), F.least("a", "b").alias("up")))
+    while left:
+        near = (edges.union(edges.select("b", "a")).groupBy("a").agg(F.min("b").alias("b"))
+                .select(F.col("a").alias("node"), F.least("a", "b").alias("up")))
         jump = settle(near.join(near.select(F.col("node").alias("up"), F.col("up").alias("top")), "up").select("node", "top"))
-        old = (roots, edges, near, jump)
+        old = (roots, edges, jump)
         roots = settle(roots.join(jump.select(F.col("node").alias("root"), "top"), "root", "left")
                        .select("node", F.coalesce("top", "root").alias("root")))
-        edges = settle(edges.join(jump.select(F.col("node").alias("a"), F.col("top").alias("ta")), "a")
-                       .join(jump.select(F.col("node").alias("b"), F.col("top").alias("tb")), "b")
-                       .filter("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b"))
-                       .distinct())
+        edges, left = counted(edges.join(jump.select(F.col("node").alias("a"), F.col("top").alias("ta")), "a")
+                              .join(jump.select(F.col("node").alias("b"), F.col("top").alias("tb")), "b")
+                              .filter("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b"))
+                              .distinct())
         discard(*old)
     return roots

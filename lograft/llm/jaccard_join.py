@@ -361,14 +361,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     passed over, and stay null where no other is reachable), n_links (rows it
     links with; rows with equal sets link). Repeated rows count as documents of
     their own. Other columns of ``docs`` are not read. No table gives no rows.
-    N-grams are compared by 64-bit hashes.
+    N-grams are compared by the first 50 to 62 bits of 64-bit hashes: 40 bits within a
+    fragment, and the bits that name it (a fragment holds about a million n-grams).
     """
     spark = docs.sparkSession
     ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = rows.filter("text is not null")
     own = settle(rows.mapInArrow(partial(_classes, size=words), "doc_id long, cls long, n long"))
-    classes = own.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult"))
+    classes = settle(own.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult")))
 
     grams = own.agg(F.sum("n")).first()[0] or 0
     bits = min(22, max(10, (grams // FRAGMENT_GRAMS).bit_length()))
@@ -380,12 +381,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     once = Window.partitionBy("cls").orderBy(F.size("pre"))  # a class comes once from each task that saw it
     left = settle(left.withColumn("_r", F.row_number().over(once)).filter("_r = 1").drop("_r"))
 
-    meet = left.select("cls", F.explode("pre").alias("gram"))
-    met = (meet.selectExpr("cls", "min(cls) over (partition by gram) as hub")
-           .filter("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")))
+    meet = settle(left.select("cls", F.explode("pre").alias("gram")))
+    hubs = meet.groupBy("gram").agg(F.min("cls").alias("hub"), F.count("*").alias("k")).filter("k > 1")
+    met = join_hot(meet, hubs, ["gram"], "k > 1000").filter("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
     groups = connected_components(met)
 
-    members = groups.select(F.col("node").alias("cls"), F.col("root").alias("grp")).join(classes, "cls")
+    members = settle(groups.select(F.col("node").alias("cls"), F.col("root").alias("grp")).join(classes, "cls"))
     parts = (_units(members, percent).join(left.select("cls", "n", "grams"), "cls")
              .repartition("grp", "unit").sortWithinPartitions("grp", "unit"))
     found = settle(parts.mapInArrow(partial(_count_links, percent=percent), "a long, b long, links long"))

@@ -5,10 +5,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from lograft.llm import jaccard_join
+from lograft.llm import jaccard_join, queries
 from lograft.llm.components import connected_components
 from lograft.llm.jaccard_join import jaccard_components, overlaps
 from lograft.llm.words import PIECE, shingles, word_hashes
+from tests.conftest import SF001
 from tests.llm import brute
 
 
@@ -125,3 +126,9 @@ def test_components(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {x: find(x) for x in top}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_query_of_the_tables(spark, sf001):
+    rows = [(r.doc_id, r.text) for r in sf001("documents").collect()]
+    got = queries.op1_ngram_jaccard_join(spark, SF001).select("doc_id", "n_shingles", "component_id", "n_links").collect()
+    assert sorted(map(tuple, got)) == sorted(brute.jaccard(rows, 4, 85))

@@ -87,7 +87,7 @@ def test_each_operator_has_one_query():
     import re
 
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES]
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_rows_without_an_id_and_ids_on_several_texts(spark, tmp_path):
