@@ -19,6 +19,10 @@ from lograft.llm.scratch import scratch_path, settle, sieve_cells, sieve_test
 from lograft.llm.token_files import read_token_files, write_token_files
 
 
+#: Words of a benchmark passage that remove a document.
+LEAST_PASSAGE = 8
+
+
 def _with_row_key(docs: DataFrame) -> DataFrame:
     """With a column ``_row``, a 64-bit hash of id and text: decisions are about rows, and
     ids may be missing or stand on several texts."""
@@ -58,10 +62,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of ``LEAST_PASSAGE`` words or more of a benchmark item: a
+    shorter item, as ``yes``, says nothing about where a document is from."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     rows = _with_row_key(docs)
-    gone = settle(find_leaks(rows, benchmark, id_col="_row").select(F.col("doc_id").alias("_row")).distinct())
+    gone = settle(find_leaks(rows, benchmark, id_col="_row").filter(F.col("n_words") >= LEAST_PASSAGE).select(F.col("doc_id").alias("_row")).distinct())
     sure, maybe = _split(rows, gone)
     return sure.select(*docs.columns).unionByName(maybe.join(gone, "_row", "left_anti").select(*docs.columns))
 
