@@ -2,9 +2,10 @@
 
 from lograft.operators.envelope import parse_document, parse_relational, split_rejects, unknown_root_fields
 from lograft.operators.filters import include, include_condition
-from lograft.operators.route import route, sink_frame, kinesis_frame
+from lograft.operators.route import event_id_header, kinesis_frame, route, sink_frame
 from lograft.operators.order import order_by_key, ordering_report, written_order_report
-from lograft.operators.diff import snapshot_diff
+from lograft.operators.diff import changed_ranges, snapshot_diff, snapshot_diff_by_range
+from lograft.operators.schema import schema_in_force
 from lograft.operators.spread import rebalance
 
 __all__ = [
@@ -21,5 +22,9 @@ __all__ = [
     "ordering_report",
     "written_order_report",
     "snapshot_diff",
+    "snapshot_diff_by_range",
+    "changed_ranges",
+    "schema_in_force",
+    "event_id_header",
     "rebalance",
 ]

@@ -85,10 +85,12 @@ def ordering_report(df: DataFrame, key: str = "partition_key", position: str = "
 
 def written_order_report(files: DataFrame, key: str = "partition_key", position: str = "pos",
                          batch: str = "batch_id") -> DataFrame:
-    """Per key: events and position inversions in written files (Parquet).
+    """Per key: events and position inversions in written files (Parquet), and batches
+    that hold a position lower than one of an earlier batch (``batch_inversions``).
 
     Rows go by batch, file name and row in the file, which is how a reader of the
-    files meets them. Files of one batch are named in task order.
+    files meets them. Files of one batch are named in task order. The batch of a
+    snapshot, which has no number, comes first.
     """
     tagged = files.select(key, position, F.col(batch).cast("string").alias("_batch"), F.col("_metadata.file_name").alias("_file"),
                           F.col("_metadata.row_index").alias("_row"))
@@ -99,7 +101,11 @@ def written_order_report(files: DataFrame, key: str = "partition_key", position:
              F.min(position).alias("_lo"), F.max(position).alias("_hi"))
     )
     stepped = per_file.withColumn("_prev_hi", F.lag("_hi").over(Window.partitionBy(key, "_batch").orderBy("_file")))
-    return stepped.groupBy(key).agg(
-        F.sum("_n").alias("n_events"),
-        (F.sum("_inv") + F.sum(F.when(F.col("_lo") < F.col("_prev_hi"), 1).otherwise(0))).alias("inversions"),
-    )
+    per_batch = stepped.groupBy(key, "_batch").agg(
+        F.sum("_n").alias("_n"), (F.sum("_inv") + F.sum(F.when(F.col("_lo") < F.col("_prev_hi"), 1).otherwise(0))).alias("_inv"),
+        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    number = F.coalesce(F.col("_batch").try_cast("bigint"), F.lit(-1))
+    earlier = Window.partitionBy(key).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
+    return (per_batch.withColumn("_before", F.max("_hi").over(earlier)).groupBy(key)
+            .agg(F.sum("_n").alias("n_events"), F.sum("_inv").alias("inversions"),
+                 F.sum(F.when(F.col("_lo") < F.col("_before"), 1).otherwise(0)).alias("batch_inversions")))

@@ -35,6 +35,21 @@ def route(df: DataFrame, target: KafkaTarget, hash_method: str = "reflect") -> D
     )
 
 
+def event_id() -> Column:
+    """A hash of a routed record's names, key, operation, position and text."""
+    return F.sha2(
+        F.concat_ws("\u0001", F.col("db"), F.col("table"), F.col("partition_key"),
+                    F.coalesce(F.col("op"), F.lit("")), F.coalesce(F.col("pos").cast("string"), F.lit("")),
+                    F.col("value")),
+        256,
+    )
+
+
+def event_id_header(headers: Column) -> Column:
+    """The ``event_id`` of a record that was read with its headers, else NULL."""
+    return F.decode(F.get(F.filter(headers, lambda h: h["key"] == "event_id"), F.lit(0))["value"], "UTF-8")
+
+
 def sink_frame(routed: DataFrame, with_event_id: bool = False) -> DataFrame:
     """Kafka sink columns: ``topic``, ``key``/``value`` as UTF-8 bytes, ``partition``.
 
@@ -48,12 +63,7 @@ def sink_frame(routed: DataFrame, with_event_id: bool = False) -> DataFrame:
         F.col("partition").cast("int").alias("partition"),
     ]
     if with_event_id:
-        eid = F.sha2(
-            F.concat_ws("\u0001", F.col("db"), F.col("table"), F.col("partition_key"),
-                        F.coalesce(F.col("op"), F.lit("")), F.coalesce(F.col("pos").cast("string"), F.lit("")),
-                        F.col("value")),
-            256,
-        )
+        eid = event_id()
         cols.append(F.array(F.struct(F.lit("event_id").alias("key"), to_bytes(eid).alias("value"))).alias("headers"))
     return routed.select(*cols)
 

@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lograft.config import DocumentSource, KafkaTarget, RelationalSource
-from lograft.operators.diff import snapshot_diff
+from lograft.operators.diff import snapshot_diff, snapshot_diff_by_range
 from lograft.operators.envelope import parse_document, parse_relational, unknown_root_fields
 from lograft.functions.jsonfn import variant_kind
 from lograft.operators.order import order_by_key, ordering_report, written_order_report
-from lograft.operators.route import kinesis_frame, route, sink_frame
+from lograft.operators.route import event_id_header, kinesis_frame, route, sink_frame
+from lograft.operators.schema import schema_in_force
 from lograft.operators.spread import rebalance
 from lograft.operators.filters import include
 from lograft.plans.jobs import SnapshotTable, document_job, relational_job, snapshot_job, start_job
@@ -39,14 +40,18 @@ from lograft.sources.tables import (
     events_change_feed,
     events_feed_with_faults,
     events_feed_spelled,
+    events_feed_with_changes,
     events_feed_with_more_fields,
     events_schema_feed,
     orders_as_of,
     orders_change_log,
+    orders_little_changed,
     orders_race_log,
     orders_snapshots,
 )
 from lograft.sources.splits import split_of, split_points, split_predicates
+from lograft.streaming.accounting import BatchAccounts
+from lograft.streaming.keyed import drop_repeats, flag_late
 from lograft.streaming.job import (
     configured_checkpoint_dir,
     ensure_checkpoint_dir,
@@ -170,6 +175,23 @@ def snapshot_diff_query(spark, sf_dir):
     )
 
 
+def snapshot_diff_by_range_query(spark, sf_dir):
+    old, new = orders_little_changed(_t(spark, sf_dir, "orders", spread=False))
+    d = snapshot_diff_by_range(old, new, "o_orderkey", ORDERS_DB, ORDERS_TABLE)
+    return d.select(
+        "op", "o_orderkey",
+        F.get_json_object("value", "$.before.o_orderstatus").alias("before_status"),
+        F.get_json_object("value", "$.after.o_orderstatus").alias("after_status"),
+    )
+
+
+def schema_version_of_event(spark, sf_dir):
+    """Each row event with the schema change of its table that is in force at its position."""
+    feed = events_feed_with_changes(_t(spark, sf_dir, "events"))
+    r = schema_in_force(parse_relational(feed, pk="id"), span=4096)
+    return r.select("partition_key", "pos", "schema_pos", F.get_json_object("schema_value", "$.ddl").alias("ddl"))
+
+
 def _events_with_schema_changes(spark, sf_dir) -> DataFrame:
     """Feed B plus schema-change events: per event type one DDL on the table
     and one without a table name. The types come from a pruned scan."""
@@ -352,7 +374,7 @@ def ordered_files(spark, sf_dir):
     q = start_file_job(routed, f"ordered_files_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects",
                        f"{run}/checkpoint", available_now=True, fmt="parquet", num_partitions=8)
     q.awaitTermination()
-    return written_order_report(spark.read.parquet(f"{run}/out"))
+    return written_order_report(spark.read.parquet(f"{run}/out")).select("partition_key", "n_events", "inversions")
 
 
 def event_accounting(spark, sf_dir):
@@ -384,6 +406,61 @@ def event_accounting(spark, sf_dir):
     return out.unionByName(rejects)
 
 
+def ordered_across_batches(spark, sf_dir):
+    """Events that come a batch too late: two thirds of the feed in the first run of a job, the
+    rest, with lower and higher positions of the same keys, when it starts again."""
+    run = _folder(spark, "ordered_across_batches")
+    feed = events_change_feed(_t(spark, sf_dir, "events"))
+    first = F.get_json_object("value", "$.source.pos").cast("bigint") % 3 != 1
+    for part, some in (("first", first), ("second", ~first)):
+        write_feed(feed.filter(some), f"{run}/feed/part={part}")
+        routed = flag_late(relational_job(read_feed(spark, f"{run}/feed/*", streaming=True), MYSQL, PER_DB))
+        q = start_file_job(routed, f"ordered_across_batches_{part}_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects",
+                           f"{run}/checkpoint", available_now=True, fmt="parquet")
+        q.awaitTermination()
+    return spark.read.parquet(f"{run}/out").select("partition_key", "pos", "late")
+
+
+def repeats_removed(spark, sf_dir):
+    """A log whose writer failed and wrote the last two thirds of its records again, read as a
+    stream by their event ids, the repetition after a restart of the reader."""
+    run = _folder(spark, "repeats_removed")
+    routed = _events_routed(spark, sf_dir)
+    records = sink_frame(routed, with_event_id=True).withColumn("_at", F.get_json_object(F.decode("value", "UTF-8"), "$.source.pos").cast("bigint"))
+    log = lambda late: F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("_at") + late)
+    again = F.col("_at") % 3 != 0
+    for part, written in (("first", records.withColumn("timestamp", log(0))), ("again", records.filter(again).withColumn("timestamp", log(60_000)))):
+        written.drop("_at").write.parquet(f"{run}/log/part={part}")
+        schema = spark.read.parquet(f"{run}/log/part={part}").schema
+        stream = spark.readStream.schema(schema).parquet(f"{run}/log/*").withColumn("event_id", event_id_header(F.col("headers")))
+        q = (drop_repeats(stream).writeStream.option("checkpointLocation", f"{run}/checkpoint").trigger(availableNow=True)
+             .format("parquet").option("path", f"{run}/out").start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{run}/out").select("topic", F.decode("key", "UTF-8").alias("partition_key"), "partition",
+                                                     F.get_json_object(F.decode("value", "UTF-8"), "$.source.pos").cast("bigint").alias("pos"))
+
+
+def batch_accounting(spark, sf_dir):
+    """The accounts of a job's batches, by a listener: a feed with faults in three parts, each
+    the batch of another run."""
+    run = _folder(spark, "batch_accounting")
+    feed = events_feed_with_faults(_t(spark, sf_dir, "events"))
+    source = RelationalSource(kind="mysql", pk="id", stringify=True, databases="App_DB_.*")
+    accounts = BatchAccounts(spark, f"{run}/accounts")
+    spark.streams.addListener(accounts)
+    try:
+        for part in range(3):
+            write_feed(feed.filter(F.col("event_id") % 3 == part), f"{run}/feed/part={part}")
+            routed = relational_job(read_feed(spark, f"{run}/feed/*", streaming=True), source, PER_DB)
+            q = start_file_job(routed, f"batch_accounting_{uuid.uuid4().hex[:8]}", f"{run}/out", f"{run}/rejects", f"{run}/checkpoint",
+                               available_now=True, fmt="parquet")
+            q.awaitTermination()
+            accounts.wait_for(q.id, part)
+    finally:
+        spark.streams.removeListener(accounts)
+    return accounts.table().select("batch_id", "n_read", "n_routed", "n_rejected", "n_excluded")
+
+
 def job_startup_modes(spark, sf_dir):
     """``start_job`` in each startup mode: all orders as the snapshot, their creates in
     the feed when the job starts, an update of each when it restarts."""
@@ -523,6 +600,11 @@ QUERIES: dict[str, Query] = {
     "include_schemas": include_schemas,
     "envelope_fields": envelope_fields,
     "ordered_files": ordered_files,
+    "ordered_across_batches": ordered_across_batches,
+    "repeats_removed": repeats_removed,
+    "batch_accounting": batch_accounting,
+    "schema_version_of_event": schema_version_of_event,
+    "snapshot_diff_by_range": snapshot_diff_by_range_query,
     "event_accounting": event_accounting,
     "job_startup_modes": job_startup_modes,
     "chunked_initial": chunked_initial,
@@ -655,6 +737,25 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT 'snapshot' AS outcome, c_custkey AS event_id FROM customer "
         "UNION ALL SELECT CASE rule WHEN 0 THEN 'not_json' WHEN 3 THEN 'position_invalid' ELSE 'output' END, event_id FROM e "
         "WHERE rule < 4 OR (rule > 4 AND NOT early)"),
+    "ordered_across_batches": (
+        f"SELECT {_EV_KEY} AS partition_key, event_id AS pos, event_id % 3 = 1 AND event_id < coalesce("
+        "max(event_id) FILTER (event_id % 3 <> 1) OVER (PARTITION BY event_type, user_id), event_id) AS late FROM events"),
+    "repeats_removed": (
+        f"SELECT {_EV_TOPIC} AS topic, {_EV_KEY} AS partition_key, {_partition_sql(_EV_KEY, '7')} AS partition, "
+        "event_id AS pos FROM events"),
+    "batch_accounting": (
+        "SELECT event_id % 3 AS batch_id, count(*) AS n_read, count(*) FILTER (event_id % 12 NOT IN (0, 3, 4)) AS n_routed, "
+        "count(*) FILTER (event_id % 12 IN (0, 3)) AS n_rejected, count(*) FILTER (event_id % 12 = 4) AS n_excluded FROM events GROUP BY 1"),
+    "schema_version_of_event": (
+        "WITH e AS (SELECT *, max(event_id) FILTER (event_id % 40 = 0) OVER (PARTITION BY event_type ORDER BY event_id) AS s FROM events) "
+        f"SELECT {_EV_KEY} AS partition_key, event_id AS pos, s AS schema_pos, 'ALTER TABLE events ADD COLUMN c_' || s AS ddl FROM e"),
+    "snapshot_diff_by_range": (
+        "WITH o AS (SELECT * FROM orders WHERE o_orderkey % 211 <> 0), n AS (SELECT o_orderkey, "
+        "CASE WHEN o_orderkey % 97 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey % 193 <> 0) "
+        "SELECT CASE WHEN o.o_orderkey IS NULL THEN 'c' WHEN n.o_orderkey IS NULL THEN 'd' ELSE 'u' END AS op, "
+        "coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, o.o_orderstatus AS before_status, n.o_orderstatus AS after_status "
+        "FROM o FULL OUTER JOIN n ON o.o_orderkey = n.o_orderkey "
+        "WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR o.o_orderstatus <> n.o_orderstatus"),
     "job_startup_modes": (
         "WITH s AS (SELECT 'r' AS op, CAST(NULL AS BIGINT) AS pos, o_orderkey AS k, "
         f"epoch_us(o_orderdate AT TIME ZONE '{TIME_ZONE}') AS snapshot_date_us FROM orders), "

@@ -225,3 +225,20 @@ def orders_race_log(orders: DataFrame) -> DataFrame:
 
     last = F.when(F.col("u_pos").isNotNull(), new).otherwise(old)
     return events("c", none, old).unionByName(events("u", old, new)).unionByName(events("d", last, none))
+
+
+def events_feed_with_changes(events: DataFrame, every: int = 40) -> DataFrame:
+    """The change feed of ``events``, and a schema change of its table at the position of every
+    event whose ``event_id`` is divisible by ``every``."""
+    eid = F.col("event_id")
+    ddl = events.filter(eid % every == 0).select(_json_text(
+        '{"source":{"db":"', EVENTS_DB_PREFIX, F.col("event_type"), '","table":"events","pos":', eid, '},"ddl":"ALTER TABLE events ADD COLUMN c_', eid, '"}').alias("value"))
+    return events_change_feed(events).unionByName(ddl)
+
+
+def orders_little_changed(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots that differ in some two per cent of all orders: by ``o_orderkey``, 1 in 97
+    has another status in the new one, 1 in 193 is gone from it, 1 in 211 is only there."""
+    key = F.col("o_orderkey")
+    new = orders.filter(key % 193 != 0).withColumn("o_orderstatus", F.when(key % 97 == 0, "X").otherwise(F.col("o_orderstatus")))
+    return orders.filter(key % 211 != 0), new

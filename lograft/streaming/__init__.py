@@ -1,5 +1,7 @@
 """Structured Streaming jobs."""
 
+from lograft.streaming.accounting import BatchAccounts, batch_account
+from lograft.streaming.keyed import drop_repeats, flag_late
 from lograft.streaming.job import (
     checkpoint_root,
     ensure_checkpoint_dir,
@@ -26,4 +28,8 @@ __all__ = [
     "start_chunked_job",
     "skip_to_end",
     "highest_routed",
+    "BatchAccounts",
+    "batch_account",
+    "flag_late",
+    "drop_repeats",
 ]

@@ -23,7 +23,8 @@ def test_every_query_has_oracle():
 
 @pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_building_a_query_starts_no_scan(spark, name):
-    """A Parquet schema needs no job here; jobs that do run belong to streams and hand-offs."""
+    """A Parquet schema needs no job here; jobs that do run belong to streams and hand-offs,
+    or bring a bounded number of key bounds and split points."""
     sc = spark.sparkContext
     sc.setJobGroup(f"build-{name}", name)
     try:
@@ -33,8 +34,10 @@ def test_building_a_query_starts_no_scan(spark, name):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
         sc.setLocalProperty("spark.job.description", None)
-    streams = {"stream_routed_files", "ordered_files", "event_accounting", "job_startup_modes"}
-    if name not in streams:  # schema inference reads a footer: one task each
+    streams = {"stream_routed_files", "ordered_files", "event_accounting", "job_startup_modes", "ordered_across_batches",
+               "repeats_removed", "batch_accounting", "chunked_initial"}
+    bounds = {"split_ranges", "snapshot_diff_by_range"}
+    if name not in streams | bounds:  # schema inference reads a footer: one task each
         assert all(t is None or (t.numTasks == 1 and t.name.startswith("parquet")) for t in tasks), [t and t.name for t in tasks]
 
 

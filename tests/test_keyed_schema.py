@@ -1,0 +1,152 @@
+"""Order and repeats across micro-batches, accounts of batches, schema changes in force, diffs by key range."""
+
+import random
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lograft.operators import changed_ranges, schema_in_force, snapshot_diff, snapshot_diff_by_range, written_order_report
+from lograft.operators.envelope import parse_relational
+from lograft.streaming import BatchAccounts, drop_repeats, flag_late, start_file_job
+
+ROUTED = "db string, `table` string, op string, pos bigint, partition_key string, value string, partition int, reject_reason string"
+BIG = 2**60
+
+
+def run_stream(spark, folder, parts, schema, transform, key="out"):
+    """Each part is a run of the stream, from files that were not there before."""
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in/part={i}")
+        q = (transform(spark.readStream.schema(schema).parquet(f"{folder}/in/*")).writeStream.format("parquet").option("path", f"{folder}/{key}")
+             .option("checkpointLocation", f"{folder}/{key}-checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{folder}/{key}").collect()
+
+
+def event(pos, key="a.b.1", reason=None, value="{}"):
+    return ("a", "b", "c", pos, key, value, 3, reason)
+
+
+def test_late_events_across_batches(spark, scratch):
+    """Positions beyond 2**53, several keys, events without a key or a position."""
+    parts = [[event(BIG + 5), event(BIG + 9), event(7, "k2"), event(None), event(None, None, "not_json")],
+             [event(BIG + 8, value="late"), event(BIG + 10), event(BIG + 9, value="same"), event(6, "k2"), event(1, "k3"), event(None), event(3, None, "key_null")],
+             [event(BIG + 9, value="late too"), event(8, "k2"), event(2, "k3")]]
+    got = run_stream(spark, scratch, parts, ROUTED, flag_late)
+    assert len(got) == sum(map(len, parts))
+    assert {(r.partition_key, r.pos, r.value) for r in got if r.late} == {("a.b.1", BIG + 8, "late"), ("a.b.1", BIG + 9, "late too"), ("k2", 6, "{}")}
+    assert Counter(tuple(r)[:8] for r in got) == Counter(tuple(e) for p in parts for e in p)
+
+
+def test_late_events_as_rejects(spark, scratch):
+    parts = [[event(5), event(9)], [event(8), event(10), event(None, None, "not_json")]]
+    got = run_stream(spark, scratch, parts, ROUTED, lambda s: flag_late(s, reject=True))
+    assert {(r.pos, r.reject_reason) for r in got} == {(5, None), (9, None), (8, "late"), (10, None), (None, "not_json")}
+
+
+def test_a_hot_key_is_judged_whole(spark, scratch):
+    """20,000 events of one key in a batch: by what was before the batch, not by their order inside it."""
+    rng = random.Random(1)
+    first, second = (rng.sample(range(a, a + 40_000), 20_000) for a in (0, 30_000))
+    got = run_stream(spark, scratch, [[event(p) for p in first], [event(p) for p in second]], ROUTED, flag_late)
+    assert sum(r.late for r in got) == sum(p < max(first) for p in second)
+
+
+def test_order_report_over_batches(spark, scratch):
+    for batch, positions in ((0, [3, 5]), (1, [4, 9]), (10, [10]), (2, [9])):
+        (spark.createDataFrame([(p, "k") for p in positions], "pos bigint, partition_key string").coalesce(1)
+         .write.parquet(f"{scratch}/out/batch_id={batch}"))
+    r = written_order_report(spark.read.parquet(f"{scratch}/out")).first()
+    assert (r.n_events, r.inversions, r.batch_inversions) == (6, 0, 1)
+
+
+def test_repeats_after_a_replay(spark, scratch):
+    """What a writer wrote again, in the same batch of the reader, in the next and after a restart."""
+    schema = "event_id string, timestamp timestamp, n int"
+    rows = [(f"e{i}", f"2024-01-01 00:{i:02d}:00", i) for i in range(30)]
+    import datetime as dt
+
+    rows = [(e, dt.datetime.fromisoformat(t), n) for e, t, n in rows]
+    again = [(e, t + dt.timedelta(minutes=5), n) for e, t, n in rows]
+    got = run_stream(spark, scratch, [rows[:20] + rows[10:20], again[15:] + rows[20:], again[25:] + again[20:22]], schema, drop_repeats)
+    assert Counter(r.event_id for r in got) == {f"e{i}": 1 for i in range(30)}
+
+
+def test_accounts_of_batches(spark, scratch):
+    """Two jobs; a stream without a parse has no account; a batch that is run again replaces its row."""
+    accounts = BatchAccounts(spark, f"{scratch}/accounts")
+    spark.streams.addListener(accounts)
+    try:
+        for i, n in enumerate((3, 5)):
+            rows = [('{"source":{"db":"a","table":"b","pos":%d},"op":"c","before":null,"after":{"id":%d}}' % (j, j),) for j in range(n)] + [("nonsense",)]
+            spark.createDataFrame(rows, "value string").coalesce(1).write.text(f"{scratch}/feed/part={i}")
+            events = spark.readStream.text(f"{scratch}/feed/*")
+            q = start_file_job(parse_relational(events), f"job-{uuid.uuid4().hex}", f"{scratch}/out", f"{scratch}/rejects", f"{scratch}/checkpoint",
+                               available_now=True, fmt="parquet")
+            q.awaitTermination()
+            accounts.wait_for(q.id, i)
+        plain = (spark.readStream.text(f"{scratch}/feed/*").writeStream.format("noop").option("checkpointLocation", f"{scratch}/plain")
+                 .trigger(availableNow=True).start())
+        plain.awaitTermination()
+        accounts.wait_for(plain.id, 0)
+    finally:
+        spark.streams.removeListener(accounts)
+    got = {r.batch_id: (r.n_read, r.n_routed, r.n_rejected, r.n_excluded) for r in accounts.table().collect()}
+    assert got == {0: (4, 3, 1, 0), 1: (6, 5, 1, 0)}
+    with pytest.raises(TimeoutError):
+        accounts.wait_for(plain.id, 99, 0.1)
+
+
+@pytest.mark.parametrize("span", [1, 16, 1 << 20])
+def test_schema_in_force(spark, span):
+    rng = random.Random(span)
+    rows = [(rng.choice("ab"), rng.choice(["t", "u", None]), rng.choice([rng.randint(0, 400), None]), rng.choice(["row"] * 8 + ["schema"]), f"v{i}") for i in range(600)]
+    rows += [("a", "t", 50, "schema", "x1"), ("a", "t", 50, "schema", "x2"), (None, "t", 60, "row", "no db"), ("hot", "t", 10**15, "row", "far")]
+    df = spark.createDataFrame(rows, "db string, `table` string, pos bigint, event_kind string, value string")
+    got = schema_in_force(df, span)
+    assert got.columns == [*df.columns, "schema_pos", "schema_value"]
+    want = []
+    for db, table, pos, kind, value in rows:
+        if kind == "row":
+            before = [(p, v) for d, t, p, k, v in rows if k == "schema" and None not in (db, table, pos, p) and (d, t) == (db, table) and p <= pos]
+            want.append((db, table, pos, kind, value, *(max(before) if before else (None, None))))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert schema_in_force(df.limit(0), span).collect() == []
+
+
+def two_snapshots(spark, n, text_key=False, low=0):
+    rng = random.Random(n)
+    old = {low + k * 3: (rng.random(), rng.choice(["x", None])) for k in range(n)}
+    new = dict(old)
+    for k in rng.sample(sorted(old), n // 100):
+        rng.choice((lambda: new.pop(k), lambda: new.update({k: (2.0, "y")}), lambda: new.update({k + 1: (0.0, None)})))()
+    name = (lambda k: f"k{k}") if text_key else (lambda k: k)
+    make = lambda s, null: spark.createDataFrame(
+        [(name(k), *v) for k, v in s.items()] + [(None, *null)] * 2, f"id {'string' if text_key else 'bigint'}, v double, w string")
+    return make(old, (1.0, "old")), make(new, (1.0, "new"))
+
+
+@pytest.mark.parametrize("text_key,low", [(False, 0), (True, 0), (False, -(2**63)), (False, 2**63 - 20_000)])
+def test_diff_by_range_is_the_diff(spark, text_key, low):
+    old, new = two_snapshots(spark, 5000, text_key, low)
+    cols = ["op", "id", "value"]
+    want = snapshot_diff(old, new, "id", "d", "t").select(*cols).collect()
+    got = snapshot_diff_by_range(old, new, "id", "d", "t").select(*cols).collect()
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) > 50
+    few = snapshot_diff_by_range(old, new, "id", "d", "t", tops=4, leaves=64).select(*cols).collect()
+    assert sorted(few, key=repr) == sorted(want, key=repr)
+
+
+def test_few_rows_are_joined(spark):
+    """1 % of all rows changed: under a tenth of them pass, with eight rows to a range."""
+    old, new = two_snapshots(spark, 20_000)
+    a, b = changed_ranges(old, new, "id", tops=64, leaves=40)
+    assert a.count() < 2000 and b.count() < 2000
+    assert all(s.columns == old.columns for s in (a, b))
+    same = changed_ranges(old, old, "id")
+    assert [s.filter("id is not null").count() for s in same] == [0, 0]
+    none = old.limit(0)
+    assert changed_ranges(none, none, "id")[0].count() == 0
+    assert snapshot_diff_by_range(none, new, "id", "d", "t").filter(F.col("op") == "c").count() == new.count()
