@@ -230,10 +230,11 @@ r(kind, host, k, more) AS (
   (SELECT 'trust', host, 0, 1.0::DOUBLE FROM known WHERE {under(trusted)} UNION ALL SELECT 'distrust', host, 0, 1.0::DOUBLE FROM known WHERE {under(blocked)})
   UNION ALL SELECT w.kind, w.host, any_value(r.k) + 1, {damping} * sum(w.share * r.more) FROM ways w JOIN r ON r.kind = w.kind AND r.host = w.via
             WHERE r.k < {rounds} GROUP BY w.kind, w.host),
-s AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN more ELSE 0 END) AS t, sum(CASE WHEN kind = 'distrust' THEN more ELSE 0 END) AS d FROM r GROUP BY host)
+s AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN more ELSE 0 END) AS t, sum(CASE WHEN kind = 'distrust' THEN more ELSE 0 END) AS d,
+        bool_or(kind = 'trust' AND k = 0) AS ts, bool_or(kind = 'distrust' AND k = 0) AS ds FROM r GROUP BY host)
 SELECT page_id, p.host, path, {case(lambda r: r.host + r.path)} AS rule,
-       coalesce({case(lambda r: r.verdict)}, CASE WHEN d >= {least} AND d > t + {url_filter.ROUNDING} THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN (SELECT host AS h, t, d FROM s) ON p.host = h
+       coalesce({case(lambda r: r.verdict)}, CASE WHEN NOT ts AND (ds OR (d >= {least} AND d > t + {url_filter.ROUNDING})) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN (SELECT host AS h, t, d, ts, ds FROM s) ON p.host = h
 """
 
 

@@ -85,34 +85,58 @@ def _host_edges(pages: DataFrame, html_col: str) -> DataFrame:
             .groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
 
 
-def _spread(ways: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
-    """The ranks (kind, host, value) with value = 1 at seeds (kind, host), plus ``damping`` times
+def _undecided(state: DataFrame, steps: int, damping: float, margin: float, least: float) -> int:
+    """Hosts, seeds left out, whose verdict the steps to come may change.
+
+    A host that no step has reached stays at 0 once a step reaches no new one."""
+    is_kind = lambda k: F.col("kind") == k
+    now = state.agg(*(F.max(F.when(is_kind(k), F.col("since"))).alias(k) for k in ("trust", "distrust")),
+                    F.max(F.when(is_kind("distrust"), F.col("more"))).alias("most"), F.sum(F.when(is_kind("trust"), F.col("more"))).alias("all")).first()
+    if (now.distrust or 0) >= steps > 0:
+        return 1  # still spreading
+    more_bad, more_good = ((x or 0.0) * damping / (1 - damping) for x in (now.most, now["all"]))
+    reached = F.lit(True) if (now.trust or 0) >= steps else F.max(is_kind("trust"))
+    hosts = state.groupBy("host").agg(F.max("seed").alias("seed"), F.max(is_kind("distrust")).alias("bad"), reached.alias("good"),
+                                      *(F.sum(F.when(is_kind(k), F.col("value")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")))
+    low, high = F.col("distrust"), F.col("distrust") + more_bad
+    most_trust = F.col("trust") + F.when(F.col("good"), F.lit(more_good)).otherwise(0.0)
+    sure = (high < least) | (high <= F.col("trust") * margin) | ((low >= least) & (low > most_trust * margin + ROUNDING))
+    return hosts.filter(F.col("bad") & ~F.col("seed") & ~sure).count()
+
+
+def _spread(ways: DataFrame, seeds: DataFrame, damping: float, tolerance: float, decision: tuple[float, float] | None = None) -> DataFrame:
+    """The ranks (kind, host, seed, value) with value = 1 at seeds (kind, host), plus ``damping`` times
     the sum over ways (kind, host, via, share) of share times the value at ``via``: the sum
     of what a restart brings after 0, 1, 2, ... steps. ``more`` is what the last
     step brought. Where shares sum to 1 per host (distrust), the steps to come add at most
     damping / (1 - damping) times the largest of it; where they do per via (trust), that times
-    the sum of it. The steps end where both are under ``tolerance``."""
-    state = settle(seeds.select("kind", "host", F.lit(1.0).alias("value"), F.lit(1.0).alias("more")))
+    the sum of it. The steps end where both are under ``tolerance``, or, with ``decision``
+    (margin, least), where no verdict can change any more."""
+    state = settle(seeds.select("kind", "host", F.lit(True).alias("seed"), F.lit(0).alias("since"), F.lit(1.0).alias("value"), F.lit(1.0).alias("more")))
+    steps = 0
 
-    def step(state: DataFrame) -> DataFrame:
+    def step(state: DataFrame, number: int) -> DataFrame:
         got = (ways.join(state.filter("more > 0").select("kind", F.col("host").alias("via"), "more"), ["kind", "via"])
-               .select("kind", "host", F.lit(0.0).alias("value"), (F.col("share") * F.col("more") * damping).alias("more")))
-        return (got.union(state.select("kind", "host", "value", F.lit(0.0))).groupBy("kind", "host")
-                .agg(F.sum("value").alias("value"), F.sum("more").alias("more"))
-                .select("kind", "host", (F.col("value") + F.col("more")).alias("value"), "more"))
+               .select("kind", "host", F.lit(False).alias("seed"), F.lit(number).alias("since"), F.lit(0.0).alias("value"), (F.col("share") * F.col("more") * damping).alias("more")))
+        return (got.union(state.select("kind", "host", "seed", "since", "value", F.lit(0.0))).groupBy("kind", "host")
+                .agg(F.max("seed").alias("seed"), F.min("since").alias("since"), F.sum("value").alias("value"), F.sum("more").alias("more"))
+                .select("kind", "host", "seed", "since", (F.col("value") + F.col("more")).alias("value"), "more"))
 
     def to_come() -> float:
         left = state.agg(F.max(F.when(F.col("kind") == "distrust", F.col("more"))).alias("most"),
                          F.sum(F.when(F.col("kind") == "trust", F.col("more"))).alias("all")).first()
-        return max(left.most or 0.0, left.all or 0.0) * damping / (1 - damping)
+        return max(left["most"] or 0.0, left["all"] or 0.0) * damping / (1 - damping)
 
     while to_come() >= tolerance:
         old, new = state, state
         for _ in range(STEPS):
-            new = step(new)
+            steps += 1
+            new = step(new, steps)
         state = settle(new)
         discard(old)
-    return state.select("kind", "host", "value")
+        if decision and not _undecided(state, steps, damping, *decision):
+            break
+    return state.select("kind", "host", "seed", "value")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] | None = None, blocked: Sequence[str] | None = None,
@@ -124,7 +148,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
     Else the host decides: blocked where distrust exceeds ``margin`` times trust and is at
     least ``least``, allowed otherwise; both are known up to ``tolerance``. (A host whose
     links all lead to blocked ones has ``damping``; the default takes one such link in
-    eight, or a chain of 14 hosts.) ``trusted`` and ``blocked`` are the
+    eight, or a chain of 14 hosts.) Trust and distrust are spread until they settle or no
+    verdict can change. The hosts they come from keep their standing: trusted ones are allowed, others
+    that are in the blocked list are blocked. ``trusted`` and ``blocked`` are the
     hosts that trust and distrust come from, with all their subdomains that pages
     name; by default those of the allowing rules, and of the blocking rules
     that cover a whole host (path ``/``). Null urls and
@@ -150,10 +176,12 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], trusted: Sequence[str] |
         under = functools.reduce(lambda a, h: a | (F.col("host") == h) | F.col("host").endswith("." + h), hosts, F.lit(False))
         return known.filter(under).select(F.lit(kind).alias("kind"), "host")
 
-    values = _spread(ways, seeds_of("trust", trusted).union(seeds_of("distrust", blocked)), damping, tolerance)
-    standing = (values.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("value")).otherwise(0.0)).alias("trust"),
-                                           F.sum(F.when(F.col("kind") == "distrust", F.col("value")).otherwise(0.0)).alias("distrust")))
-    bad = (F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)
+    values = _spread(ways, seeds_of("trust", trusted).union(seeds_of("distrust", blocked)), damping, tolerance, (margin, least))
+    of = lambda kind, value, none: F.when(F.col("kind") == kind, value).otherwise(none)
+    standing = values.groupBy("host").agg(*(F.sum(of(k, F.col("value"), 0.0)).alias(k) for k in ("trust", "distrust")),
+                                          *(F.max(of(k, F.col("seed"), False)).alias(f"{k}_seed") for k in ("trust", "distrust")))
+    linked = (F.col("distrust") >= least) & (F.col("distrust") > F.col("trust") * margin + ROUNDING)
+    bad = ~F.col("trust_seed") & (F.col("distrust_seed") | linked)
     hosts = known.filter("pages > 0").join(standing, "host", "left").select("host", "pages", F.coalesce(bad, F.lit(False)).alias("bad"))
 
     judged = pages.select("page_id", "host", "path", _longest(rules, lambda r: r.host + r.path).alias("rule"),

@@ -199,7 +199,8 @@ def test_urls(spark):
     for page, url, _ in PAGES:
         host, path = split_url(url)
         rule = plain_rule(host, path)
-        bad = distrust[host] >= 0.1 and distrust[host] > trust[host]
+        seed_of = lambda names: any(host == n or host.endswith("." + n) for n in names)
+        bad = not seed_of(["example.net", "org"]) and (seed_of(["net"]) or (distrust[host] >= 0.1 and distrust[host] > trust[host]))
         want.append((page, host, path, rule and rule.host + rule.path, rule.verdict if rule else "block" if bad else "allow"))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     verdicts = {w[0]: w[4] for w in want}
