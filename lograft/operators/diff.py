@@ -124,7 +124,7 @@ def changed_ranges(old: DataFrame, new: DataFrame, pk: str, time_zone: str | Non
 def snapshot_diff_by_range(old: DataFrame, new: DataFrame, pk: str, db: str, table: str, position: Column | None = None,
                            time_zone: str | None = None, tops: int = TOPS, leaves: int = LEAVES) -> DataFrame:
     """What ``snapshot_diff`` gives, where most key ranges are the same in both snapshots: only
-    rows of ``changed_ranges`` are joined. The snapshots are read three times and hardly
-    shuffled. A changed range is missed where all three of its sums agree by chance (two
+    rows of ``changed_ranges`` are joined. The snapshots are read three times, and for the
+    bounds of an integer key once more, and hardly shuffled. A changed range is missed where all three of its sums agree by chance (two
     64-bit hashes); a key that occurs more than once fails the job only in a changed range."""
     return snapshot_diff(*changed_ranges(old, new, pk, time_zone, tops, leaves), pk, db, table, position, time_zone)

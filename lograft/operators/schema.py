@@ -23,12 +23,12 @@ def schema_in_force(events: DataFrame, span: int = SPAN, position: str = "pos")
     at, where = F.col(position), ["db", "table", "_block"]
     blocked = events.withColumn("_block", F.floor(at / F.lit(span)).cast("bigint"))
     rows = blocked.filter("event_kind <> 'schema'")
-    changes = (blocked.filter("event_kind = 'schema' and `table` is not null and _block is not null").groupBy(*where)
-               .agg(F.array_sort(F.collect_list(F.struct(at.alias("p"), F.col("value").alias("v")))).alias("_changes")))
-    empty = rows.filter("db is not null and `table` is not null and _block is not null").select(*where).distinct()
-    blocks = empty.join(changes, where, "full_outer")
+    change = F.when(F.col("event_kind") == "schema", F.struct(at.alias("p"), F.col("value").alias("v")))
+    # One pass for the blocks there are and the changes in them; most blocks have none.
+    blocks = (blocked.filter("db is not null and `table` is not null and _block is not null").groupBy(*where)
+              .agg(F.array_sort(F.collect_list(change)).alias("_changes")))
     earlier = Window.partitionBy("db", "table").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    started = blocks.withColumn("_start", F.last(F.element_at("_changes", -1), ignorenulls=True).over(earlier))
+    started = blocks.withColumn("_start", F.last(F.try_element_at("_changes", F.lit(-1)), ignorenulls=True).over(earlier))
     last = F.coalesce(F.try_element_at(F.filter("_changes", lambda c: c["p"] <= at), F.lit(-1)), F.col("_start"))
     return (rows.join(started, where, "left").withColumn("_last", last)
             .select(*events.columns, F.col("_last.p").alias("schema_pos"), F.col("_last.v").alias("schema_value")))
