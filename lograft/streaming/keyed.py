@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -9,42 +10,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-#: Groups that events without a key or position are dealt to.
-SPREAD = 1024
+#: Groups that keys, and events without a key or position, are dealt to.
+GROUPS = 4096
 
 
-def flag_late(routed: DataFrame, key: str = "partition_key", position: str = "pos", reject: bool = False) -> DataFrame:
+def flag_late(routed: DataFrame, key: str = "partition_key", position: str = "pos", reject: bool = False, groups: int = GROUPS) -> DataFrame:
     """``routed`` with ``late``: whether an earlier micro-batch held a higher position of the same key.
 
     Inside a batch a sink orders each key's events itself (``order_by_key``); an event
     that comes a batch too late cannot be put in order any more. The highest position of
-    each key is kept in Spark's state store (one number per key, across restarts). With
+    each key is kept in Spark's state store (across restarts). With
     ``reject``, late events get the reject reason ``late`` and go to the reject table, so
     what a sink writes is in order per key over all batches. Events without a key or
     position have no order to keep and are never late; they take no state.
+
+    Keys are dealt to ``groups`` by a hash, and a group's positions are one state: a call of
+    Python costs milliseconds, however few events it is for, so its number must not grow
+    with that of the keys. A batch writes the states of the groups it meets. ``groups`` is
+    fixed for the life of a checkpoint; give more for many millions of keys.
     """
     numbers = {f.name: f.dataType.simpleString() for f in routed.schema if isinstance(f.dataType, T.IntegralType)}
     # Integers travel as text: data frames of the workers would make NULLs of them to floats.
     texts = routed.select(*(F.col(f"`{c}`").cast("string").alias(c) if c in numbers else F.col(f"`{c}`") for c in routed.columns))
     ordered = F.col(key).isNotNull() & F.col(position).isNotNull()
-    grouped = texts.withColumn("_deal", F.when(~ordered, F.pmod(F.xxhash64(*routed.columns), F.lit(SPREAD)))).groupBy(key, "_deal")
+    deal = F.when(ordered, F.xxhash64(key)).otherwise(F.xxhash64(*routed.columns))
+    grouped = (texts.withColumns({"_key": F.when(ordered, F.col(key).cast("string")), "_group": F.pmod(deal, F.lit(groups))})
+               .groupBy("_group"))
 
-    def mark(names: tuple, frames: Iterator, state: GroupState) -> Iterator:
-        before = int(state.get[0]) if state.exists else None
-        high = before
+    def mark(_: tuple, frames: Iterator, state: GroupState) -> Iterator:
+        before = json.loads(state.get[0]) if state.exists else {}
+        high: dict[str, int] = {}
         for frame in frames:
-            if names[1] is not None and names[1] == names[1]:  # dealt: no order (NULL may come as NaN)
-                frame["late"] = False
-            else:
-                at = [int(p) for p in frame[position]]
-                frame["late"] = [before is not None and p < before for p in at]
-                high = max([*at, *([] if high is None else [high])])
-            yield frame.drop(columns="_deal")
-        if high is not None and high != before:
-            state.update((high,))
+            late = []
+            for k, p in zip(frame["_key"], frame[position]):
+                if not isinstance(k, str):  # no order (NULL may come as NaN)
+                    late.append(False)
+                    continue
+                at = int(p)
+                late.append(k in before and at < before[k])
+                if k not in high or at > high[k]:
+                    high[k] = at
+            frame["late"] = late
+            yield frame.drop(columns=["_key", "_group"])
+        risen = {k: at for k, at in high.items() if k not in before or at > before[k]}
+        if risen:
+            state.update((json.dumps(before | risen),))
 
     out = T.StructType([*texts.schema.fields, T.StructField("late", T.BooleanType())])
-    marked = grouped.applyInPandasWithState(mark, out, "high bigint", "append", GroupStateTimeout.NoTimeout)
+    marked = grouped.applyInPandasWithState(mark, out, "highs string", "append", GroupStateTimeout.NoTimeout)
     cols = [F.col(f"`{c}`").cast(numbers[c]).alias(c) if c in numbers else F.col(f"`{c}`") for c in routed.columns]
     if reject:
         reason = F.when(F.col("late") & F.col("reject_reason").isNull(), F.lit("late")).otherwise(F.col("reject_reason"))

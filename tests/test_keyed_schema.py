@@ -54,6 +54,26 @@ def test_a_hot_key_is_judged_whole(spark, scratch):
     assert sum(r.late for r in got) == sum(p < max(first) for p in second)
 
 
+def test_late_events_by_groups_of_keys(spark, scratch):
+    """More keys than groups: the state, and the calls of Python, are as many as the groups; each key is judged alone."""
+    first = [event(100 + i, f"k{i}") for i in range(60)]
+    second = [event(100 + i + (i % 3 - 1), f"k{i}", value="again") for i in range(60)]
+    third = [event(100 + i, f"k{i}", value="third") for i in range(60)]
+    seen = []
+
+    def transform(s):
+        return flag_late(s, groups=4)
+
+    got = run_stream(spark, scratch, [first, second], ROUTED, transform)
+    assert {r.partition_key for r in got if r.late} == {f"k{i}" for i in range(60) if i % 3 == 0}
+    spark.createDataFrame(third, ROUTED).coalesce(1).write.parquet(f"{scratch}/in/part=2")
+    q = (transform(spark.readStream.schema(ROUTED).parquet(f"{scratch}/in/*")).writeStream.option("checkpointLocation", f"{scratch}/out-checkpoint")
+         .trigger(availableNow=True).foreachBatch(lambda batch, _: seen.extend(batch.collect())).start())
+    q.awaitTermination()
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    assert {r.partition_key for r in seen if r.late} == {f"k{i}" for i in range(60) if i % 3 == 2}
+
+
 def test_order_report_over_batches(spark, scratch):
     for batch, positions in ((0, [3, 5]), (1, [4, 9]), (10, [10]), (2, [9])):
         (spark.createDataFrame([(p, "k") for p in positions], "pos bigint, partition_key string").coalesce(1)
