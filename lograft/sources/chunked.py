@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lograft.functions.jsonfn import raw_fields, raw_rest
-from lograft.sources.splits import Point, split_of, split_predicates
+from lograft.sources.splits import Point, split_predicates
 
 
 class Wave(NamedTuple):
@@ -78,12 +78,14 @@ def read_waves(spark: SparkSession, path: str, waves: Sequence[Wave], records: C
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _position(split: Column, waves: Sequence[Wave], at: str) -> Column:
-    """A position of the wave that a range is in."""
-    out = F.when(split.isNull(), F.lit(getattr(waves[-1], at)))
-    for w in waves:
-        out = out.when(split < w.last, F.lit(getattr(w, at)))
-    return out.cast("bigint")
+def _position(db: str, table: str, kind: T.DataType, points: Sequence[Point], waves: Sequence[Wave], at: str) -> Column:
+    """A position of the wave that a routed record's key, in its key string, was read in. Waves
+    are runs of ranges, so the key is compared with the point at the end of each."""
+    key = F.substr("partition_key", F.lit(len(f"{db}.{table}.") + 1)).try_cast(kind)
+    out = F.when(key.isNull(), F.lit(getattr(waves[-1], at)))
+    for w in waves[:-1]:
+        out = out.when(key < F.lit(points[w.last - 1][0]).cast(kind), F.lit(getattr(w, at)))
+    return out.otherwise(F.lit(getattr(waves[-1], at))).cast("bigint")
 
 
 def of_table(db: str, table: str) -> Column:
@@ -92,17 +94,11 @@ def of_table(db: str, table: str) -> Column:
             & F.col("pos").isNotNull())
 
 
-def _split(db: str, table: str, kind: T.DataType, points: Sequence[Point]) -> Column:
-    """The range of a routed record, by the key in its key string."""
-    text = F.substr("partition_key", F.lit(len(f"{db}.{table}.") + 1))
-    return split_of([text.try_cast(kind)], [kind], points)
-
-
 def after_waves(routed: DataFrame, db: str, table: str, kind: T.DataType, points: Sequence[Point], waves: Sequence[Wave]) -> DataFrame:
     """Events that a load by ``waves`` has not taken in: those of the table's keys after the
     high position of their wave. Schema changes, other tables, rejects and events without a
     position pass. Narrow and without state, for batches and streams alike."""
-    old = of_table(db, table) & (F.col("pos") <= _position(_split(db, table, kind, points), waves, "high"))
+    old = of_table(db, table) & (F.col("pos") <= _position(db, table, kind, points, waves, "high"))
     return routed.filter(~F.coalesce(old, F.lit(False)))
 
 
@@ -114,6 +110,29 @@ def _as_read(value: Column) -> Column:
     return F.concat(F.array_join(done, ""), raw_rest(value, fields))
 
 
+def raced_events(changes: DataFrame, db: str, table: str, kind: T.DataType, points: Sequence[Point], waves: Sequence[Wave]) -> DataFrame:
+    """The last event of each key that was written while its wave was read: ``partition_key``,
+    ``op``, ``value`` and, as ``pos``, the high position of the wave."""
+    raced = (changes.filter(of_table(db, table))
+             .withColumns({"__low": _position(db, table, kind, points, waves, "low"), "__high": _position(db, table, kind, points, waves, "high")})
+             .filter((F.col("pos") > F.col("__low")) & (F.col("pos") <= F.col("__high"))))
+    last = raced.groupBy("partition_key").agg(F.max(F.struct("pos", "op", "value", "__high")).alias("e"))
+    return last.select("partition_key", "e.op", "e.value", F.col("e.__high").alias("pos"))
+
+
+def merge_raced(loaded: DataFrame, last: DataFrame, db: str, table: str, waves: Sequence[Wave]) -> DataFrame:
+    """``merge_waves`` with the ``raced_events`` at hand. They are read more than once."""
+    high = F.lit(None).cast("bigint")
+    for w in waves:
+        high = F.when(F.col("wave") == w.number, F.lit(w.high)).otherwise(high)
+    shape = [c for c in loaded.columns if c != "wave"]
+    kept = loaded.withColumn("pos", high.cast("bigint")).join(last.select("partition_key"), "partition_key", "left_anti").select(*shape)
+    columns = {"db": F.lit(db), "table": F.lit(table), "op": F.lit("r"), "pos": F.col("pos"), "event_kind": F.lit("row"),
+               "partition_key": F.col("partition_key"), "value": _as_read(F.col("value")), "reject_reason": F.lit(None).cast("string")}
+    merged = last.filter("op <> 'd'").select(*(c.alias(n) for n, c in columns.items()))
+    return kept.select(*columns).unionByName(merged)
+
+
 def merge_waves(loaded: DataFrame, changes: DataFrame, db: str, table: str, kind: T.DataType, points: Sequence[Point],
                 waves: Sequence[Wave]) -> DataFrame:
     """The load: each key of the table once, as it was at the high position of its wave.
@@ -124,16 +143,4 @@ def merge_waves(loaded: DataFrame, changes: DataFrame, db: str, table: str, kind
     its wave has its last event's image, or is gone if that is a delete. Rows read
     without a key pass as the rejects they are.
     """
-    split = _split(db, table, kind, points)
-    raced = (changes.filter(of_table(db, table)).withColumns({"__low": _position(split, waves, "low"), "__high": _position(split, waves, "high")})
-             .filter((F.col("pos") > F.col("__low")) & (F.col("pos") <= F.col("__high"))))
-    last = raced.groupBy("partition_key").agg(F.max(F.struct("pos", "op", "value", "__high")).alias("e"))
-    high = F.lit(None).cast("bigint")
-    for w in waves:
-        high = F.when(F.col("wave") == w.number, F.lit(w.high)).otherwise(high)
-    shape = [c for c in loaded.columns if c != "wave"]
-    kept = loaded.withColumn("pos", high.cast("bigint")).join(last.select("partition_key"), "partition_key", "left_anti").select(*shape)
-    columns = {"db": F.lit(db), "table": F.lit(table), "op": F.lit("r"), "pos": F.col("e.__high"), "event_kind": F.lit("row"),
-               "partition_key": F.col("partition_key"), "value": _as_read(F.col("e.value")), "reject_reason": F.lit(None).cast("string")}
-    merged = last.filter("e.op <> 'd'").select(*(c.alias(n) for n, c in columns.items()))
-    return kept.select(*columns).unionByName(merged)
+    return merge_raced(loaded, raced_events(changes, db, table, kind, points, waves), db, table, waves)

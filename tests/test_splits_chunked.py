@@ -12,6 +12,7 @@ from lograft.config import KafkaTarget, RelationalSource
 from lograft.plans.jobs import SnapshotTable, relational_job, start_job
 from lograft.operators.route import route
 from lograft.sources import read_feed, read_in_waves, snapshot_records, split_of, split_points, split_predicates, write_feed
+from lograft.sources.chunked import Wave, _position, after_waves
 from lograft.streaming import ordered_file_writer, skip_to_end, start_chunked_job
 
 TGT = KafkaTarget(topic="t", partitions=3, delivery_guarantee="at-least-once")
@@ -191,6 +192,50 @@ def test_a_load_under_change_gives_each_key_once(spark, scratch, seed):
     assert sorted((r.pos, r.partition_key) for r in out if r.op != "r") == want
 
 
+def test_a_load_parses_the_feed_once(spark, scratch):
+    """Both passes that write a load, and both sides of its merge, use the events that raced it as they were found once."""
+    db = Database(3)
+    parsed = spark.sparkContext.accumulator(0)
+
+    def feed_between(low, high):
+        write_feed(db.envelopes(spark), f"{scratch}/feed/0")
+        return read_feed(spark, f"{scratch}/feed/*").withColumn("value", counted("value"))
+
+    @F.udf("string")
+    def counted(value):
+        parsed.add(1)
+        return value
+
+    source = RelationalSource(kind="mysql", pk="id", stringify=False)
+    write_feed(db.envelopes(spark), f"{scratch}/feed/0")
+    q = start_chunked_job(
+        spark, ordered_file_writer(f"{scratch}/out", f"{scratch}/rej", "parquet"), lambda e: relational_job(e, source, TGT),
+        lambda rows: snapshot_records(rows, "d", "t", "id"), lambda c: db.read(spark, c), "d", "t", "id", T.StringType(), [("k15",), ("k30",)], 3,
+        db.now, feed_between, read_feed(spark, f"{scratch}/feed/*", streaming=True), "parsed_once", f"{scratch}/chk",
+        route_load=lambda r: route(r, TGT), quote="`", available_now=True)
+    q.awaitTermination()
+    assert parsed.value == db.now()
+
+
+@pytest.mark.parametrize("kind, points, keys", [
+    (T.LongType(), [(-5,), (10,), (20,), (30,)], ["-6", "-5", "9", "10", "19", "20", "30", "10000000000", "x", "1.5"]),
+    (T.StringType(), [("b",), ("é",), ("\U0001F600",)], ["", "a", "b", "ba", "z", "é", "\uffff", "\U0001F600", "\U0001F601"]),
+    (T.DoubleType(), [(-0.0,), (1.5,)], ["-1", "0", "-0.0", "1.4", "1.5", "NaN", "Infinity", "y"])])
+def test_positions_of_waves(spark, kind, points, keys):
+    """A key's wave by the points at the ends of waves is that of its range, found by search; no search per event."""
+    n = len(points) + 1
+    for cuts in ([n], [1, n], [2, n], list(range(1, n + 1))):
+        waves = [Wave(i, low, high, 100 * i, 100 * i + 50) for i, (low, high) in enumerate(zip([0, *cuts], cuts))]
+        rows = spark.createDataFrame([(f"d.t.{k}", k) for k in keys], "partition_key string, k string")
+        split = split_of([F.col("k").try_cast(kind)], [kind], points)
+        at = rows.select(split.alias("split"), _position("d", "t", kind, points, waves, "low").alias("low"), _position("d", "t", kind, points, waves, "high").alias("high"))
+        for r in at.collect():
+            want = waves[-1] if r.split is None else next(w for w in waves if r.split < w.last)
+            assert (r.low, r.high) == (want.low, want.high)
+        events = rows.select(F.lit("d").alias("db"), F.lit("t").alias("table"), F.lit("row").alias("event_kind"), "partition_key", F.lit(1).alias("pos"))
+        assert "aggregate(" not in after_waves(events, "d", "t", kind, points, waves)._jdf.queryExecution().toString()
+
+
 def test_waves_hold_all_ranges(spark, scratch):
     """More waves than ranges, one range, and rows without a key, which are in the last wave."""
     df = spark.createDataFrame([(None,), (1,), (5,), (9,)], "id int")
