@@ -530,7 +530,11 @@ SPLITS = 16
 def split_ranges(spark, sf_dir):
     """Sixteen ranges of lineitem by keys of several kinds, all skewed and some NULL: rows, rows
     in exactly one range, and whether the largest range has at most twice the median's rows."""
-    li = _t(spark, sf_dir, "lineitem")
+    # The table is read a few times for each kind of key: the columns of the keys are spread once.
+    path = f"{_folder(spark, 'split_ranges')}/lineitem"
+    columns = _t(spark, sf_dir, "lineitem", spread=False).select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    rebalance(columns, _cores(spark)).write.parquet(path)
+    li = spark.read.schema(columns.schema).parquet(path)
     last = F.col("l_linenumber") == 7
     square = F.col("l_orderkey") * F.col("l_orderkey")
     name = F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit("'"), F.col("l_orderkey").cast("string"))

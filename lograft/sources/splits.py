@@ -48,7 +48,8 @@ def split_points(df: DataFrame, keys: str | Sequence[str], ranges: int, sampled:
         rows = known.count()
         share = min(1.0, ranges * sampled / rows) if rows else 0.0
         sample = known.sample(share, seed) if share < 1 else known
-        values = [tuple(r) for r in sample.orderBy(*keys).collect()] if rows else []
+        # A few rows per range, at most ``MOST`` ranges: one task sorts them, and the table is read once for it.
+        values = [tuple(r) for r in sample.repartition(1).sortWithinPartitions(*keys).collect()] if rows else []
         points = [values[len(values) * i // ranges] for i in range(1, ranges)] if values else []
     return list(dict.fromkeys(points))  # in order, each once
 

@@ -12,6 +12,7 @@ from lograft.config import KafkaTarget, RelationalSource
 from lograft.plans.jobs import SnapshotTable, relational_job, start_job
 from lograft.operators.route import route
 from lograft.sources import read_feed, read_in_waves, snapshot_records, split_of, split_points, split_predicates, write_feed
+from lograft.plans.queries import QUERIES
 from lograft.sources.chunked import Wave, _position, after_waves
 from lograft.streaming import ordered_file_writer, skip_to_end, start_chunked_job
 
@@ -236,6 +237,33 @@ def test_positions_of_waves(spark, kind, points, keys):
         assert "aggregate(" not in after_waves(events, "d", "t", kind, points, waves)._jdf.queryExecution().toString()
 
 
+def test_a_sample_is_sorted_in_one_pass(spark):
+    """Points of a text key: the table is read for the rows' number and for the sample, not again for the sort."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(value):
+        read.add(1)
+        return value
+
+    counted = F.udf(count, "string").asNondeterministic()  # once for each row of a pass
+    df = spark.range(4000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    points = split_points(df.select(counted("k").alias("k")), "k", 4, sampled=50)
+    assert len(points) == 3 and points == sorted(points)
+    assert read.value <= 2 * 4000
+
+
+def test_split_ranges_spreads_the_keys_alone(spark):
+    """The table is spread once, with the columns of its keys, and not for each report."""
+    report = QUERIES["split_ranges"](spark, "/root/testdata/sf0.001")
+    plan = report._jdf.queryExecution().toString()
+    assert "REPARTITION_BY" not in plan and "l_extendedprice" not in plan
+    assert {r.kind: (r.n_rows, r.n_once) for r in report.collect()} == {k: (report_rows(spark), report_rows(spark)) for k in ("integer", "text", "decimal", "date", "composite")}
+
+
+def report_rows(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+
+
 def test_waves_hold_all_ranges(spark, scratch):
     """More waves than ranges, one range, and rows without a key, which are in the last wave."""
     df = spark.createDataFrame([(None,), (1,), (5,), (9,)], "id int")
