@@ -36,7 +36,8 @@ BLOCK_IDS = 1 << 20
 #: Ones between two samples of select.
 SAMPLE = 64
 #: Words of a generation kept with their ids by each Python worker, and bytes of text split at once.
-CACHE_WORDS, SLICE_BYTES = 1 << 19, 8 << 20
+#: Workers outlive their tasks: what they keep stands beside the steps that follow.
+CACHE_WORDS, SLICE_BYTES = 1 << 18, 4 << 20
 _MAGIC = b"EFT1"
 
 

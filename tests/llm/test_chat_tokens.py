@@ -164,3 +164,17 @@ def test_token_query(spark, sf001):
 
     rows = [(r.doc_id, r.text) for r in sf001("documents").collect()]
     assert sorted(map(tuple, op6_token_files(spark, SF001).collect()), key=lambda r: r[1]) == plain_tokens(rows)
+
+
+def test_a_worker_keeps_a_bounded_number_of_words():
+    """Eight slices of 100,000 words that never come again: what a worker keeps beside later steps is bounded."""
+    import pyarrow as pa
+
+    from lograft.llm.queries import tokenizer_file
+    from lograft.llm.token_files import _Words
+
+    words = _Words(tokenizer_file("word_bpe_49k.json"), 2)
+    for i in range(8):
+        ids, ends = words.encode(pa.array([" ".join(f"{i}x{j}" for j in range(100_000))]))
+        assert len(ends) == 2 and ends[1] == len(ids)
+    assert len(words.known) + len(words.older) <= 650_000
