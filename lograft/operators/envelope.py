@@ -334,3 +334,15 @@ def split_rejects(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
         routed.filter(F.col("reject_reason").isNull()),
         routed.filter(F.col("reject_reason").isNotNull()),
     )
+
+
+def unheld_rejects(routed: DataFrame) -> DataFrame:
+    """Rejected rows of a load that is not persisted, without the work for its good rows.
+
+    A reject has no key, hence no ``partition``. The key's hash is non-deterministic to Spark
+    (``reflect``) and keeps a filter above it; without it the filter gets down to the load's scan,
+    below exchanges and the JSON of each row.
+    """
+    if "partition" in routed.columns:
+        routed = routed.withColumn("partition", F.lit(None).cast(routed.schema["partition"].dataType))
+    return split_rejects(routed)[1]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from lograft.operators.envelope import split_rejects
+from lograft.operators.envelope import split_rejects, unheld_rejects
 from lograft.operators.order import order_by_key
+from lograft.operators.spread import hold_packed
 
 
 def require_reject_path(reject_path: str | None) -> str:
@@ -41,9 +41,11 @@ def write_batch_files(
     """
     require_reject_path(reject_path)
     folders = partition_by or (("topic",) if "topic" in routed.columns else ("db",))
-    held = routed.persist(StorageLevel.MEMORY_AND_DISK) if strategy else None  # a micro-batch, read three times
+    held, kept = hold_packed(routed) if strategy else (None, routed)  # a micro-batch, read three times
     try:
-        good, bad = split_rejects(routed)
+        good, bad = split_rejects(kept)
+        if held is None:
+            bad = unheld_rejects(kept)
         rows = order_by_key(good, num_partitions, strategy=strategy, within=folders) if strategy else good
         rows.write.mode("overwrite").partitionBy(*folders).format(fmt).save(f"{output_path}/batch_id={batch_id}")
         bad.write.mode("overwrite").format(fmt).save(f"{reject_path}/batch_id={batch_id}")

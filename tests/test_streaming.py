@@ -231,3 +231,50 @@ def test_startup_modes_need_their_inputs(spark, scratch):
     for mode in ("initial", "snapshot"):  # a feed of files needs nothing but its offsets for the hand-off
         with pytest.raises(ValueError, match="snapshot"):
             start_job(spark, "mysql", {"MySQLSrcCDC": {"startupMode": mode}, **kafka}, feed, f"{scratch}/c", f"{scratch}/r", f"{scratch}/o")
+
+
+def test_batches_are_held_as_one_packed_column(spark, scratch, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from lograft.streaming.job import ordered_file_writer, sink_writer
+
+    held, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *level: held.append(df.schema) or persist(df, *level))
+    rows = [("d", "t", "u", p, "row", f"d.t.{p}" if p % 5 else None, "é{\"a\":1}" if p % 2 else None, None if p % 5 else "key_null", "x", p % 7)
+            for p in range(40)] + [("d", "t", "u", None, "row", "d.t.1", "", None, "x", 1)] * 2
+    routed = spark.createDataFrame(rows, "db string, table string, op string, pos long, event_kind string, partition_key string, "
+                                         "value string, reject_reason string, topic string, partition int")
+    ordered_file_writer(f"{scratch}/out", f"{scratch}/rej", "parquet")(routed, 3)
+    given = []
+    sink_writer(lambda df, batch_id: given.extend(map(tuple, df.select(*routed.columns).collect())), f"{scratch}/sink_rej")(routed, 4)
+    assert [s.fieldNames() for s in held] == [["row"], ["row"]] and all(s["row"].dataType == routed.schema for s in held)
+    good, bad = ([r for r in rows if (r[7] is None) is ok] for ok in (True, False))
+
+    def read(path):
+        return sorted(map(tuple, spark.read.parquet(path).select(*routed.columns).collect()), key=repr)
+
+    assert read(f"{scratch}/out/batch_id=3") == sorted(given, key=repr) == sorted(good, key=repr)
+    assert read(f"{scratch}/rej/batch_id=3") == read(f"{scratch}/sink_rej/batch_id=4") == sorted(bad, key=repr)
+
+
+def test_rejects_of_a_load_cost_no_second_pass(spark, scratch):
+    from lograft.plans.jobs import SnapshotTable, snapshot_job
+    from lograft.streaming.job import SNAPSHOT_BATCH, ordered_file_writer, sink_writer
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        read.add(1)
+        return v
+
+    ids = [None, *range(1, 100)]
+    table = spark.createDataFrame([(k, f"n{k}") for k in ids], "id long, name string").select("id", F.udf(seen, "string")("name").alias("name"))
+    load = snapshot_job([SnapshotTable(table, "d", "t")], RelationalSource(kind="mysql", pk="id"), KafkaTarget(topic="x", partitions=7, delivery_guarantee="at-least-once"))
+    ordered_file_writer(f"{scratch}/out", f"{scratch}/rej", "parquet")(load, SNAPSHOT_BATCH)
+    assert read.value <= len(ids) + 1  # all rows in the pass that writes the good ones, then the reject alone
+    out, rej = spark.read.parquet(f"{scratch}/out"), spark.read.parquet(f"{scratch}/rej")
+    assert sorted(r.partition_key for r in out.collect()) == sorted(f"d.t.{k}" for k in ids[1:])
+    assert [(r.reject_reason, r.partition_key, r.partition, '"name":"nNone"' in r.value) for r in rej.collect()] == [("key_null", None, None, True)]
+    assert rej.schema["partition"].dataType.simpleString() == "int" and set(rej.columns) == {*load.columns, "batch_id"}
+    sink_writer(lambda df, batch_id: None, f"{scratch}/sink_rej")(load, SNAPSHOT_BATCH)
+    assert read.value <= len(ids) + 2 and spark.read.parquet(f"{scratch}/sink_rej").count() == 1
