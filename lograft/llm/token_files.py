@@ -136,6 +136,13 @@ _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 #: others, in order, from 256 on.
 _HIDDEN = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
 _BYTE_SHOWN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+#: By byte: A-Z as a-z; the second byte of a letter of Latin-1 (after C3) in lower case.
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_LOWER_C3 = np.arange(256, dtype=np.uint8)
+_LOWER_C3[[*range(0x80, 0x97), *range(0x98, 0x9F)]] += 0x20
+#: By byte: white space, letters of ASCII, characters of ``_TAIL``.
+_SPACE, _LETTER, _ENDS = (np.isin(np.arange(256), list(x)) for x in (b" \t\n\v\f\r", range(0x61, 0x7B), _TAIL.encode()))
 
 
 def _plain(word: str) -> bool:
@@ -144,13 +151,41 @@ def _plain(word: str) -> bool:
     return word.isalpha() and (word.isascii() or _LATIN.fullmatch(word) is not None)
 
 
+def _folded(texts: pa.Array) -> pa.Array:
+    """The texts with words of characters below U+0100 in lower case, and a space between a
+    letter of theirs and a character of ``_TAIL`` after it. Such words are in normal form,
+    whatever their case; others stay as they are."""
+    raw, at = text_bytes(texts)
+    if not len(raw):
+        return pa.array([""] * len(texts), pa.large_string())
+    low = _LOWER[raw]
+    second = np.flatnonzero(raw == 0xC3) + 1
+    low[second] = _LOWER_C3[raw[second]]
+    letter = _LETTER[low]
+    letter[second] = (raw[second] != 0x97) & (raw[second] != 0xB7)  # the signs for times and divided
+    split = np.flatnonzero(letter[:-1] & _ENDS[raw[1:]]) + 1
+    far = np.flatnonzero(raw > 0xC3)
+    if len(far):  # words with any other character
+        gap = _SPACE[raw]
+        gap[at[at < len(raw)]] = True
+        word = np.cumsum(gap, dtype=np.int32)
+        other = np.zeros(int(word[-1]) + 1, bool)
+        other[word[far]] = True
+        low = np.where(other[word], raw, low)
+        split = split[~other[word[split]]]
+    body = np.insert(low, split, 0x20)
+    ends = at + np.searchsorted(split, at)
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(body)])
+
+
 class _Words:
     """Encodes texts word by word with the tokenizers library, each word once.
 
     For a tokenizer that lower-cases, drops white space and works on runs of
     letters and of other characters alone, a text's ids are those of its words in
     order, and those of a Latin word with punctuation after it are those of the
-    lower-cased letters and of the punctuation."""
+    lower-cased letters and of the punctuation. So words are looked up in lower case
+    and apart from their punctuation: few are left to be learnt and kept."""
 
     def __init__(self, path: str, width: int):
         import os
@@ -163,12 +198,12 @@ class _Words:
         self.model = self.tokenizer.model
         self.kind, self.known, self.older = np.dtype(f"<u{width}"), {}, {}
 
-    def _learn(self, words: set[str]) -> None:
-        new, known, code = [], self.known, self.kind.char
+    def _learn(self, words: list[str]) -> None:
+        new, known, code, tokenize = [], self.known, self.kind.char, self.model.tokenize
         for w in words:  # lower-case letters are normal already and one token run: straight to the model
             if w.islower() and _plain(w):
                 shown = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_SHOWN)
-                known[w] = array(code, [t.id for t in self.model.tokenize(shown)]).tobytes()
+                known[w] = array(code, [t.id for t in tokenize(shown)]).tobytes()
             else:
                 new.append(w)
         for i in range(0, len(new), 4096):
@@ -177,31 +212,22 @@ class _Words:
                 known[w] = array(code, e.ids).tobytes()
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word. Words are kept in two generations: those that come up
-        again move to the newer one, and the older one goes when that is full."""
+        """The ids of each of the different words. Words are kept in two generations: those that
+        come up again move to the newer one, and the older one goes when that is full."""
         if len(self.known) > CACHE_WORDS:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         out = list(map(known.get, words))
-        new, cut = [], []
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            w = words[i]
-            if w in older:
-                out[i] = known[w] = older[w]
-                continue
-            letters = w.rstrip(_TAIL)
-            new.append(i)
-            cut.append((letters.lower(), w[len(letters):]) if _plain(letters) else (w, ""))
-        parts = {p for pair in cut for p in pair if p not in known}
-        known.update((p, older[p]) for p in parts if p in older)
-        self._learn({p for p in parts if p not in known})
-        for i, (a, b) in zip(new, cut):
-            out[i] = known[words[i]] = known[a] + known[b] if b else known[a]
+        missing = [w for w, ids in zip(words, out) if ids is None]
+        if missing:
+            known.update((w, older[w]) for w in missing if w in older)
+            self._learn([w for w in missing if w not in older])
+            out = list(map(known.__getitem__, words))
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after another, and the n + 1 offsets into them."""
-        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        lists = pc.ascii_split_whitespace(_folded(texts))
         coded = lists.flatten().dictionary_encode()
         each = self._ids(coded.dictionary.to_pylist())
         length = np.fromiter(map(len, each), np.int64, len(each)) // self.kind.itemsize

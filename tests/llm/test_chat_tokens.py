@@ -132,6 +132,14 @@ def test_words_encode_as_whole_texts_do(monkeypatch, sf001):
         assert [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == whole_text_ids(texts)
 
 
+def test_words_are_kept_once_whatever_their_case_and_punctuation():
+    words = token_files._Words(tokenizer_file(WORDS), 2)
+    texts = ["Été! été, ÉTÉ. naïve naïve... Naïve?", "word Word. WORD, word;", "ab\u0301. a×."]
+    flat, ends = words.encode(pa.array(texts))
+    assert [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == whole_text_ids(texts)
+    assert words.known.keys() == {"été", "naïve", "word", "!", ",", ".", "...", "?", ";", "ab\u0301.", "a×."}
+
+
 def plain_tokens(rows):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     out, at = [], 0
