@@ -15,7 +15,7 @@ from lograft.llm.jaccard_join import jaccard_components
 from lograft.llm.mixing import mix_sources
 from lograft.llm.quality import score_quality
 from lograft.llm.queries import GOOD, quality_model, tokenizer_file
-from lograft.llm.scratch import scratch_path, settle, sieve_cells, sieve_test
+from lograft.llm.scratch import counted, in_few_tasks, scratch_path, settle, sieve_cells, sieve_test
 from lograft.llm.token_files import read_token_files, write_token_files
 
 
@@ -48,12 +48,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     one with the smallest id (rows without an id last), and one row of it. Documents
     without words stay."""
     rows = _with_row_key(docs)
-    found = settle(jaccard_components(rows, words=5, percent=80, id_col="_row"))
+    found, n = counted(jaccard_components(rows, words=5, percent=80, id_col="_row"))
     linked = found.filter("n_links > 0").groupBy(F.col("doc_id").alias("_row"), "component_id").count()
     ids = rows.groupBy("_row").agg(F.min(F.col("doc_id").cast("long")).alias("id"))
-    first = (linked.join(ids, "_row").groupBy("component_id")
-             .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("f")).select("f._row"))
-    gone = settle(linked.select("_row").join(first, "_row", "left_anti"))
+    linked = settle(in_few_tasks(linked.join(ids, "_row"), n))
+    first = in_few_tasks(linked.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row")).alias("f"))
+                         .select("f._row"), n)
+    gone = settle(in_few_tasks(linked.select("_row").join(first, "_row", "left_anti"), n))
     again = linked.filter("count > 1").select("_row")
     sure, maybe = _split(rows, gone.union(again))
     left = maybe.join(gone, "_row", "left_anti").join(again.withColumn("_again", F.lit(True)), "_row", "left")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F, Window
 
 from .components import connected_components
-from .scratch import join_hot, ready_workers, settle
+from .scratch import counted, in_few_tasks, join_hot, ready_workers, settle
 from .words import mix, shingles, word_hashes
 
 _U = np.uint64
@@ -368,8 +368,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     ready_workers(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = rows.filter("text is not null")
-    own = settle(rows.mapInArrow(partial(_classes, size=words), "doc_id long, cls long, n long"))
-    classes = settle(own.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult")))
+    own, documents = counted(rows.mapInArrow(partial(_classes, size=words), "doc_id long, cls long, n long"))
+    classes = settle(in_few_tasks(own.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("mult")), documents))
 
     grams = own.agg(F.sum("n")).first()[0] or 0
     bits = min(22, max(10, (grams // FRAGMENT_GRAMS).bit_length()))
@@ -381,24 +381,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80,
     once = Window.partitionBy("cls").orderBy(F.size("pre"))  # a class comes once from each task that saw it
     left = settle(left.withColumn("_r", F.row_number().over(once)).filter("_r = 1").drop("_r"))
 
-    meet = settle(left.select("cls", F.explode("pre").alias("gram")))
-    hubs = meet.groupBy("gram").agg(F.min("cls").alias("hub"), F.count("*").alias("k")).filter("k > 1")
+    meet, meetings = counted(left.select("cls", F.explode("pre").alias("gram")))
+    hubs = settle(in_few_tasks(meet.groupBy("gram").agg(F.min("cls").alias("hub"), F.count("*").alias("k")).filter("k > 1"), meetings))
     met = join_hot(meet, hubs, ["gram"], "k > 1000").filter("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b"))
-    groups = connected_components(met)
+    groups = connected_components(in_few_tasks(met, meetings), meetings)
 
-    members = settle(groups.select(F.col("node").alias("cls"), F.col("root").alias("grp")).join(classes, "cls"))
+    members = settle(in_few_tasks(groups.select(F.col("node").alias("cls"), F.col("root").alias("grp")).join(classes, "cls"), documents))
     parts = (_units(members, percent).join(left.select("cls", "n", "grams"), "cls")
              .repartition("grp", "unit").sortWithinPartitions("grp", "unit"))
-    found = settle(parts.mapInArrow(partial(_count_links, percent=percent), "a long, b long, links long"))
-    linked = found.filter("links is not null").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("other"))
-    roots = connected_components(found.filter("links is null"))
+    found, links = counted(parts.mapInArrow(partial(_count_links, percent=percent), "a long, b long, links long"))
+    linked = in_few_tasks(found.filter("links is not null").groupBy(F.col("a").alias("cls")).agg(F.sum("links").alias("other")), links)
+    roots = connected_components(found.filter("links is null"), links)
 
-    rooted = roots.select(F.col("node").alias("cls"), "root").join(classes.select("cls", "rep"), "cls")
-    tops = rooted.groupBy("root").agg(F.min("rep").alias("top"))
-    rooted = rooted.join(tops, "root").select("cls", "top")
+    rooted = settle(in_few_tasks(roots.select(F.col("node").alias("cls"), "root").join(classes.select("cls", "rep"), "cls"), documents))
+    tops = in_few_tasks(rooted.groupBy("root").agg(F.min("rep").alias("top")), documents)
+    rooted = in_few_tasks(rooted.join(tops, "root").select("cls", "top"), documents)
     of_class = (classes.join(linked, "cls", "left").join(rooted, "cls", "left")
                 .select("cls", "n", F.coalesce("top", "rep").alias("component"),
                         (F.col("mult") - 1 + F.coalesce("other", F.lit(0))).alias("links")))
+    of_class = in_few_tasks(of_class, documents)
     return (own.join(of_class, ["cls", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
                     F.coalesce("links", F.lit(0)).cast("long").alias("n_links")))

@@ -8,6 +8,7 @@ from hypothesis import given, settings, strategies as st
 from lograft.llm import jaccard_join, queries
 from lograft.llm.components import connected_components
 from lograft.llm.jaccard_join import jaccard_components, overlaps
+from lograft.llm.scratch import TASK_ROWS, in_few_tasks, sieve_cells
 from lograft.llm.words import PIECE, shingles, word_hashes
 from tests.conftest import SF001
 from tests.llm import brute
@@ -128,6 +129,25 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_small_graphs_take_few_tasks(spark):
+    """However many partitions a shuffle gives: each of their tasks and files costs the driver memory."""
+    held = {"spark.sql.shuffle.partitions": "101", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        edges = spark.range(900).selectExpr("xxhash64(id) as a", "xxhash64(id + 1) as b")
+        found = connected_components(edges, 900)
+        cells = sieve_cells(edges, "a")
+        few = spark.sparkContext.defaultParallelism
+        assert found.count() == 901 and found.select("root").distinct().count() == 1
+        assert len(found.inputFiles()) <= few and cells.rdd.getNumPartitions() <= few
+        assert in_few_tasks(edges.distinct(), 101 * TASK_ROWS).rdd.getNumPartitions() == 101
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_query_of_the_tables(spark, sf001):
     rows = [(r.doc_id, r.text) for r in sf001("documents").collect()]
     got = queries.op1_ngram_jaccard_join(spark, SF001).select("doc_id", "n_shingles", "component_id", "n_links").collect()
